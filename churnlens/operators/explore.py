@@ -125,7 +125,7 @@ def count_distinct_all(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     """Distinct non-null values per column (exact; distinct pairs combined map-side)."""
     cols = list(cols or df.columns)
     long = melt(df, cols).where(F.col("value").isNotNull())
-    return long.groupBy("column", "value").agg().groupBy("column").agg(
+    return long.select("column", "value").distinct().groupBy("column").agg(
         F.count(F.lit(1)).alias("n_distinct"))
 
 

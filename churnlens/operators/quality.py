@@ -87,7 +87,7 @@ def domain_violations(df: DataFrame, domains: Mapping[str, Sequence[str]]) -> Da
 def _distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, n_distinct), nulls excluded; distinct pairs combined map-side."""
     long = melt(df, cols).where(F.col("value").isNotNull())
-    return long.groupBy("column", "value").agg().groupBy("column").agg(
+    return long.select("column", "value").distinct().groupBy("column").agg(
         F.count(F.lit(1)).alias("n_distinct"))
 
 
@@ -128,7 +128,7 @@ def sorted_distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     high-cardinality column is not sorted in one task.
     """
     long = melt(df, cols).where(F.col("value").isNotNull())
-    dv = long.groupBy("column", "value").agg().withColumn("_one", F.lit(1))
+    dv = long.select("column", "value").distinct().withColumn("_one", F.lit(1))
     ps = prefix_sums(dv, ["value"], ["_one"], by=["column"], with_total=True)
     return ps.select("column", "value", (F.col("cum__one") - 1).cast("int").alias("position"),
                      F.col("tot__one").cast("bigint").alias("n_values"))
@@ -141,7 +141,7 @@ def profile_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
     qs = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column"], names=["q25", "q50", "q75"]).drop("n")
-    nd = long.groupBy("column", "value").agg().groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    nd = long.select("column", "value").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
     return base.join(qs, "column").join(nd, "column")
 
 

@@ -82,3 +82,203 @@ def churn_rate_by_tenure_band(spark, sf):
     df = C.bin_column(df, "tenure", TENURE_EDGES, TENURE_LABELS, out="tenure_band")
     out = E.rate_by(df, "tenure_band", "churn")
     return out.select("tenure_band", "n", F.col("n_flag").cast("bigint").alias("n_flag"), r6("rate").alias("rate"))
+
+
+# ---------------------------------------------------------------------------
+# SQL helpers for the twins
+# ---------------------------------------------------------------------------
+
+def sql_melt(src: str, cols, ids=(), cast: str = "VARCHAR") -> str:
+    idl = "".join(f"{i}, " for i in ids)
+    return "\n UNION ALL ".join(
+        f"SELECT {idl}'{c}' AS \"column\", CAST({c} AS {cast}) AS value FROM {src}" for c in cols)
+
+
+RAW_COLS = ["customer_id", "gender", "senior", "segment", "contract", "payment", "tenure",
+            "monthly_charges", "total_charges_raw", "churn"]
+ENC_COLS = ["gender", "senior", "segment", "contract", "payment"]
+
+
+# ---------------------------------------------------------------------------
+# B: schema and quality
+# ---------------------------------------------------------------------------
+
+@register("null_counts", with_views("subscribers", extra=f"""
+s AS (SELECT * REPLACE (TRY_CAST(trim(total_charges_raw) AS DOUBLE) AS total_charges_raw) FROM subscribers),
+c AS ({" UNION ALL ".join(f"SELECT '{c}' AS col, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM s"
+                           for c in RAW_COLS)})""") + """
+SELECT col AS "column", n_null FROM c
+UNION ALL SELECT '__all__', CAST(sum(n_null) AS BIGINT) FROM c""")
+def q_null_counts(spark, sf):
+    from churnlens.operators.quality import null_counts
+    df = C.to_numeric(FX.subscribers(spark, sf), "total_charges_raw")
+    return null_counts(df, RAW_COLS)
+
+
+@register("split_incomplete", with_views("subscribers") + """
+SELECT customer_id, CASE """ + " ".join(
+    f"WHEN {c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '' THEN '{c}'" for c in RAW_COLS) + """ END AS bad_field
+FROM subscribers WHERE """ + " OR ".join(f"({c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '')" for c in RAW_COLS))
+def q_split_incomplete(spark, sf):
+    from churnlens.operators.quality import split_incomplete
+    df = split_incomplete(FX.subscribers(spark, sf), RAW_COLS)
+    return df.where(F.col("bad_field").isNotNull()).select("customer_id", "bad_field")
+
+
+# fixed values: the allowed lists used by the domain check query
+QUERY_DOMAINS = {
+    "gender": ["F", "M"],
+    "contract": ["F", "O"],
+    "segment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"],
+    "payment": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+}
+
+
+@register("domain_violations", with_views("subscribers", extra="dom(col, val) AS (VALUES " + ", ".join(
+    f"('{c}', '{v}')" for c, vs in QUERY_DOMAINS.items() for v in vs) + ")") + f"""
+SELECT m."column", m.value, count(*) AS n FROM ({sql_melt("subscribers", list(QUERY_DOMAINS))}) m
+WHERE m.value IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dom WHERE dom.col = m."column" AND dom.val = m.value)
+GROUP BY 1, 2""")
+def q_domain_violations(spark, sf):
+    from churnlens.operators.quality import domain_violations
+    return domain_violations(FX.subscribers(spark, sf), QUERY_DOMAINS)
+
+
+_RAW_TYPES = {"customer_id": "string", "gender": "string", "senior": "int", "segment": "string",
+              "contract": "string", "payment": "string", "tenure": "int", "monthly_charges": "double",
+              "total_charges_raw": "string", "churn": "string"}
+
+
+@register("classify_columns", with_views("subscribers", extra=f"""
+nd AS (SELECT "column", count(DISTINCT value) AS n FROM ({sql_melt("subscribers", RAW_COLS)}) GROUP BY 1),
+ty(col, dtype, is_text) AS (VALUES """ + ", ".join(
+    f"('{c}', '{t}', {str(t == 'string').upper()})" for c, t in _RAW_TYPES.items()) + """)""") + """
+SELECT ty.col AS "column", ty.dtype, CAST(coalesce(nd.n, 0) AS BIGINT) AS n_distinct,
+       CASE WHEN is_text AND coalesce(nd.n, 0) > 20 THEN 'cardinal' WHEN is_text THEN 'categorical'
+            WHEN coalesce(nd.n, 0) < 10 THEN 'categorical' ELSE 'numeric' END AS kind
+FROM ty LEFT JOIN nd ON nd."column" = ty.col""")
+def q_classify_columns(spark, sf):
+    from churnlens.operators.quality import classify_columns
+    return classify_columns(FX.subscribers(spark, sf))
+
+
+@register("sorted_distinct", subs_clean_views() + f"""
+SELECT "column", value, CAST(row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS INT) AS position,
+       count(*) OVER (PARTITION BY "column") AS n_values
+FROM (SELECT DISTINCT "column", value FROM ({sql_melt("subs_clean", ENC_COLS)}) WHERE value IS NOT NULL)""")
+def q_sorted_distinct(spark, sf):
+    from churnlens.operators.quality import sorted_distinct
+    return sorted_distinct(clean_subscribers(spark, sf), ENC_COLS)
+
+
+@register("profile_numeric", subs_clean_views() + f"""
+SELECT "column", count(*) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+       round(min(value), 6) AS min, round(max(value), 6) AS max,
+       round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
+       round(quantile_cont(value, 0.75), 6) AS q75, count(DISTINCT value) AS n_distinct
+FROM ({sql_melt("subs_clean", SUB_NUMERIC, cast="DOUBLE")}) WHERE value IS NOT NULL GROUP BY 1""")
+def q_profile_numeric(spark, sf):
+    from churnlens.operators.quality import profile_numeric
+    p = profile_numeric(clean_subscribers(spark, sf), SUB_NUMERIC)
+    return p.select("column", "count", *[r6(c).alias(c) for c in ["mean", "std", "min", "max", "q25", "q50", "q75"]],
+                    "n_distinct")
+
+
+@register("profile_categorical", with_views("subscribers", extra=f"""
+cnt AS (SELECT "column", value, count(*) AS n FROM ({sql_melt("subscribers", ENC_COLS + ["churn"])})
+        WHERE value IS NOT NULL GROUP BY 1, 2)""") + """
+SELECT "column", CAST(sum(n) AS BIGINT) AS count, count(*) AS n_distinct,
+       arg_min(value, (-n, value)) AS top, CAST(max(n) AS BIGINT) AS freq
+FROM cnt GROUP BY 1""")
+def q_profile_categorical(spark, sf):
+    from churnlens.operators.quality import profile_categorical
+    return profile_categorical(C.as_categorical(FX.subscribers(spark, sf), ["senior"]), ENC_COLS + ["churn"])
+
+
+@register("groups_with_rows", with_views("prediction_log") + """
+SELECT customer_id, endpoint, count(*) AS n_rows FROM prediction_log GROUP BY 1, 2 HAVING count(*) >= 10""")
+def q_groups_with_rows(spark, sf):
+    from churnlens.constants import MIN_ROWS_MONITORING
+    from churnlens.operators.quality import groups_with_rows
+    return groups_with_rows(FX.prediction_log(spark, sf), ["customer_id", "endpoint"], MIN_ROWS_MONITORING)
+
+
+# ---------------------------------------------------------------------------
+# C: cleaning and scalar rules
+# ---------------------------------------------------------------------------
+
+@register("clean_subscribers", subs_clean_views() + "SELECT * FROM subs_clean")
+def q_clean_subscribers(spark, sf):
+    return clean_subscribers(spark, sf)
+
+
+@register("clean_subscribers_median", with_views("subscribers") + """
+SELECT customer_id, coalesce(TRY_CAST(trim(total_charges_raw) AS DOUBLE),
+       (SELECT quantile_cont(TRY_CAST(trim(total_charges_raw) AS DOUBLE), 0.5) FROM subscribers)) AS total_charges
+FROM subscribers""")
+def q_clean_subscribers_median(spark, sf):
+    return clean_subscribers(spark, sf, fill="median").select("customer_id", "total_charges")
+
+
+SALT = "churnlens"
+
+
+@register("subscriber_rules", subs_clean_views() + f"""
+SELECT customer_id, CASE churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS churn_flag,
+       CASE senior WHEN '1' THEN 'Yes' WHEN '0' THEN 'No' ELSE senior END AS senior_label,
+       round(total_charges / CASE WHEN tenure = 0 THEN 1 ELSE tenure END, 6) AS mean_charges,
+       {SQL_BAND} AS tenure_band,
+       sha256('{SALT}' || customer_id) AS customer_hash
+FROM subs_clean""")
+def q_subscriber_rules(spark, sf):
+    df = clean_subscribers(spark, sf)
+    df = C.encode_binary(df, "churn").withColumnRenamed("churn", "churn_flag")
+    df = C.recode(df, "senior", {1: "Yes", 0: "No"}, out="senior_label")
+    df = C.add_ratio(df, "total_charges", "tenure", "mean_charges")
+    df = C.bin_column(df, "tenure", TENURE_EDGES, TENURE_LABELS, out="tenure_band")
+    df = C.pseudonymise(df, "customer_id", SALT, out="customer_hash")
+    return df.select("customer_id", "churn_flag", "senior_label", r6("mean_charges").alias("mean_charges"),
+                     "tenure_band", "customer_hash")
+
+
+@register("log_rules", with_views("prediction_log") + """
+SELECT request_id,
+       CASE WHEN probability < 0.33 THEN 'Low' WHEN probability < 0.66 THEN 'Medium' ELSE 'High' END AS risk,
+       CAST(probability >= 0.5 AS INT) AS pred_inclusive, CAST(probability > 0.5 AS INT) AS pred_exclusive,
+       CASE WHEN probability >= 0.5 THEN 'Yes' ELSE 'No' END AS churn_label,
+       round(probability, 3) AS probability, round(probability * 100, 1) AS probability_pct
+FROM prediction_log""")
+def q_log_rules(spark, sf):
+    df = FX.prediction_log(spark, sf)
+    df = C.add_risk_band(df, "probability", "risk")
+    df = C.add_threshold_label(df, "probability", 0.5, True, "pred_inclusive")
+    df = C.add_threshold_label(df, "probability", 0.5, False, "pred_exclusive")
+    df = C.decode_binary(df, "pred_inclusive", out="churn_label")
+    df = df.withColumn("probability_pct", F.col("probability") * 100)
+    df = C.round_cols(df, ["probability"], 3)
+    df = C.round_cols(df, ["probability_pct"], 1)
+    return df.select("request_id", "risk", "pred_inclusive", "pred_exclusive", "churn_label", "probability",
+                     "probability_pct")
+
+
+@register("conform_contract", with_views("subscribers") + """
+SELECT customer_id, contract, CAST(NULL AS VARCHAR) AS region_code, tenure FROM subscribers""")
+def q_conform_contract(spark, sf):
+    df = C.drop_if_present(FX.subscribers(spark, sf), ["gender", "not_a_column"])
+    return C.conform(df, ["customer_id", "contract", "region_code", "tenure"])
+
+
+@register("filter_rows", with_views("subscribers") + """
+SELECT customer_id, segment, tenure FROM subscribers WHERE segment IS NOT NULL AND churn = 'Yes'""")
+def q_filter_rows(spark, sf):
+    df = C.filter_rows(FX.subscribers(spark, sf), F.col("churn") == "Yes", dropna_subset=["segment"])
+    return df.select("customer_id", "segment", "tenure")
+
+
+@register("null_charges_rows", with_views("subscribers") + """
+SELECT customer_id, tenure, TRY_CAST(trim(total_charges_raw) AS DOUBLE) AS total_charges FROM subscribers
+WHERE TRY_CAST(trim(total_charges_raw) AS DOUBLE) IS NULL""")
+def q_null_charges_rows(spark, sf):
+    df = C.to_numeric(FX.subscribers(spark, sf).withColumnRenamed("total_charges_raw", "total_charges"),
+                      "total_charges")
+    return C.null_rows(df, "total_charges").select("customer_id", "tenure", "total_charges")
