@@ -282,3 +282,235 @@ def q_null_charges_rows(spark, sf):
     df = C.to_numeric(FX.subscribers(spark, sf).withColumnRenamed("total_charges_raw", "total_charges"),
                       "total_charges")
     return C.null_rows(df, "total_charges").select("customer_id", "tenure", "total_charges")
+
+
+# ---------------------------------------------------------------------------
+# D: fitted transforms
+# ---------------------------------------------------------------------------
+
+SUB_SPEC = {"id": "customer_id", "target": "churn", "numeric_text": ["total_charges"],
+            "numeric": SUB_NUMERIC, "categorical": SUB_CATEGORICAL, "drop": ["customer_id", "gender"],
+            "scaled": SUB_NUMERIC, "scaler": "minmax", "fill": "zero"}
+
+
+def raw_subscribers(spark, sf):
+    raw = FX.subscribers(spark, sf).withColumnRenamed("total_charges_raw", "total_charges")
+    return C.as_categorical(raw, ["senior"])
+
+
+def sql_encoder(src: str, cols=ENC_COLS) -> str:
+    return f"""SELECT "column", value, CAST(row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS INT) AS code
+    FROM (SELECT DISTINCT "column", value FROM ({sql_melt(src, cols)}) WHERE value IS NOT NULL)"""
+
+
+def sql_code(enc: str, col: str, src: str) -> str:
+    return (f"coalesce((SELECT code FROM {enc} WHERE {enc}.\"column\" = '{col}' "
+            f"AND {enc}.value = CAST({src}.{col} AS VARCHAR)), -1) AS {col}")
+
+
+def sql_minmax(mm: str, col: str, src: str) -> str:
+    return (f"round((CAST({src}.{col} AS DOUBLE) - {mm}.mn_{col}) / "
+            f"CASE WHEN {mm}.r_{col} = 0 THEN 1.0 ELSE {mm}.r_{col} END, 6) AS {col}")
+
+
+def sql_mm_params(src: str) -> str:
+    return "SELECT " + ", ".join(f"CAST(min({c}) AS DOUBLE) AS mn_{c}, CAST(max({c}) - min({c}) AS DOUBLE) AS r_{c}"
+                                 for c in SUB_NUMERIC) + f" FROM {src}"
+
+
+@register("label_encoder_fit", subs_clean_views() + sql_encoder("subs_clean"))
+def q_label_encoder_fit(spark, sf):
+    from churnlens.operators.fitted import fit_label_encoder
+    return fit_label_encoder(clean_subscribers(spark, sf), ENC_COLS)
+
+
+@register("label_encoder_apply", with_views("drift", extra=f"""
+enc AS ({sql_encoder("drift_ref", ["o_orderstatus", "o_orderpriority"])})""") + f"""
+SELECT o_orderstatus AS status, o_orderpriority AS priority,
+       {sql_code("enc", "o_orderstatus", "drift_cur").replace(" AS o_orderstatus", " AS status_code")},
+       {sql_code("enc", "o_orderpriority", "drift_cur").replace(" AS o_orderpriority", " AS priority_code")},
+       count(*) AS n
+FROM drift_cur GROUP BY ALL""")
+def q_label_encoder_apply(spark, sf):
+    from churnlens.operators.fitted import apply_label_encoder, fit_label_encoder
+    ref, cur = FX.drift_sides(spark, sf)
+    cols = ["o_orderstatus", "o_orderpriority"]
+    enc = fit_label_encoder(ref, cols)
+    cur = cur.select(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), *cols)
+    out = apply_label_encoder(cur, enc, cols)
+    return (out.groupBy("status", "priority", F.col("o_orderstatus").alias("status_code"),
+                        F.col("o_orderpriority").alias("priority_code"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("minmax_scaled", subs_clean_views(extra=f"mm AS ({sql_mm_params('subs_clean')})") + """
+SELECT customer_id, """ + ", ".join(sql_minmax("mm", c, "s") for c in SUB_NUMERIC) + " FROM subs_clean s, mm")
+def q_minmax_scaled(spark, sf):
+    from churnlens.operators.fitted import apply_affine, fit_minmax
+    df = clean_subscribers(spark, sf)
+    out = apply_affine(df, fit_minmax(df, SUB_NUMERIC))
+    return out.select("customer_id", *[r6(c).alias(c) for c in SUB_NUMERIC])
+
+
+@register("standard_scaled", subs_clean_views(extra="sd AS (SELECT " + ", ".join(
+    f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in SUB_NUMERIC) + " FROM subs_clean)") + """
+SELECT customer_id, """ + ", ".join(
+    f"round((s.{c} - sd.m_{c}) / CASE WHEN sd.s_{c} = 0 THEN 1.0 ELSE sd.s_{c} END, 6) AS {c}"
+    for c in SUB_NUMERIC) + " FROM subs_clean s, sd")
+def q_standard_scaled(spark, sf):
+    from churnlens.operators.fitted import apply_affine, fit_standard
+    df = clean_subscribers(spark, sf)
+    out = apply_affine(df, fit_standard(df, SUB_NUMERIC))
+    return out.select("customer_id", *[r6(c).alias(c) for c in SUB_NUMERIC])
+
+
+FEATURE_CATS = ["senior", "segment", "contract", "payment"]
+
+
+def _features_sql(fit_src: str, srv_src: str) -> str:
+    return ("SELECT " + ", ".join(sql_code("enc", c, "s") for c in FEATURE_CATS) + ", "
+            + ", ".join(sql_minmax("mm", c, "s") for c in SUB_NUMERIC)
+            + f", CASE s.churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS churn FROM {srv_src} s, mm")
+
+
+@register("training_features", subs_clean_views(extra=f"""
+enc AS ({sql_encoder("subs_clean")}), mm AS ({sql_mm_params("subs_clean")})""") + _features_sql("subs_clean",
+                                                                                                 "subs_clean"))
+def q_training_features(spark, sf):
+    from churnlens.operators.fitted import prepare_training
+    feats, _ = prepare_training(raw_subscribers(spark, sf), SUB_SPEC)
+    return feats.select(*FEATURE_CATS, *[r6(c).alias(c) for c in SUB_NUMERIC], "churn")
+
+
+def _cohort_clean(src: str, mode_src: str) -> str:
+    return f"""SELECT customer_id, gender, CAST(senior AS VARCHAR) AS senior,
+           coalesce(segment, (SELECT value FROM (SELECT segment AS value, count(*) AS n FROM {mode_src}
+                              WHERE segment IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 1))) AS segment,
+           contract, payment, tenure, monthly_charges,
+           coalesce(TRY_CAST(trim(total_charges_raw) AS DOUBLE), 0.0) AS total_charges, churn FROM {src}"""
+
+
+@register("serving_features", with_views("subscribers", extra=f"""
+fit_raw AS (SELECT * FROM subscribers WHERE tenure < 48),
+srv_raw AS (SELECT * FROM subscribers WHERE tenure >= 48),
+fit_c AS ({_cohort_clean("fit_raw", "fit_raw")}),
+srv_c AS ({_cohort_clean("srv_raw", "fit_raw")}),
+enc AS ({sql_encoder("fit_c")}), mm AS ({sql_mm_params("fit_c")})""") + _features_sql("fit_c", "srv_c"))
+def q_serving_features(spark, sf):
+    from churnlens.operators.fitted import prepare_serving, prepare_training
+    raw = raw_subscribers(spark, sf)
+    _, params = prepare_training(raw, SUB_SPEC, fit_on=raw.where(F.col("tenure") < 48))
+    feats = prepare_serving(raw.where(F.col("tenure") >= 48), params)
+    return feats.select(*FEATURE_CATS, *[r6(c).alias(c) for c in SUB_NUMERIC], "churn")
+
+
+# ---------------------------------------------------------------------------
+# E: exploration
+# ---------------------------------------------------------------------------
+
+def subs_explore(spark, sf):
+    df = clean_subscribers(spark, sf)
+    df = C.bin_column(df, "tenure", TENURE_EDGES, TENURE_LABELS, out="tenure_band")
+    df = df.withColumn("churn_flag", F.when(F.col("churn") == "Yes", 1).when(F.col("churn") == "No", 0))
+    return C.add_ratio(df, "total_charges", "tenure", "mean_charges")
+
+
+def explore_views(extra: str = "") -> str:
+    body = (f"sx AS (SELECT *, {SQL_BAND} AS tenure_band, CASE churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END "
+            "AS churn_flag, total_charges / CASE WHEN tenure = 0 THEN 1 ELSE tenure END AS mean_charges "
+            "FROM subs_clean)")
+    return subs_clean_views(body + (",\n" + extra if extra else ""))
+
+
+@register("class_share", explore_views() + """
+SELECT churn, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS pct FROM sx GROUP BY 1""")
+def q_class_share(spark, sf):
+    out = E.class_share(subs_explore(spark, sf), "churn")
+    return out.select("churn", "n", r6("pct").alias("pct"))
+
+
+XTAB_COLS = ["gender", "senior", "segment", "contract", "payment", "tenure_band"]
+
+
+@register("crosstab_all", explore_views() + f"""
+SELECT "column", value, churn, count(*) AS n FROM ({sql_melt("sx", XTAB_COLS, ids=["churn"])}) GROUP BY 1, 2, 3""")
+def q_crosstab_all(spark, sf):
+    return E.crosstab_all(subs_explore(spark, sf), XTAB_COLS, "churn")
+
+
+@register("churn_rate_by_tenure", explore_views() + """
+SELECT tenure, count(*) AS n, CAST(sum(churn_flag) AS BIGINT) AS n_flag, round(avg(churn_flag), 6) AS rate
+FROM sx GROUP BY 1""")
+def q_churn_rate_by_tenure(spark, sf):
+    out = E.rate_by(subs_explore(spark, sf), "tenure", "churn_flag")
+    return out.select("tenure", "n", F.col("n_flag").cast("bigint").alias("n_flag"), r6("rate").alias("rate"))
+
+
+MEAN_COLS = ["tenure", "monthly_charges", "total_charges", "mean_charges"]
+
+
+@register("means_by_class", explore_views() + "SELECT churn, " + ", ".join(
+    f"round(avg({c}), 6) AS mean_{c}" for c in MEAN_COLS) + " FROM sx GROUP BY 1")
+def q_means_by_class(spark, sf):
+    out = E.means_by_class(subs_explore(spark, sf), MEAN_COLS, "churn")
+    return out.select("churn", *[r6(f"mean_{c}").alias(f"mean_{c}") for c in MEAN_COLS])
+
+
+@register("histogram_monthly", explore_views(extra="""
+mm AS (SELECT min(monthly_charges) AS xmin, max(monthly_charges) AS xmax FROM sx),
+bb AS (SELECT CAST(CASE WHEN xmax = xmin THEN 0 ELSE least(floor((monthly_charges - xmin) / ((xmax - xmin) / 30.0)), 29)
+              END AS INT) AS bin FROM sx, mm WHERE monthly_charges IS NOT NULL)""") + """
+SELECT bin, round(xmin + bin * ((xmax - xmin) / 30.0), 6) AS lo, round(xmin + (bin + 1) * ((xmax - xmin) / 30.0), 6) AS hi,
+       count(*) AS n FROM bb, mm GROUP BY bin, xmin, xmax""")
+def q_histogram_monthly(spark, sf):
+    out = E.histogram(subs_explore(spark, sf), "monthly_charges", 30)
+    return out.select("bin", r6("lo").alias("lo"), r6("hi").alias("hi"), "n")
+
+
+@register("density_tenure", explore_views(extra="""
+d AS (SELECT churn AS c, CAST(tenure AS DOUBLE) AS x FROM sx WHERE tenure IS NOT NULL AND churn IS NOT NULL),
+st AS (SELECT c, count(*) AS n, pow(count(*), -0.2) * stddev_samp(x) AS h, min(x) AS mn, max(x) AS mx FROM d GROUP BY c),
+st3 AS (SELECT c, n, h, mn - 3.0 * h AS g0, (mx - mn + 6.0 * h) / 49 AS step FROM st WHERE h > 0),
+dv AS (SELECT c, x, count(*) AS cnt FROM d GROUP BY 1, 2)""") + """
+SELECT st3.c AS churn, CAST(g.g AS INT) AS grid_index, round(g0 + g.g * step, 6) AS x,
+       round(sum(cnt * exp(-0.5 * ((g0 + g.g * step - dv.x) / h) * ((g0 + g.g * step - dv.x) / h)))
+             / (n * h * sqrt(2 * pi())), 6) AS density
+FROM dv JOIN st3 ON st3.c = dv.c CROSS JOIN range(0, 50) g(g) GROUP BY st3.c, g.g, g0, step, n, h""")
+def q_density_tenure(spark, sf):
+    out = E.density(subs_explore(spark, sf), "tenure", "churn", grid=50)
+    return out.select("churn", "grid_index", r6("x").alias("x"), r6("density").alias("density"))
+
+
+@register("box_monthly_by_contract", explore_views(extra="""
+d AS (SELECT contract, churn, monthly_charges AS y FROM sx WHERE monthly_charges IS NOT NULL),
+q AS (SELECT contract, churn, count(*) AS n, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS med,
+             quantile_cont(y, 0.75) AS q3 FROM d GROUP BY 1, 2),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)""") + """
+SELECT f.contract, f.churn, f.n, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
+       round(iqr, 6) AS iqr, round(min(y) FILTER (WHERE y >= lo AND y <= hi), 6) AS whisker_lo,
+       round(max(y) FILTER (WHERE y >= lo AND y <= hi), 6) AS whisker_hi,
+       count(*) FILTER (WHERE y < lo OR y > hi) AS n_outliers
+FROM f JOIN d ON d.contract = f.contract AND d.churn = f.churn
+GROUP BY f.contract, f.churn, f.n, q1, med, q3, iqr""")
+def q_box_monthly_by_contract(spark, sf):
+    out = E.box_stats(subs_explore(spark, sf), "contract", "monthly_charges", "churn")
+    return out.select("contract", "churn", "n", *[r6(c).alias(c) for c in
+                                                  ["q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi"]],
+                      "n_outliers")
+
+
+CORR_COLS = ["tenure", "monthly_charges", "total_charges", "churn_flag"]
+
+
+@register("corr_matrix", explore_views() + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr FROM sx"
+    for a in CORR_COLS for b in CORR_COLS))
+def q_corr_matrix(spark, sf):
+    out = E.corr_matrix(subs_explore(spark, sf), CORR_COLS)
+    return out.select("col_a", "col_b", r6("corr").alias("corr"))
+
+
+@register("count_distinct_all", with_views("subscribers") + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM subscribers" for c in RAW_COLS))
+def q_count_distinct_all(spark, sf):
+    return E.count_distinct_all(FX.subscribers(spark, sf), RAW_COLS)
