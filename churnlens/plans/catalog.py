@@ -16,7 +16,9 @@ from churnlens.constants import TENURE_EDGES, TENURE_LABELS
 from churnlens.operators import clean as C
 from churnlens.operators import explore as E
 from churnlens.plans import fixtures as FX
-from churnlens.plans.fixtures import with_views
+from churnlens.plans.fixtures import SQL_VIEWS, with_views
+
+SQL_VIEWS_PL = SQL_VIEWS["prediction_log"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -514,3 +516,209 @@ def q_corr_matrix(spark, sf):
     f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM subscribers" for c in RAW_COLS))
 def q_count_distinct_all(spark, sf):
     return E.count_distinct_all(FX.subscribers(spark, sf), RAW_COLS)
+
+
+# ---------------------------------------------------------------------------
+# significance tests (statistic checked by the oracle, p by unit tests)
+# ---------------------------------------------------------------------------
+
+@register("chi_square", explore_views(extra=f"""
+cells AS (SELECT "column", value, churn, count(*) AS o
+          FROM ({sql_melt("sx", XTAB_COLS, ids=["churn"])}) WHERE value IS NOT NULL AND churn IS NOT NULL GROUP BY 1, 2, 3),
+vals AS (SELECT DISTINCT "column", value FROM cells),
+cls AS (SELECT DISTINCT churn FROM cells),
+grid AS (SELECT v."column", v.value, c.churn, coalesce(cells.o, 0) AS o FROM vals v CROSS JOIN cls c
+         LEFT JOIN cells ON cells."column" = v."column" AND cells.value = v.value AND cells.churn = c.churn),
+rt AS (SELECT "column", value, sum(o) AS rt FROM grid GROUP BY 1, 2),
+ct AS (SELECT "column", churn, sum(o) AS ct FROM grid GROUP BY 1, 2),
+nt AS (SELECT "column", sum(o) AS n, count(DISTINCT value) AS r FROM grid GROUP BY 1),
+kp AS (SELECT "column", count(*) FILTER (WHERE ct > 0) AS kp FROM ct GROUP BY 1),
+e AS (SELECT g."column", g.o, rt.rt * ct.ct / nt.n AS e, ct.ct FROM grid g
+      JOIN rt ON rt."column" = g."column" AND rt.value = g.value
+      JOIN ct ON ct."column" = g."column" AND ct.churn = g.churn JOIN nt ON nt."column" = g."column"),
+agg AS (SELECT "column", sum(CASE WHEN ct > 0 THEN (o - e) * (o - e) / e ELSE 0 END) AS plain,
+               sum(CASE WHEN ct > 0 THEN (o + least(0.5, abs(e - o)) * sign(e - o) - e)
+                                         * (o + least(0.5, abs(e - o)) * sign(e - o) - e) / e ELSE 0 END) AS yates
+        FROM e GROUP BY 1)""") + """
+SELECT agg."column", round(CASE WHEN (r - 1) * (kp - 1) = 1 THEN yates ELSE plain END, 6) AS statistic,
+       CAST((r - 1) * (kp - 1) AS INT) AS dof
+FROM agg JOIN nt ON nt."column" = agg."column" JOIN kp ON kp."column" = agg."column\"""")
+def q_chi_square(spark, sf):
+    from churnlens.operators.stats import chi_square
+    out = chi_square(subs_explore(spark, sf), XTAB_COLS, "churn", with_p=False)
+    return out.select("column", r6("statistic").alias("statistic"), "dof")
+
+
+@register("chi_square_tests")
+def q_chi_square_tests(spark, sf):
+    from churnlens.operators.stats import chi_square
+    return chi_square(subs_explore(spark, sf), XTAB_COLS, "churn", with_p=True)
+
+
+@register("t_test", explore_views(extra=f"""
+l AS (SELECT * FROM ({sql_melt("sx", MEAN_COLS, ids=["churn"], cast="DOUBLE")})
+      WHERE churn IN ('Yes', 'No') AND value IS NOT NULL),
+g AS (SELECT "column", count(*) FILTER (WHERE churn = 'Yes') AS n1, count(*) FILTER (WHERE churn = 'No') AS n2,
+             avg(value) FILTER (WHERE churn = 'Yes') AS m1, avg(value) FILTER (WHERE churn = 'No') AS m2,
+             var_samp(value) FILTER (WHERE churn = 'Yes') AS v1, var_samp(value) FILTER (WHERE churn = 'No') AS v2
+      FROM l GROUP BY 1)""") + """
+SELECT "column", round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2)), 6)
+       AS statistic, CAST(n1 + n2 - 2 AS INT) AS dof, round(m1, 6) AS mean_pos, round(m2, 6) AS mean_neg FROM g""")
+def q_t_test(spark, sf):
+    from churnlens.operators.stats import t_test
+    out = t_test(subs_explore(spark, sf), MEAN_COLS, "churn", with_p=False)
+    return out.select("column", r6("statistic").alias("statistic"), "dof", r6("mean_pos").alias("mean_pos"),
+                      r6("mean_neg").alias("mean_neg"))
+
+
+@register("t_tests")
+def q_t_tests(spark, sf):
+    from churnlens.operators.stats import t_test
+    return t_test(subs_explore(spark, sf), MEAN_COLS, "churn", with_p=True)
+
+
+# ---------------------------------------------------------------------------
+# Drift (orders before / from the split date)
+# ---------------------------------------------------------------------------
+
+DRIFT_NUM = ["o_totalprice"]
+DRIFT_CAT = ["o_orderpriority", "o_orderstatus"]
+
+
+def sql_side_counts(cols, cast, ref="drift_ref", cur="drift_cur") -> str:
+    u = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS {cast}) AS value, {side} AS side FROM {src}"
+                           for c in cols for side, src in ((0, ref), (1, cur)))
+    return (f"SELECT \"column\", value, count(*) FILTER (WHERE side = 0) AS a, count(*) FILTER (WHERE side = 1) AS b "
+            f"FROM ({u}) WHERE value IS NOT NULL GROUP BY 1, 2")
+
+
+def sql_ecdf(cols, ref="drift_ref", cur="drift_cur") -> str:
+    return f"""SELECT "column", value,
+        sum(a) OVER w / sum(a) OVER (PARTITION BY "column") AS f,
+        sum(b) OVER w / sum(b) OVER (PARTITION BY "column") AS g,
+        sum(a) OVER (PARTITION BY "column") AS ta, sum(b) OVER (PARTITION BY "column") AS tb,
+        lead(value) OVER (PARTITION BY "column" ORDER BY value) AS nxt
+      FROM ({sql_side_counts(cols, "DOUBLE", ref, cur)})
+      WINDOW w AS (PARTITION BY "column" ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+def sql_wasserstein(cols, ref="drift_ref", cur="drift_cur") -> str:
+    sd = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", stddev_pop(CAST({c} AS DOUBLE)) AS sd FROM {ref}"
+                            for c in cols)
+    return f"""SELECT e."column", CASE WHEN sd > 0 THEN w / sd ELSE w END AS statistic FROM
+      (SELECT "column", sum(CASE WHEN nxt IS NOT NULL THEN abs(f - g) * (nxt - value) ELSE 0 END) AS w
+       FROM ({sql_ecdf(cols, ref, cur)}) GROUP BY 1) e JOIN ({sd}) s ON s."column" = e."column\""""
+
+
+def sql_shares(cols, ref="drift_ref", cur="drift_cur") -> str:
+    return f"""SELECT *, sum(a) OVER (PARTITION BY "column") AS ta, sum(b) OVER (PARTITION BY "column") AS tb,
+        count(*) OVER (PARTITION BY "column") AS k, min(value) OVER (PARTITION BY "column") AS first_value
+      FROM ({sql_side_counts(cols, "VARCHAR", ref, cur)})"""
+
+
+def sql_js(cols, ref="drift_ref", cur="drift_cur") -> str:
+    return f"""SELECT "column", sqrt(greatest(sum(
+        CASE WHEN a > 0 THEN (a / ta) * ln((a / ta) / ((a / ta + b / tb) / 2)) ELSE 0 END +
+        CASE WHEN b > 0 THEN (b / tb) * ln((b / tb) / ((a / ta + b / tb) / 2)) ELSE 0 END) / 2, 0.0)) AS statistic
+      FROM ({sql_shares(cols, ref, cur)}) GROUP BY 1"""
+
+
+@register("ks_drift", with_views("drift") + f"""
+SELECT "column", round(max(abs(f - g)), 6) AS statistic, CAST(max(ta) AS BIGINT) AS n_ref,
+       CAST(max(tb) AS BIGINT) AS n_cur FROM ({sql_ecdf(DRIFT_NUM)}) GROUP BY 1""")
+def q_ks_drift(spark, sf):
+    from churnlens.operators.drift import ks_two_sample
+    ref, cur = FX.drift_sides(spark, sf)
+    out = ks_two_sample(ref, cur, DRIFT_NUM, with_p=False)
+    return out.select("column", r6("statistic").alias("statistic"), "n_ref", "n_cur")
+
+
+@register("wasserstein_drift", with_views("drift") + f"""
+SELECT "column", round(statistic, 6) AS statistic FROM ({sql_wasserstein(DRIFT_NUM)})""")
+def q_wasserstein_drift(spark, sf):
+    from churnlens.operators.drift import wasserstein_norm
+    ref, cur = FX.drift_sides(spark, sf)
+    return wasserstein_norm(ref, cur, DRIFT_NUM).select("column", r6("statistic").alias("statistic"))
+
+
+@register("js_drift", with_views("drift") + f"""
+SELECT "column", round(statistic, 6) AS statistic FROM ({sql_js(DRIFT_CAT)})""")
+def q_js_drift(spark, sf):
+    from churnlens.operators.drift import js_distance
+    ref, cur = FX.drift_sides(spark, sf)
+    return js_distance(ref, cur, DRIFT_CAT).select("column", r6("statistic").alias("statistic"))
+
+
+@register("category_shift", with_views("drift") + f"""
+SELECT "column", CASE WHEN max(k) = 2 THEN 'z' ELSE 'chi_square' END AS test,
+       round(CASE WHEN max(k) = 2 THEN max(CASE WHEN value = first_value THEN
+             (a / ta - b / tb) / sqrt(((a + b) / (ta + tb)) * (1 - (a + b) / (ta + tb)) * (1.0 / ta + 1.0 / tb)) END)
+             ELSE sum((a - (a + b) * ta / (ta + tb)) * (a - (a + b) * ta / (ta + tb)) / ((a + b) * ta / (ta + tb))
+                      + (b - (a + b) * tb / (ta + tb)) * (b - (a + b) * tb / (ta + tb)) / ((a + b) * tb / (ta + tb)))
+             END, 6) AS statistic,
+       CAST(max(k) - 1 AS INT) AS dof
+FROM ({sql_shares(DRIFT_CAT)}) GROUP BY 1""")
+def q_category_shift(spark, sf):
+    from churnlens.operators.drift import category_shift
+    ref, cur = FX.drift_sides(spark, sf)
+    out = category_shift(ref, cur, DRIFT_CAT, with_p=False)
+    return out.select("column", "test", r6("statistic").alias("statistic"), "dof")
+
+
+def _sql_report(num_sql: str, cat_sql: str) -> str:
+    return f"""SELECT "column", 'numeric' AS kind, 'wasserstein' AS method, round(statistic, 6) AS statistic,
+       round(statistic, 6) AS score, 0.1 AS threshold, statistic >= 0.1 AS drifted FROM ({num_sql})
+UNION ALL SELECT "column", 'categorical', 'jensen_shannon', round(statistic, 6), round(statistic, 6), 0.1,
+       statistic >= 0.1 FROM ({cat_sql})"""
+
+
+def _report_cols(df):
+    return df.select("column", "kind", "method", r6("statistic").alias("statistic"), r6("score").alias("score"),
+                     "threshold", "drifted")
+
+
+@register("drift_report", with_views("drift") + _sql_report(sql_wasserstein(DRIFT_NUM), sql_js(DRIFT_CAT)))
+def q_drift_report(spark, sf):
+    from churnlens.operators.drift import drift_report
+    ref, cur = FX.drift_sides(spark, sf)
+    return _report_cols(drift_report(ref, cur, DRIFT_NUM + DRIFT_CAT))
+
+
+@register("drift_decision", with_views("drift", extra=f"""
+rep AS ({_sql_report(sql_wasserstein(DRIFT_NUM), sql_js(DRIFT_CAT))}),
+sh AS (SELECT count(*) AS n_columns, count(*) FILTER (WHERE drifted) AS drift_count,
+              avg(CAST(drifted AS DOUBLE)) AS drift_share FROM rep)""") + """
+SELECT n_columns, drift_count, round(drift_share, 6) AS drift_share,
+       CASE WHEN drift_share > 0.5 THEN 'retrain' WHEN drift_share >= 0.4 THEN 'critical'
+            WHEN drift_share >= 0.3 THEN 'early' ELSE 'healthy' END AS level FROM sh""")
+def q_drift_decision(spark, sf):
+    from churnlens.operators.decide import drift_level
+    from churnlens.operators.drift import drift_report, drift_share
+    ref, cur = FX.drift_sides(spark, sf)
+    out = drift_level(drift_share(drift_report(ref, cur, DRIFT_NUM + DRIFT_CAT)))
+    return out.select("n_columns", "drift_count", r6("drift_share").alias("drift_share"), "level")
+
+
+LOG_FEATURES_NUM = ["tenure", "monthly_charges", "total_charges"]
+LOG_FEATURES_CAT = ["gender", "senior", "segment", "contract", "payment"]
+LAST_N = 1000
+
+
+def logged_features(spark, sf):
+    """Inference log joined with the subscriber features it scored."""
+    log = FX.prediction_log(spark, sf).select("request_id", "customer_id", "event_time")
+    return log.join(clean_subscribers(spark, sf), "customer_id")
+
+
+@register("drift_last_n", subs_clean_views(extra=f"""
+pl AS ({SQL_VIEWS_PL}),
+lf AS (SELECT l.request_id, l.event_time, s.* FROM pl l JOIN subs_clean s ON s.customer_id = l.customer_id),
+cur AS (SELECT * FROM lf ORDER BY event_time DESC NULLS LAST, request_id DESC LIMIT {LAST_N})""")
+    + _sql_report(sql_wasserstein(LOG_FEATURES_NUM, "subs_clean", "cur"),
+                  sql_js(LOG_FEATURES_CAT, "subs_clean", "cur")))
+def q_drift_last_n(spark, sf):
+    from churnlens.operators.drift import drift_last_n
+    ref = clean_subscribers(spark, sf)
+    out = drift_last_n(ref, logged_features(spark, sf), LOG_FEATURES_NUM + LOG_FEATURES_CAT, LAST_N,
+                       "event_time", "request_id")
+    return _report_cols(out)
