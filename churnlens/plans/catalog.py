@@ -722,3 +722,175 @@ def q_drift_last_n(spark, sf):
     out = drift_last_n(ref, logged_features(spark, sf), LOG_FEATURES_NUM + LOG_FEATURES_CAT, LAST_N,
                        "event_time", "request_id")
     return _report_cols(out)
+
+
+# ---------------------------------------------------------------------------
+# Metrics and decisions over the prediction log
+# ---------------------------------------------------------------------------
+
+STAGE_BY = ["model_stage", "model_version"]
+METRIC_COLS = ["accuracy", "precision", "recall", "f1"]
+
+
+def sql_confusion(src: str, cut: str, by=STAGE_BY) -> str:
+    b = ", ".join(by)
+    return f"""SELECT {b}, count(*) AS n,
+        count(*) FILTER (WHERE label = 1 AND probability {cut} 0.5) AS tp,
+        count(*) FILTER (WHERE label = 0 AND probability {cut} 0.5) AS fp,
+        count(*) FILTER (WHERE label = 1 AND NOT (probability {cut} 0.5)) AS fn,
+        count(*) FILTER (WHERE label = 0 AND NOT (probability {cut} 0.5)) AS tn,
+        avg(latency) AS mean_latency
+      FROM {src} WHERE label IS NOT NULL GROUP BY {b}"""
+
+
+SQL_METRICS = """CASE WHEN tp + fp + fn + tn > 0 THEN (tp + tn) / (tp + fp + fn + tn) ELSE 0.0 END AS accuracy,
+        CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+        CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+        CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1"""
+
+
+def sql_auc(src: str, by=STAGE_BY) -> str:
+    b = ", ".join(by)
+    part = f"PARTITION BY {b}" if by else ""
+    sel = f"{b}, " if by else ""
+    grp = f"GROUP BY {b}" if by else ""
+    return f"""SELECT {sel}CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+               THEN sum(pos * (cneg - neg + 0.5 * neg)) / (sum(pos) * sum(neg)) END AS roc_auc
+      FROM (SELECT *, sum(neg) OVER ({part} ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cneg
+            FROM (SELECT {sel}probability AS p, count(*) FILTER (WHERE label = 1) AS pos,
+                         count(*) FILTER (WHERE label <> 1) AS neg
+                  FROM {src} WHERE probability IS NOT NULL AND label IS NOT NULL
+                  GROUP BY {sel}probability)) {grp}"""
+
+
+def sql_round_metrics(prefix: str = "") -> str:
+    return ", ".join(f"round({prefix}{c}, 6) AS {c}" for c in METRIC_COLS)
+
+
+@register("binary_metrics", with_views("prediction_log") + f"""
+SELECT model_stage, model_version, n, tp, fp, fn, tn, {sql_round_metrics()}
+FROM (SELECT *, {SQL_METRICS} FROM ({sql_confusion("prediction_log", ">=")}))""")
+def q_binary_metrics(spark, sf):
+    from churnlens.operators.metrics import binary_metrics
+    log = C.add_threshold_label(FX.prediction_log(spark, sf), "probability", 0.5, True, "pred")
+    out = binary_metrics(log, "label", "pred", by=STAGE_BY)
+    return out.select(*STAGE_BY, "n", "tp", "fp", "fn", "tn", *[r6(c).alias(c) for c in METRIC_COLS])
+
+
+@register("roc_auc_by_stage", with_views("prediction_log") + f"""
+SELECT model_stage, model_version, round(roc_auc, 6) AS roc_auc FROM ({sql_auc("prediction_log")})""")
+def q_roc_auc_by_stage(spark, sf):
+    from churnlens.operators.metrics import roc_auc
+    out = roc_auc(FX.prediction_log(spark, sf), "label", "probability", by=STAGE_BY)
+    return out.select(*STAGE_BY, r6("roc_auc").alias("roc_auc"))
+
+
+@register("roc_auc_overall", with_views("prediction_log") + f"""
+SELECT round(roc_auc, 6) AS roc_auc FROM ({sql_auc("prediction_log", by=[])})""")
+def q_roc_auc_overall(spark, sf):
+    from churnlens.operators.metrics import roc_auc
+    return roc_auc(FX.prediction_log(spark, sf), "label", "probability").select(r6("roc_auc").alias("roc_auc"))
+
+
+def sql_stage_metrics(src: str = "prediction_log", by=STAGE_BY, min_n: int = 30) -> str:
+    j = " AND ".join(f"a.{c} = u.{c}" for c in by)
+    return f"""SELECT c.*, {SQL_METRICS.replace("tp", "c.tp").replace("fp", "c.fp").replace("fn", "c.fn")
+                           .replace("tn", "c.tn")}, u.roc_auc
+      FROM ({sql_confusion(src, ">", by)}) c
+      LEFT JOIN ({sql_auc(src, by)}) u ON {j.replace("a.", "c.")}
+      WHERE c.n >= {min_n}"""
+
+
+@register("stage_metrics", with_views("prediction_log") + f"""
+SELECT model_stage, model_version, n AS num_samples, {sql_round_metrics()}, round(roc_auc, 6) AS roc_auc,
+       round(mean_latency, 6) AS mean_latency FROM ({sql_stage_metrics()})""")
+def q_stage_metrics(spark, sf):
+    from churnlens.operators.metrics import stage_metrics
+    out = stage_metrics(FX.prediction_log(spark, sf))
+    return out.select(*STAGE_BY, "num_samples", *[r6(c).alias(c) for c in METRIC_COLS + ["roc_auc", "mean_latency"]])
+
+
+def sql_canary(sm: str, by=()) -> str:
+    b = "".join(f"{c}, " for c in by)
+    g = f"GROUP BY {', '.join(by)}" if by else ""
+    return f"""SELECT {b}prod_f1, stag_f1, prod_latency, stag_latency, stag_samples, prod_version, stag_version,
+         prod_f1 - 0.1 * prod_latency AS prod_score, stag_f1 - 0.1 * stag_latency AS stag_score,
+         (stag_f1 - 0.1 * stag_latency > prod_f1 - 0.1 * prod_latency + 0.01 AND stag_latency <= 2.0
+          AND stag_samples >= 30) AS promote
+      FROM (SELECT {b}
+          coalesce(max(m.f1) FILTER (WHERE model_stage = 'Production'), 0.0) AS prod_f1,
+          coalesce(max(m.f1) FILTER (WHERE model_stage = 'Staging'), 0.0) AS stag_f1,
+          coalesce(max(m.lat) FILTER (WHERE model_stage = 'Production'), 0.0) AS prod_latency,
+          coalesce(max(m.lat) FILTER (WHERE model_stage = 'Staging'), 0.0) AS stag_latency,
+          coalesce(max(m.n) FILTER (WHERE model_stage = 'Staging'), 0) AS stag_samples,
+          max(m.v) FILTER (WHERE model_stage = 'Production') AS prod_version,
+          max(m.v) FILTER (WHERE model_stage = 'Staging') AS stag_version
+        FROM (SELECT {b}model_stage, arg_max({{'f1': f1, 'lat': mean_latency, 'n': n, 'v': model_version}},
+                     TRY_CAST(regexp_extract(model_version, '(\\d+)', 1) AS INT)) AS m
+              FROM ({sm}) GROUP BY {b}model_stage) {g})"""
+
+
+@register("canary_decision", with_views("prediction_log") + f"""
+SELECT round(prod_f1, 6) AS prod_f1, round(stag_f1, 6) AS stag_f1, round(prod_latency, 6) AS prod_latency,
+       round(stag_latency, 6) AS stag_latency, stag_samples, prod_version, stag_version,
+       round(prod_score, 6) AS prod_score, round(stag_score, 6) AS stag_score, promote,
+       CASE WHEN promote THEN 'Staging' ELSE 'Production' END AS better_model
+FROM ({sql_canary(sql_stage_metrics())})""")
+def q_canary_decision(spark, sf):
+    from churnlens.operators.decide import canary_decision
+    from churnlens.operators.metrics import stage_metrics
+    d = canary_decision(stage_metrics(FX.prediction_log(spark, sf)))
+    return d.select(*[r6(c).alias(c) for c in ["prod_f1", "stag_f1", "prod_latency", "stag_latency"]],
+                    "stag_samples", "prod_version", "stag_version", r6("prod_score").alias("prod_score"),
+                    r6("stag_score").alias("stag_score"), "promote", "better_model")
+
+
+SQL_DECAY = ("CASE WHEN f1 < 0.8 THEN 'retrain' WHEN f1 < 0.8 * 1.05 THEN 'critical' "
+             "WHEN f1 < 0.8 * 1.1 THEN 'early' ELSE 'healthy' END")
+
+
+@register("decay_levels", with_views("prediction_log") + f"""
+SELECT model_stage, model_version, round(f1, 6) AS f1, {SQL_DECAY} AS level
+FROM (SELECT *, {SQL_METRICS} FROM ({sql_confusion("prediction_log", ">=")}))""")
+def q_decay_levels(spark, sf):
+    from churnlens.operators.decide import decay_level
+    from churnlens.operators.metrics import binary_metrics
+    log = C.add_threshold_label(FX.prediction_log(spark, sf), "probability", 0.5, True, "pred")
+    out = decay_level(binary_metrics(log, "label", "pred", by=STAGE_BY))
+    return out.select(*STAGE_BY, r6("f1").alias("f1"), "level")
+
+
+@register("retrain_actions", with_views("prediction_log") + f"""
+SELECT model_stage, model_version, 'decay' AS "check", {SQL_DECAY} AS level,
+       CASE {SQL_DECAY} WHEN 'retrain' THEN 'combine_data' WHEN 'healthy' THEN 'no_model_decay'
+            ELSE 'send_warning_email' END AS action
+FROM (SELECT *, {SQL_METRICS} FROM ({sql_confusion("prediction_log", ">=")}))""")
+def q_retrain_actions(spark, sf):
+    from churnlens.operators.decide import decay_level, retrain_action
+    from churnlens.operators.metrics import binary_metrics
+    log = C.add_threshold_label(FX.prediction_log(spark, sf), "probability", 0.5, True, "pred")
+    lv = decay_level(binary_metrics(log, "label", "pred", by=STAGE_BY)).withColumn("check", F.lit("decay"))
+    return retrain_action(lv.select(*STAGE_BY, "check", "level")).select(*STAGE_BY, "check", "level", "action")
+
+
+@register("rollout_replay", with_views("prediction_log", extra="""
+w AS (SELECT *, time_bucket(INTERVAL '6 hours', event_time) AS win FROM prediction_log)""") + f"""
+SELECT win AS window_start, CAST(row_number() OVER (ORDER BY win) - 1 AS INT) AS step,
+       [0.05, 0.25, 1.0][least(row_number() OVER (ORDER BY win) - 1, 2) + 1] AS weight,
+       round(prod_score, 6) AS prod_score, round(stag_score, 6) AS stag_score, promote,
+       min(CAST(promote AS INT)) OVER (ORDER BY win ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1
+         AS still_rolling
+FROM ({sql_canary(sql_stage_metrics("w", by=["win"] + STAGE_BY), by=["win"])})""")
+def q_rollout_replay(spark, sf):
+    from churnlens.operators.decide import rollout_replay
+    out = rollout_replay(FX.prediction_log(spark, sf))
+    return out.select("window_start", F.col("step").cast("int").alias("step"), "weight",
+                      r6("prod_score").alias("prod_score"), r6("stag_score").alias("stag_score"),
+                      "promote", "still_rolling")
+
+
+@register("route_share")
+def q_route_share(spark, sf):
+    from churnlens.operators.decide import route
+    routed = route(FX.prediction_log(spark, sf), "request_id", 0.25)
+    return routed.groupBy("model_stage").agg(F.count(F.lit(1)).alias("n"))
