@@ -894,3 +894,160 @@ def q_route_share(spark, sf):
     from churnlens.operators.decide import route
     routed = route(FX.prediction_log(spark, sf), "request_id", 0.25)
     return routed.groupBy("model_stage").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# G: union, upsert, top-k, sampling, run tables
+# ---------------------------------------------------------------------------
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+OVERLAP_FROM = "1997-07-01"
+
+
+@register("combine_distinct", f"""
+SELECT DISTINCT * FROM (
+  SELECT {", ".join(ORDER_COLS)} FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+  UNION ALL SELECT {", ".join(ORDER_COLS)} FROM orders WHERE o_orderdate >= TIMESTAMP '{OVERLAP_FROM}')""")
+def q_combine_distinct(spark, sf):
+    from churnlens.operators.merge import combine_distinct
+    o = FX.table(spark, sf, "orders")
+    base = o.where(F.col("o_orderdate") < F.lit(FX.DRIFT_SPLIT_DATE).cast("timestamp_ntz"))
+    new = o.where(F.col("o_orderdate") >= F.lit(OVERLAP_FROM).cast("timestamp_ntz"))
+    return combine_distinct(base, new, ORDER_COLS)
+
+
+def feedback_rows(spark, sf):
+    """Feedback: orders from the split date relabelled, carrying only key, sequence and label."""
+    o = FX.table(spark, sf, "orders")
+    return (o.where(F.col("o_orderdate") >= F.lit(FX.DRIFT_SPLIT_DATE).cast("timestamp_ntz"))
+            .select("o_custkey", "o_orderkey", F.lit("R").alias("o_orderstatus")))
+
+
+SQL_UPSERT = """
+u AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 0 AS src FROM orders
+      UNION ALL SELECT o_custkey, o_orderkey, 'R', NULL, NULL, NULL, 1 FROM orders
+      WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
+up AS (SELECT * EXCLUDE (rn, src) FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+       ORDER BY src DESC, o_orderkey DESC) AS rn FROM u) WHERE rn = 1)"""
+
+
+@register("upsert_log", "WITH " + SQL_UPSERT + " SELECT * FROM up")
+def q_upsert_log(spark, sf):
+    from churnlens.operators.merge import upsert_log
+    log = FX.table(spark, sf, "orders")
+    return upsert_log(log, feedback_rows(spark, sf), "o_custkey", ["o_orderkey"])
+
+
+@register("upsert_training", "WITH " + SQL_UPSERT + " SELECT count(*) AS rows, 6 AS columns FROM up")
+def q_upsert_training(spark, sf):
+    from churnlens.operators.merge import upsert_training
+    log = FX.table(spark, sf, "orders")
+    _, report = upsert_training(log, feedback_rows(spark, sf), "o_custkey",
+                                ["o_custkey", "o_orderkey", "o_orderstatus"], ["o_orderkey"])
+    return report.select("rows", F.col("columns").cast("int").alias("columns"))
+
+
+TOP_COLS = ["request_id", "customer_id", "event_time", "probability", "model_stage"]
+
+
+@register("top_recent", with_views("prediction_log") + f"""
+SELECT {", ".join(TOP_COLS)} FROM prediction_log ORDER BY event_time DESC NULLS LAST, request_id DESC LIMIT 50""")
+def q_top_recent(spark, sf):
+    from churnlens.operators.merge import top_recent
+    return top_recent(FX.prediction_log(spark, sf), 50, "event_time", "request_id", TOP_COLS)
+
+
+@register("last_n_log", with_views("prediction_log") + """
+SELECT * FROM prediction_log ORDER BY event_time DESC NULLS LAST, request_id DESC LIMIT 200""")
+def q_last_n_log(spark, sf):
+    from churnlens.operators.merge import last_n
+    return last_n(FX.prediction_log(spark, sf), 200, "event_time", "request_id")
+
+
+@register("sample_n")
+def q_sample_n(spark, sf):
+    from churnlens.operators.merge import sample_n
+    return sample_n(FX.table(spark, sf, "customer"), 100, 42, "c_custkey")
+
+
+@register("preview", with_views("subscribers") + "SELECT * FROM subscribers ORDER BY customer_id LIMIT 5")
+def q_preview(spark, sf):
+    from churnlens.operators.merge import preview
+    return preview(FX.subscribers(spark, sf), 5, ["customer_id"])
+
+
+def model_runs(spark, sf):
+    """Run table derived from the log: one run per (stage, version), metrics as a map."""
+    from churnlens.operators.metrics import binary_metrics, roc_auc
+    log = C.add_threshold_label(FX.prediction_log(spark, sf), "probability", 0.5, True, "pred")
+    m = binary_metrics(log, "label", "pred", by=STAGE_BY).join(
+        roc_auc(log, "label", "probability", by=STAGE_BY), STAGE_BY)
+    names = METRIC_COLS + ["roc_auc"]
+    return m.select(F.col("model_version").alias("version"), F.col("model_stage").alias("stage"),
+                    F.concat(F.lit("run-"), F.col("model_version")).alias("run_id"),
+                    F.concat_ws("-", "model_stage", "model_version").alias("run_name"),
+                    F.create_map(*[x for n in names for x in (F.lit(n), F.round(F.col(n), DIGITS))]).alias("metrics"))
+
+
+SQL_RUNS = f"""
+runs AS (SELECT c.model_version AS version, c.model_stage AS stage, 'run-' || c.model_version AS run_id,
+                round(c.f1, 6) AS f1, round(c.accuracy, 6) AS accuracy, round(c."precision", 6) AS "precision",
+                round(c.recall, 6) AS recall, round(u.roc_auc, 6) AS roc_auc
+         FROM (SELECT *, {SQL_METRICS} FROM ({sql_confusion("prediction_log", ">=")})) c
+         JOIN ({sql_auc("prediction_log")}) u ON u.model_stage = c.model_stage AND u.model_version = c.model_version)"""
+
+
+@register("best_run", with_views("prediction_log", extra=SQL_RUNS) + """
+SELECT version, stage, run_id, f1 FROM runs ORDER BY f1 DESC NULLS LAST, run_id LIMIT 1""")
+def q_best_run(spark, sf):
+    from churnlens.operators.merge import best_run
+    b = best_run(model_runs(spark, sf), "f1")
+    return b.select("version", "stage", "run_id", F.col("metrics")["f1"].alias("f1"))
+
+
+@register("latest_in_stage", with_views("prediction_log", extra="""
+v AS (SELECT DISTINCT model_version AS version, model_stage AS stage FROM prediction_log)""") + """
+SELECT 'Production' AS target_stage, arg_max(version, (stage = 'Production', TRY_CAST(regexp_extract(version,
+       '(\\d+)', 1) AS INT))) AS version FROM v
+UNION ALL SELECT 'Archived', arg_max(version, (stage = 'Archived', TRY_CAST(regexp_extract(version, '(\\d+)', 1)
+       AS INT))) FROM v""")
+def q_latest_in_stage(spark, sf):
+    from churnlens.operators.merge import latest_in_stage
+    v = FX.prediction_log(spark, sf).select(F.col("model_version").alias("version"),
+                                            F.col("model_stage").alias("stage")).distinct()
+    parts = [latest_in_stage(v, s).select(F.lit(s).alias("target_stage"), "version") for s in ("Production", "Archived")]
+    return parts[0].unionByName(parts[1])
+
+
+@register("version_metrics", with_views("prediction_log", extra=SQL_RUNS) + """
+SELECT version, stage, accuracy, f1, "precision", recall, roc_auc FROM runs""")
+def q_version_metrics(spark, sf):
+    from churnlens.operators.merge import version_metrics
+    return version_metrics(model_runs(spark, sf), METRIC_COLS + ["roc_auc"])
+
+
+# ---------------------------------------------------------------------------
+# A3, B2: record parsing and type contract
+# ---------------------------------------------------------------------------
+
+@register("parse_records", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events""")
+def q_parse_records(spark, sf):
+    from churnlens.sources.io import parse_records
+    ev = FX.table(spark, sf, "events")
+    return parse_records(ev, "props", "k int").select("event_id", "k")
+
+
+@register("enforce_types", with_views("subscribers") + """
+SELECT customer_id, TRY_CAST(trim(total_charges_raw) AS DOUBLE) AS total_charges, tenure,
+       CASE WHEN total_charges_raw IS NOT NULL AND trim(total_charges_raw) <> ''
+                 AND TRY_CAST(trim(total_charges_raw) AS DOUBLE) IS NULL THEN 'total_charges' END AS bad_field
+FROM subscribers""")
+def q_enforce_types(spark, sf):
+    from pyspark.sql import types as T
+    from churnlens.operators.quality import enforce_types
+    raw = FX.subscribers(spark, sf).withColumnRenamed("total_charges_raw", "total_charges")
+    schema = T.StructType([T.StructField("customer_id", T.StringType()),
+                           T.StructField("total_charges", T.DoubleType()),
+                           T.StructField("tenure", T.IntegerType())])
+    return enforce_types(raw, schema)
