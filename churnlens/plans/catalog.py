@@ -1051,3 +1051,156 @@ def q_enforce_types(spark, sf):
                            T.StructField("total_charges", T.DoubleType()),
                            T.StructField("tenure", T.IntegerType())])
     return enforce_types(raw, schema)
+
+
+# ---------------------------------------------------------------------------
+# H: split, balance, train, score, explain (model outputs: rows-only checks)
+# ---------------------------------------------------------------------------
+
+ML_SPEC = {**SUB_SPEC, "drop": ["gender"]}
+ML_FEATURES = FEATURE_CATS + SUB_NUMERIC
+# demonstration grids for the registered tuning queries (library defaults
+# follow the reference configuration, see operators/ml.py)
+FOREST_GRID = {"numTrees": [20, 50], "maxDepth": [5, 10]}
+BOOSTED_GRID = {"stepSize": [0.05, 0.1], "maxDepth": [3, 6], "maxIter": [20, 40], "subsamplingRate": [0.8, 1.0]}
+
+
+def ml_table(spark, sf):
+    """Prepared features (id kept) with a stratified train/test split."""
+    from churnlens.operators.fitted import prepare_training
+    from churnlens.operators.ml import stratified_split
+    feats, params = prepare_training(raw_subscribers(spark, sf), ML_SPEC)
+    return stratified_split(feats, "churn", 0.2, seed=2, key="customer_id"), params
+
+
+@register("stratified_split", subs_clean_views() + """
+SELECT churn, 'test' AS split, CAST(round(0.2 * count(*)) AS BIGINT) AS n FROM
+  (SELECT CASE churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS churn FROM subs_clean) GROUP BY churn
+UNION ALL SELECT churn, 'train', CAST(count(*) - round(0.2 * count(*)) AS BIGINT) FROM
+  (SELECT CASE churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS churn FROM subs_clean) GROUP BY churn""")
+def q_stratified_split(spark, sf):
+    t, _ = ml_table(spark, sf)
+    return t.groupBy("churn", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("oversample_minority", subs_clean_views() + """
+SELECT churn, max(n) OVER () AS n FROM (SELECT churn, CAST(count(*) - round(0.2 * count(*)) AS BIGINT) AS n FROM
+  (SELECT CASE churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS churn FROM subs_clean) GROUP BY churn)""")
+def q_oversample_minority(spark, sf):
+    from churnlens.operators.ml import oversample_minority
+    t, _ = ml_table(spark, sf)
+    train = t.where(F.col("split") == "train")
+    bal = oversample_minority(train, "churn", ML_FEATURES, k=5, seed=42, key="customer_id")
+    return bal.groupBy("churn").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _train_test(spark, sf):
+    t, params = ml_table(spark, sf)
+    t = t.checkpoint(eager=True)
+    return t.where(F.col("split") == "train"), t.where(F.col("split") == "test"), params
+
+
+def _scores(model, test):
+    from churnlens.operators.ml import score
+    s = score(test, model)
+    return s.select("customer_id", "churn", r6("probability_1").alias("probability"), "predicted")
+
+
+@register("forest_scores")
+def q_forest_scores(spark, sf):
+    from churnlens.operators.ml import train_forest
+    train, test, _ = _train_test(spark, sf)
+    return _scores(train_forest(train, ML_FEATURES, "churn"), test)
+
+
+@register("boosted_scores")
+def q_boosted_scores(spark, sf):
+    from churnlens.operators.ml import train_boosted
+    train, test, _ = _train_test(spark, sf)
+    return _scores(train_boosted(train, ML_FEATURES, "churn"), test)
+
+
+@register("mlp_scores")
+def q_mlp_scores(spark, sf):
+    from churnlens.operators.ml import train_mlp
+    train, test, _ = _train_test(spark, sf)
+    return _scores(train_mlp(train, ML_FEATURES, "churn"), test)
+
+
+@register("logistic_scores")
+def q_logistic_scores(spark, sf):
+    from churnlens.operators.ml import train_logistic
+    train, test, _ = _train_test(spark, sf)
+    return _scores(train_logistic(train, ML_FEATURES, "churn"), test)
+
+
+@register("forest_grid_search")
+def q_forest_grid_search(spark, sf):
+    from pyspark.ml.classification import RandomForestClassifier
+    from churnlens.operators.ml import grid_search
+    train, _, _ = _train_test(spark, sf)
+    cvm = grid_search(train, ML_FEATURES, "churn", RandomForestClassifier(seed=42), FOREST_GRID, folds=3)
+    return spark.createDataFrame([(i, float(m)) for i, m in enumerate(cvm.avgMetrics)], "param_set int, mean_f1 double")
+
+
+@register("boosted_random_search")
+def q_boosted_random_search(spark, sf):
+    from pyspark.ml.classification import GBTClassifier
+    from churnlens.operators.ml import random_search
+    train, _, _ = _train_test(spark, sf)
+    cvm = random_search(train, ML_FEATURES, "churn", GBTClassifier(seed=42), BOOSTED_GRID, n_iter=5, folds=3)
+    return spark.createDataFrame([(i, float(m)) for i, m in enumerate(cvm.avgMetrics)], "param_set int, mean_f1 double")
+
+
+@register("predict_table")
+def q_predict_table(spark, sf):
+    from churnlens.operators.ml import predict_table, train_logistic
+    train, _, params = _train_test(spark, sf)
+    model = train_logistic(train, ML_FEATURES, "churn")
+    raw = raw_subscribers(spark, sf)
+    out = predict_table(raw, model, params, keep=raw.columns, features=ML_FEATURES, id_col="customer_id")
+    return out.select("customer_id", "Churn", r6("probability").alias("probability"), "risk")
+
+
+@register("decay_check")
+def q_decay_check(spark, sf):
+    from churnlens.operators.fitted import prepare_serving
+    from churnlens.operators.ml import decay_check, train_logistic
+    train, _, params = _train_test(spark, sf)
+    model = train_logistic(train, ML_FEATURES, "churn")
+    log = FX.prediction_log(spark, sf).select("request_id", "customer_id", "label")
+    feats = prepare_serving(raw_subscribers(spark, sf), params).select("customer_id", *ML_FEATURES)
+    lf = log.join(feats, "customer_id")
+    return decay_check(lf, model, "label")
+
+
+def _linear_phi(spark, sf):
+    from churnlens.operators.explain import explain_linear, logistic_weights
+    from churnlens.operators.ml import train_logistic
+    train, test, _ = _train_test(spark, sf)
+    model = train_logistic(train, ML_FEATURES, "churn")
+    w, b = logistic_weights(model)
+    return explain_linear(test, "customer_id", ML_FEATURES, w, b, background=train)
+
+
+@register("explain_linear")
+def q_explain_linear(spark, sf):
+    return _linear_phi(spark, sf).select("customer_id", "feature", r6("phi").alias("phi"), r6("base").alias("base"))
+
+
+@register("explain_sampled")
+def q_explain_sampled(spark, sf):
+    from churnlens.operators.explain import default_background, explain_sampled
+    from churnlens.operators.ml import train_forest
+    train, test, _ = _train_test(spark, sf)
+    model = train_forest(train, ML_FEATURES, "churn", {"numTrees": 50})
+    bg = default_background(train, "customer_id", 100)
+    phi = explain_sampled(test, model, "customer_id", ML_FEATURES, bg, samples=8)
+    return phi.select("customer_id", "feature", r6("phi").alias("phi"), r6("base").alias("base"))
+
+
+@register("explain_summary")
+def q_explain_summary(spark, sf):
+    from churnlens.operators.explain import explain_summary
+    out = explain_summary(_linear_phi(spark, sf))
+    return out.select("feature", r6("mean_abs_phi").alias("mean_abs_phi"), r6("max_abs_phi").alias("max_abs_phi"))
