@@ -1204,3 +1204,158 @@ def q_explain_summary(spark, sf):
     from churnlens.operators.explain import explain_summary
     out = explain_summary(_linear_phi(spark, sf))
     return out.select("feature", r6("mean_abs_phi").alias("mean_abs_phi"), r6("max_abs_phi").alias("max_abs_phi"))
+
+
+# ---------------------------------------------------------------------------
+# J: metric aggregates, batch forms (oracle) and streaming runs
+# ---------------------------------------------------------------------------
+
+INTERNAL_SQL = "('/metrics', '/verify-session', '/update_metrics', '/iframe_data_monitoring_proxy')"
+
+
+@register("request_counts", with_views("prediction_log") + f"""
+SELECT time_bucket(INTERVAL '10 seconds', event_time) AS window_start, endpoint, count(*) AS n
+FROM prediction_log WHERE endpoint NOT IN {INTERNAL_SQL} GROUP BY 1, 2""")
+def q_request_counts(spark, sf):
+    from churnlens.streaming.streams import request_counts
+    return request_counts(FX.prediction_log(spark, sf), "event_time", "endpoint")
+
+
+@register("latency_histogram", with_views("prediction_log") + """
+SELECT model_stage, model_version, le, count(*) AS n FROM prediction_log,
+  (SELECT unnest([0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0,
+                  'inf'::DOUBLE]) AS le) e
+WHERE latency IS NOT NULL AND latency <= le GROUP BY 1, 2, 3""")
+def q_latency_histogram(spark, sf):
+    from churnlens.streaming.streams import latency_histogram
+    return latency_histogram(FX.prediction_log(spark, sf), STAGE_BY, "latency")
+
+
+@register("latency_summary", with_views("prediction_log") + """
+SELECT model_stage, model_version, round(sum(latency), 6) AS sum, count(latency) AS count
+FROM prediction_log GROUP BY 1, 2""")
+def q_latency_summary(spark, sf):
+    from churnlens.streaming.streams import latency_summary
+    out = latency_summary(FX.prediction_log(spark, sf), STAGE_BY, "latency")
+    return out.select(*STAGE_BY, r6("sum").alias("sum"), "count")
+
+
+@register("error_counts", with_views("prediction_log") + """
+SELECT model_stage, model_version, count(*) FILTER (WHERE endpoint = 'error') AS n_errors, count(*) AS n
+FROM prediction_log GROUP BY 1, 2""")
+def q_error_counts(spark, sf):
+    from churnlens.streaming.streams import error_counts
+    return error_counts(FX.prediction_log(spark, sf), STAGE_BY, F.col("endpoint") == "error")
+
+
+@register("prediction_counts", with_views("prediction_log") + """
+SELECT model_stage, model_version, count(DISTINCT request_id) AS n_requests, count(*) AS n_rows
+FROM prediction_log GROUP BY 1, 2""")
+def q_prediction_counts(spark, sf):
+    from churnlens.streaming.streams import prediction_counts
+    return prediction_counts(FX.prediction_log(spark, sf), STAGE_BY, "request_id")
+
+
+@register("latest_gauges", with_views("prediction_log") + """
+SELECT model_stage, model_version, latency AS value FROM (SELECT *, row_number() OVER (PARTITION BY model_stage,
+  model_version ORDER BY event_time DESC, request_id DESC) AS rn FROM prediction_log) WHERE rn = 1""")
+def q_latest_gauges(spark, sf):
+    from churnlens.streaming.streams import latest_gauges
+    return latest_gauges(FX.prediction_log(spark, sf), STAGE_BY, "latency", ["event_time", "request_id"])
+
+
+WINDOW_DRIFT = "30 days"
+
+
+def _window_drift_sql() -> str:
+    cur = " UNION ALL ".join(
+        f"SELECT time_bucket(INTERVAL '30 days', o_orderdate, TIMESTAMP '1970-01-01') AS window_start, "
+        f"'{c}' AS col, {c} AS value, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' "
+        f"GROUP BY 1, 2, 3" for c in DRIFT_CAT)
+    ref = " UNION ALL ".join(f"SELECT '{c}' AS col, {c} AS value, count(*) AS a FROM drift_ref GROUP BY 1, 2"
+                             for c in DRIFT_CAT)
+    return with_views("drift", extra=f"""
+cur AS ({cur}),
+rc AS ({ref}),
+rs AS (SELECT col, value, a / sum(a) OVER (PARTITION BY col) AS p FROM rc),
+cs AS (SELECT window_start, col, value, n / sum(n) OVER (PARTITION BY window_start, col) AS q FROM cur),
+wins AS (SELECT DISTINCT window_start, col FROM cur),
+grid AS (SELECT w.window_start, w.col, rs.value, rs.p FROM wins w JOIN rs ON rs.col = w.col),
+fu AS (SELECT coalesce(g.window_start, cs.window_start) AS window_start, coalesce(g.col, cs.col) AS col,
+              coalesce(g.p, 0.0) AS p, coalesce(cs.q, 0.0) AS q
+       FROM grid g FULL OUTER JOIN cs ON g.window_start = cs.window_start AND g.col = cs.col
+                                      AND g.value = cs.value)""") + """
+SELECT window_start, col AS "column", round(sqrt(greatest(sum(
+   CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END +
+   CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0.0)), 6) AS js
+FROM fu GROUP BY 1, 2"""
+
+
+def _drift_current_orders(spark, sf):
+    o = FX.table(spark, sf, "orders")
+    return o.where(F.col("o_orderdate") >= F.lit(FX.DRIFT_SPLIT_DATE).cast("timestamp_ntz")) \
+            .select("o_orderdate", *DRIFT_CAT)
+
+
+@register("windowed_drift", _window_drift_sql())
+def q_windowed_drift(spark, sf):
+    from churnlens.streaming.streams import window_category_counts, windowed_js
+    ref, _ = FX.drift_sides(spark, sf)
+    counts = window_category_counts(_drift_current_orders(spark, sf), "o_orderdate", DRIFT_CAT, WINDOW_DRIFT)
+    return windowed_js(counts, ref, DRIFT_CAT).select("window_start", "column", r6("js").alias("js"))
+
+
+# streaming runs: the same operators on a file stream landed from the tables
+
+def _landed_stream(spark, df, name, order_col, n_files=4, per_trigger=1):
+    from churnlens.streaming.streams import file_stream, land_in_order, scratch_path
+    path = land_in_order(df, scratch_path(spark, "landing", name), order_col, n_files)
+    return file_stream(spark, path, df.schema, max_files_per_trigger=per_trigger)
+
+
+@register("stream_request_counts", ORACLE["request_counts"])
+def q_stream_request_counts(spark, sf):
+    from churnlens.streaming.streams import request_counts, run_update_stream
+    s = _landed_stream(spark, FX.prediction_log(spark, sf), "request_counts", "event_time")
+    agg = request_counts(s, "event_time", "endpoint", watermark="10 minutes")
+    return run_update_stream(agg, ["window_start", "endpoint"], "request_counts")
+
+
+@register("stream_windowed_drift", ORACLE["windowed_drift"])
+def q_stream_windowed_drift(spark, sf):
+    from churnlens.streaming.streams import run_update_stream, window_category_counts, windowed_js
+    ref, _ = FX.drift_sides(spark, sf)
+    s = _landed_stream(spark, _drift_current_orders(spark, sf), "windowed_drift", "o_orderdate")
+    counts = window_category_counts(s, "o_orderdate", DRIFT_CAT, WINDOW_DRIFT, watermark="1 day")
+    final = run_update_stream(counts, ["window_start", "column", "value"], "windowed_drift")
+    return windowed_js(final, ref, DRIFT_CAT).select("window_start", "column", r6("js").alias("js"))
+
+
+@register("stream_upsert", ORACLE["upsert_log"])
+def q_stream_upsert(spark, sf):
+    from churnlens.sources.io import overwrite_after_merge, read_current
+    from churnlens.streaming.streams import scratch_path, stream_upsert
+    table = scratch_path(spark, "tables", "upsert")
+    base = FX.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice",
+                                                "o_orderdate", "o_orderpriority")
+    # the log table as of before the feedback (one row per customer, G2 with no feedback)
+    from churnlens.operators.merge import upsert_log
+    overwrite_after_merge(upsert_log(base, base.limit(0), "o_custkey", ["o_orderkey"]).select(*base.columns), table)
+    s = _landed_stream(spark, feedback_rows(spark, sf), "feedback", "o_orderkey")
+    stream_upsert(s, table, "o_custkey", ["o_orderkey"])
+    return read_current(spark, table)
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    from churnlens.operators.fitted import prepare_serving
+    from churnlens.operators.ml import train_logistic
+    from churnlens.streaming.streams import scratch_path, stream_score
+    train, _, params = _train_test(spark, sf)
+    model = train_logistic(train, ML_FEATURES, "churn")
+    feats = prepare_serving(raw_subscribers(spark, sf), params).select("customer_id", *ML_FEATURES)
+    reqs = FX.prediction_log(spark, sf).select("request_id", "customer_id", "event_time")
+    s = _landed_stream(spark, reqs, "score_requests", "event_time")
+    out = stream_score(s, feats, "customer_id", model, ML_FEATURES, scratch_path(spark, "sinks", "scored"))
+    return spark.read.parquet(out).select("request_id", "customer_id", r6("probability_1").alias("probability"),
+                                          "predicted")
