@@ -106,17 +106,27 @@ def category_shift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], with_p:
     return out
 
 
-def column_kinds(ref: DataFrame, cols: Sequence[str], cat_max_distinct: int = 5) -> dict[str, str]:
-    """numeric / categorical per column (one aggregate over the reference)."""
+_ROWS = "__rows__"
+
+
+def column_kinds(ref: DataFrame, cols: Sequence[str], cat_max_distinct: int = 5) -> tuple[dict[str, str], int]:
+    """(numeric / categorical per column, reference row count) in one query.
+
+    """
     nums = [c for c in cols if isinstance(ref.schema[c].dataType, T.NumericType)]
     kinds = {c: "categorical" for c in cols}
+    rows = ref.agg(F.count(F.lit(1)).alias("n")).select(F.lit(_ROWS).alias("column"), "n")
     if nums:
         long = melt(ref, nums, as_type="double").where(F.col("value").isNotNull())
         nd = long.select("column", "value").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-        for r in nd.collect():
-            if r["n"] > cat_max_distinct:
-                kinds[r["column"]] = "numeric"
-    return kinds
+        rows = rows.unionByName(nd)
+    n_ref = 0
+    for r in rows.collect():
+        if r["column"] == _ROWS:
+            n_ref = int(r["n"])
+        elif r["n"] > cat_max_distinct:
+            kinds[r["column"]] = "numeric"
+    return kinds, n_ref
 
 
 def drift_report(ref: DataFrame, cur: DataFrame, cols: Sequence[str], cat_max_distinct: int = 5,
@@ -126,10 +136,10 @@ def drift_report(ref: DataFrame, cur: DataFrame, cols: Sequence[str], cat_max_di
 
     ``score`` is the p-value for tests and the distance itself for distances.
     """
-    kinds = column_kinds(ref, cols, cat_max_distinct)
+    kinds, counted = column_kinds(ref, cols, cat_max_distinct)
     nums = [c for c in cols if kinds[c] == "numeric"]
     cats = [c for c in cols if kinds[c] == "categorical"]
-    n_ref = n_ref if n_ref is not None else ref.count()
+    n_ref = n_ref if n_ref is not None else counted
     parts = []
     if n_ref <= small_ref:
         if nums:

@@ -30,11 +30,14 @@ def fit_label_encoder(df: DataFrame, cols: Sequence[str], exclude: Sequence[str]
 def apply_label_encoder(df: DataFrame, params: DataFrame, cols: Sequence[str] | None = None,
                         unseen: int = -1) -> DataFrame:
     """Map values (compared as text, Q3) to fitted codes; unseen → −1."""
-    n = params.count()
-    cols = list(cols) if cols is not None else [r[0] for r in params.select("column").distinct().collect()]
-    if n <= MAX_LITERAL_CODES:
+    head = params.limit(MAX_LITERAL_CODES + 1).collect()
+    if cols is None:
+        cols = sorted({r["column"] for r in head}) if len(head) <= MAX_LITERAL_CODES else \
+            [r[0] for r in params.select("column").distinct().collect()]
+    cols = list(cols)
+    if len(head) <= MAX_LITERAL_CODES:
         table: dict[str, dict[str, int]] = {}
-        for r in params.collect():
+        for r in head:
             table.setdefault(r["column"], {})[r["value"]] = r["code"]
         exprs = {}
         for c in cols:
@@ -101,7 +104,7 @@ def prepare_training(df: DataFrame, spec: Mapping, fit_on: DataFrame | None = No
     params = {"cleaning": clean_params}
     cleaned_fit = _encode_target(C.apply_cleaning(fit_src, clean_params), spec)
     enc_cols = [c for c in spec["categorical"] if c not in (spec["target"], spec.get("id"))]
-    encoder = fit_label_encoder(cleaned_fit, enc_cols).checkpoint(eager=True)
+    encoder = fit_label_encoder(cleaned_fit, enc_cols)
     params["encoder"] = encoder
     encoded_fit = apply_label_encoder(cleaned_fit, encoder, enc_cols)
     selected_fit = C.drop_if_present(encoded_fit.transform(feature_creation).transform(feature_transformation),

@@ -4,8 +4,8 @@ A running sum over a whole table (or over one huge group) is the classic way
 to end up with one task holding everything.  Here every ordered statistic is
 built from the same three steps:
 
-1. cut the ordering key into value ranges whose bounds come from
-   ``approxQuantile`` over the (already aggregated) input — the ranges are
+1. cut the ordering key into value ranges whose bounds are approximate
+   quantiles of the (already aggregated) input — the ranges are
    balanced even when a single group holds most rows;
 2. running sums inside each (group, range) with a window, so each task sees
    one range of one group;
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,25 +35,33 @@ def default_ranges(df: DataFrame) -> int:
 
 
 def add_range(df: DataFrame, order_col: str, n_ranges: int | None = None,
-              rel_err: float = 1e-3, name: str = _BUCKET) -> DataFrame:
-    """Add a non-decreasing range index for ``order_col`` (bounds fitted eagerly)."""
+              accuracy: int = 10_000, name: str = _BUCKET) -> DataFrame:
+    """Add a non-decreasing range index for ``order_col``.
+
+    The bounds are approximate quantiles of the ordering key computed by a
+    scalar subquery (``percentile_approx``), so nothing runs until the whole
+    plan runs, and Catalyst can reuse the input's exchange for it.  The index
+    is the number of bounds below the key: monotone in the key, so ranges
+    only decide where rows go, never the answer.
+    """
     n_ranges = n_ranges or default_ranges(df)
     dtype = df.schema[order_col].dataType
-    keyed = df.withColumn(_KEY, F.coalesce(order_key(order_col, dtype), F.lit(float("-inf"))))
+    key = order_key(order_col, dtype)
+    if n_ranges <= 1:
+        return df.withColumn(name, F.lit(0))
     probs = [i / n_ranges for i in range(1, n_ranges)]
-    cuts = sorted({q for q in keyed.approxQuantile(_KEY, probs, rel_err)
-                   if q not in (float("inf"), float("-inf"))})
-    splits = [float("-inf")] + cuts + [float("inf")]
-    if len(splits) < 3:
-        return keyed.withColumn(name, F.lit(0.0)).drop(_KEY)
-    bucketizer = Bucketizer(splits=splits, inputCol=_KEY, outputCol=name, handleInvalid="keep")
-    return bucketizer.transform(keyed).drop(_KEY)
+    bounds = df.select(F.percentile_approx(key, probs, accuracy)).scalar()
+    with_b = df.withColumn("_bounds", bounds).withColumn("_k", key)
+    # coalesce: the index is never null, so no "is not null" filter on it is
+    # inferred and pushed below the aggregation that feeds this operator
+    idx = F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_k"))), F.lit(0))
+    return with_b.withColumn(name, idx).drop("_bounds", "_k")
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                 by: Sequence[str] = (), n_ranges: int | None = None,
                 with_next: bool = False, with_total: bool = False,
-                materialize: bool = True) -> DataFrame:
+                materialize: bool = False) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_cols`` order within ``by``.
 
     Adds ``cum_<c>`` for every summed column, optionally ``tot_<c>`` (group
@@ -62,9 +69,8 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
     group, null on the last row).  Rows should be unique on ``by`` +
     ``order_cols``; callers aggregate to distinct keys first.
 
-    ``materialize`` writes the input to the reliable checkpoint folder before
-    the range bounds are fitted, so the upstream plan runs once and a lost
-    executor does not replay it.
+    ``materialize`` first writes the input to the reliable checkpoint folder
+    (cuts lineage when the input plan is long or costly to replay).
     """
     by = list(by)
     order_cols = list(order_cols)
@@ -81,11 +87,13 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
         w_row = Window.partitionBy(*part).orderBy(*order_cols)
         out = out.withColumn("_lead", F.lead(order_cols[0]).over(w_row))
 
-    # per-range totals: groups x ranges rows, small by construction
+    # per-range totals: groups x ranges rows, small by construction.  They are
+    # taken from the windowed rows, which are already partitioned by
+    # (group, range), so the same shuffle serves both.
     aggs = [F.sum(c).alias(f"_rt_{c}") for c in sum_cols]
     if with_next:
         aggs.append(F.min(order_cols[0]).alias("_rmin"))
-    totals = ranged.groupBy(*part).agg(*aggs)
+    totals = out.groupBy(*part).agg(*aggs)
     w_prev = (Window.partitionBy(*by).orderBy(_BUCKET)
               .rowsBetween(Window.unboundedPreceding, -1))
     w_all = Window.partitionBy(*by)
