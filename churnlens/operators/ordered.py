@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.columns import order_key
+from churnlens.session import materialize as materialize_table
 
 _KEY = "_okey"
 _BUCKET = "_range"
@@ -52,16 +53,25 @@ def add_range(df: DataFrame, order_col: str, n_ranges: int | None = None,
     probs = [i / n_ranges for i in range(1, n_ranges)]
     bounds = df.select(F.percentile_approx(key, probs, accuracy)).scalar()
     with_b = df.withColumn("_bounds", bounds).withColumn("_k", key)
-    # coalesce: the index is never null, so no "is not null" filter on it is
-    # inferred and pushed below the aggregation that feeds this operator
-    idx = F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_k"))), F.lit(0))
+    idx = _count_below(F.col("_bounds"), F.col("_k"), 0, len(probs))
     return with_b.withColumn(name, idx).drop("_bounds", "_k")
 
 
+def _count_below(bounds: Column, k: Column, lo: int, hi: int) -> Column:
+    """Number of entries of the sorted array ``bounds`` below ``k``, known to
+    lie in [lo, hi]: a binary search unrolled into nested CASE WHEN, so it is
+    code-generated (log2(#bounds) comparisons per row, no lambda)."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(F.element_at(bounds, mid + 1) < k, _count_below(bounds, k, mid + 1, hi)) \
+        .otherwise(_count_below(bounds, k, lo, mid))
+
+
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                 by: Sequence[str] = (), n_ranges: int | None = None,
                 with_next: bool = False, with_total: bool = False,
-                materialize: bool = False) -> DataFrame:
+                materialize: bool = True) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_cols`` order within ``by``.
 
     Adds ``cum_<c>`` for every summed column, optionally ``tot_<c>`` (group
@@ -69,13 +79,16 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
     group, null on the last row).  Rows should be unique on ``by`` +
     ``order_cols``; callers aggregate to distinct keys first.
 
-    ``materialize`` first writes the input to the reliable checkpoint folder
-    (cuts lineage when the input plan is long or costly to replay).
+    ``materialize`` (default) first writes the input — already reduced to
+    distinct keys — as a table in the shared checkpoint folder.  The range bounds, the
+    running sums and the range totals then all read that table instead of
+    replaying the upstream scan and aggregation three times, and a lost
+    executor does not replay it either.
     """
     by = list(by)
     order_cols = list(order_cols)
     if materialize:
-        df = df.checkpoint(eager=True)
+        df = materialize_table(df, "prefix")
     ranged = add_range(df, order_cols[0], n_ranges)
     part = by + [_BUCKET]
     w_local = (Window.partitionBy(*part).orderBy(*order_cols)
@@ -87,13 +100,12 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
         w_row = Window.partitionBy(*part).orderBy(*order_cols)
         out = out.withColumn("_lead", F.lead(order_cols[0]).over(w_row))
 
-    # per-range totals: groups x ranges rows, small by construction.  They are
-    # taken from the windowed rows, which are already partitioned by
-    # (group, range), so the same shuffle serves both.
+    # per-range totals: groups x ranges rows, small by construction
+    # (partial aggregation keeps the shuffle at ranges x partitions rows)
     aggs = [F.sum(c).alias(f"_rt_{c}") for c in sum_cols]
     if with_next:
         aggs.append(F.min(order_cols[0]).alias("_rmin"))
-    totals = out.groupBy(*part).agg(*aggs)
+    totals = ranged.groupBy(*part).agg(*aggs)
     w_prev = (Window.partitionBy(*by).orderBy(_BUCKET)
               .rowsBetween(Window.unboundedPreceding, -1))
     w_all = Window.partitionBy(*by)

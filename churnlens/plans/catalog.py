@@ -1095,8 +1095,9 @@ def q_oversample_minority(spark, sf):
 
 
 def _train_test(spark, sf):
+    from churnlens.session import materialize
     t, params = ml_table(spark, sf)
-    t = t.checkpoint(eager=True)
+    t = materialize(t, "ml_split")
     return t.where(F.col("split") == "train"), t.where(F.col("split") == "test"), params
 
 

@@ -58,3 +58,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="churnlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def scratch_path(spark: SparkSession, kind: str, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint directory."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/churnlens/{kind}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: cuts lineage (a lost executor re-reads files instead of
+    replaying the plan), and the read side has file statistics, column
+    pruning and filter pushdown."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "stages", name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

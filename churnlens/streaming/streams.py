@@ -9,7 +9,6 @@ a restarted job resumes from its checkpoint.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens.constants import INTERNAL_ENDPOINTS, SCRAPE_INTERVAL
-from churnlens.session import ensure_checkpoint_dir
+from churnlens.session import scratch_path as _scratch_path
 
 # --- fixed values: default latency histogram bucket edges (seconds) ---
 DEFAULT_LATENCY_EDGES = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
@@ -120,8 +119,7 @@ def windowed_js(counts: DataFrame, ref: DataFrame, cols: Sequence[str]) -> DataF
 
 def scratch_path(spark: SparkSession, kind: str, name: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/churnlens/{kind}/{name}-{uuid.uuid4().hex[:12]}"
+    return _scratch_path(spark, kind, name)
 
 
 def land_as_files(df: DataFrame, path: str, order_col: str, n_files: int = 4) -> str:
