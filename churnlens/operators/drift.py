@@ -110,23 +110,21 @@ _ROWS = "__rows__"
 
 
 def column_kinds(ref: DataFrame, cols: Sequence[str], cat_max_distinct: int = 5) -> tuple[dict[str, str], int]:
-    """(numeric / categorical per column, reference row count) in one query.
+    """(numeric / categorical per column, reference row count) in one pass.
 
+    Only "more than ``cat_max_distinct`` distinct values" matters, so the
+    distinct counts are HyperLogLog++ sketches (exact at such small
+    cardinalities) computed in the same aggregate as the row count — no
+    shuffle of values.
     """
     nums = [c for c in cols if isinstance(ref.schema[c].dataType, T.NumericType)]
     kinds = {c: "categorical" for c in cols}
-    rows = ref.agg(F.count(F.lit(1)).alias("n")).select(F.lit(_ROWS).alias("column"), "n")
-    if nums:
-        long = melt(ref, nums, as_type="double").where(F.col("value").isNotNull())
-        nd = long.select("column", "value").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-        rows = rows.unionByName(nd)
-    n_ref = 0
-    for r in rows.collect():
-        if r["column"] == _ROWS:
-            n_ref = int(r["n"])
-        elif r["n"] > cat_max_distinct:
-            kinds[r["column"]] = "numeric"
-    return kinds, n_ref
+    row = ref.agg(F.count(F.lit(1)).alias(_ROWS),
+                  *[F.approx_count_distinct(c, 0.01).alias(c) for c in nums]).first()
+    for c in nums:
+        if row[c] > cat_max_distinct:
+            kinds[c] = "numeric"
+    return kinds, int(row[_ROWS])
 
 
 def drift_report(ref: DataFrame, cur: DataFrame, cols: Sequence[str], cat_max_distinct: int = 5,

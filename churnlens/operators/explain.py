@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.operators.merge import sample_n
@@ -53,8 +53,9 @@ def explain_sampled(df: DataFrame, model, row_id: str, features: Sequence[str],
     if n_bg == 0 or n_bg > MAX_BACKGROUND:
         raise ValueError(f"background must hold 1..{MAX_BACKGROUND} rows, got {n_bg}")
     d = len(features)
-    bg = background.select(*[F.col(f).cast("double").alias(f"_z_{f}") for f in features]) \
-        .withColumn("_bi", F.row_number().over(_order_all()) - 1)
+    bg = background.select(*[F.col(f).cast("double").alias(f"_z_{f}") for f in features])
+    # deterministic index over the (bounded) background: order by content
+    bg = bg.withColumn("_bi", F.row_number().over(Window.orderBy(*bg.columns)) - 1)
     x = df.select(row_id, *[F.col(f).cast("double").alias(f) for f in features])
     # one row per (row, feature j, sample s)
     draws = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(d * samples - 1))).alias("_s"))
@@ -83,11 +84,6 @@ def explain_sampled(df: DataFrame, model, row_id: str, features: Sequence[str],
                       F.lit(float(base_val)).alias("base"))
 
 
-def _order_all():
-    from pyspark.sql import Window
-    return Window.orderBy(F.monotonically_increasing_id())
-
-
 def explain_summary(phi: DataFrame) -> DataFrame:
     """Mean and max of |phi| per feature."""
     return phi.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_phi"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from churnlens.operators.ordered import exact_quantiles
 from churnlens.operators.reshape import melt
+from churnlens.session import materialize
 
 
 def class_share(df: DataFrame, target: str) -> DataFrame:
@@ -97,17 +98,22 @@ def density(df: DataFrame, col: str, by: str, grid: int = 50, bw: str = "scott",
 
 def box_stats(df: DataFrame, x: str, y: str, hue: str, whisker: float = 1.5) -> DataFrame:
     """Quartiles, 1.5·IQR whiskers and outlier count per (x, hue)."""
-    data = df.where(F.col(y).isNotNull()).select(x, hue, F.col(y).cast("double").alias(y))
-    qs = exact_quantiles(data, y, [0.25, 0.5, 0.75], by=[x, hue], names=["q1", "median", "q3"])
+    # distinct values with counts (combined map-side), written once: quartiles
+    # and whiskers both read it, and a hot group costs its distinct values,
+    # not its rows
+    dv = materialize(df.where(F.col(y).isNotNull())
+                     .groupBy(x, hue, F.col(y).cast("double").alias(y)).agg(F.count(F.lit(1)).alias("_w")),
+                     "box_values")
+    qs = exact_quantiles(dv, y, [0.25, 0.5, 0.75], by=[x, hue], names=["q1", "median", "q3"], weight="_w")
     qs = (qs.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr"))
           .withColumn("hi_fence", F.col("q3") + whisker * F.col("iqr")))
-    j = data.join(qs, [x, hue])  # qs has one row per group
+    j = dv.join(qs, [x, hue])  # qs has one row per group
     inside = (F.col(y) >= F.col("lo_fence")) & (F.col(y) <= F.col("hi_fence"))
     agg = j.groupBy(x, hue).agg(
         F.min(F.when(inside, F.col(y))).alias("whisker_lo"),
         F.max(F.when(inside, F.col(y))).alias("whisker_hi"),
-        F.count_if(~inside).alias("n_outliers"))
+        F.sum(F.when(~inside, F.col("_w")).otherwise(0)).alias("n_outliers"))
     return qs.join(agg, [x, hue]).select(x, hue, "n", "q1", "median", "q3", "iqr",
                                          "whisker_lo", "whisker_hi", "n_outliers")
 

@@ -94,7 +94,13 @@ def window_category_counts(df: DataFrame, time_col: str, cols: Sequence[str], ev
 
 
 def windowed_js(counts: DataFrame, ref: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Jensen–Shannon distance of each window's shares to the reference shares."""
+    """Jensen–Shannon distance of each window's shares to the reference shares.
+
+    Only categories seen in the window are joined to the reference shares;
+    reference categories absent from a window each add p·ln 2 / 2, which is
+    ln 2 / 2 × (1 − Σ p over the seen ones) — no window × category grid.
+    """
+    import math
     from churnlens.operators.reshape import melt
     rc = (melt(ref, cols).where(F.col("value").isNotNull()).groupBy("column", "value")
           .agg(F.count(F.lit(1)).alias("_a")))
@@ -103,14 +109,16 @@ def windowed_js(counts: DataFrame, ref: DataFrame, cols: Sequence[str]) -> DataF
     ct = counts.groupBy("window_start", "column").agg(F.sum("n").alias("_tb"))
     cur_sh = counts.join(ct, ["window_start", "column"]).select(
         "window_start", "column", "value", (F.col("n") / F.col("_tb")).alias("q"))
-    wins = counts.select("window_start", "column").distinct()
-    # reference categories absent from a window still count (q = 0)
-    grid = wins.join(ref_sh, "column")  # ref categories per column: small, bounded by the domain
-    full = grid.join(cur_sh, ["window_start", "column", "value"], "full_outer").fillna(0.0, subset=["p", "q"])
+    j = cur_sh.join(ref_sh, ["column", "value"], "left").fillna(0.0, subset=["p"])
     m = (F.col("p") + F.col("q")) / 2
     term = (F.when(F.col("p") > 0, F.col("p") * F.log(F.col("p") / m)).otherwise(0.0)
-            + F.when(F.col("q") > 0, F.col("q") * F.log(F.col("q") / m)).otherwise(0.0))
-    return full.groupBy("window_start", "column").agg(F.sqrt(F.greatest(F.sum(term) / 2, F.lit(0.0))).alias("js"))
+            + F.col("q") * F.log(F.col("q") / m))
+    per = j.groupBy("window_start", "column").agg(F.sum(term).alias("_s"), F.sum("p").alias("_pseen"))
+    has_ref = rt.select("column").withColumn("_ref", F.lit(1.0))
+    per = per.join(has_ref, "column", "left").fillna(0.0, subset=["_ref"])
+    unseen = F.greatest(F.col("_ref") - F.col("_pseen"), F.lit(0.0)) * math.log(2.0)
+    js = F.sqrt(F.greatest((F.col("_s") + unseen) / 2, F.lit(0.0)))
+    return per.select("window_start", "column", js.alias("js"))
 
 
 # ---------------------------------------------------------------------------
