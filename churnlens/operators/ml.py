@@ -91,7 +91,7 @@ def _smote_cells(features: Sequence[str], k: int, seed: int, schema: T.StructTyp
 
 
 def oversample_minority(df: DataFrame, label: str, features: Sequence[str], k: int = 5, seed: int = 42,
-                        cell_size: int = 4096, key: str | None = None) -> DataFrame:
+                        cell_size: int = 2048, key: str | None = None) -> DataFrame:
     """H2: balance classes by interpolating between minority neighbours
     (Chawla et al. 2002).
 

@@ -1342,9 +1342,10 @@ def q_stream_upsert(spark, sf):
     # the log table as of before the feedback (one row per customer, G2 with no feedback)
     from churnlens.operators.merge import upsert_log
     overwrite_after_merge(upsert_log(base, base.limit(0), "o_custkey", ["o_orderkey"]).select(*base.columns), table)
+    from churnlens.streaming.streams import read_merged
     s = _landed_stream(spark, feedback_rows(spark, sf), "feedback", "o_orderkey")
     stream_upsert(s, table, "o_custkey", ["o_orderkey"])
-    return read_current(spark, table)
+    return read_merged(spark, table, "o_custkey", ["o_orderkey"])
 
 
 @register("stream_score")

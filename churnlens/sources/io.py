@@ -19,18 +19,24 @@ class EmptySourceError(ValueError):
     """The source exists but holds no data."""
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def _listing(spark: SparkSession, path: str) -> DataFrame | None:
+    """Files under ``path`` (name and size only), or None when it does not exist.
+
+    Uses the ``binaryFile`` source; only ``path`` and ``length`` are selected,
+    so file contents are never read."""
+    try:
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+                .select("path", "length"))
+    except AnalysisException:
+        return None
 
 
 def path_size(spark: SparkSession, path: str) -> int | None:
-    """Total bytes under ``path``; None when it does not exist."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
+    """Total bytes of the data files under ``path``; None when it does not exist."""
+    files = _listing(spark, path)
+    if files is None:
         return None
-    return int(fs.getContentSummary(p).getLength())
+    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv",
@@ -110,15 +116,12 @@ def append_inference_log(df: DataFrame, path: str, columns: Sequence[str] | None
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
+    """Version numbers of the ``_v<n>`` folders under ``path`` that hold data files."""
+    files = _listing(spark, f"{path}/_v*")
+    if files is None:
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("_v") and name[2:].isdigit():
-            out.append(int(name[2:]))
-    return sorted(out)
+    v = files.select(F.regexp_extract("path", r"/_v(\d+)/", 1).alias("v")).where(F.col("v") != "").distinct()
+    return sorted(int(r[0]) for r in v.collect())
 
 
 def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

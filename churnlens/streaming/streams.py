@@ -223,17 +223,48 @@ def stream_score(stream: DataFrame, features: DataFrame, key: str, model, featur
 
 def stream_upsert(stream: DataFrame, table_path: str, key: str, seq: Sequence[str],
                   name: str = "stream_upsert") -> str:
-    """Merge arriving feedback into a versioned table; last row per key wins.
+    """Feedback arriving over time, last row per key wins.
+
+    Merge-on-read: each micro-batch only appends its rows (tagged with the
+    batch id) to the delta folder of the current base version — O(batch),
+    never a rewrite of the table.  ``read_merged`` applies the G2 rule over
+    base + deltas (later batches win, then ``seq``); ``compact`` folds the
+    deltas into a new base version.  Replays of a batch are idempotent:
+    rows are de-duplicated on (key, seq) within the batch and the batch id
+    decides ties across batches.
+    """
+    from churnlens.sources.io import _versions
 
-    Every micro-batch reads the current version, applies the upsert (G2) and
-    writes the next version, so a failed batch never damages the table."""
-    from churnlens.operators.merge import upsert_log
-    from churnlens.sources.io import overwrite_after_merge, read_current
+    base_v = _versions(stream.sparkSession, table_path)
+    if not base_v:
+        raise FileNotFoundError(f"no base version under {table_path}")
+    delta = f"{table_path}/_d{base_v[-1]}"
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        cur = read_current(batch.sparkSession, table_path)
-        fb = batch.dropDuplicates([key, *seq])
-        overwrite_after_merge(upsert_log(cur, fb, key, seq).select(*cur.columns), table_path)
+    def append(batch: DataFrame, batch_id: int) -> None:
+        (batch.dropDuplicates([key, *seq]).withColumn("_batch", F.lit(batch_id).cast("long"))
+         .write.mode("append").parquet(f"{delta}/batch={batch_id}"))
 
-    run_batches(stream, merge, name)
+    run_batches(stream, append, name)
     return table_path
+
+
+def read_merged(spark: SparkSession, table_path: str, key: str, seq: Sequence[str]) -> DataFrame:
+    """Current base version with its feedback deltas applied (G2 rule)."""
+    from churnlens.operators.merge import upsert_log
+    from churnlens.sources.io import _listing, _versions, read_current
+
+    v = _versions(spark, table_path)[-1]
+    base = read_current(spark, table_path)
+    delta = f"{table_path}/_d{v}"
+    if _listing(spark, delta) is None:
+        return base
+    fb = spark.read.option("basePath", delta).parquet(delta).drop("batch")
+    merged = upsert_log(base, fb, key, ["_batch", *seq])
+    return merged.select(*base.columns)
+
+
+def compact(spark: SparkSession, table_path: str, key: str, seq: Sequence[str]) -> str:
+    """Fold the deltas into a new base version (a batch job; readers keep
+    reading the previous complete version until it is written)."""
+    from churnlens.sources.io import overwrite_after_merge
+    return overwrite_after_merge(read_merged(spark, table_path, key, seq), table_path)

@@ -86,6 +86,9 @@ def test_stream_upsert_equals_batch(spark):
     fb = spark.createDataFrame([(1, 2, "c"), (3, 1, "d"), (1, 3, "e")], "k int, seq int, v string")
     path = J.land_in_order(fb, J.scratch_path(spark, "landing", "fb"), "seq", n_files=2)
     J.stream_upsert(J.file_stream(spark, path, fb.schema, 1), table, "k", ["seq"])
-    got = sorted(tuple(r) for r in A.read_current(spark, table).collect())
+    got = sorted(tuple(r) for r in J.read_merged(spark, table, "k", ["seq"]).collect())
     want = sorted(tuple(r) for r in upsert_log(base, fb, "k", ["seq"]).select("k", "seq", "v").collect())
     assert got == want
+    J.compact(spark, table, "k", ["seq"])
+    assert sorted(tuple(r) for r in A.read_current(spark, table).collect()) == want
+    assert sorted(tuple(r) for r in J.read_merged(spark, table, "k", ["seq"]).collect()) == want
