@@ -28,8 +28,13 @@ def _event_time(df: DataFrame, col: str) -> Column:
 
 
 def with_watermark(df: DataFrame, time_col: str, delay: str | None) -> DataFrame:
+    """Streams: event time as TIMESTAMP with a watermark.  Batch: unchanged —
+    windows over TIMESTAMP_NTZ are aligned on the naive epoch, independent of
+    the session time zone."""
+    if not df.isStreaming:
+        return df
     out = df.withColumn(time_col, _event_time(df, time_col))
-    return out.withWatermark(time_col, delay) if delay and df.isStreaming else out
+    return out.withWatermark(time_col, delay) if delay else out
 
 
 def request_counts(df: DataFrame, time_col: str, endpoint: str, method: str | None = None,
