@@ -27,18 +27,29 @@ def fit_label_encoder(df: DataFrame, cols: Sequence[str], exclude: Sequence[str]
     return sorted_distinct(df, cols).select("column", "value", F.col("position").alias("code"))
 
 
-def apply_label_encoder(df: DataFrame, params: DataFrame, cols: Sequence[str] | None = None,
-                        unseen: int = -1) -> DataFrame:
-    """Map values (compared as text, Q3) to fitted codes; unseen → −1."""
+def encoder_codes(params: DataFrame) -> dict[str, dict[str, int]] | None:
+    """The fitted codes as a small dict, or None when there are more than
+    ``MAX_LITERAL_CODES`` (then they are applied with a join)."""
     head = params.limit(MAX_LITERAL_CODES + 1).collect()
+    if len(head) > MAX_LITERAL_CODES:
+        return None
+    table: dict[str, dict[str, int]] = {}
+    for r in head:
+        table.setdefault(r["column"], {})[r["value"]] = r["code"]
+    return table
+
+
+def apply_label_encoder(df: DataFrame, params: DataFrame, cols: Sequence[str] | None = None,
+                        unseen: int = -1, codes: dict | None = None) -> DataFrame:
+    """Map values (compared as text, Q3) to fitted codes; unseen → −1.
+
+    ``codes`` (from ``encoder_codes``) skips the collect when already known."""
+    table = codes if codes is not None else encoder_codes(params)
     if cols is None:
-        cols = sorted({r["column"] for r in head}) if len(head) <= MAX_LITERAL_CODES else \
+        cols = sorted(table) if table is not None else \
             [r[0] for r in params.select("column").distinct().collect()]
     cols = list(cols)
-    if len(head) <= MAX_LITERAL_CODES:
-        table: dict[str, dict[str, int]] = {}
-        for r in head:
-            table.setdefault(r["column"], {})[r["value"]] = r["code"]
+    if table is not None:
         exprs = {}
         for c in cols:
             m = table.get(c, {})
@@ -50,9 +61,9 @@ def apply_label_encoder(df: DataFrame, params: DataFrame, cols: Sequence[str] |
         return df.withColumns(exprs)
     out = df
     for c in cols:
-        codes = params.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"),
-                                                          F.col("code").alias(f"_code_{c}"))
-        out = (out.join(codes, F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
+        code_df = params.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"),
+                                                            F.col("code").alias(f"_code_{c}"))
+        out = (out.join(code_df, F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
                .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.lit(unseen)).cast("int"))
                .drop(f"_v_{c}", f"_code_{c}"))
     return out
@@ -106,7 +117,8 @@ def prepare_training(df: DataFrame, spec: Mapping, fit_on: DataFrame | None = No
     enc_cols = [c for c in spec["categorical"] if c not in (spec["target"], spec.get("id"))]
     encoder = fit_label_encoder(cleaned_fit, enc_cols)
     params["encoder"] = encoder
-    encoded_fit = apply_label_encoder(cleaned_fit, encoder, enc_cols)
+    params["encoder_codes"] = encoder_codes(encoder)
+    encoded_fit = apply_label_encoder(cleaned_fit, encoder, enc_cols, codes=params["encoder_codes"])
     selected_fit = C.drop_if_present(encoded_fit.transform(feature_creation).transform(feature_transformation),
                                      spec["drop"])
     fit = fit_minmax if spec.get("scaler", "minmax") == "minmax" else fit_standard
@@ -132,7 +144,7 @@ def prepare_serving(df: DataFrame, params: Mapping, refit: bool = False) -> Data
         cp = C.fit_cleaning(df, spec["numeric_text"], spec["numeric"], spec["categorical"], cp.get("fill", "zero"))
     out = _encode_target(C.apply_cleaning(df, cp), spec)
     enc_cols = [c for c in spec["categorical"] if c not in (spec["target"], spec.get("id"))]
-    out = apply_label_encoder(out, params["encoder"], enc_cols)
+    out = apply_label_encoder(out, params["encoder"], enc_cols, codes=params.get("encoder_codes"))
     out = out.transform(feature_creation).transform(feature_transformation)
     out = C.drop_if_present(out, spec["drop"])
     return apply_affine(out, params["scaler"])
