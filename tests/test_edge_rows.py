@@ -172,3 +172,12 @@ def test_encode_decode_identity(spark):
     df = spark.createDataFrame([("Yes",), ("No",)], "c string")
     back = C.decode_binary(C.encode_binary(df, "c"), "c")
     assert [r.c for r in back.collect()] == ["Yes", "No"]
+
+
+def test_column_kinds_exact_at_the_limit(spark):
+    from churnlens.operators.drift import column_kinds
+    rows = [(float(i % 5), float(i % 6), float(i), str(i % 2)) for i in range(600)]
+    df = spark.createDataFrame(rows, "five double, six double, many double, txt string")
+    kinds, n = column_kinds(df, ["five", "six", "many", "txt"])
+    assert n == 600
+    assert kinds == {"five": "categorical", "six": "numeric", "many": "numeric", "txt": "categorical"}

@@ -92,3 +92,15 @@ def test_stream_upsert_equals_batch(spark):
     J.compact(spark, table, "k", ["seq"])
     assert sorted(tuple(r) for r in A.read_current(spark, table).collect()) == want
     assert sorted(tuple(r) for r in J.read_merged(spark, table, "k", ["seq"]).collect()) == want
+
+
+def test_write_table_and_drift_report(spark, tmpdir_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    A.write_table(df, tmpdir_path + "/pq", partition_by=["k"])
+    assert spark.read.parquet(tmpdir_path + "/pq").count() == 2
+    A.write_table(df, tmpdir_path + "/csv", fmt="csv")
+    assert A.read_table(spark, tmpdir_path + "/csv", "k string, v int").count() == 2
+    rep = spark.createDataFrame([("x", "wasserstein", 0.2, True)], "column string, method string, score double, "
+                                                                    "drifted boolean")
+    A.write_drift_report(rep, tmpdir_path + "/json")
+    assert spark.read.json(tmpdir_path + "/json").first().drifted is True
