@@ -53,8 +53,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", "churnlens-bench", shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage and task times for later reading, in a scratch folder
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = build_session(f"local[{cpus}]", "churnlens-bench", shuffle_partitions=max(8, 2 * cpus), extra=extra)
     from churnlens.plans import fixtures as FX
     # warm-up: JVM start, codegen caches (a small query on a base table)
     FX.table(spark, sf_dir, "region").write.format("noop").mode("overwrite").save()

@@ -66,7 +66,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
                          (lo + (F.col("bin") + 1) * width).alias("hi"), "n")
 
 
-def density(df: DataFrame, col: str, by: str, grid: int = 50, bw: str = "scott", cut: float = 3.0) -> DataFrame:
+def density(df: DataFrame, col: str, by: str, grid: int = 200, bw: str = "scott", cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density per class, each class normalised alone.
 
     Bandwidth h = factor × sample std with Scott's factor n^(-1/5) or

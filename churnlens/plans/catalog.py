@@ -472,14 +472,14 @@ def q_histogram_monthly(spark, sf):
 @register("density_tenure", explore_views(extra="""
 d AS (SELECT churn AS c, CAST(tenure AS DOUBLE) AS x FROM sx WHERE tenure IS NOT NULL AND churn IS NOT NULL),
 st AS (SELECT c, count(*) AS n, pow(count(*), -0.2) * stddev_samp(x) AS h, min(x) AS mn, max(x) AS mx FROM d GROUP BY c),
-st3 AS (SELECT c, n, h, mn - 3.0 * h AS g0, (mx - mn + 6.0 * h) / 49 AS step FROM st WHERE h > 0),
+st3 AS (SELECT c, n, h, mn - 3.0 * h AS g0, (mx - mn + 6.0 * h) / 199 AS step FROM st WHERE h > 0),
 dv AS (SELECT c, x, count(*) AS cnt FROM d GROUP BY 1, 2)""") + """
 SELECT st3.c AS churn, CAST(g.g AS INT) AS grid_index, round(g0 + g.g * step, 6) AS x,
        round(sum(cnt * exp(-0.5 * ((g0 + g.g * step - dv.x) / h) * ((g0 + g.g * step - dv.x) / h)))
              / (n * h * sqrt(2 * pi())), 6) AS density
-FROM dv JOIN st3 ON st3.c = dv.c CROSS JOIN range(0, 50) g(g) GROUP BY st3.c, g.g, g0, step, n, h""")
+FROM dv JOIN st3 ON st3.c = dv.c CROSS JOIN range(0, 200) g(g) GROUP BY st3.c, g.g, g0, step, n, h""")
 def q_density_tenure(spark, sf):
-    out = E.density(subs_explore(spark, sf), "tenure", "churn", grid=50)
+    out = E.density(subs_explore(spark, sf), "tenure", "churn")
     return out.select("churn", "grid_index", r6("x").alias("x"), r6("density").alias("density"))
 
 
