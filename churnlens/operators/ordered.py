@@ -30,7 +30,8 @@ _BUCKET = "_range"
 
 
 def default_ranges(df: DataFrame) -> int:
-    """Two ranges per shuffle partition, at least 4."""
+    """Two ranges per shuffle partition, at least 4 (grows with the cluster:
+    the range index costs log2(#ranges) comparisons per row)."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(4, 2 * n)
 
@@ -51,21 +52,22 @@ def add_range(df: DataFrame, order_col: str, n_ranges: int | None = None,
     if n_ranges <= 1:
         return df.withColumn(name, F.lit(0))
     probs = [i / n_ranges for i in range(1, n_ranges)]
+    accuracy = max(accuracy, 4 * n_ranges)
     bounds = df.select(F.percentile_approx(key, probs, accuracy)).scalar()
-    with_b = df.withColumn("_bounds", bounds).withColumn("_k", key)
-    idx = _count_below(F.col("_bounds"), F.col("_k"), 0, len(probs))
-    return with_b.withColumn(name, idx).drop("_bounds", "_k")
-
-
-def _count_below(bounds: Column, k: Column, lo: int, hi: int) -> Column:
-    """Number of entries of the sorted array ``bounds`` below ``k``, known to
-    lie in [lo, hi]: a binary search unrolled into nested CASE WHEN, so it is
-    code-generated (log2(#bounds) comparisons per row, no lambda)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(F.element_at(bounds, mid + 1) < k, _count_below(bounds, k, mid + 1, hi)) \
-        .otherwise(_count_below(bounds, k, lo, mid))
+    out = df.withColumn("_bounds", bounds).withColumn("_k", key).withColumn(name, F.lit(0))
+    # binary lifting: after the step of size s, ``name`` = number of bounds
+    # below the key among the first (name + s).  One code-generated
+    # projection per step, log2(#bounds) steps, at any number of ranges.
+    m = len(probs)
+    step = 1
+    while step * 2 <= m:
+        step *= 2
+    while step >= 1:
+        nxt = F.col(name) + step
+        take = (nxt <= m) & (F.try_element_at(F.col("_bounds"), nxt) < F.col("_k"))
+        out = out.withColumn(name, F.when(take, nxt).otherwise(F.col(name)))
+        step //= 2
+    return out.drop("_bounds", "_k")
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
