@@ -53,7 +53,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    extra = {"spark.driver.memory": "16g"}
+    # local sizing: sf0.1 shuffles are well under AQE's 1 MB minimum coalesced
+    # partition, which would serialise every stage onto one core; let small
+    # shuffles keep one partition per core (cluster runs keep the defaults)
+    extra = {"spark.driver.memory": "16g",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": os.environ.get("BENCH_MIN_PART", "64k")}
     if os.environ.get("BENCH_EVENT_LOG"):
         # stage and task times for later reading, in a scratch folder
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})

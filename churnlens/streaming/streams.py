@@ -170,12 +170,28 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType,
     return r.parquet(path)
 
 
-def run_update_stream(agg: DataFrame, keys: Sequence[str], name: str, timeout_sec: int = 600) -> DataFrame:
+def late_rows_dropped(query) -> int:
+    """Rows the stateful operators dropped as later than the watermark,
+    summed over the query's recorded progress.  Spark counts them after the
+    map-side partial aggregate (one per late group and partition) and, with
+    its multi-operator watermark, filters late input using the previous
+    batch's watermark."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
+            total += int(n or 0)
+    return total
+
+
+def run_update_stream(agg: DataFrame, keys: Sequence[str], name: str, timeout_sec: int = 600,
+                      stats: dict | None = None) -> DataFrame:
     """Run a streaming aggregate in update mode until the input is drained.
 
     Each micro-batch's updated rows are appended with their batch id; the
     result is the latest row per key (``max_by`` on the batch id), which is
-    what a key-value sink would hold.
+    what a key-value sink would hold.  ``stats`` receives
+    ``late_rows_dropped`` (rows behind the watermark).
     """
     spark = agg.sparkSession
     sink = scratch_path(spark, "sinks", name)
@@ -192,6 +208,8 @@ def run_update_stream(agg: DataFrame, keys: Sequence[str], name: str, timeout_se
         raise TimeoutError(f"stream {name} did not drain in {timeout_sec}s")
     if q.exception():
         raise q.exception()
+    if stats is not None:
+        stats["late_rows_dropped"] = late_rows_dropped(q)
     out = spark.read.parquet(sink)
     vals = [c for c in out.columns if c not in (*keys, "_batch")]
     last = out.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in vals]), F.col("_batch")).alias("_r"))

@@ -104,3 +104,25 @@ def test_write_table_and_drift_report(spark, tmpdir_path):
                                                                     "drifted boolean")
     A.write_drift_report(rep, tmpdir_path + "/json")
     assert spark.read.json(tmpdir_path + "/json").first().drifted is True
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    import datetime as dt
+    from churnlens.streaming import streams as J
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    on_time = [(i, t0 + dt.timedelta(seconds=30 * i), "view") for i in range(20)]
+    late = [(100 + i, t0 - dt.timedelta(hours=1, seconds=i), "view") for i in range(4)]
+    schema = "request_id long, event_time timestamp_ntz, endpoint string"
+    path = J.scratch_path(spark, "landing", "late")
+    # Spark filters late rows with the watermark of the previous batch, so the
+    # late file comes third: two on-time files, then rows an hour behind
+    for part in (on_time[:10], on_time[10:], late):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    s = J.file_stream(spark, path, spark.createDataFrame([], schema).schema, max_files_per_trigger=1)
+    stats = {}
+    got = J.run_update_stream(J.request_counts(s, "event_time", "endpoint", watermark="1 minute"),
+                              ["window_start", "endpoint"], "late", stats=stats)
+    assert sum(r.n for r in got.collect()) == len(on_time)
+    # Spark counts dropped rows after the map-side partial aggregate: one per
+    # late 10-second window here (09:00:00 and 08:59:50)
+    assert stats["late_rows_dropped"] == 2
