@@ -91,13 +91,30 @@ def _distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n_distinct"))
 
 
-def classify_columns(df: DataFrame, cat_th: int = 10, car_th: int = 20) -> DataFrame:
+def _sketched_counts(df: DataFrame, cols: Sequence[str], near: int) -> DataFrame:
+    """(column, n_distinct): HyperLogLog++ estimates in one pass, replaced by
+    exact counts for columns estimated at most ``near`` (few values, so the
+    exact distinct shuffle is tiny).  Decisions at thresholds below ``near``
+    are therefore exact; large counts are estimates."""
+    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    small = [c for c in cols if row[c] <= near]
+    rows = [(c, int(row[c])) for c in cols if c not in small]
+    if small:
+        rows += [(r["column"], int(r["n_distinct"])) for r in _distinct_counts(df, small).collect()]
+    return df.sparkSession.createDataFrame(rows, "column string, n_distinct bigint")
+
+
+def classify_columns(df: DataFrame, cat_th: int = 10, car_th: int = 20, exact_counts: bool = True) -> DataFrame:
     """Text → categorical; non-text with < cat_th distinct → categorical;
-    text with > car_th distinct → cardinal; the rest numeric."""
+    text with > car_th distinct → cardinal; the rest numeric.
+
+    ``exact_counts=False`` (for very large tables) sketches the distinct
+    counts and counts exactly only near the thresholds: same kinds, but
+    ``n_distinct`` of high-cardinality columns is an estimate."""
     types = df.sparkSession.createDataFrame(
         [(f.name, f.dataType.simpleString(), isinstance(f.dataType, T.StringType)) for f in df.schema.fields],
         "column string, dtype string, is_text boolean")
-    counts = _distinct_counts(df, df.columns)
+    counts = _distinct_counts(df, df.columns) if exact_counts else _sketched_counts(df, df.columns, 4 * car_th)
     j = types.join(counts, "column", "left").fillna(0, subset=["n_distinct"])
     kind = (F.when(F.col("is_text") & (F.col("n_distinct") > car_th), F.lit("cardinal"))
             .when(F.col("is_text"), F.lit("categorical"))

@@ -440,6 +440,13 @@ def q_crosstab_all(spark, sf):
     return E.crosstab_all(subs_explore(spark, sf), XTAB_COLS, "churn")
 
 
+@register("crosstab_wide", explore_views() + f"""
+SELECT "column", value, count(*) FILTER (WHERE churn = 'No') AS "No", count(*) FILTER (WHERE churn = 'Yes') AS "Yes"
+FROM ({sql_melt("sx", XTAB_COLS, ids=["churn"])}) GROUP BY 1, 2""")
+def q_crosstab_wide(spark, sf):
+    return E.crosstab_wide(subs_explore(spark, sf), XTAB_COLS, "churn", ["No", "Yes"])
+
+
 @register("churn_rate_by_tenure", explore_views() + """
 SELECT tenure, count(*) AS n, CAST(sum(churn_flag) AS BIGINT) AS n_flag, round(avg(churn_flag), 6) AS rate
 FROM sx GROUP BY 1""")
@@ -1038,6 +1045,19 @@ def q_parse_records(spark, sf):
     return parse_records(ev, "props", "k int").select("event_id", "k")
 
 
+@register("parse_csv_text", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders""")
+def q_parse_csv_text(spark, sf):
+    """Each order arrives as a small CSV upload (header + one line)."""
+    from churnlens.sources.io import parse_csv_text
+    o = FX.table(spark, sf, "orders")
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in ["o_orderkey", "o_custkey", "o_orderstatus",
+                                                                 "o_totalprice"]])
+    docs = o.select(F.concat(F.lit("o_orderkey,o_custkey,o_orderstatus,o_totalprice\n"), line).alias("body"))
+    return parse_csv_text(docs, "body", "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+                                        "o_totalprice double")
+
+
 @register("enforce_types", with_views("subscribers") + """
 SELECT customer_id, TRY_CAST(trim(total_charges_raw) AS DOUBLE) AS total_charges, tenure,
        CASE WHEN total_charges_raw IS NOT NULL AND trim(total_charges_raw) <> ''

@@ -181,3 +181,14 @@ def test_column_kinds_exact_at_the_limit(spark):
     kinds, n = column_kinds(df, ["five", "six", "many", "txt"])
     assert n == 600
     assert kinds == {"five": "categorical", "six": "numeric", "many": "numeric", "txt": "categorical"}
+
+
+def test_classify_columns_sketched_kinds_equal_exact(spark):
+    from churnlens.operators.quality import classify_columns
+    rows = [(str(i), i % 9, i % 25, f"c{i % 21}", float(i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id string, nine int, many int, txt string, x double")
+    exact = {r.column: (r.kind, r.n_distinct) for r in classify_columns(df).collect()}
+    sketch = {r.column: (r.kind, r.n_distinct) for r in classify_columns(df, exact_counts=False).collect()}
+    assert {c: k for c, (k, _) in exact.items()} == {c: k for c, (k, _) in sketch.items()}
+    assert exact["nine"] == ("categorical", 9) and exact["txt"] == ("cardinal", 21)
+    assert sketch["nine"][1] == 9 and sketch["txt"][1] == 21
