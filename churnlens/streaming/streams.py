@@ -232,8 +232,13 @@ def run_batches(stream: DataFrame, fn: Callable[[DataFrame, int], None], name: s
 def stream_score(stream: DataFrame, features: DataFrame, key: str, model, feature_cols: Sequence[str],
                  out_path: str, name: str = "stream_score", threshold: float = 0.5) -> str:
     """Score arriving requests (stream–static join to the customer
-    features) and append them to the log, batch by batch."""
+    features) and append them to the log, batch by batch.  The static side is
+    written once as a table first, so micro-batches read it instead of
+    re-deriving it."""
     from churnlens.operators.ml import score
+    from churnlens.session import materialize
+
+    features = materialize(features, "score_features")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         s = score(batch.join(features, key), model, threshold)
