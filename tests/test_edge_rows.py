@@ -192,3 +192,15 @@ def test_classify_columns_sketched_kinds_equal_exact(spark):
     assert {c: k for c, (k, _) in exact.items()} == {c: k for c, (k, _) in sketch.items()}
     assert exact["nine"] == ("categorical", 9) and exact["txt"] == ("cardinal", 21)
     assert sketch["nine"][1] == 9 and sketch["txt"][1] == 21
+
+
+def test_density_prebinned_close_to_exact(spark):
+    import numpy as np
+    from churnlens.operators.explore import density
+    rng = np.random.default_rng(5)
+    rows = [("a", float(x)) for x in rng.normal(0, 1, 2000)] + [("b", float(x)) for x in rng.normal(3, 0.5, 800)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    exact = {(r.g, r.grid_index): r.density for r in density(df, "x", "g", grid=50).collect()}
+    approx = {(r.g, r.grid_index): r.density for r in density(df, "x", "g", grid=50, bins=2000).collect()}
+    assert exact.keys() == approx.keys()
+    assert max(abs(exact[k] - approx[k]) for k in exact) < 1e-3
