@@ -1380,4 +1380,4 @@ def q_stream_score(spark, sf):
     s = _landed_stream(spark, reqs, "score_requests", "event_time")
     out = stream_score(s, feats, "customer_id", model, ML_FEATURES, scratch_path(spark, "sinks", "scored"))
     return spark.read.parquet(out).select("request_id", "customer_id", r6("probability_1").alias("probability"),
-                                          "predicted")
+                                          "predicted")  # the batch= folder column is not selected

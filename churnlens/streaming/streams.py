@@ -198,7 +198,8 @@ def run_update_stream(agg: DataFrame, keys: Sequence[str], name: str, timeout_se
     ckpt = scratch_path(spark, "checkpoints", name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(sink)
+        # one folder per batch, overwritten: a replayed batch replaces itself
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     q = (agg.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
@@ -210,7 +211,7 @@ def run_update_stream(agg: DataFrame, keys: Sequence[str], name: str, timeout_se
         raise q.exception()
     if stats is not None:
         stats["late_rows_dropped"] = late_rows_dropped(q)
-    out = spark.read.parquet(sink)
+    out = spark.read.parquet(sink).drop("batch")
     vals = [c for c in out.columns if c not in (*keys, "_batch")]
     last = out.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in vals]), F.col("_batch")).alias("_r"))
     return last.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in vals])
@@ -243,7 +244,8 @@ def stream_score(stream: DataFrame, features: DataFrame, key: str, model, featur
     def write(batch: DataFrame, batch_id: int) -> None:
         s = score(batch.join(features, key), model, threshold)
         keep = [c for c in s.columns if c not in feature_cols]
-        s.select(*keep).withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out_path)
+        # one folder per batch, overwritten: a replayed batch replaces itself
+        s.select(*keep).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     run_batches(stream, write, name)
     return out_path
@@ -253,9 +255,10 @@ def stream_upsert(stream: DataFrame, table_path: str, key: str, seq: Sequence[st
                   name: str = "stream_upsert") -> str:
     """Feedback arriving over time, last row per key wins.
 
-    Merge-on-read: each micro-batch only appends its rows (tagged with the
-    batch id) to the delta folder of the current base version — O(batch),
-    never a rewrite of the table.  ``read_merged`` applies the G2 rule over
+    Merge-on-read: each micro-batch only writes its rows (tagged with the
+    batch id) to its own folder under the deltas of the current base
+    version — O(batch), never a rewrite of the table, and a replayed batch
+    overwrites its own folder.  ``read_merged`` applies the G2 rule over
     base + deltas (later batches win, then ``seq``); ``compact`` folds the
     deltas into a new base version.  Replays of a batch are idempotent:
     rows are de-duplicated on (key, seq) within the batch and the batch id
@@ -270,7 +273,7 @@ def stream_upsert(stream: DataFrame, table_path: str, key: str, seq: Sequence[st
 
     def append(batch: DataFrame, batch_id: int) -> None:
         (batch.dropDuplicates([key, *seq]).withColumn("_batch", F.lit(batch_id).cast("long"))
-         .write.mode("append").parquet(f"{delta}/batch={batch_id}"))
+         .write.mode("overwrite").parquet(f"{delta}/batch={batch_id}"))
 
     run_batches(stream, append, name)
     return table_path
