@@ -674,9 +674,9 @@ def q_category_shift(spark, sf):
 
 def _sql_report(num_sql: str, cat_sql: str) -> str:
     return f"""SELECT "column", 'numeric' AS kind, 'wasserstein' AS method, round(statistic, 6) AS statistic,
-       round(statistic, 6) AS score, 0.1 AS threshold, statistic >= 0.1 AS drifted FROM ({num_sql})
-UNION ALL SELECT "column", 'categorical', 'jensen_shannon', round(statistic, 6), round(statistic, 6), 0.1,
-       statistic >= 0.1 FROM ({cat_sql})"""
+       round(statistic, 6) AS score, CAST(0.1 AS DOUBLE) AS threshold, statistic >= 0.1 AS drifted FROM ({num_sql})
+UNION ALL SELECT "column", 'categorical', 'jensen_shannon', round(statistic, 6), round(statistic, 6),
+       CAST(0.1 AS DOUBLE), statistic >= 0.1 FROM ({cat_sql})"""
 
 
 def _report_cols(df):
@@ -883,7 +883,7 @@ def q_retrain_actions(spark, sf):
 @register("rollout_replay", with_views("prediction_log", extra="""
 w AS (SELECT *, time_bucket(INTERVAL '6 hours', event_time) AS win FROM prediction_log)""") + f"""
 SELECT win AS window_start, CAST(row_number() OVER (ORDER BY win) - 1 AS INT) AS step,
-       [0.05, 0.25, 1.0][least(row_number() OVER (ORDER BY win) - 1, 2) + 1] AS weight,
+       CAST([0.05, 0.25, 1.0] AS DOUBLE[])[least(row_number() OVER (ORDER BY win) - 1, 2) + 1] AS weight,
        round(prod_score, 6) AS prod_score, round(stag_score, 6) AS stag_score, promote,
        min(CAST(promote AS INT)) OVER (ORDER BY win ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1
          AS still_rolling
