@@ -19,6 +19,10 @@ class EmptySourceError(ValueError):
     """The source exists but holds no data."""
 
 
+class MalformedSourceError(ValueError):
+    """The source holds records that do not parse under the declared schema."""
+
+
 def _listing(spark: SparkSession, path: str) -> DataFrame | None:
     """Files under ``path`` (name and size only), or None when it does not exist.
 
@@ -40,9 +44,11 @@ def path_size(spark: SparkSession, path: str) -> int | None:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv",
-               header: bool = True, failfast: bool = True) -> DataFrame:
+               header: bool = True, failfast: bool = True, validate: bool = False) -> DataFrame:
     """A1: typed load; a missing path raises FileNotFoundError, an empty one
-    EmptySourceError; with ``failfast`` a malformed record fails the job."""
+    EmptySourceError; with ``failfast`` a malformed record fails the job that
+    reads it, and ``validate=True`` reads everything once now (a no-op sink)
+    so that a malformed source raises MalformedSourceError here."""
     size = path_size(spark, path)
     if size is None:
         raise FileNotFoundError(path)
@@ -51,7 +57,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
     r = spark.read.schema(schema)
     if fmt == "csv":
         r = r.option("header", header).option("mode", "FAILFAST" if failfast else "PERMISSIVE")
-    return r.format(fmt).load(path)
+    df = r.format(fmt).load(path)
+    if validate:
+        try:
+            df.write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001 - the JVM error type varies by format
+            raise MalformedSourceError(f"{path}: {str(e).splitlines()[0][:300]}") from e
+    return df
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv",

@@ -30,6 +30,9 @@ def test_read_table_csv_failfast(spark, tmpdir_path):
         f.write("a,b\n1,x\nnot_a_number,y\n")
     with pytest.raises(Exception):
         A.read_table(spark, bad, "a int, b string").collect()
+    with pytest.raises(A.MalformedSourceError):
+        A.read_table(spark, bad, "a int, b string", validate=True)
+    assert A.read_table(spark, p, "a int, b string", validate=True).count() == 2
 
 
 def test_parse_csv_text_and_records(spark):
