@@ -117,7 +117,8 @@ def box_stats(df: DataFrame, x: str, y: str, hue: str, whisker: float = 1.5) ->
     dv = materialize(df.where(F.col(y).isNotNull())
                      .groupBy(x, hue, F.col(y).cast("double").alias(y)).agg(F.count(F.lit(1)).alias("_w")),
                      "box_values")
-    qs = exact_quantiles(dv, y, [0.25, 0.5, 0.75], by=[x, hue], names=["q1", "median", "q3"], weight="_w")
+    qs = exact_quantiles(dv, y, [0.25, 0.5, 0.75], by=[x, hue], names=["q1", "median", "q3"], weight="_w",
+                         materialize=False)
     qs = (qs.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr"))
           .withColumn("hi_fence", F.col("q3") + whisker * F.col("iqr")))

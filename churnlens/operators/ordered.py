@@ -137,13 +137,15 @@ def _interp_bounds(n: Column, p: float):
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     by: Sequence[str] = (), names: Sequence[str] | None = None,
-                    n_ranges: int | None = None, weight: str | None = None) -> DataFrame:
+                    n_ranges: int | None = None, weight: str | None = None,
+                    materialize: bool = True) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas default).
 
     Works on distinct values with their counts, so memory never depends on a
     group's row count, and no group is sorted in one task.  Returns one row
     per group with ``n`` and one column per probability.  ``weight`` names a
-    count column when the input is already (by…, value, count).
+    count column when the input is already (by…, value, count);
+    ``materialize=False`` when that input is itself a written table.
     """
     by = list(by)
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
@@ -152,7 +154,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
               .groupBy(*by, value_col).agg(F.count(F.lit(1)).alias("_c")))
     else:
         dv = df.where(F.col(value_col).isNotNull()).select(*by, value_col, F.col(weight).alias("_c"))
-    ps = prefix_sums(dv, [value_col], ["_c"], by=by, n_ranges=n_ranges, with_total=True)
+    ps = prefix_sums(dv, [value_col], ["_c"], by=by, n_ranges=n_ranges, with_total=True, materialize=materialize)
     n = F.col("tot__c")
     prev = F.col("cum__c") - F.col("_c")
     aggs = [F.max("tot__c").alias("n")]
