@@ -175,6 +175,17 @@ def load_params(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
     return enc, sc
 
 
+def save_model(model, path: str) -> None:
+    """Persist a fitted Spark ML pipeline (overwrites)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str):
+    """Load a pipeline written by ``save_model``."""
+    from pyspark.ml import PipelineModel
+    return PipelineModel.load(path)
+
+
 def write_drift_report(report: DataFrame, path: str) -> None:
     """Drift result as JSON lines."""
     report.write.mode("overwrite").json(path)

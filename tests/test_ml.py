@@ -68,3 +68,16 @@ def test_grid_search_returns_metrics(ml):
     cvm = grid_search(t.where(F.col("split") == "train"), catalog.ML_FEATURES, "churn", LogisticRegression(),
                       {"regParam": [0.0, 0.1]}, folds=2, parallelism=2)
     assert len(cvm.avgMetrics) == 2
+
+
+def test_model_save_load_round_trip(ml, tmpdir_path):
+    from churnlens.operators.ml import score, train_logistic
+    from churnlens.sources.io import load_model, save_model
+    t, _ = ml
+    train = t.where(F.col("split") == "train")
+    model = train_logistic(train, catalog.ML_FEATURES, "churn")
+    save_model(model, tmpdir_path + "/model")
+    back = load_model(tmpdir_path + "/model")
+    a = sorted((r.customer_id, round(r.probability_1, 12)) for r in score(train, model).collect())
+    b = sorted((r.customer_id, round(r.probability_1, 12)) for r in score(train, back).collect())
+    assert a == b
