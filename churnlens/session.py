@@ -18,6 +18,30 @@ _DEFAULTS = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Partition sizing for a cluster run.
+
+    Shuffle partitions start at about one per ``target_partition_mb`` of
+    input (at least 2 per core) and AQE coalesces them down at run time;
+    scans split at the same size; skewed join partitions over 4× the median
+    (and 1 GB) are split.  E.g. 100 TB on 8,000 cores gives ~400k
+    partitions before coalescing.
+    """
+    target = target_partition_mb * 1024 * 1024
+    parts = max(2 * total_cores, -(-input_bytes // target))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "churnlens",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

@@ -204,3 +204,10 @@ def test_density_prebinned_close_to_exact(spark):
     approx = {(r.g, r.grid_index): r.density for r in density(df, "x", "g", grid=50, bins=2000).collect()}
     assert exact.keys() == approx.keys()
     assert max(abs(exact[k] - approx[k]) for k in exact) < 1e-3
+
+
+def test_cluster_conf_sizes_partitions():
+    from churnlens.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"] == "16"
