@@ -29,11 +29,17 @@ _KEY = "_okey"
 _BUCKET = "_range"
 
 
+MAX_RANGES = 65_536
+
+
 def default_ranges(df: DataFrame) -> int:
-    """Two ranges per shuffle partition, at least 4 (grows with the cluster:
-    the range index costs log2(#ranges) comparisons per row)."""
+    """Two ranges per shuffle partition, at least 4 and at most 65,536.
+
+    The range index costs log2(#ranges) comparisons per row; the cap keeps
+    the bounds array (broadcast with the plan) at 512 KB, which still leaves
+    ~1.5M keys per range at 10^11 distinct keys."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(4, 2 * n)
+    return min(MAX_RANGES, max(4, 2 * n))
 
 
 def add_range(df: DataFrame, order_col: str, n_ranges: int | None = None,
