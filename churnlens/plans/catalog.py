@@ -711,10 +711,10 @@ LOG_FEATURES_CAT = ["gender", "senior", "segment", "contract", "payment"]
 LAST_N = 1000
 
 
-def logged_features(spark, sf):
+def logged_features(spark, sf, cleaned=None):
     """Inference log joined with the subscriber features it scored."""
     log = FX.prediction_log(spark, sf).select("request_id", "customer_id", "event_time")
-    return log.join(clean_subscribers(spark, sf), "customer_id")
+    return log.join(cleaned if cleaned is not None else clean_subscribers(spark, sf), "customer_id")
 
 
 @register("drift_last_n", subs_clean_views(extra=f"""
@@ -726,7 +726,7 @@ cur AS (SELECT * FROM lf ORDER BY event_time DESC NULLS LAST, request_id DESC LI
 def q_drift_last_n(spark, sf):
     from churnlens.operators.drift import drift_last_n
     ref = clean_subscribers(spark, sf)
-    out = drift_last_n(ref, logged_features(spark, sf), LOG_FEATURES_NUM + LOG_FEATURES_CAT, LAST_N,
+    out = drift_last_n(ref, logged_features(spark, sf, ref), LOG_FEATURES_NUM + LOG_FEATURES_CAT, LAST_N,
                        "event_time", "request_id")
     return _report_cols(out)
 
