@@ -1381,3 +1381,28 @@ def q_stream_score(spark, sf):
     out = stream_score(s, feats, "customer_id", model, ML_FEATURES, scratch_path(spark, "sinks", "scored"))
     return spark.read.parquet(out).select("request_id", "customer_id", r6("probability_1").alias("probability"),
                                           "predicted")  # the batch= folder column is not selected
+
+
+def _log_stream(spark, sf, name):
+    return _landed_stream(spark, FX.prediction_log(spark, sf), name, "event_time")
+
+
+@register("stream_latency_histogram", ORACLE["latency_histogram"])
+def q_stream_latency_histogram(spark, sf):
+    from churnlens.streaming.streams import latency_histogram, run_update_stream
+    agg = latency_histogram(_log_stream(spark, sf, "latency_histogram"), STAGE_BY, "latency")
+    return run_update_stream(agg, [*STAGE_BY, "le"], "latency_histogram")
+
+
+@register("stream_error_counts", ORACLE["error_counts"])
+def q_stream_error_counts(spark, sf):
+    from churnlens.streaming.streams import error_counts, run_update_stream
+    agg = error_counts(_log_stream(spark, sf, "error_counts"), STAGE_BY, F.col("endpoint") == "error")
+    return run_update_stream(agg, STAGE_BY, "error_counts")
+
+
+@register("stream_latest_gauges", ORACLE["latest_gauges"])
+def q_stream_latest_gauges(spark, sf):
+    from churnlens.streaming.streams import latest_gauges, run_update_stream
+    agg = latest_gauges(_log_stream(spark, sf, "latest_gauges"), STAGE_BY, "latency", ["event_time", "request_id"])
+    return run_update_stream(agg, STAGE_BY, "latest_gauges")
