@@ -656,15 +656,19 @@ def q_js_drift(spark, sf):
     return js_distance(ref, cur, DRIFT_CAT).select("column", r6("statistic").alias("statistic"))
 
 
-@register("category_shift", with_views("drift") + f"""
-SELECT "column", CASE WHEN max(k) = 2 THEN 'z' ELSE 'chi_square' END AS test,
-       round(CASE WHEN max(k) = 2 THEN max(CASE WHEN value = first_value THEN
+def sql_category_shift_raw(cols, ref="drift_ref", cur="drift_cur") -> str:
+    return f"""SELECT "column", CASE WHEN max(k) = 2 THEN 'z' ELSE 'chi_square' END AS test,
+       CASE WHEN max(k) = 2 THEN max(CASE WHEN value = first_value THEN
              (a / ta - b / tb) / sqrt(((a + b) / (ta + tb)) * (1 - (a + b) / (ta + tb)) * (1.0 / ta + 1.0 / tb)) END)
              ELSE sum((a - (a + b) * ta / (ta + tb)) * (a - (a + b) * ta / (ta + tb)) / ((a + b) * ta / (ta + tb))
                       + (b - (a + b) * tb / (ta + tb)) * (b - (a + b) * tb / (ta + tb)) / ((a + b) * tb / (ta + tb)))
-             END, 6) AS statistic,
+             END AS statistic,
        CAST(max(k) - 1 AS INT) AS dof
-FROM ({sql_shares(DRIFT_CAT)}) GROUP BY 1""")
+FROM ({sql_shares(cols, ref, cur)}) GROUP BY 1"""
+
+
+@register("category_shift", with_views("drift") + f"""
+SELECT "column", test, round(statistic, 6) AS statistic, dof FROM ({sql_category_shift_raw(DRIFT_CAT)})""")
 def q_category_shift(spark, sf):
     from churnlens.operators.drift import category_shift
     ref, cur = FX.drift_sides(spark, sf)
@@ -679,12 +683,47 @@ UNION ALL SELECT "column", 'categorical', 'jensen_shannon', round(statistic, 6),
        CAST(0.1 AS DOUBLE), statistic >= 0.1 FROM ({cat_sql})"""
 
 
+def sql_gamma_q(a: str, x: str) -> str:
+    """Upper regularised incomplete gamma Q(a, x) by its power series (enough
+    terms for the series to pass its peak near k = x)."""
+    return f"""(CASE WHEN {x} <= 0 THEN 1.0 ELSE greatest(0.0, 1.0 - (SELECT sum(exp(({a} + k) * ln({x}) - {x}
+               - lgamma({a} + k + 1))) FROM range(0, CAST({x} + 10 * sqrt({x}) + 200 AS BIGINT)) t(k))) END)"""
+
+
+def _sql_report_tests(num_cols, cat_cols, ref, cur) -> str:
+    """The small-reference branch: KS (asymptotic p) and z / chi-square tests at 0.05."""
+    ks = f"""SELECT "column", 'numeric' AS kind, 'ks' AS method, round(d, 6) AS statistic, round(p, 6) AS score,
+       CAST(0.05 AS DOUBLE) AS threshold, p < 0.05 AS drifted
+    FROM (SELECT "column", d, CASE WHEN lam < 0.001 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * (SELECT
+            sum(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * lam * lam)) FROM range(1, 101) t(k))))
+          END AS p
+          FROM (SELECT "column", d, (en + 0.12 + 0.11 / en) * d AS lam FROM
+                (SELECT "column", max(abs(f - g)) AS d,
+                        sqrt(CAST(max(ta) AS DOUBLE) * max(tb) / (CAST(max(ta) AS DOUBLE) + max(tb))) AS en
+                 FROM ({sql_ecdf(num_cols, ref, cur)}) GROUP BY 1)))"""
+    cat = f"""SELECT "column", 'categorical' AS kind, test AS method, round(statistic, 6) AS statistic,
+       round(p, 6) AS score, CAST(0.05 AS DOUBLE) AS threshold, p < 0.05 AS drifted
+    FROM (SELECT *, {sql_gamma_q("qa", "qx")} AS p FROM
+          (SELECT "column", test, statistic, CASE WHEN test = 'z' THEN 0.5 ELSE dof / 2.0 END AS qa,
+                  CASE WHEN test = 'z' THEN statistic * statistic / 2.0 ELSE statistic / 2.0 END AS qx
+           FROM ({sql_category_shift_raw(cat_cols, ref, cur)})))"""
+    return f"{ks} UNION ALL {cat}"
+
+
+def sql_report_all(num_cols, cat_cols, ref="drift_ref", cur="drift_cur") -> str:
+    """F7 at every scale: distances when the reference has more than 1,000 rows, tests otherwise."""
+    large = _sql_report(sql_wasserstein(num_cols, ref, cur), sql_js(cat_cols, ref, cur))
+    small = _sql_report_tests(num_cols, cat_cols, ref, cur)
+    return f"""SELECT * FROM ({large}) WHERE (SELECT count(*) FROM {ref}) > 1000
+UNION ALL SELECT * FROM ({small}) WHERE (SELECT count(*) FROM {ref}) <= 1000"""
+
+
 def _report_cols(df):
     return df.select("column", "kind", "method", r6("statistic").alias("statistic"), r6("score").alias("score"),
                      "threshold", "drifted")
 
 
-@register("drift_report", with_views("drift") + _sql_report(sql_wasserstein(DRIFT_NUM), sql_js(DRIFT_CAT)))
+@register("drift_report", with_views("drift") + sql_report_all(DRIFT_NUM, DRIFT_CAT))
 def q_drift_report(spark, sf):
     from churnlens.operators.drift import drift_report
     ref, cur = FX.drift_sides(spark, sf)
@@ -692,7 +731,7 @@ def q_drift_report(spark, sf):
 
 
 @register("drift_decision", with_views("drift", extra=f"""
-rep AS ({_sql_report(sql_wasserstein(DRIFT_NUM), sql_js(DRIFT_CAT))}),
+rep AS ({sql_report_all(DRIFT_NUM, DRIFT_CAT)}),
 sh AS (SELECT count(*) AS n_columns, count(*) FILTER (WHERE drifted) AS drift_count,
               avg(CAST(drifted AS DOUBLE)) AS drift_share FROM rep)""") + """
 SELECT n_columns, drift_count, round(drift_share, 6) AS drift_share,
@@ -721,8 +760,7 @@ def logged_features(spark, sf, cleaned=None):
 pl AS ({SQL_VIEWS_PL}),
 lf AS (SELECT l.request_id, l.event_time, s.* FROM pl l JOIN subs_clean s ON s.customer_id = l.customer_id),
 cur AS (SELECT * FROM lf ORDER BY event_time DESC NULLS LAST, request_id DESC LIMIT {LAST_N})""")
-    + _sql_report(sql_wasserstein(LOG_FEATURES_NUM, "subs_clean", "cur"),
-                  sql_js(LOG_FEATURES_CAT, "subs_clean", "cur")))
+    + sql_report_all(LOG_FEATURES_NUM, LOG_FEATURES_CAT, "subs_clean", "cur"))
 def q_drift_last_n(spark, sf):
     from churnlens.operators.drift import drift_last_n
     ref = clean_subscribers(spark, sf)

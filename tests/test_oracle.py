@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-SF = "/root/testdata/sf0.01"  # the driver gate scale; drift twins cover the large-reference branch
+SF = "/root/testdata/sf0.01"  # the driver gate scale
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings"]
 
 
