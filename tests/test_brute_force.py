@@ -79,3 +79,39 @@ def test_upsert_matches_python_rule(spark):
     got = upsert_log(spark.createDataFrame(log, "k string, s int, v string"),
                      spark.createDataFrame(fb, "k string, s int, v string"), "k", ["s"]).collect()
     assert {r.k: (r.s, r.v) for r in got} == want
+
+
+def test_box_density_ttest_histogram_match_numpy(spark):
+    from churnlens.operators.explore import box_stats, density, histogram
+    from churnlens.operators.stats import t_test
+    rng = np.random.default_rng(11)
+    ys = np.round(np.concatenate([rng.normal(50, 10, 300), [150.0, -40.0, 160.0]]), 2)
+    cls = ["Yes" if i % 3 == 0 else "No" for i in range(len(ys))]
+    df = spark.createDataFrame([("g", c, float(y)) for c, y in zip(cls, ys)], "x string, churn string, y double")
+    box = {r.churn: r for r in box_stats(df, "x", "y", "churn").collect()}
+    for c in ("Yes", "No"):
+        v = np.array([y for y, k in zip(ys, cls) if k == c])
+        q1, q3 = np.percentile(v, 25), np.percentile(v, 75)
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        inside = v[(v >= lo) & (v <= hi)]
+        r = box[c]
+        assert (r.q1, r.median, r.q3) == pytest.approx((q1, np.median(v), q3))
+        assert (r.whisker_lo, r.whisker_hi, r.n_outliers) == (inside.min(), inside.max(), int(len(v) - len(inside)))
+    # Gaussian KDE, Scott's bandwidth, grid over [min - 3h, max + 3h]
+    kde = {(r.churn, r.grid_index): r for r in density(df, "y", "churn", grid=20).collect()}
+    v = np.array([y for y, k in zip(ys, cls) if k == "Yes"])
+    h = v.std(ddof=1) * len(v) ** -0.2
+    g = np.linspace(v.min() - 3 * h, v.max() + 3 * h, 20)
+    want = np.exp(-0.5 * ((g[:, None] - v[None, :]) / h) ** 2).sum(1) / (len(v) * h * math.sqrt(2 * math.pi))
+    assert [kde[("Yes", i)].density for i in range(20)] == pytest.approx(list(want), rel=1e-9)
+    # pooled two-sample t
+    t = t_test(df, ["y"], "churn", with_p=False).first()
+    a = np.array([y for y, k in zip(ys, cls) if k == "Yes"])
+    b = np.array([y for y, k in zip(ys, cls) if k == "No"])
+    sp2 = ((len(a) - 1) * a.var(ddof=1) + (len(b) - 1) * b.var(ddof=1)) / (len(a) + len(b) - 2)
+    assert t.statistic == pytest.approx((a.mean() - b.mean()) / math.sqrt(sp2 * (1 / len(a) + 1 / len(b))), rel=1e-9)
+    # equal-width histogram, last bin closed
+    counts, edges = np.histogram(ys, bins=30)
+    got = {r.bin: r for r in histogram(df, "y", 30).collect()}
+    assert [got[i].n if i in got else 0 for i in range(30)] == list(counts)
+    assert got[0].lo == pytest.approx(edges[0]) and got[29].hi == pytest.approx(edges[-1])
