@@ -115,3 +115,31 @@ def test_box_density_ttest_histogram_match_numpy(spark):
     got = {r.bin: r for r in histogram(df, "y", 30).collect()}
     assert [got[i].n if i in got else 0 for i in range(30)] == list(counts)
     assert got[0].lo == pytest.approx(edges[0]) and got[29].hi == pytest.approx(edges[-1])
+
+
+def test_sliding_request_counts_and_cumulative_buckets(spark):
+    import datetime as dt
+    from churnlens.streaming.streams import latency_histogram, request_counts
+    t0 = dt.datetime(2024, 1, 1)
+    rnd = random.Random(3)
+    rows = [(i, t0 + dt.timedelta(seconds=rnd.randrange(600)), rnd.choice(["view", "/metrics"]), rnd.random())
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, endpoint string, latency double")
+    got = {(r.window_start, r.endpoint): r.n
+           for r in request_counts(df, "ts", "endpoint", every="60 seconds", slide="20 seconds").collect()}
+    want = {}
+    for _, ts, ep, _ in rows:
+        if ep == "/metrics":
+            continue
+        sec = int((ts - t0).total_seconds())
+        for start in range((sec // 20) * 20 - 40, sec + 1, 20):
+            if start <= sec < start + 60:
+                key = (t0 + dt.timedelta(seconds=start), ep)
+                want[key] = want.get(key, 0) + 1
+    assert got == want
+    h = sorted((r.le, r.n) for r in latency_histogram(df, ["endpoint"], "latency", [0.1, 0.5, 0.9]).collect()
+               if r.endpoint == "view")
+    ns = [n for _, n in h]
+    assert ns == sorted(ns) and h[-1][0] == float("inf")
+    assert h[-1][1] == sum(1 for r in rows if r[2] == "view")
+    assert h[0][1] == sum(1 for r in rows if r[2] == "view" and r[3] <= 0.1)
