@@ -76,14 +76,20 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    times, cold = {}, {}
+    times, cold, errors = {}, {}, {}
     for name in names:
-        cold[name] = round(run(name), 3)           # first run: JIT / codegen warm-up
-        times[name] = round(min(run(name) for _ in range(2)), 3)
+        try:
+            cold[name] = round(run(name), 3)           # first run: JIT / codegen warm-up
+            times[name] = round(min(run(name) for _ in range(2)), 3)
+        except Exception as e:  # noqa: BLE001 - one failing query must not lose the others' timings
+            times[name] = cold[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "headline_total_wall", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "cold_queries": cold,
-                      "cold_total": round(sum(cold.values()), 3), "view_build_sec": build, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}))
+    ok = [v for v in times.values() if v is not None]
+    print(json.dumps({"metric": "headline_total_wall", "value": round(sum(ok), 3), "unit": "sec",
+                      "queries": times, "cold_queries": cold, "errors": errors,
+                      "cold_total": round(sum(v for v in cold.values() if v is not None), 3),
+                      "view_build_sec": build, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}))
     spark.stop()
 
 
