@@ -34,14 +34,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: int, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: int, max_bytes: int = 4 << 20,
+           max_rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
     """Slices of the batches of about ``max_bytes`` of text column number ``text`` each."""
     for batch in batches:
         ends = np.cumsum(lengths(batch.column(text)))
         at = 0
         while at < batch.num_rows:
             base = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
+            to = max(at + 1, min(at + max_rows, int(np.searchsorted(ends, base + max_bytes, side="right"))))
             yield batch.slice(at, to - at)
             at = to
 
