@@ -10,9 +10,10 @@ the next level, to the following round.
 A target is then taken as whole repetitions of every document plus one more
 repetition of the documents whose seeded hash lies below the source's
 threshold. The threshold is found exactly by two histograms of the hash (its
-first and next 12 bits, combined map-side), so a source's taken words differ
-from its target by at most one histogram cell: one document for any source up
-to some millions of documents. All of it is DataFrame code; no group, hot
+first and next 12 bits, combined map-side); of the documents above it the one
+whose size fills the rest best comes last, so a source's taken words differ
+from its target by less than half a histogram cell: half a document for any
+source up to some millions of documents. All of it is DataFrame code; no group, hot
 source included, is ever gathered in one task.
 
 Defined cases: null or empty text has size 0 and takes 0 words; a null source
@@ -122,15 +123,26 @@ def plan_mix(docs: DataFrame, weight: Column | DataFrame, id_col: str = "doc_id"
     edge = materialize(first, "mix_edge")
     second = on_source(rows, edge).filter("cell = at_cell").groupBy("source", "sub").agg(
         F.sum("size").alias("words"), F.first("cell_below").alias("cell_below"), F.first("more").alias("more"))
-    # a cell is taken whole if more than half of it lies below the target
-    second = crossing(second, "sub", F.col("cell_below")).filter("below + words / 2 <= more").groupBy("source").agg(
-        F.max("sub").alias("at_sub"))
+    upto = F.col("below") + F.col("words")
+    second = crossing(second, "sub", F.col("cell_below")).groupBy("source").agg(
+        F.max(F.when(upto <= F.col("more"), F.col("sub"))).alias("at_sub"),
+        F.max(F.when(upto <= F.col("more"), upto).otherwise(F.col("cell_below"))).alias("reached"))
     cut = materialize(on_source(on_source(plan, edge.select("source", "at_cell"), "left"), second, "left")
-                      .select("source", "source_size", "target", "whole", "at_cell", "at_sub"), "mix_cuts")
-    extra = (F.col("cell") < F.col("at_cell")) | \
+                      .withColumn("gap", F.col("more") - F.coalesce("reached", F.lit(0.0)))
+                      .select("source", "source_size", "target", "whole", "at_cell", "at_sub", "gap"), "mix_cuts")
+    below = (F.col("cell") < F.col("at_cell")) | \
         ((F.col("cell") == F.col("at_cell")) & (F.col("sub") <= F.coalesce("at_sub", F.lit(-1))))
-    return (on_source(rows, cut)
-            .withColumn("repeats", F.col("whole") + F.coalesce(extra.cast("long"), F.lit(0)))
+    marked = on_source(rows, cut).withColumn("below", F.coalesce(below, F.lit(False)))
+    # the last document: of those above the threshold the one whose size fills the gap best, if that is nearer than none
+    filler = marked.filter("NOT below AND size > 0 AND size < 2 * gap").groupBy("source").agg(
+        F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "cell", "sub", "doc_id", "size")).alias("fill"))
+    filler = materialize(filler.select("source", "fill"), "mix_fill")
+    fill = F.col("fill")
+    extra = F.col("below") | F.coalesce(
+        (F.col("cell") == fill["cell"]) & (F.col("sub") == fill["sub"]) & (F.col("size") == fill["size"])
+        & F.col("doc_id").eqNullSafe(fill["doc_id"]), F.lit(False))
+    return (on_source(marked, filler, "left")
+            .withColumn("repeats", F.col("whole") + extra.cast("long"))
             .select("doc_id", "source", "size", "source_size", "target", "repeats",
                     (F.col("size") * F.col("repeats")).alias("taken")))
 
