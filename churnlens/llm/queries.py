@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from churnlens.llm import bpe_codec, exact_dedup, language_id, mixing, token_count, url_filter
+from churnlens.llm import bpe_codec, exact_dedup, fingerprint, html_text, language_id, mixing, token_count, url_filter
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_token_counts": token_count.op3_token_counts,
+    "op4_html_text": html_text.op4_html_text,
+    "op5_fingerprints": fingerprint.op5_fingerprints,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op9_language_id": language_id.op9_language_id,
     "op10_bpe_codec": bpe_codec.op10_bpe_codec,
