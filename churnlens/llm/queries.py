@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from churnlens.llm import bpe_codec, exact_dedup, fingerprint, html_text, jaccard_join, language_id, mixing, token_count, url_filter
+from churnlens.llm import bpe_codec, exact_dedup, fingerprint, html_text, jaccard_join, language_id, mixing, substring_dedup, token_count, url_filter
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_html_text": html_text.op4_html_text,
     "op5_fingerprints": fingerprint.op5_fingerprints,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_language_id": language_id.op9_language_id,
     "op10_bpe_codec": bpe_codec.op10_bpe_codec,
@@ -19,5 +20,6 @@ QUERIES = {
 ORACLE = {
     "op2_url_filter": url_filter.OP2_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
+    "op7_substring_dedup": substring_dedup.OP7_SQL,
     "op8_jaccard_join": jaccard_join.OP8_SQL,
 }
