@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.llm.common import SPACES, whole_text
@@ -162,8 +162,13 @@ def _index_pass(live: int | None):
     return run
 
 
+def text_digest(text: Column) -> Column:
+    """SHA-256 of a text without its ASCII white space."""
+    return F.unhex(F.sha2(F.regexp_replace(text, f"[{SPACES}]+", ""), 256))
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", live: int = 200_000) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
+    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, chars``.
 
     ``live`` bounds the digests a map-side index holds before it emits them.
     """
@@ -171,7 +176,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = materialize(docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.char_length(text).cast("long").alias("chars"),
-        F.unhex(F.sha2(F.regexp_replace(text, f"[{SPACES}]+", ""), 256)).alias("digest"),
+        text_digest(text).alias("digest"),
         F.monotonically_increasing_id().alias("row")), "exact_rows")
     entries = rows.select("digest", "chars", "doc_id", "row", F.lit(1).cast("long").alias("members")) \
         .mapInArrow(_index_pass(live), _ENTRY)
@@ -182,12 +187,23 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     F.when(F.col("members").isNull(), F.col("doc_id")).otherwise(F.col("best_id")).alias("keep_id"),
                     F.coalesce("members", F.lit(1)).cast("long").alias("group_size"),
                     F.coalesce(F.col("best_row") == F.col("row"), F.lit(True)).alias("kept"),
-                    F.lower(F.hex("digest")).alias("text_sha256")))
+                    F.lower(F.hex("digest")).alias("text_sha256"), "chars"))
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay, with all their columns."""
+    text = whole_text(text_col)
+    stay = exact_dedup(docs, id_col, text_col).filter("kept").select(
+        F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_digest"), F.col("chars").alias("_chars"))
+    marked = docs.withColumns({"_own_digest": text_digest(text), "_own_chars": F.char_length(text).cast("long")})
+    return (marked.join(stay, marked[id_col].cast("long").eqNullSafe(F.col("_id")) & (F.col("_own_digest") == F.col("_digest"))
+                        & (F.col("_own_chars") == F.col("_chars")), "left_semi")
+            .dropDuplicates([id_col, "_own_digest", "_own_chars"]).drop("_own_digest", "_own_chars"))
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:
     from churnlens.llm.common import table
-    return exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("chars")
 
 
 OP6_SQL = r"""

@@ -456,6 +456,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component, the one of smallest id (rows of one id stay or go together)."""
+    stay = jaccard_join(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("_id"))
+    return docs.join(stay, docs[id_col].cast("long").eqNullSafe(F.col("_id")), "left_semi")
+
+
 def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
