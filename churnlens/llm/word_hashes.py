@@ -14,6 +14,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+CHUNK = 1 << 18
+
+
 @cache
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64."""
@@ -40,9 +43,18 @@ def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     space = SPACE_BYTES[x]
     starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
-    up, down = _powers(max(1 << 20, 1 << len(x).bit_length()))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((x.astype(np.uint64) + np.uint64(1)) * up[:len(x)])])
-    h = mix((sums[ends] - sums[starts]) * down[starts])
+    h = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):  # some words at a time: the wide numbers of one chunk of bytes only
+        base = starts[at]
+        to = max(at + 1, int(np.searchsorted(ends, base + CHUNK, side="right")))
+        n = int(ends[to - 1] - base)
+        up, down = _powers(CHUNK) if n <= CHUNK else _powers.__wrapped__(n)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((x[base:base + n].astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
+        h[at:to] = (sums[ends[at:to] - base] - sums[starts[at:to] - base]) * down[starts[at:to] - base]
+        at = to
+    h = mix(h)
     begins = 1 + np.concatenate([[0], np.cumsum([len(v) + 1 for v in values])])
     return h, np.searchsorted(starts, begins)
 
