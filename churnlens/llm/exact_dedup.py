@@ -194,11 +194,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows that stay, with all their columns."""
     text = whole_text(text_col)
     stay = exact_dedup(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_digest"), F.col("chars").alias("_chars"))
-    marked = docs.withColumns({"_own_digest": text_digest(text), "_own_chars": F.char_length(text).cast("long")})
-    return (marked.join(stay, marked[id_col].cast("long").eqNullSafe(F.col("_id")) & (F.col("_own_digest") == F.col("_digest"))
-                        & (F.col("_own_chars") == F.col("_chars")), "left_semi")
-            .dropDuplicates([id_col, "_own_digest", "_own_chars"]).drop("_own_digest", "_own_chars"))
+        F.col("doc_id").alias("__stay_id"), F.unhex("text_sha256").alias("__stay_digest"), F.col("chars").alias("__stay_chars"))
+    marked = docs.withColumns({"__stay_own_digest": text_digest(text), "__stay_own_chars": F.char_length(text).cast("long")})
+    return (marked.join(stay, marked[id_col].cast("long").eqNullSafe(F.col("__stay_id")) & (F.col("__stay_own_digest") == F.col("__stay_digest"))
+                        & (F.col("__stay_own_chars") == F.col("__stay_chars")), "left_semi")
+            .dropDuplicates([id_col, "__stay_own_digest", "__stay_own_chars"]).drop("__stay_own_digest", "__stay_own_chars"))
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -399,7 +399,7 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                          ["a", "b"])
 
 
-def class_links(sets: DataFrame, prefixes: DataFrame) -> DataFrame:
+def class_links(sets: DataFrame, prefixes: DataFrame, most: int = BLOCK) -> DataFrame:
     """``node, root``: the components of the classes that have links."""
     entries = prefixes.select(F.explode("prefix").alias("token"), "cid", "n", "centre")
     centres = entries.groupBy("token").agg(F.max(F.struct("centre", "cid", "n")).alias("c"))
@@ -412,7 +412,7 @@ def class_links(sets: DataFrame, prefixes: DataFrame) -> DataFrame:
         "prefix", "cid", "n", F.coalesce("root", "cid").alias("root"), "bits")
     tokens = rooted.select(F.explode("prefix").alias("token"), "cid", "root")
     mixed = tokens.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size"))
-    mixed = mixed.filter("least <> most").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    mixed = mixed.filter("least <> most").select("token", F.ceil(F.col("size") / most).cast("int").alias("blocks"))
     near = rooted.select(F.explode("prefix").alias("token"), "cid", "n", "root", "bits").join(mixed, "token")
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     near = near.withColumn("block", block).withColumn(
@@ -427,8 +427,8 @@ def class_links(sets: DataFrame, prefixes: DataFrame) -> DataFrame:
     return components(links.unionByName(more))
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row."""
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row. ``block``: most documents of a block (see stage 5)."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     rows = materialize(texts.mapInArrow(_classify, "doc_id long, cid binary, n long"), "jaccard_rows")
@@ -444,7 +444,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets = materialize(picked.mapInArrow(_pick_sets(words), "cid binary, n long, tokens binary")
                        .withColumn("slice", F.shiftrightunsigned(F.monotonically_increasing_id(), 9)), "jaccard_sets")
     prefixes = materialize(prefix_table(sets), "jaccard_prefixes")
-    found = class_links(sets, prefixes)
+    found = class_links(sets, prefixes, block)
     linked = classes.join(found, F.col("cid") == F.col("node"), "left").select(
         "cid", F.coalesce("root", "cid").alias("root"), "rep", "copies",
         F.col("root").isNotNull().alias("links"))
@@ -459,8 +459,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, the one of smallest id (rows of one id stay or go together)."""
     stay = jaccard_join(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_id"))
-    return docs.join(stay, docs[id_col].cast("long").eqNullSafe(F.col("_id")), "left_semi")
+        F.col("doc_id").alias("__stay_id"))
+    return docs.join(stay, docs[id_col].cast("long").eqNullSafe(F.col("__stay_id")), "left_semi")
 
 
 def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:

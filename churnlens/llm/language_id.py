@@ -178,10 +178,8 @@ def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_
 def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows whose text is in a learned language; the others (no letter at all) go."""
     profiles = fit_profiles(docs, id_col, text_col, lang_col)
-    others = tuple(c for c in docs.columns if c != id_col)
-    judged = identify(docs, profiles, id_col, text_col, carry=others)
-    return judged.filter(F.col("lang_pred") != UNKNOWN).select(
-        *(F.col("doc_id" if c == id_col else c).alias(c) for c in docs.columns))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("row"))
+    return identify(rows, profiles, carry=("row",)).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:

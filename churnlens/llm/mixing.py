@@ -161,11 +161,11 @@ def mix(docs: DataFrame, weight: Column | DataFrame, id_col: str = "doc_id", **o
     Rows are looked up by id; a null id is taken as one of its own.
     """
     plan = plan_mix(docs, weight, id_col=id_col, **options)
-    plan = plan.filter("repeats > 0").groupBy("doc_id").agg(F.max("repeats").cast("int").alias("_repeats"))
-    plan = plan.withColumnRenamed("doc_id", "_id")
-    return (docs.join(plan, docs[id_col].eqNullSafe(plan["_id"]))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats"))))
-            .drop("_id", "_repeats", "_copy"))
+    plan = plan.filter("repeats > 0").groupBy("doc_id").agg(F.max("repeats").cast("int").alias("__mix_repeats"))
+    plan = plan.withColumnRenamed("doc_id", "__mix_id")
+    return (docs.join(plan, docs[id_col].eqNullSafe(plan["__mix_id"]))
+            .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_repeats"))))
+            .drop("__mix_id", "__mix_repeats", "__mix_copy"))
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -115,26 +115,28 @@ _PACKED = "bucket int, slice long, anchors binary, owners binary, counts binary,
 _KNOWN = "slice long, anchors binary, owners binary, hot binary, ids binary, dkeys binary"
 
 
-def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per bucket: each slice gets back its anchors that occur more than once, and which of its anchors are hot."""
-    for rows in _groups(batches, 0):
-        out = [(r[1], r[2], r[3], None, r[5], r[6]) for r in rows if r[5] is not None]
-        packed = [r for r in rows if r[5] is None]
-        if packed:
-            parts = [np.frombuffer(r[2], np.uint64) for r in packed]
-            every, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-            total = np.bincount(inverse, weights=np.concatenate([np.frombuffer(r[4], np.int32) for r in packed]))
-            at = 0
-            for r, part in zip(packed, parts):
-                n = total[inverse[at:at + len(part)]]
-                at += len(part)
-                owner = np.frombuffer(r[3], np.int32)
-                again, hot = (n > 1) & (owner >= 0), n > HOT
-                if again.any() or hot.any():
-                    out.append((r[1], part[again].tobytes(), owner[again].tobytes(), part[hot].tobytes(), None, None))
-        yield _batch([pa.array([o[0] for o in out], pa.int64()),
-                      *(pa.array([o[k] for o in out], pa.binary()) for k in range(1, 6))],
-                     ["slice", "anchors", "owners", "hot", "ids", "dkeys"])
+def _repeated_anchors(hot_from: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per bucket: each slice gets back its anchors that occur more than once, and which of its anchors are hot."""
+        for rows in _groups(batches, 0):
+            out = [(r[1], r[2], r[3], None, r[5], r[6]) for r in rows if r[5] is not None]
+            packed = [r for r in rows if r[5] is None]
+            if packed:
+                parts = [np.frombuffer(r[2], np.uint64) for r in packed]
+                every, inverse = np.unique(np.concatenate(parts), return_inverse=True)
+                total = np.bincount(inverse, weights=np.concatenate([np.frombuffer(r[4], np.int32) for r in packed]))
+                at = 0
+                for r, part in zip(packed, parts):
+                    n = total[inverse[at:at + len(part)]]
+                    at += len(part)
+                    owner = np.frombuffer(r[3], np.int32)
+                    again, hot = (n > 1) & (owner >= 0), n > hot_from
+                    if again.any() or hot.any():
+                        out.append((r[1], part[again].tobytes(), owner[again].tobytes(), part[hot].tobytes(), None, None))
+            yield _batch([pa.array([o[0] for o in out], pa.int64()),
+                          *(pa.array([o[k] for o in out], pa.binary()) for k in range(1, 6))],
+                         ["slice", "anchors", "owners", "hot", "ids", "dkeys"])
+    return run
 
 
 def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,11 +158,11 @@ def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                      ["place", "dkey", "anchors", "hot"])
 
 
-def repeated_anchors(docs: DataFrame) -> DataFrame:
+def repeated_anchors(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """``place, dkey, anchors, hot`` for the documents (``place, dkey, text``) with anchors that occur again."""
     buckets = 8 * shuffle_partitions(docs.sparkSession)
     packed = docs.select("place", "dkey", "text").mapInArrow(_pack_anchors(buckets), _PACKED)
-    known = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_repeated_anchors, _KNOWN)
+    known = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_repeated_anchors(hot), _KNOWN)
     return known.repartition("slice").sortWithinPartitions("slice").mapInArrow(
         _per_document, "place long, dkey long, anchors binary, hot binary")
 
@@ -331,17 +333,19 @@ def _remove(texts: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = True,
+                   hot: int = HOT) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` for every row: the words that stay, joined by single blanks.
 
     ``texts=False`` gives the SHA-256 of that text as ``kept_sha256`` instead.
+    ``hot``: occurrences from which an anchor's windows are dealt out one by one.
     """
     shards = 8 * shuffle_partitions(docs.sparkSession)
     text = whole_text(text_col)
     ident = F.col(id_col).cast("long")
     rows = docs.select(ident.alias("doc_id"), F.coalesce(ident, F.lit(_LAST_ID)).alias("place"),
                        F.xxhash64(text).alias("dkey"), text.alias("text"))
-    known = materialize(repeated_anchors(rows).groupBy("place", "dkey").agg(
+    known = materialize(repeated_anchors(rows, hot).groupBy("place", "dkey").agg(
         F.first("anchors").alias("anchors"), F.first("hot").alias("hot")), "repeated_anchors")
     with_anchors = rows.select("place", "dkey", "text").join(known, ["place", "dkey"]).select(
         "place", "dkey", "text", "anchors", "hot").sortWithinPartitions("place", "dkey")
