@@ -21,9 +21,6 @@ DROP_FEATURES = ["customerID", "PhoneService", "gender", "StreamingTV",
 # --- fixed values: numeric columns that are scaled ---
 SCALED_COLUMNS = ["tenure", "MonthlyCharges", "TotalCharges"]
 
-# --- fixed values: extra columns of the inference log ---
-LOG_EXTRA_COLUMNS = ["probability", "timestamp", "model_stage", "model_version", "latency"]
-
 # --- fixed values: allowed values per subscriber column ---
 SUBSCRIBER_DOMAINS = {
     "gender": ["Male", "Female"],

@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from churnlens.constants import DECISION_THRESHOLD, RISK_CUTS, RISK_LABELS
 
@@ -20,8 +19,13 @@ def _c(c: str | Column) -> Column:
 
 
 def to_numeric(c: str | Column) -> Column:
-    """Text to double; blank or unparsable text becomes null."""
-    return F.trim(_c(c).cast("string")).try_cast("double")
+    """Text to double; blank or unparsable text becomes null.
+
+    Only decimal notation counts: the cast alone would take Java's type
+    suffixes ('1d', '2F') for numbers.
+    """
+    text = F.trim(_c(c).cast("string"))
+    return F.when(~text.rlike(r"[dDfF]$") | text.rlike(r"(?i)inf$"), text.try_cast("double"))
 
 
 def blank_or_null(c: str | Column) -> Column:
@@ -87,21 +91,3 @@ def threshold_label(p: str | Column, t: float = DECISION_THRESHOLD, inclusive: b
 def pseudonymise(c: str | Column, salt: str) -> Column:
     """Salted SHA-256 of an identifier (C17)."""
     return F.sha2(F.concat(F.lit(salt), _c(c).cast("string")), 256)
-
-
-def order_key(c: str | Column, dtype: T.DataType) -> Column:
-    """A double that never decreases when the value increases.
-
-    Used only to cut ordered data into value ranges.  Numbers map to
-    themselves, times to epoch seconds, strings to their first six UTF-8
-    bytes read as an unsigned integer (Spark orders strings bytewise, so the
-    map is monotone; equal prefixes only share a range).
-    """
-    x = _c(c)
-    if isinstance(dtype, T.NumericType) or isinstance(dtype, T.BooleanType):
-        return x.cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(x.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.StringType):
-        return F.conv(F.rpad(F.substring(F.hex(x), 1, 12), 12, "0"), 16, 10).cast("double")
-    raise TypeError(f"cannot range-partition on {dtype}")

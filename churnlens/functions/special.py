@@ -10,21 +10,22 @@ tested column), through Arrow-batched pandas UDFs, never per data row.
 from __future__ import annotations
 
 import math
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _EPS = 1e-15
+_STOP = 3e-15  # of a continued fraction: a few units in the last place, so it is always reached
 _TINY = 1e-300
-_MAX_ITER = 500
 
 
 def _gamma_series(a: float, x: float) -> float:
     term = 1.0 / a
     total = term
     ap = a
-    for _ in range(_MAX_ITER):
+    while True:  # the terms fall geometrically once ap > x
         ap += 1.0
         term *= x / ap
         total += term
@@ -38,7 +39,7 @@ def _gamma_cfrac(a: float, x: float) -> float:
     c = 1.0 / _TINY
     d = 1.0 / b
     h = d
-    for i in range(1, _MAX_ITER):
+    for i in count(1):
         an = -i * (i - a)
         b += 2.0
         d = an * d + b
@@ -48,13 +49,17 @@ def _gamma_cfrac(a: float, x: float) -> float:
         d = 1.0 / d
         delta = d * c
         h *= delta
-        if abs(delta - 1.0) < _EPS:
+        if abs(delta - 1.0) < _STOP:
             break
     return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
 
 
 def gamma_q(a: float, x: float) -> float:
     """Upper regularised incomplete gamma Q(a, x)."""
+    if math.isnan(a) or math.isnan(x):
+        return float("nan")
+    if math.isinf(x):
+        return 0.0
     if x <= 0:
         return 1.0
     if x < a + 1.0:
@@ -69,7 +74,7 @@ def _beta_cfrac(a: float, b: float, x: float) -> float:
     d = _TINY if abs(d) < _TINY else d
     d = 1.0 / d
     h = d
-    for m in range(1, _MAX_ITER):
+    for m in count(1):
         m2 = 2 * m
         aa = m * (b - m) * x / ((qam + m2) * (a + m2))
         d = 1.0 + aa * d
@@ -86,7 +91,7 @@ def _beta_cfrac(a: float, b: float, x: float) -> float:
         d = 1.0 / d
         delta = d * c
         h *= delta
-        if abs(delta - 1.0) < _EPS:
+        if abs(delta - 1.0) < _STOP:
             break
     return h
 

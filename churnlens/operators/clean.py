@@ -162,36 +162,15 @@ def pseudonymise(df: DataFrame, col: str, salt: str, out: str | None = None) ->
     return df.withColumn(out or col, X.pseudonymise(col, salt))
 
 
-def null_counts_and_modes(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> dict:
-    """One query: null count of every column and mode of every categorical.
-
-    Categorical values are counted per (column, value) — combined map-side —
-    then reduced per column; numeric columns only contribute a null flag, so
-    their values are never grouped.  Returns {column: (n_null, mode)}.
-    """
-    num = df.select(*[F.when(F.col(c).isNull(), F.lit(None)).otherwise(F.lit("")).alias(c) for c in numeric],
-                    *[F.col(c).cast("string").alias(c) for c in categorical])
-    long = num.unpivot([], [*numeric, *categorical], "column", "value")
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    per = counts.groupBy("column").agg(
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
-        F.min_by(F.when(F.col("value").isNotNull(), F.col("value")),
-                 F.struct(F.col("value").isNull().alias("z"), (-F.col("n")).alias("k"),
-                          F.col("value").alias("v"))).alias("mode"))
-    return {r["column"]: (r["n_null"], r["mode"]) for r in per.collect()}
-
-
 def fit_cleaning(df: DataFrame, numeric_text: Sequence[str], numeric: Sequence[str],
                  categorical: Sequence[str], fill: str = "zero") -> dict:
-    """Fitted fill values of the cleaning step, for reuse at serving time."""
+    """Fitted fill values of the cleaning step, for reuse at serving time: one for
+    every listed column, whether or not it had nulls when fitted."""
     typed = to_numeric(df, numeric_text)
     if fill == "zero":
         typed = fill_constant(typed, list(numeric_text), 0.0)
-    stats = null_counts_and_modes(typed, numeric, categorical)
-    num_null = [c for c in numeric if stats[c][0]]
-    modes = {c: stats[c][1] for c in categorical if stats[c][0] and stats[c][1] is not None}
     return {"fill": fill, "numeric_text": list(numeric_text),
-            "medians": fit_medians(typed, num_null), "modes": modes}
+            "medians": fit_medians(typed, list(numeric)), "modes": fit_modes(typed, list(categorical))}
 
 
 def apply_cleaning(df: DataFrame, params: Mapping) -> DataFrame:

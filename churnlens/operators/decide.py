@@ -85,7 +85,7 @@ def rollout_replay(log: DataFrame, time_col: str = "event_time", steps: Sequence
     continues while every window so far passed (running min).  Step weights
     follow the window order, the last weight repeats."""
     w = log.withColumn("_win", F.window(F.col(time_col), every).start)
-    m = stage_metrics(w, extra_by=["_win"], **metric_kw)
+    m = stage_metrics(w, extra_by=["_win"], **{"with_auc": False, **metric_kw})
     d = canary_decision(m, by=["_win"])
     # one row per window: the window over them is tiny (time span / width)
     order = Window.orderBy("_win")

@@ -4,11 +4,10 @@ Both sides are unioned in long form with a side flag and aggregated to
 (column, value) counts once; every statistic is computed from those counts.
 Ordered statistics (KS, Wasserstein) use the distributed prefix sums.
 
-The per-column test choice is a design choice stated in arguments:
-text, or numeric with ≤ ``cat_max_distinct`` distinct reference values, is
-categorical; a reference of ≤ ``small_ref`` rows uses KS / chi-square at
-``alpha``, a larger one Wasserstein (normalised) / Jensen–Shannon at
-``distance_threshold``.
+The per-column choice is a design choice stated in arguments: text, or numeric
+with ≤ ``cat_max_distinct`` distinct reference values, is categorical;
+``method`` picks distances (Wasserstein, Jensen–Shannon) or tests (KS,
+chi-square) whatever the size of the reference.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from churnlens.functions.special import chi2_sf_udf, ks_p_udf, normal_two_sided_
 from churnlens.operators.merge import last_n
 from churnlens.operators.ordered import prefix_sums
 from churnlens.operators.reshape import melt
+from churnlens.session import materialize
 
 
 def _side_counts(ref: DataFrame, cur: DataFrame, cols: Sequence[str], as_type: str) -> DataFrame:
@@ -33,8 +33,7 @@ def _side_counts(ref: DataFrame, cur: DataFrame, cols: Sequence[str], as_type: s
                                             F.count_if(F.col("_side") == 1).alias("_b"))
 
 
-def _ecdf(ref: DataFrame, cur: DataFrame, cols: Sequence[str], with_next: bool = False) -> DataFrame:
-    counts = _side_counts(ref, cur, cols, "double")
+def _ecdf(counts: DataFrame, with_next: bool = False) -> DataFrame:
     ps = prefix_sums(counts, ["value"], ["_a", "_b"], by=["column"], with_total=True, with_next=with_next)
     return (ps.withColumn("F", F.col("cum__a") / F.col("tot__a"))
             .withColumn("G", F.col("cum__b") / F.col("tot__b")))
@@ -42,9 +41,13 @@ def _ecdf(ref: DataFrame, cur: DataFrame, cols: Sequence[str], with_next: bool =
 
 def ks_two_sample(ref: DataFrame, cur: DataFrame, cols: Sequence[str], with_p: bool = True) -> DataFrame:
     """max |F_ref − F_cur| per numeric column (+ asymptotic p-value)."""
-    e = _ecdf(ref, cur, cols)
-    out = e.groupBy("column").agg(F.max(F.abs(F.col("F") - F.col("G"))).alias("statistic"),
-                                  F.first("tot__a").alias("n_ref"), F.first("tot__b").alias("n_cur"))
+    return _ks(_side_counts(ref, cur, cols, "double"), with_p)
+
+
+def _ks(counts: DataFrame, with_p: bool = True) -> DataFrame:
+    out = _ecdf(counts).groupBy("column").agg(
+        F.max(F.abs(F.col("F") - F.col("G"))).alias("statistic"),
+        F.first("tot__a").alias("n_ref"), F.first("tot__b").alias("n_cur"))
     if with_p:
         out = out.withColumn("p_value", ks_p_udf("statistic", "n_ref", "n_cur"))
     return out
@@ -52,28 +55,40 @@ def ks_two_sample(ref: DataFrame, cur: DataFrame, cols: Sequence[str], with_p: b
 
 def wasserstein_norm(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
     """∫|F − G| dx divided by the reference population std."""
-    e = _ecdf(ref, cur, cols, with_next=True)
-    area = e.groupBy("column").agg(
+    return _wasserstein(_side_counts(ref, cur, cols, "double"))
+
+
+def _wasserstein(counts: DataFrame) -> DataFrame:
+    """Area and reference deviation from the same (column, value) counts."""
+    e = _ecdf(counts, with_next=True)
+    a, v = F.col("_a"), F.col("value")
+    # the mean is one number a column; the squares are summed around it
+    means = e.groupBy("column").agg((F.sum(a * v) / F.first("tot__a")).alias("_m"))
+    j = e.join(F.broadcast(means), "column")  # one row per column
+    out = j.groupBy("column").agg(
         F.sum(F.when(F.col("next_value").isNotNull(),
-                     F.abs(F.col("F") - F.col("G")) * (F.col("next_value") - F.col("value")))
-              .otherwise(0.0)).alias("_w"))
-    sd = melt(ref, cols, as_type="double").groupBy("column").agg(F.stddev_pop("value").alias("_sd"))
-    j = area.join(sd, "column")
+                     F.abs(F.col("F") - F.col("G")) * (F.col("next_value") - v)).otherwise(0.0)).alias("_w"),
+        F.sqrt(F.sum(a * (v - F.col("_m")) * (v - F.col("_m"))) / F.first("tot__a")).alias("_sd"))
     score = F.when(F.col("_sd") > 0, F.col("_w") / F.col("_sd")).otherwise(F.col("_w"))
-    return j.select("column", score.alias("statistic"))
+    return out.select("column", score.alias("statistic"))
 
 
-def _shares(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
-    c = _side_counts(ref, cur, cols, "string")
-    tot = c.groupBy("column").agg(F.sum("_a").alias("_ta"), F.sum("_b").alias("_tb"),
-                                  F.count(F.lit(1)).alias("_k"),
-                                  F.min("value").alias("_first"))
-    return c.join(tot, "column")  # tot: one row per column
+def _shares(counts: DataFrame) -> DataFrame:
+    tot = counts.groupBy("column").agg(
+        F.sum("_a").cast("double").alias("_ta"), F.sum("_b").cast("double").alias("_tb"),
+        F.count(F.lit(1)).alias("_k"), F.min("value").alias("_first"))
+    # counts as doubles: their products must not overflow; tot has one row per column
+    return counts.select("column", "value", F.col("_a").cast("double").alias("_a"),
+                         F.col("_b").cast("double").alias("_b")).join(F.broadcast(tot), "column")
 
 
 def js_distance(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Jensen–Shannon distance (natural log) between category shares."""
-    s = _shares(ref, cur, cols)
+    return _js(_side_counts(ref, cur, cols, "string"))
+
+
+def _js(counts: DataFrame) -> DataFrame:
+    s = _shares(counts)
     p = F.col("_a") / F.col("_ta")
     q = F.col("_b") / F.col("_tb")
     m = (p + q) / 2
@@ -85,7 +100,11 @@ def js_distance(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFram
 def category_shift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], with_p: bool = True) -> DataFrame:
     """chi-square on the (side × category) table; two-proportion z on the
     smallest category when the column is binary."""
-    s = _shares(ref, cur, cols)
+    return _category_shift(_side_counts(ref, cur, cols, "string"), with_p)
+
+
+def _category_shift(counts: DataFrame, with_p: bool = True) -> DataFrame:
+    s = _shares(counts)
     n = F.col("_ta") + F.col("_tb")
     ea = (F.col("_a") + F.col("_b")) * F.col("_ta") / n
     eb = (F.col("_a") + F.col("_b")) * F.col("_tb") / n
@@ -99,78 +118,65 @@ def category_shift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], with_p:
     binary = F.col("_k") == 2
     out = out.select("column", F.when(binary, F.lit("z")).otherwise(F.lit("chi_square")).alias("test"),
                      F.when(binary, F.col("z")).otherwise(F.col("chi2")).alias("statistic"),
-                     (F.col("_k") - 1).cast("int").alias("dof"))
+                     (F.col("_k") - 1).cast("bigint").alias("dof"))
     if with_p:
         out = out.withColumn("p_value", F.when(F.col("test") == "z", normal_two_sided_udf("statistic"))
                              .otherwise(chi2_sf_udf("statistic", "dof")))
     return out
 
 
-_ROWS = "__rows__"
-
-
-def column_kinds(ref: DataFrame, cols: Sequence[str], cat_max_distinct: int = 5) -> tuple[dict[str, str], int]:
-    """(numeric / categorical per column, reference row count), exact.
-
-    A HyperLogLog++ sketch (rsd 5 %) and the row count come from one pass
-    with no shuffle of values.  Only columns whose estimate is within 4× of
-    the limit get an exact distinct count — they have few values, so that
-    shuffle is tiny; a column estimated far above the limit is certainly
-    above it.
-    """
-    nums = [c for c in cols if isinstance(ref.schema[c].dataType, T.NumericType)]
-    kinds = {c: "categorical" for c in cols}
-    row = ref.agg(F.count(F.lit(1)).alias(_ROWS), *[F.approx_count_distinct(c).alias(c) for c in nums]).first()
-    close = [c for c in nums if row[c] <= 4 * cat_max_distinct]
-    exact = {c: row[c] for c in nums if c not in close}
-    if close:
-        long = melt(ref, close, as_type="double").where(F.col("value").isNotNull())
-        nd = long.select("column", "value").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-        exact.update({r["column"]: r["n"] for r in nd.collect()})
-    for c in nums:
-        if exact.get(c, 0) > cat_max_distinct:
-            kinds[c] = "numeric"
-    return kinds, int(row[_ROWS])
+def _all_counts(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One (column, value, number) table with the counts of both sides, written once:
+    kinds and every statistic of the report come from it."""
+    sides = []
+    for side, df in ((0, ref), (1, cur)):
+        numeric = {f.name for f in ref.schema.fields if isinstance(f.dataType, T.NumericType)}
+        pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"),
+                          (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("number"))
+                 for c in cols]
+        sides.append(df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*", F.lit(side).alias("_side")))
+    u = sides[0].unionByName(sides[1]).where(F.col("text").isNotNull())
+    return materialize(u.groupBy("column", "text", "number").agg(
+        F.count_if(F.col("_side") == 0).alias("_a"), F.count_if(F.col("_side") == 1).alias("_b")), "drift_counts")
 
 
 def drift_report(ref: DataFrame, cur: DataFrame, cols: Sequence[str], cat_max_distinct: int = 5,
-                 small_ref: int = 1000, alpha: float = 0.05, distance_threshold: float = 0.1,
-                 n_ref: int | None = None) -> DataFrame:
+                 method: str = "distance", alpha: float = 0.05, distance_threshold: float = 0.1) -> DataFrame:
     """one row per column: kind, method, statistic, score, threshold, drifted.
 
-    ``score`` is the p-value for tests and the distance itself for distances.
+    ``method='distance'`` (default) measures Wasserstein / Jensen–Shannon
+    distances, ``method='test'`` runs KS / chi-square (z) tests; ``score`` is
+    the distance or the p-value.  The choice never depends on the size of the
+    data.
     """
-    kinds, counted = column_kinds(ref, cols, cat_max_distinct)
-    nums = [c for c in cols if kinds[c] == "numeric"]
-    cats = [c for c in cols if kinds[c] == "categorical"]
-    n_ref = n_ref if n_ref is not None else counted
+    if method not in ("distance", "test"):
+        raise ValueError(f"method must be 'distance' or 'test', got {method!r}")
+    counts = _all_counts(ref, cur, cols)
+    seen = counts.where((F.col("_a") > 0) & F.col("number").isNotNull()).groupBy("column").agg(
+        F.count_distinct("number").alias("n"))
+    distinct = {r["column"]: r["n"] for r in seen.collect()}  # one row per numeric column
+    nums = [c for c in cols if distinct.get(c, 0) > cat_max_distinct]
+    cats = [c for c in cols if c not in nums]
+    number = counts.where(F.col("column").isin(nums)).groupBy("column", F.col("number").alias("value")).agg(
+        F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    text = counts.where(F.col("column").isin(cats)).select("column", F.col("text").alias("value"), "_a", "_b")
+    test = method == "test"
     parts = []
-    if n_ref <= small_ref:
-        if nums:
-            k = ks_two_sample(ref, cur, nums)
-            parts.append(k.select("column", F.lit("numeric").alias("kind"), F.lit("ks").alias("method"),
-                                  "statistic", F.col("p_value").alias("score")))
-        if cats:
-            c = category_shift(ref, cur, cats)
-            parts.append(c.select("column", F.lit("categorical").alias("kind"), F.col("test").alias("method"),
-                                  "statistic", F.col("p_value").alias("score")))
-        thr, is_test = alpha, True
-    else:
-        if nums:
-            w = wasserstein_norm(ref, cur, nums)
-            parts.append(w.select("column", F.lit("numeric").alias("kind"), F.lit("wasserstein").alias("method"),
-                                  "statistic", F.col("statistic").alias("score")))
-        if cats:
-            j = js_distance(ref, cur, cats)
-            parts.append(j.select("column", F.lit("categorical").alias("kind"),
-                                  F.lit("jensen_shannon").alias("method"),
-                                  "statistic", F.col("statistic").alias("score")))
-        thr, is_test = distance_threshold, False
+    if nums:
+        k = _ks(number) if test else _wasserstein(number)
+        parts.append(k.select("column", F.lit("numeric").alias("kind"), F.lit("ks" if test else "wasserstein").alias("method"),
+                              "statistic", F.col("p_value" if test else "statistic").alias("score")))
+    if cats:
+        c = _category_shift(text) if test else _js(text)
+        parts.append(c.select("column", F.lit("categorical").alias("kind"),
+                              (F.col("test") if test else F.lit("jensen_shannon")).alias("method"),
+                              "statistic", F.col("p_value" if test else "statistic").alias("score")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    drifted = F.col("score") < thr if is_test else F.col("score") >= thr
-    return out.withColumn("threshold", F.lit(thr)).withColumn("drifted", drifted)
+    threshold = alpha if test else distance_threshold
+    drifted = F.col("score") < threshold if test else F.col("score") >= threshold
+    return out.withColumn("threshold", F.lit(threshold)).withColumn("drifted", drifted)
 
 
 def drift_share(report: DataFrame) -> DataFrame:
@@ -183,7 +189,7 @@ def drift_share(report: DataFrame) -> DataFrame:
 def drift_last_n(ref: DataFrame, log: DataFrame, cols: Sequence[str], n: int, time_col: str,
                  tiebreak: str, min_rows: int = 10, **kw) -> DataFrame:
     """drift of the latest ``n`` log rows against the reference (≥ 10 rows)."""
-    cur = last_n(log, n, time_col, tiebreak)
+    cur = materialize(last_n(log, n, time_col, tiebreak), "drift_last_n")  # n rows
     got = cur.count()
     if got < min_rows:
         raise ValueError(f"not enough production rows for drift ({got} < {min_rows})")

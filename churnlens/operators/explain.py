@@ -6,8 +6,7 @@
   row, ``m`` samples per feature draw a background row and a random feature
   order (seeded hashes); the model scores the two hybrid rows with and
   without the feature, and the average difference is the attribution.  The
-  background is a fixed-size sample (default 100 rows), so broadcasting it
-  has a proven bound; the work is rows × features × m × 2 model rows.
+  background is usually a sample of 100 rows; the work is rows × features × m × 2 model rows.
 """
 
 from __future__ import annotations
@@ -15,13 +14,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.operators.merge import sample_n
-
-# Background rows are broadcast; the size is checked against this bound.
-MAX_BACKGROUND = 10_000
+from churnlens.operators.ordered import prefix_sums
+from churnlens.session import materialize
 
 
 def _long(df: DataFrame, row_id: str, features: Sequence[str], phi_prefix: str) -> DataFrame:
@@ -46,25 +44,34 @@ def logistic_weights(model) -> tuple[list[float], float]:
     return [float(x) for x in lr.coefficients.toArray()], float(lr.intercept)
 
 
-def explain_sampled(df: DataFrame, model, row_id: str, features: Sequence[str], background: DataFrame,
-                    samples: int = 8, seed: int = 7) -> DataFrame:
-    """Sampled Shapley values for any fitted pipeline: (row_id, feature, phi, base)."""
+def explain_sampled(df: DataFrame, model, row_id: str, features: Sequence[str], background: DataFrame | None = None,
+                    samples: int = 100, seed: int = 7) -> DataFrame:
+    """Sampled Shapley values for any fitted pipeline: (row_id, feature, phi, base).
+
+    Each input row is attributed by itself, also where ids repeat.  The
+    default background is the input.
+    """
+    background = df if background is None else background
     n_bg = background.count()
-    if n_bg == 0 or n_bg > MAX_BACKGROUND:
-        raise ValueError(f"background must hold 1..{MAX_BACKGROUND} rows, got {n_bg}")
+    if n_bg == 0:
+        raise ValueError("the background holds no row")
     d = len(features)
     bg = background.select(*[F.col(f).cast("double").alias(f"_z_{f}") for f in features])
-    # deterministic index over the (bounded) background: order by content
-    bg = bg.withColumn("_bi", F.row_number().over(Window.orderBy(*bg.columns)) - 1)
-    x = df.select(row_id, *[F.col(f).cast("double").alias(f) for f in features])
+    # deterministic index over the background: position in the order of its contents
+    zs = bg.columns
+    bg = prefix_sums(bg.groupBy(*zs).agg(F.count(F.lit(1)).alias("_n")), zs, ["_n"])
+    bg = bg.select(*zs, F.explode(F.sequence(F.col("cum__n") - F.col("_n"), F.col("cum__n") - 1)).alias("_bi"))
+    # a key for every row; written, so that it is the same wherever it is read
+    x = materialize(df.select(row_id, *[F.col(f).cast("double").alias(f) for f in features])
+                    .withColumn("_rk", F.monotonically_increasing_id()), "explain_rows")
     # one row per (row, feature j, sample s)
     draws = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(d * samples - 1))).alias("_s"))
     draws = (draws.withColumn("_j", (F.col("_s") % d).cast("int"))
-             .withColumn("_bi", F.pmod(F.xxhash64(F.col(row_id), F.col("_s"), F.lit(seed)), F.lit(n_bg))))
-    draws = draws.join(F.broadcast(bg), "_bi")
+             .withColumn("_bi", F.pmod(F.xxhash64(F.col("_rk"), F.col("_s"), F.lit(seed)), F.lit(n_bg))))
+    draws = draws.join(bg, "_bi")
 
     def key(i: int):
-        return F.xxhash64(F.col(row_id), F.col("_s"), F.lit(seed + 1), F.lit(i))
+        return F.xxhash64(F.col("_rk"), F.col("_s"), F.lit(seed + 1), F.lit(i))
 
     key_j = F.element_at(F.array(*[key(i) for i in range(d)]), F.col("_j") + 1)
     plus, minus = {}, {}
@@ -73,11 +80,11 @@ def explain_sampled(df: DataFrame, model, row_id: str, features: Sequence[str],
         is_j = F.col("_j") == i
         plus[f] = F.when(before | is_j, F.col(f)).otherwise(F.col(f"_z_{f}"))
         minus[f] = F.when(before & ~is_j, F.col(f)).otherwise(F.col(f"_z_{f}"))
-    both = (draws.select(row_id, "_j", "_s", F.lit(1.0).alias("_sign"), *[plus[f].alias(f) for f in features])
-            .unionByName(draws.select(row_id, "_j", "_s", F.lit(-1.0).alias("_sign"),
+    both = (draws.select(row_id, "_rk", "_j", "_s", F.lit(1.0).alias("_sign"), *[plus[f].alias(f) for f in features])
+            .unionByName(draws.select(row_id, "_rk", "_j", "_s", F.lit(-1.0).alias("_sign"),
                                       *[minus[f].alias(f) for f in features])))
     scored = model.transform(both).withColumn("_p", vector_to_array("probability")[1])
-    phi = scored.groupBy(row_id, "_j").agg((F.sum(F.col("_sign") * F.col("_p")) / samples).alias("phi"))
+    phi = scored.groupBy("_rk", row_id, "_j").agg((F.sum(F.col("_sign") * F.col("_p")) / samples).alias("phi"))
     names = F.array(*[F.lit(f) for f in features])
     base_val = model.transform(background).select(F.avg(vector_to_array("probability")[1])).first()[0]
     return phi.select(row_id, F.element_at(names, F.col("_j") + 1).alias("feature"), "phi",

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.operators.ordered import exact_quantiles
+from churnlens.operators.ordered import exact_quantiles, null_safe_join
 from churnlens.operators.reshape import melt
 from churnlens.session import materialize
 
@@ -50,7 +50,8 @@ def means_by_class(df: DataFrame, nums: Sequence[str], target: str) -> DataFrame
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """E5: equal-width counts between min and max, last bin closed.
+    """E5: equal-width counts between min and max, last bin closed; empty
+    bins are there with 0 (a constant column has bin 0 only).
 
     Min and max are scalar subqueries (merged into one scan by Catalyst),
     so the whole operator is a single lazy plan.
@@ -62,8 +63,11 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     idx = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((x - lo) / width), F.lit(bins - 1))).cast("int")
     counts = df.where(x.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("bin", (lo + F.col("bin") * width).alias("lo"),
-                         (lo + (F.col("bin") + 1) * width).alias("hi"), "n")
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    every = every.where(lo.isNotNull() & ((hi > lo) | (F.col("bin") == 0)))
+    return every.join(counts, "bin", "left").select(
+        "bin", (lo + F.col("bin") * width).alias("lo"), (lo + (F.col("bin") + 1) * width).alias("hi"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def density(df: DataFrame, col: str, by: str, grid: int = 200, bw: str = "scott", cut: float = 3.0,
@@ -117,18 +121,18 @@ def box_stats(df: DataFrame, x: str, y: str, hue: str, whisker: float = 1.5) ->
     dv = materialize(df.where(F.col(y).isNotNull())
                      .groupBy(x, hue, F.col(y).cast("double").alias(y)).agg(F.count(F.lit(1)).alias("_w")),
                      "box_values")
-    qs = exact_quantiles(dv, y, [0.25, 0.5, 0.75], by=[x, hue], names=["q1", "median", "q3"], weight="_w",
-                         materialize=False)
+    qs = exact_quantiles(dv, y, [0.25, 0.5, 0.75], by=[x, hue], names=["q1", "median", "q3"], weight="_w")
+    qs = materialize(qs, "box_quartiles")  # one row per group: read twice, small by its file size
     qs = (qs.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr"))
           .withColumn("hi_fence", F.col("q3") + whisker * F.col("iqr")))
-    j = dv.join(qs, [x, hue])  # qs has one row per group
+    j = null_safe_join(dv, qs, [x, hue])  # qs has one row per group
     inside = (F.col(y) >= F.col("lo_fence")) & (F.col(y) <= F.col("hi_fence"))
     agg = j.groupBy(x, hue).agg(
         F.min(F.when(inside, F.col(y))).alias("whisker_lo"),
         F.max(F.when(inside, F.col(y))).alias("whisker_hi"),
         F.sum(F.when(~inside, F.col("_w")).otherwise(0)).alias("n_outliers"))
-    return qs.join(agg, [x, hue]).select(x, hue, "n", "q1", "median", "q3", "iqr",
+    return null_safe_join(qs, agg, [x, hue]).select(x, hue, "n", "q1", "median", "q3", "iqr",
                                          "whisker_lo", "whisker_hi", "n_outliers")
 
 

@@ -91,21 +91,12 @@ def apply_affine(df: DataFrame, params: Mapping[str, tuple[float, float]]) -> Da
     return df.withColumns(exprs)
 
 
-def feature_creation(df: DataFrame) -> DataFrame:
-    """D7 hook (identity by design)."""
-    return df
-
-
-def feature_transformation(df: DataFrame) -> DataFrame:
-    """D7 hook (identity by design)."""
-    return df
-
-
 def prepare_training(df: DataFrame, spec: Mapping, fit_on: DataFrame | None = None) -> tuple[DataFrame, dict]:
     """Validate → clean → encode → select → scale; returns (features, params).
 
     ``spec`` keys: id, target, numeric_text, numeric, categorical, drop,
-    scaled, scaler ('minmax'|'standard'), fill.  ``fit_on`` fits the
+    scaled, scaler ('minmax'|'standard'), fill, hooks (functions on the frame,
+    applied after encoding, D7).  ``fit_on`` fits the
     parameters on another frame (e.g. the training part, Q5).
     """
     validate_schema(df, spec["expected"]) if spec.get("expected") else None
@@ -119,8 +110,7 @@ def prepare_training(df: DataFrame, spec: Mapping, fit_on: DataFrame | None = No
     params["encoder"] = encoder
     params["encoder_codes"] = encoder_codes(encoder)
     encoded_fit = apply_label_encoder(cleaned_fit, encoder, enc_cols, codes=params["encoder_codes"])
-    selected_fit = C.drop_if_present(encoded_fit.transform(feature_creation).transform(feature_transformation),
-                                     spec["drop"])
+    selected_fit = C.drop_if_present(hooks(encoded_fit, *spec.get("hooks", ())), spec["drop"])
     fit = fit_minmax if spec.get("scaler", "minmax") == "minmax" else fit_standard
     params["scaler"] = fit(selected_fit, spec["scaled"])
     params["spec"] = dict(spec)
@@ -145,7 +135,7 @@ def prepare_serving(df: DataFrame, params: Mapping, refit: bool = False) -> Data
     out = _encode_target(C.apply_cleaning(df, cp), spec)
     enc_cols = [c for c in spec["categorical"] if c not in (spec["target"], spec.get("id"))]
     out = apply_label_encoder(out, params["encoder"], enc_cols, codes=params.get("encoder_codes"))
-    out = out.transform(feature_creation).transform(feature_transformation)
+    out = hooks(out, *spec.get("hooks", ()))
     out = C.drop_if_present(out, spec["drop"])
     return apply_affine(out, params["scaler"])
 

@@ -54,7 +54,8 @@ def top_recent(log: DataFrame, n: int, time_col: str, tiebreak: str, cols: Seque
 
 def last_n(log: DataFrame, n: int, time_col: str, tiebreak: str) -> DataFrame:
     """The last min(n, rows) rows in ascending time order."""
-    return log.orderBy(_desc(time_col), _desc(tiebreak)).limit(n)
+    newest = log.orderBy(_desc(time_col), _desc(tiebreak)).limit(n)
+    return newest.orderBy(F.col(time_col).asc_nulls_first(), F.col(tiebreak).asc_nulls_first())
 
 
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:

@@ -26,7 +26,9 @@ from pyspark.sql import types as T
 
 from churnlens.functions.columns import decode_binary, risk_band, threshold_label
 from churnlens.operators.fitted import prepare_serving
-from churnlens.operators.ordered import prefix_sums
+from churnlens.operators.ordered import null_safe_join, prefix_sums
+from churnlens.operators.quality import validate_schema
+from churnlens.session import materialize
 
 # --- fixed values: default model settings of the reference configuration ---
 FOREST_DEFAULTS = {"numTrees": 200, "maxDepth": 10, "seed": 42}
@@ -40,17 +42,25 @@ def stratified_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: in
     """H1: add ``split`` ('train'/'test') with the same class mix in both parts.
 
     Rows are ordered by a seeded hash within each class; the first
-    round(frac · n_class) rows go to test.  Ranks come from distributed
-    prefix sums, so a large class is not ranked in one task.
+    round(frac · n_class) rows go to test.  Only (class, hash, tie) travels:
+    distributed prefix sums find the cut-off of each class (rows without a
+    label are a class of their own), and a projection compares every row with
+    it.  ``key`` breaks ties of the hash; without it rows alike in all columns
+    go to the same side.
     """
     cols = df.columns
-    tie = F.col(key) if key else F.monotonically_increasing_id()
-    h = df.withColumn("_h", F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))).withColumn("_t", tie) \
-          .withColumn("_one", F.lit(1))
-    ps = prefix_sums(h, ["_h", "_t"], ["_one"], by=[label], with_total=True)
+    h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
+    tie = F.xxhash64(F.col(key), F.lit(seed)) if key else F.xxhash64(*[F.col(c) for c in cols], F.lit(seed + 1))
+    place = F.struct(h.alias("h"), tie.alias("t"))
+    narrow = df.select(F.col(label), h.alias("_h"), tie.alias("_t")).groupBy(label, "_h", "_t").agg(
+        F.count(F.lit(1)).alias("_one"))
+    ps = prefix_sums(narrow, ["_h", "_t"], ["_one"], by=[label], with_total=True)
     n_test = F.least(F.round(F.col("tot__one") * test_frac), F.col("tot__one"))
-    return ps.withColumn("split", F.when(F.col("cum__one") <= n_test, "test").otherwise("train")) \
-             .select(*cols, "split")
+    cuts = ps.where(F.col("cum__one") <= n_test).groupBy(label).agg(
+        F.max(F.struct(F.col("_h").alias("h"), F.col("_t").alias("t"))).alias("_cut"))
+    out = null_safe_join(df, F.broadcast(cuts), [label], "left")  # one row per class
+    side = F.when(F.col("_cut").isNotNull() & (place <= F.col("_cut")), "test").otherwise("train")
+    return out.withColumn("split", side).select(*cols, "split")
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -218,23 +228,28 @@ def score(df: DataFrame, model, threshold: float = 0.5, inclusive: bool = True,
 def predict_table(raw: DataFrame, model, params: Mapping, keep: Sequence[str], features: Sequence[str],
                   id_col: str, event_time: str | None = None, threshold: float = 0.5) -> DataFrame:
     """Raw columns + decoded label + probability + risk band (+ latency
-    from an event-time column when given)."""
-    feats = prepare_serving(raw, params).select(id_col, *features)
-    scored = score(feats, model, threshold).select(id_col, "probability_1", "predicted")
-    out = raw.select(*keep).join(scored, id_col)
+    from an event-time column when given).  One projection: every input row
+    gives one output row, whatever its id (``id_col`` is kept for callers)."""
+    row = raw.select("*", F.struct(*[F.col(c) for c in keep]).alias("_kept"))
+    scored = score(prepare_serving(row, params), model, threshold)
+    out = scored.select("_kept.*", "probability_1", "predicted")
     out = (out.withColumn("Churn", decode_binary("predicted")).withColumn("risk", risk_band("probability_1"))
-           .withColumnRenamed("probability_1", "probability"))
+           .drop("predicted").withColumnRenamed("probability_1", "probability"))
     if event_time:
         out = out.withColumn("latency", (F.unix_micros(F.current_timestamp())
                                          - F.unix_micros(F.col(event_time).cast("timestamp"))) / 1e6)
     return out
 
 
-def decay_check(log_features: DataFrame, model, label: str, threshold: float = 0.5) -> DataFrame:
-    """Score labelled rows and report the five metrics."""
+def decay_check(log_features: DataFrame, model, label: str, threshold: float = 0.5,
+                expected: Sequence[str] = ()) -> DataFrame:
+    """Check that the ``expected`` columns are there, score labelled rows and report the five metrics."""
     from churnlens.operators.metrics import binary_metrics, roc_auc
+    if expected:
+        validate_schema(log_features, expected)
     labelled = log_features.where(F.col(label).isNotNull())
-    s = score(labelled, model, threshold)
+    # scored once: both metrics read the written (label, probability, class) columns
+    s = materialize(score(labelled, model, threshold).select(label, "probability_1", "predicted"), "decay_scores")
     m = binary_metrics(s, label, "predicted")
     a = roc_auc(s, label, "probability_1")
     return _one_row_join(m, a)

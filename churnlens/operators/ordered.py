@@ -4,13 +4,14 @@ A running sum over a whole table (or over one huge group) is the classic way
 to end up with one task holding everything.  Here every ordered statistic is
 built from the same three steps:
 
-1. cut the ordering key into value ranges whose bounds are approximate
-   quantiles of the (already aggregated) input — the ranges are
-   balanced even when a single group holds most rows;
+1. the (already aggregated) input is range-partitioned on its ordering columns
+   and written once, each row with its range number — the ranges are balanced
+   even when a single group holds most rows, and text is ordered by its full
+   value;
 2. running sums inside each (group, range) with a window, so each task sees
    one range of one group;
 3. range totals (groups × ranges rows) turned into offsets with a window over
-   that small table, joined back.
+   that small table, joined back (null group keys included).
 
 The result is exact: ranges only decide *where* work runs, never the answer.
 """
@@ -22,82 +23,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.functions.columns import order_key
 from churnlens.session import materialize as materialize_table
 
-_KEY = "_okey"
 _BUCKET = "_range"
 
 
-MAX_RANGES = 65_536
-
-
 def default_ranges(df: DataFrame) -> int:
-    """Two ranges per shuffle partition, at least 4 and at most 65,536.
+    """One range per shuffle partition, at least 4."""
+    return max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
 
-    The range index costs log2(#ranges) comparisons per row; the cap keeps
-    the bounds array (broadcast with the plan) at 512 KB, which still leaves
-    ~1.5M keys per range at 10^11 distinct keys."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return min(MAX_RANGES, max(4, 2 * n))
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equality join on ``keys`` in which null keys match; the right side's keys are dropped."""
+    other = right.select(*[F.col(c).alias(f"_on_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = F.lit(True)
+    for c in keys:
+        on = on & left[c].eqNullSafe(other[f"_on_{c}"])
+    return left.join(other, on, how).drop(*[f"_on_{c}" for c in keys])
 
 
-def add_range(df: DataFrame, order_col: str, n_ranges: int | None = None,
-              accuracy: int = 10_000, name: str = _BUCKET) -> DataFrame:
-    """Add a non-decreasing range index for ``order_col``.
+def add_range(df: DataFrame, order_cols: Sequence[str], n_ranges: int | None = None, name: str = _BUCKET) -> DataFrame:
+    """The rows, written with a range number that never decreases in the order of ``order_cols``.
 
-    The bounds are approximate quantiles of the ordering key computed by a
-    scalar subquery (``percentile_approx``), so nothing runs until the whole
-    plan runs, and Catalyst can reuse the input's exchange for it.  The index
-    is the number of bounds below the key: monotone in the key, so ranges
-    only decide where rows go, never the answer.
+    Spark's range partitioner picks the bounds from a sample of bounded size;
+    rows equal in ``order_cols`` share a range.  The table is written because
+    the bounds, being sampled, must not be picked twice.
     """
-    n_ranges = n_ranges or default_ranges(df)
-    dtype = df.schema[order_col].dataType
-    key = order_key(order_col, dtype)
-    if n_ranges <= 1:
-        return df.withColumn(name, F.lit(0))
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    accuracy = max(accuracy, 4 * n_ranges)
-    bounds = df.select(F.percentile_approx(key, probs, accuracy)).scalar()
-    out = df.withColumn("_bounds", bounds).withColumn("_k", key).withColumn(name, F.lit(0))
-    # binary lifting: after the step of size s, ``name`` = number of bounds
-    # below the key among the first (name + s).  One code-generated
-    # projection per step, log2(#bounds) steps, at any number of ranges.
-    m = len(probs)
-    step = 1
-    while step * 2 <= m:
-        step *= 2
-    while step >= 1:
-        nxt = F.col(name) + step
-        take = (nxt <= m) & (F.try_element_at(F.col("_bounds"), nxt) < F.col("_k"))
-        out = out.withColumn(name, F.when(take, nxt).otherwise(F.col(name)))
-        step //= 2
-    return out.drop("_bounds", "_k")
+    n = n_ranges or default_ranges(df)
+    ranged = df.repartitionByRange(n, *[F.col(c) for c in order_cols]).withColumn(name, F.spark_partition_id())
+    return materialize_table(ranged, "prefix")
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                 by: Sequence[str] = (), n_ranges: int | None = None,
-                with_next: bool = False, with_total: bool = False,
-                materialize: bool = True) -> DataFrame:
+                with_next: bool = False, with_total: bool = False) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_cols`` order within ``by``.
 
     Adds ``cum_<c>`` for every summed column, optionally ``tot_<c>`` (group
     total) and ``next_<order_cols[0]>`` (the following row's key in the same
     group, null on the last row).  Rows should be unique on ``by`` +
-    ``order_cols``; callers aggregate to distinct keys first.
+    ``order_cols``; callers aggregate to distinct keys first.  A null in
+    ``by`` is a group like any other.
 
-    ``materialize`` (default) first writes the input — already reduced to
-    distinct keys — as a table in the shared checkpoint folder.  The range bounds, the
-    running sums and the range totals then all read that table instead of
-    replaying the upstream scan and aggregation three times, and a lost
-    executor does not replay it either.
+    The range-partitioned input is written once in the shared checkpoint
+    folder; running sums and range totals read that table, and a lost executor
+    does not replay the upstream scan and aggregation.
     """
     by = list(by)
     order_cols = list(order_cols)
-    if materialize:
-        df = materialize_table(df, "prefix")
-    ranged = add_range(df, order_cols[0], n_ranges)
+    ranged = add_range(df, order_cols, n_ranges)
     part = by + [_BUCKET]
     w_local = (Window.partitionBy(*part).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -126,7 +100,7 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
         cols.append(F.lead("_rmin").over(Window.partitionBy(*by).orderBy(_BUCKET)).alias("_next_range"))
     offsets = totals.select(*cols)
 
-    out = out.join(offsets, on=part, how="inner")
+    out = null_safe_join(out, offsets, part)
     for c in sum_cols:
         out = out.withColumn(f"cum_{c}", F.col(f"_loc_{c}") + F.col(f"_off_{c}"))
         out = out.drop(f"_loc_{c}", f"_off_{c}")
@@ -143,15 +117,13 @@ def _interp_bounds(n: Column, p: float):
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     by: Sequence[str] = (), names: Sequence[str] | None = None,
-                    n_ranges: int | None = None, weight: str | None = None,
-                    materialize: bool = True) -> DataFrame:
+                    n_ranges: int | None = None, weight: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas default).
 
     Works on distinct values with their counts, so memory never depends on a
     group's row count, and no group is sorted in one task.  Returns one row
     per group with ``n`` and one column per probability.  ``weight`` names a
-    count column when the input is already (by…, value, count);
-    ``materialize=False`` when that input is itself a written table.
+    count column when the input is already (by…, value, count).
     """
     by = list(by)
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
@@ -160,7 +132,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
               .groupBy(*by, value_col).agg(F.count(F.lit(1)).alias("_c")))
     else:
         dv = df.where(F.col(value_col).isNotNull()).select(*by, value_col, F.col(weight).alias("_c"))
-    ps = prefix_sums(dv, [value_col], ["_c"], by=by, n_ranges=n_ranges, with_total=True, materialize=materialize)
+    ps = prefix_sums(dv, [value_col], ["_c"], by=by, n_ranges=n_ranges, with_total=True)
     n = F.col("tot__c")
     prev = F.col("cum__c") - F.col("_c")
     aggs = [F.max("tot__c").alias("n")]

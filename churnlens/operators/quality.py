@@ -9,23 +9,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlens.constants import SUBSCRIBER_DOMAINS
 from churnlens.functions.columns import blank_or_null
 from churnlens.operators.ordered import exact_quantiles, prefix_sums
 from churnlens.operators.reshape import melt
+from churnlens.session import materialize
 
 log = logging.getLogger(__name__)
 
-# Domain tables are broadcast; their size is checked against this bound.
-MAX_DOMAIN_ENTRIES = 100_000
-
-
 def validate_schema(df: DataFrame, expected: Sequence[str], warn_nulls: bool = False) -> bool:
     """B1: raise ValueError listing missing columns; optional null warning."""
     missing = [c for c in expected if c not in df.columns]
     if warn_nulls:
         present = [c for c in expected if c in df.columns]
-        if present and df.where(F.greatest(*[F.col(c).isNull().cast("int") for c in present]) == 1) \
-                .limit(1).count():
+        any_null = F.lit(False)
+        for c in present:
+            any_null = any_null | F.col(c).isNull()
+        if present and df.where(any_null).limit(1).count():
             log.warning("missing values detected")
     if missing:
         raise ValueError(f"Missing columns: {missing}")
@@ -68,19 +68,17 @@ def split_incomplete(df: DataFrame, cols: Sequence[str], out: str = "bad_field")
     return df.withColumn(out, first)
 
 
-def domain_violations(df: DataFrame, domains: Mapping[str, Sequence[str]]) -> DataFrame:
+def domain_violations(df: DataFrame, domains: Mapping[str, Sequence[str]] = SUBSCRIBER_DOMAINS) -> DataFrame:
     """(column, value, n) for non-null values outside the allowed lists.
 
-    The domain table is broadcast for a left-anti join; its size is bounded
-    by the caller's lists and checked here.
+    A left-anti join with the domain table; Spark broadcasts it when its size
+    allows.
     """
     entries = [(c, str(v)) for c, vs in domains.items() for v in vs]
-    if len(entries) > MAX_DOMAIN_ENTRIES:
-        raise ValueError("domain table too large to broadcast")
     spark = df.sparkSession
     dom = spark.createDataFrame(entries, "column string, value string")
     long = melt(df, list(domains)).where(F.col("value").isNotNull())
-    bad = long.join(F.broadcast(dom), on=["column", "value"], how="left_anti")
+    bad = long.join(dom, on=["column", "value"], how="left_anti")
     return bad.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -91,30 +89,13 @@ def _distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n_distinct"))
 
 
-def _sketched_counts(df: DataFrame, cols: Sequence[str], near: int) -> DataFrame:
-    """(column, n_distinct): HyperLogLog++ estimates in one pass, replaced by
-    exact counts for columns estimated at most ``near`` (few values, so the
-    exact distinct shuffle is tiny).  Decisions at thresholds below ``near``
-    are therefore exact; large counts are estimates."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    small = [c for c in cols if row[c] <= near]
-    rows = [(c, int(row[c])) for c in cols if c not in small]
-    if small:
-        rows += [(r["column"], int(r["n_distinct"])) for r in _distinct_counts(df, small).collect()]
-    return df.sparkSession.createDataFrame(rows, "column string, n_distinct bigint")
-
-
-def classify_columns(df: DataFrame, cat_th: int = 10, car_th: int = 20, exact_counts: bool = True) -> DataFrame:
+def classify_columns(df: DataFrame, cat_th: int = 10, car_th: int = 20) -> DataFrame:
     """Text → categorical; non-text with < cat_th distinct → categorical;
-    text with > car_th distinct → cardinal; the rest numeric.
-
-    ``exact_counts=False`` (for very large tables) sketches the distinct
-    counts and counts exactly only near the thresholds: same kinds, but
-    ``n_distinct`` of high-cardinality columns is an estimate."""
+    text with > car_th distinct → cardinal; the rest numeric."""
     types = df.sparkSession.createDataFrame(
         [(f.name, f.dataType.simpleString(), isinstance(f.dataType, T.StringType)) for f in df.schema.fields],
         "column string, dtype string, is_text boolean")
-    counts = _distinct_counts(df, df.columns) if exact_counts else _sketched_counts(df, df.columns, 4 * car_th)
+    counts = _distinct_counts(df, df.columns)
     j = types.join(counts, "column", "left").fillna(0, subset=["n_distinct"])
     kind = (F.when(F.col("is_text") & (F.col("n_distinct") > car_th), F.lit("cardinal"))
             .when(F.col("is_text"), F.lit("categorical"))
@@ -147,19 +128,32 @@ def sorted_distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     long = melt(df, cols).where(F.col("value").isNotNull())
     dv = long.select("column", "value").distinct().withColumn("_one", F.lit(1))
     ps = prefix_sums(dv, ["value"], ["_one"], by=["column"], with_total=True)
-    return ps.select("column", "value", (F.col("cum__one") - 1).cast("int").alias("position"),
+    return ps.select("column", "value", (F.col("cum__one") - 1).cast("bigint").alias("position"),
                      F.col("tot__one").cast("bigint").alias("n_values"))
 
 
 def profile_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, mean, std (sample), min, quartiles, max, distinct per column."""
-    long = melt(df, cols, as_type="double").where(F.col("value").isNotNull())
-    base = long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    qs = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column"], names=["q25", "q50", "q75"]).drop("n")
-    nd = long.select("column", "value").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
-    return base.join(qs, "column").join(nd, "column")
+    """Count, mean, std (sample), min, quartiles, max, distinct per column.
+
+    All eight come from one (column, value, count) table, combined map-side
+    and written once.  A column without any value has count 0 and null
+    statistics.
+    """
+    counts = materialize(melt(df, cols, as_type="double").groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("_w")), "profile_counts")
+    known = counts.where(F.col("value").isNotNull())
+    w, v = F.col("_w"), F.col("value")
+    base = counts.groupBy("column").agg(
+        F.coalesce(F.sum(F.when(v.isNotNull(), w)), F.lit(0)).cast("bigint").alias("count"),
+        (F.sum(v * w) / F.sum(F.when(v.isNotNull(), w))).alias("mean"),
+        F.min(v).alias("min"), F.max(v).alias("max"), F.count(v).alias("n_distinct"))
+    spread = known.join(base.select("column", F.col("mean").alias("_m")), "column").groupBy("column").agg(
+        F.sum(w * (v - F.col("_m")) * (v - F.col("_m"))).alias("_ss"))
+    qs = exact_quantiles(known, "value", [0.25, 0.5, 0.75], by=["column"], names=["q25", "q50", "q75"],
+                         weight="_w").drop("n")
+    out = base.join(spread, "column", "left").join(qs, "column", "left")
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))
+    return out.select("column", "count", "mean", std.alias("std"), "min", "max", "q25", "q50", "q75", "n_distinct")
 
 
 def profile_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -36,11 +36,11 @@ def chi_square(df: DataFrame, cats: Sequence[str], target: str, correction: bool
     wide = wide.withColumn("_row", sum((F.col(k) for k in ks), F.lit(0)))
     tot = wide.groupBy("column").agg(F.count(F.lit(1)).alias("_r"), F.sum("_row").alias("_n"),
                                      *[F.sum(k).alias(f"_t{k}") for k in ks])
-    j = wide.join(tot, "column")  # tot: one row per tested column
+    j = wide.join(F.broadcast(tot), "column")  # tot: one row per tested column
     k_present = sum((F.when(F.col(f"_t{k}") > 0, 1).otherwise(0) for k in ks), F.lit(0))
     plain, yates = F.lit(0.0), F.lit(0.0)
     for k in ks:
-        e = F.col("_row") * F.col(f"_t{k}") / F.col("_n")
+        e = F.col("_row").cast("double") * F.col(f"_t{k}") / F.col("_n")  # counts as doubles: no overflow
         o = F.col(k)
         d = e - o
         o_adj = o + F.least(F.lit(0.5), F.abs(d)) * F.signum(d)
@@ -50,7 +50,7 @@ def chi_square(df: DataFrame, cats: Sequence[str], target: str, correction: bool
     per = j.select("column", "_r", k_present.alias("_kp"), plain.alias("_plain"), yates.alias("_yates"))
     res = per.groupBy("column").agg(F.first("_r").alias("_r"), F.first("_kp").alias("_kp"),
                                     F.sum("_plain").alias("_plain"), F.sum("_yates").alias("_yates"))
-    dof = ((F.col("_r") - 1) * (F.col("_kp") - 1)).cast("int")
+    dof = ((F.col("_r") - 1) * (F.col("_kp") - 1)).cast("bigint")
     stat = F.when((dof == 1) & F.lit(correction), F.col("_yates")).otherwise(F.col("_plain"))
     out = res.select("column", stat.alias("statistic"), dof.alias("dof"))
     if with_p:
@@ -72,7 +72,7 @@ def t_test(df: DataFrame, nums: Sequence[str], target: str, pos="Yes", neg="No",
     dof = F.col("n1") + F.col("n2") - 2
     sp2 = ((F.col("n1") - 1) * F.col("_v1") + (F.col("n2") - 1) * F.col("_v2")) / dof
     t = (F.col("mean_pos") - F.col("mean_neg")) / F.sqrt(sp2 * (1.0 / F.col("n1") + 1.0 / F.col("n2")))
-    out = g.select("column", t.alias("statistic"), dof.cast("int").alias("dof"), "mean_pos", "mean_neg")
+    out = g.select("column", t.alias("statistic"), dof.cast("bigint").alias("dof"), "mean_pos", "mean_neg")
     if with_p:
         out = out.withColumn("p_value", t_two_sided_udf("statistic", "dof"))
         out = out.withColumn("significant", F.col("p_value") < alpha)

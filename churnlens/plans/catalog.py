@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.constants import TENURE_EDGES, TENURE_LABELS
+from churnlens.constants import INTERNAL_ENDPOINTS, TENURE_EDGES, TENURE_LABELS
 from churnlens.operators import clean as C
 from churnlens.operators import explore as E
 from churnlens.plans import fixtures as FX
 from churnlens.plans.fixtures import SQL_VIEWS, with_views
+from churnlens.streaming.streams import DEFAULT_LATENCY_EDGES
 
 SQL_VIEWS_PL = SQL_VIEWS["prediction_log"]
 
@@ -165,7 +166,7 @@ def q_classify_columns(spark, sf):
 
 
 @register("sorted_distinct", subs_clean_views() + f"""
-SELECT "column", value, CAST(row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS INT) AS position,
+SELECT "column", value, CAST(row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS BIGINT) AS position,
        count(*) OVER (PARTITION BY "column") AS n_values
 FROM (SELECT DISTINCT "column", value FROM ({sql_melt("subs_clean", ENC_COLS)}) WHERE value IS NOT NULL)""")
 def q_sorted_distinct(spark, sf):
@@ -469,8 +470,9 @@ def q_means_by_class(spark, sf):
 mm AS (SELECT min(monthly_charges) AS xmin, max(monthly_charges) AS xmax FROM sx),
 bb AS (SELECT CAST(CASE WHEN xmax = xmin THEN 0 ELSE least(floor((monthly_charges - xmin) / ((xmax - xmin) / 30.0)), 29)
               END AS INT) AS bin FROM sx, mm WHERE monthly_charges IS NOT NULL)""") + """
-SELECT bin, round(xmin + bin * ((xmax - xmin) / 30.0), 6) AS lo, round(xmin + (bin + 1) * ((xmax - xmin) / 30.0), 6) AS hi,
-       count(*) AS n FROM bb, mm GROUP BY bin, xmin, xmax""")
+SELECT CAST(k AS INT) AS bin, round(xmin + k * ((xmax - xmin) / 30.0), 6) AS lo,
+       round(xmin + (k + 1) * ((xmax - xmin) / 30.0), 6) AS hi, (SELECT count(*) FROM bb WHERE bb.bin = k) AS n
+FROM range(0, 30) r(k), mm WHERE xmax > xmin OR (xmax = xmin AND k = 0)""")
 def q_histogram_monthly(spark, sf):
     out = E.histogram(subs_explore(spark, sf), "monthly_charges", 30)
     return out.select("bin", r6("lo").alias("lo"), r6("hi").alias("hi"), "n")
@@ -548,7 +550,7 @@ agg AS (SELECT "column", sum(CASE WHEN ct > 0 THEN (o - e) * (o - e) / e ELSE 0
                                          * (o + least(0.5, abs(e - o)) * sign(e - o) - e) / e ELSE 0 END) AS yates
         FROM e GROUP BY 1)""") + """
 SELECT agg."column", round(CASE WHEN (r - 1) * (kp - 1) = 1 THEN yates ELSE plain END, 6) AS statistic,
-       CAST((r - 1) * (kp - 1) AS INT) AS dof
+       CAST((r - 1) * (kp - 1) AS BIGINT) AS dof
 FROM agg JOIN nt ON nt."column" = agg."column" JOIN kp ON kp."column" = agg."column\"""")
 def q_chi_square(spark, sf):
     from churnlens.operators.stats import chi_square
@@ -570,7 +572,7 @@ g AS (SELECT "column", count(*) FILTER (WHERE churn = 'Yes') AS n1, count(*) FIL
              var_samp(value) FILTER (WHERE churn = 'Yes') AS v1, var_samp(value) FILTER (WHERE churn = 'No') AS v2
       FROM l GROUP BY 1)""") + """
 SELECT "column", round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2)), 6)
-       AS statistic, CAST(n1 + n2 - 2 AS INT) AS dof, round(m1, 6) AS mean_pos, round(m2, 6) AS mean_neg FROM g""")
+       AS statistic, CAST(n1 + n2 - 2 AS BIGINT) AS dof, round(m1, 6) AS mean_pos, round(m2, 6) AS mean_neg FROM g""")
 def q_t_test(spark, sf):
     from churnlens.operators.stats import t_test
     out = t_test(subs_explore(spark, sf), MEAN_COLS, "churn", with_p=False)
@@ -663,7 +665,7 @@ def sql_category_shift_raw(cols, ref="drift_ref", cur="drift_cur") -> str:
              ELSE sum((a - (a + b) * ta / (ta + tb)) * (a - (a + b) * ta / (ta + tb)) / ((a + b) * ta / (ta + tb))
                       + (b - (a + b) * tb / (ta + tb)) * (b - (a + b) * tb / (ta + tb)) / ((a + b) * tb / (ta + tb)))
              END AS statistic,
-       CAST(max(k) - 1 AS INT) AS dof
+       CAST(max(k) - 1 AS BIGINT) AS dof
 FROM ({sql_shares(cols, ref, cur)}) GROUP BY 1"""
 
 
@@ -710,12 +712,11 @@ def _sql_report_tests(num_cols, cat_cols, ref, cur) -> str:
     return f"{ks} UNION ALL {cat}"
 
 
-def sql_report_all(num_cols, cat_cols, ref="drift_ref", cur="drift_cur") -> str:
-    """F7 at every scale: distances when the reference has more than 1,000 rows, tests otherwise."""
-    large = _sql_report(sql_wasserstein(num_cols, ref, cur), sql_js(cat_cols, ref, cur))
-    small = _sql_report_tests(num_cols, cat_cols, ref, cur)
-    return f"""SELECT * FROM ({large}) WHERE (SELECT count(*) FROM {ref}) > 1000
-UNION ALL SELECT * FROM ({small}) WHERE (SELECT count(*) FROM {ref}) <= 1000"""
+def sql_report_all(num_cols, cat_cols, ref="drift_ref", cur="drift_cur", method="distance") -> str:
+    """F7 by distances or by tests."""
+    if method == "test":
+        return _sql_report_tests(num_cols, cat_cols, ref, cur)
+    return _sql_report(sql_wasserstein(num_cols, ref, cur), sql_js(cat_cols, ref, cur))
 
 
 def _report_cols(df):
@@ -730,6 +731,13 @@ def q_drift_report(spark, sf):
     return _report_cols(drift_report(ref, cur, DRIFT_NUM + DRIFT_CAT))
 
 
+@register("drift_report_tests", with_views("drift") + sql_report_all(DRIFT_NUM, DRIFT_CAT, method="test"))
+def q_drift_report_tests(spark, sf):
+    from churnlens.operators.drift import drift_report
+    ref, cur = FX.drift_sides(spark, sf)
+    return _report_cols(drift_report(ref, cur, DRIFT_NUM + DRIFT_CAT, method="test"))
+
+
 @register("drift_decision", with_views("drift", extra=f"""
 rep AS ({sql_report_all(DRIFT_NUM, DRIFT_CAT)}),
 sh AS (SELECT count(*) AS n_columns, count(*) FILTER (WHERE drifted) AS drift_count,
@@ -884,7 +892,7 @@ FROM ({sql_canary(sql_stage_metrics())})""")
 def q_canary_decision(spark, sf):
     from churnlens.operators.decide import canary_decision
     from churnlens.operators.metrics import stage_metrics
-    d = canary_decision(stage_metrics(FX.prediction_log(spark, sf)))
+    d = canary_decision(stage_metrics(FX.prediction_log(spark, sf), with_auc=False))
     return d.select(*[r6(c).alias(c) for c in ["prod_f1", "stag_f1", "prod_latency", "stag_latency"]],
                     "stag_samples", "prod_version", "stag_version", r6("prod_score").alias("prod_score"),
                     r6("stag_score").alias("stag_score"), "promote", "better_model")
@@ -1230,7 +1238,7 @@ def q_decay_check(spark, sf):
     log = FX.prediction_log(spark, sf).select("request_id", "customer_id", "label")
     feats = prepare_serving(raw_subscribers(spark, sf), params).select("customer_id", *ML_FEATURES)
     lf = log.join(feats, "customer_id")
-    return decay_check(lf, model, "label")
+    return decay_check(lf, model, "label", expected=[*ML_FEATURES, "label"])
 
 
 def _linear_phi(spark, sf):
@@ -1269,7 +1277,7 @@ def q_explain_summary(spark, sf):
 # J: metric aggregates, batch forms (oracle) and streaming runs
 # ---------------------------------------------------------------------------
 
-INTERNAL_SQL = "('/metrics', '/verify-session', '/update_metrics', '/iframe_data_monitoring_proxy')"
+INTERNAL_SQL = "(" + ", ".join(f"'{e}'" for e in INTERNAL_ENDPOINTS) + ")"
 
 
 @register("request_counts", with_views("prediction_log") + f"""
@@ -1281,10 +1289,9 @@ def q_request_counts(spark, sf):
 
 
 @register("latency_histogram", with_views("prediction_log") + """
-SELECT model_stage, model_version, le, count(*) AS n FROM prediction_log,
-  (SELECT unnest([0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0,
-                  'inf'::DOUBLE]) AS le) e
-WHERE latency IS NOT NULL AND latency <= le GROUP BY 1, 2, 3""")
+SELECT model_stage, model_version, le, count(*) FILTER (WHERE latency <= le) AS n FROM prediction_log,
+  (SELECT unnest([""" + ", ".join(map(str, DEFAULT_LATENCY_EDGES)) + """, 'inf'::DOUBLE]) AS le) e
+WHERE latency IS NOT NULL GROUP BY 1, 2, 3""")
 def q_latency_histogram(spark, sf):
     from churnlens.streaming.streams import latency_histogram
     return latency_histogram(FX.prediction_log(spark, sf), STAGE_BY, "latency")
@@ -1315,6 +1322,13 @@ def q_prediction_counts(spark, sf):
     return prediction_counts(FX.prediction_log(spark, sf), STAGE_BY, "request_id")
 
 
+@register("stream_prediction_counts", ORACLE["prediction_counts"])
+def q_stream_prediction_counts(spark, sf):
+    from churnlens.streaming.streams import prediction_totals, request_rows, run_update_stream
+    rows = request_rows(_log_stream(spark, sf, "prediction_counts"), STAGE_BY, "request_id")
+    return prediction_totals(run_update_stream(rows, [*STAGE_BY, "request_id"], "prediction_counts"), STAGE_BY)
+
+
 @register("latest_gauges", with_views("prediction_log") + """
 SELECT model_stage, model_version, latency AS value FROM (SELECT *, row_number() OVER (PARTITION BY model_stage,
   model_version ORDER BY event_time DESC, request_id DESC) AS rn FROM prediction_log) WHERE rn = 1""")
@@ -1392,18 +1406,15 @@ def q_stream_windowed_drift(spark, sf):
 
 @register("stream_upsert", ORACLE["upsert_log"])
 def q_stream_upsert(spark, sf):
-    from churnlens.sources.io import overwrite_after_merge
-    from churnlens.streaming.streams import scratch_path, stream_upsert
-    table = scratch_path(spark, "tables", "upsert")
+    from churnlens.operators.merge import upsert_log
+    from churnlens.streaming.streams import merged, scratch_path, stream_upsert
     base = FX.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice",
                                                 "o_orderdate", "o_orderpriority")
     # the log table as of before the feedback (one row per customer, G2 with no feedback)
-    from churnlens.operators.merge import upsert_log
-    overwrite_after_merge(upsert_log(base, base.limit(0), "o_custkey", ["o_orderkey"]).select(*base.columns), table)
-    from churnlens.streaming.streams import read_merged
+    base = upsert_log(base, base.limit(0), "o_custkey", ["o_orderkey"]).select(*base.columns)
     s = _landed_stream(spark, feedback_rows(spark, sf), "feedback", "o_orderkey")
-    stream_upsert(s, table, "o_custkey", ["o_orderkey"])
-    return read_merged(spark, table, "o_custkey", ["o_orderkey"])
+    feedback = stream_upsert(s, scratch_path(spark, "tables", "feedback"), "o_custkey", ["o_orderkey"])
+    return merged(spark, base, feedback, "o_custkey", ["o_orderkey"])
 
 
 @register("stream_score")
@@ -1418,7 +1429,7 @@ def q_stream_score(spark, sf):
     s = _landed_stream(spark, reqs, "score_requests", "event_time")
     out = stream_score(s, feats, "customer_id", model, ML_FEATURES, scratch_path(spark, "sinks", "scored"))
     return spark.read.parquet(out).select("request_id", "customer_id", r6("probability_1").alias("probability"),
-                                          "predicted")  # the batch= folder column is not selected
+                                          "predicted")
 
 
 def _log_stream(spark, sf, name):

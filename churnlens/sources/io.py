@@ -7,8 +7,11 @@ through the session's Hadoop file system, not the local disk.
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,8 +46,28 @@ def path_size(spark: SparkSession, path: str) -> int | None:
     return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
 
 
+def _struct(spark: SparkSession, schema: T.StructType | str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool, failfast: bool,
+              multiline: bool) -> DataFrame:
+    r = (spark.read.option("header", header).option("mode", "FAILFAST" if failfast else "PERMISSIVE")
+         .option("multiLine", multiline).option("escape", '"'))
+    if not header:
+        return r.schema(schema).csv(path)
+    names = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').csv(path).columns
+    missing = [n for n in schema.names if n not in names]
+    if missing:
+        raise MalformedSourceError(f"{path}: no column {missing} in the header")
+    # the file's order; every file's own header is checked against it
+    as_stored = T.StructType([schema[n] if n in schema.names else T.StructField(n, T.StringType()) for n in names])
+    return r.schema(as_stored).option("enforceSchema", False).csv(path).select(*schema.names)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv",
-               header: bool = True, failfast: bool = True, validate: bool = False) -> DataFrame:
+               header: bool = True, failfast: bool = True, validate: bool = False,
+               multiline: bool = False) -> DataFrame:
     """A1: typed load; a missing path raises FileNotFoundError, an empty one
     EmptySourceError; with ``failfast`` a malformed record fails the job that
     reads it, and ``validate=True`` reads everything once now (a no-op sink)
@@ -54,10 +77,10 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
         raise FileNotFoundError(path)
     if size == 0:
         raise EmptySourceError(path)
-    r = spark.read.schema(schema)
     if fmt == "csv":
-        r = r.option("header", header).option("mode", "FAILFAST" if failfast else "PERMISSIVE")
-    df = r.format(fmt).load(path)
+        df = _read_csv(spark, path, _struct(spark, schema), header, failfast, multiline)
+    else:
+        df = spark.read.schema(schema).format(fmt).load(path)
     if validate:
         try:
             df.write.format("noop").mode("overwrite").save()
@@ -87,15 +110,35 @@ def parse_records(df: DataFrame, col: str, schema: T.StructType | str, keep: Seq
 def parse_csv_text(df: DataFrame, col: str, schema: T.StructType | str, header: bool = True) -> DataFrame:
     """A4: CSV text held in a column (an upload) → typed rows.
 
-    Lines are exploded with their position so the header line is dropped
-    exactly; every line is parsed by ``from_csv`` inside the JVM.
+    Every text is split by a CSV reader (quoted commas, quotes and line breaks
+    are data) and its columns are taken by the names in its own header; a
+    column absent there is null, as is a value that doesn't convert or an
+    empty one.  Blank lines are skipped; null text gives no rows.
     """
-    ddl = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    lines = df.select(F.posexplode(F.split(F.col(col), r"\r?\n")).alias("_pos", "_line"))
-    lines = lines.where(F.trim("_line") != "")
+    fields = _struct(df.sparkSession, schema)
+    names = fields.names
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
+    def split(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: _csv_rows(text, names, header))
+
+    rows = df.select(F.explode(split(F.col(col).cast("string"))).alias("_r"))
+    out = []
+    for k, f in enumerate(fields.fields):
+        value = F.when(F.col("_r")[k] != "", F.col("_r")[k])
+        out.append((value if isinstance(f.dataType, T.StringType) else F.trim(value).try_cast(f.dataType)).alias(f.name))
+    return rows.select(*out)
+
+
+def _csv_rows(text: str | None, names: Sequence[str], header: bool) -> list[list[str | None]]:
+    """The lines of a CSV text as values in the order of ``names``."""
+    lines = [line for line in csv.reader(io.StringIO(text or "", newline="")) if any(v.strip() for v in line)]
     if header:
-        lines = lines.where(F.col("_pos") > 0)
-    return lines.select(F.from_csv("_line", ddl).alias("_r")).select("_r.*")
+        place = {name.strip(): k for k, name in enumerate(lines[0])} if lines else {}
+        lines = lines[1:]
+    else:
+        place = {name: k for k, name in enumerate(names)}
+    return [[line[place[n]] if n in place and place[n] < len(line) else None for n in names] for line in lines]
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",

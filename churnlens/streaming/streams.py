@@ -2,9 +2,11 @@
 
 The aggregate functions (J2–J6, J8 counts) are written once and accept both a
 batch and a streaming DataFrame.  The runners below drive a streaming query
-to completion with an ``availableNow`` trigger and a ``foreachBatch`` sink,
-under the session's shared checkpoint folder (never a machine-local one), so
-a restarted job resumes from its checkpoint.
+to completion with an ``availableNow`` trigger and a ``foreachBatch`` sink.
+Sink and checkpoint lie together under a path the caller gives (or a fresh
+folder in the session's shared checkpoint folder, never a machine-local one),
+so a restarted job resumes from its checkpoint and never overwrites what an
+earlier run wrote.
 """
 
 from __future__ import annotations
@@ -52,12 +54,12 @@ def latency_histogram(df: DataFrame, by: Sequence[str], latency: str,
                       edges: Sequence[float] = DEFAULT_LATENCY_EDGES) -> DataFrame:
     """Cumulative bucket counts (le = edge, +inf last) per label set.
 
-    Each row is exploded to the edges it falls under, so the result is one
-    additive group-by (streaming-safe)."""
+    Each row is exploded to all edges with a 0/1 mark, so the result is one
+    additive group-by (streaming-safe) in which empty buckets are there with 0."""
     bounds = F.array(*[F.lit(float(e)) for e in edges], F.lit(float("inf")))
     d = df.where(F.col(latency).isNotNull()).select(*by, F.col(latency).cast("double").alias("_l"))
-    ex = d.select(*by, F.explode(F.filter(bounds, lambda b: F.col("_l") <= b)).alias("le"))
-    return ex.groupBy(*by, "le").agg(F.count(F.lit(1)).alias("n"))
+    ex = d.select(*by, "_l", F.explode(bounds).alias("le"))
+    return ex.groupBy(*by, "le").agg(F.count_if(F.col("_l") <= F.col("le")).alias("n"))
 
 
 def latency_summary(df: DataFrame, by: Sequence[str], latency: str) -> DataFrame:
@@ -70,14 +72,23 @@ def error_counts(df: DataFrame, by: Sequence[str], is_error: Column) -> DataFram
     return df.groupBy(*by).agg(F.count_if(is_error).alias("n_errors"), F.count(F.lit(1)).alias("n"))
 
 
-def prediction_counts(df: DataFrame, by: Sequence[str], request: str, approx: bool | None = None) -> DataFrame:
-    """Requests (distinct) and predicted rows per model/version/stage.
+def request_rows(df: DataFrame, by: Sequence[str], request: str) -> DataFrame:
+    """J5 state: predicted rows per label set and request — additive, on batch or stream."""
+    return df.groupBy(*by, request).agg(F.count(F.lit(1)).alias("n"))
 
-    Streaming aggregations cannot count distinct exactly; there the request
-    count is a HyperLogLog++ estimate."""
-    approx = df.isStreaming if approx is None else approx
-    nreq = F.approx_count_distinct(request) if approx else F.count_distinct(request)
-    return df.groupBy(*by).agg(nreq.alias("n_requests"), F.count(F.lit(1)).alias("n_rows"))
+
+def prediction_totals(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """J5 from its state: requests (distinct, a null is none) and predicted rows per label set."""
+    request = next(c for c in rows.columns if c not in (*by, "n"))
+    return rows.groupBy(*by).agg(F.count(request).alias("n_requests"), F.sum("n").cast("bigint").alias("n_rows"))
+
+
+def prediction_counts(df: DataFrame, by: Sequence[str], request: str) -> DataFrame:
+    """Requests (distinct) and predicted rows per model/version/stage of a batch.
+
+    On a stream run ``request_rows`` through ``run_update_stream`` and hand
+    its result to ``prediction_totals``: the same exact counts."""
+    return prediction_totals(request_rows(df, by, request), by)
 
 
 def latest_gauges(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
@@ -142,23 +153,15 @@ def land_as_files(df: DataFrame, path: str, order_col: str, n_files: int = 4) ->
 
 
 def land_in_order(df: DataFrame, path: str, order_col: str, n_files: int = 4) -> str:
-    """Land rows as ``n_files`` files written one after another in time order,
-    so a file stream with ``maxFilesPerTrigger=1`` replays them in order."""
-    from churnlens.functions.columns import order_key
-    key = order_key(order_col, df.schema[order_col].dataType)
-    keyed = df.withColumn("_k", key)
-    cuts = sorted(set(keyed.approxQuantile("_k", [i / n_files for i in range(1, n_files)], 1e-3)))
-    bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("_k") > lo)
-        if hi is not None:
-            cond = cond & (F.col("_k") <= hi)
-        part = keyed.where(cond) if (lo is not None or hi is not None) else keyed
-        if lo is None:
-            part = part.where(F.col("_k").isNull() | (F.col("_k") <= hi) if hi is not None else F.lit(True))
-        part.drop("_k").sortWithinPartitions(order_col).write.mode("append").parquet(path)
+    """Land rows as ``n_files`` files written one after another in time order
+    (rows without a time first), so a file stream with
+    ``maxFilesPerTrigger=1`` replays them in order.  The input is ranged and
+    written once; every file is then a copy of one range."""
+    from churnlens.operators.ordered import add_range
+    ranged = add_range(df, [order_col], n_files, "_slice")
+    for k in range(n_files):
+        ranged.where(F.col("_slice") == k).drop("_slice").coalesce(1).sortWithinPartitions(order_col) \
+            .write.mode("append").parquet(path)
     return path
 
 
@@ -184,118 +187,99 @@ def late_rows_dropped(query) -> int:
     return total
 
 
-def run_update_stream(agg: DataFrame, keys: Sequence[str], name: str, timeout_sec: int = 600,
-                      stats: dict | None = None) -> DataFrame:
+def _drain(query) -> None:
+    """Wait until the available input is read; a failed query raises its error here."""
+    query.awaitTermination()
+
+
+def _paths(spark: SparkSession, name: str, out_path: str | None) -> tuple[str, str]:
+    """(sink, checkpoint).  Both lie under ``out_path`` when the caller gives one: a later run into
+    the same path goes on where the last ended, with batch ids of its own.  Without it both are
+    fresh scratch folders."""
+    base = out_path or scratch_path(spark, "streams", name)
+    return f"{base}/batches", f"{base}/_checkpoint_{name}"
+
+
+def _write_batch(sink: str):
+    """A ``foreachBatch`` writer: one folder per batch, overwritten, so a replayed batch replaces itself."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+    return write
+
+
+def run_update_stream(agg: DataFrame, keys: Sequence[str], name: str, stats: dict | None = None,
+                      out_path: str | None = None) -> DataFrame:
     """Run a streaming aggregate in update mode until the input is drained.
 
-    Each micro-batch's updated rows are appended with their batch id; the
+    Each micro-batch's updated rows are written with their batch id; the
     result is the latest row per key (``max_by`` on the batch id), which is
     what a key-value sink would hold.  ``stats`` receives
-    ``late_rows_dropped`` (rows behind the watermark).
+    ``late_rows_dropped`` (rows behind the watermark).  ``out_path`` makes
+    sink and checkpoint lasting.
     """
     spark = agg.sparkSession
-    sink = scratch_path(spark, "sinks", name)
-    ckpt = scratch_path(spark, "checkpoints", name)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # one folder per batch, overwritten: a replayed batch replaces itself
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(write)
+    sink, ckpt = _paths(spark, name, out_path)
+    q = (agg.writeStream.outputMode("update").foreachBatch(_write_batch(sink))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_sec)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not drain in {timeout_sec}s")
-    if q.exception():
-        raise q.exception()
+    _drain(q)
     if stats is not None:
         stats["late_rows_dropped"] = late_rows_dropped(q)
-    out = spark.read.parquet(sink).drop("batch")
+    out = spark.read.option("basePath", sink).parquet(sink).drop("batch")
     vals = [c for c in out.columns if c not in (*keys, "_batch")]
     last = out.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in vals]), F.col("_batch")).alias("_r"))
     return last.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in vals])
 
 
-def run_batches(stream: DataFrame, fn: Callable[[DataFrame, int], None], name: str, timeout_sec: int = 600) -> None:
+def run_batches(stream: DataFrame, fn: Callable[[DataFrame, int], None], ckpt: str) -> None:
     """Drive ``foreachBatch(fn)`` over a stream until the input is drained."""
-    ckpt = scratch_path(stream.sparkSession, "checkpoints", name)
-    q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_sec)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not drain in {timeout_sec}s")
-    if q.exception():
-        raise q.exception()
+    _drain(stream.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
+           .trigger(availableNow=True).start())
 
 
 def stream_score(stream: DataFrame, features: DataFrame, key: str, model, feature_cols: Sequence[str],
                  out_path: str, name: str = "stream_score", threshold: float = 0.5) -> str:
     """Score arriving requests (stream–static join to the customer
-    features) and append them to the log, batch by batch.  The static side is
-    written once as a table first, so micro-batches read it instead of
-    re-deriving it."""
+    features) and append them to the log, batch by batch; returns the folder
+    of the log.  A request of an unknown customer stays, with null
+    probability and class.  The static side is written once as a table first,
+    so micro-batches read it instead of re-deriving it.  Runs into one
+    ``out_path`` continue each other."""
     from churnlens.operators.ml import score
     from churnlens.session import materialize
 
-    features = materialize(features, "score_features")
+    sink, ckpt = _paths(stream.sparkSession, name, out_path)
+    features = materialize(features.withColumn("_known", F.lit(True)), "score_features")
+    write = _write_batch(sink)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        s = score(batch.join(features, key), model, threshold)
-        keep = [c for c in s.columns if c not in feature_cols]
-        # one folder per batch, overwritten: a replayed batch replaces itself
-        s.select(*keep).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+    def run(batch: DataFrame, batch_id: int) -> None:
+        s = score(batch.join(features, key, "left"), model, threshold)
+        known = F.col("_known").isNotNull()
+        s = s.withColumns({c: F.when(known, F.col(c)) for c in ("probability_1", "predicted")})
+        write(s.select(*[c for c in s.columns if c not in (*feature_cols, "_known")]), batch_id)
 
-    run_batches(stream, write, name)
-    return out_path
+    run_batches(stream, run, ckpt)
+    return sink
 
 
-def stream_upsert(stream: DataFrame, table_path: str, key: str, seq: Sequence[str],
+def stream_upsert(stream: DataFrame, out_path: str, key: str, seq: Sequence[str],
                   name: str = "stream_upsert") -> str:
-    """Feedback arriving over time, last row per key wins.
-
-    Merge-on-read: each micro-batch only writes its rows (tagged with the
-    batch id) to its own folder under the deltas of the current base
-    version — O(batch), never a rewrite of the table, and a replayed batch
-    overwrites its own folder.  ``read_merged`` applies the G2 rule over
-    base + deltas (later batches win, then ``seq``); ``compact`` folds the
-    deltas into a new base version.  Replays of a batch are idempotent:
-    rows are de-duplicated on (key, seq) within the batch and the batch id
-    decides ties across batches.
-    """
-    from churnlens.sources.io import _versions
-
-    base_v = _versions(stream.sparkSession, table_path)
-    if not base_v:
-        raise FileNotFoundError(f"no base version under {table_path}")
-    delta = f"{table_path}/_d{base_v[-1]}"
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        (batch.dropDuplicates([key, *seq]).withColumn("_batch", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").parquet(f"{delta}/batch={batch_id}"))
+    """Feedback arriving over time; returns the folder of the feedback table.
 
-    run_batches(stream, append, name)
-    return table_path
+    A plain streaming append: each micro-batch writes its rows, de-duplicated
+    on (key, seq), to its own folder.  ``merged`` applies the G2 rule to a base
+    table and all feedback so far.  Runs into one ``out_path`` continue each
+    other.
+    """
+    sink, ckpt = _paths(stream.sparkSession, name, out_path)
+    write = _write_batch(sink)
+    run_batches(stream, lambda batch, batch_id: write(batch.dropDuplicates([key, *seq]), batch_id), ckpt)
+    return sink
 
 
-def read_merged(spark: SparkSession, table_path: str, key: str, seq: Sequence[str]) -> DataFrame:
-    """Current base version with its feedback deltas applied (G2 rule)."""
+def merged(spark: SparkSession, base: DataFrame, feedback: str, key: str, seq: Sequence[str]) -> DataFrame:
+    """``base`` with the feedback table applied (G2): the greatest ``seq`` of a key wins; of equal
+    ones the later batch."""
     from churnlens.operators.merge import upsert_log
-    from churnlens.sources.io import _listing, _versions, read_current
-
-    v = _versions(spark, table_path)[-1]
-    base = read_current(spark, table_path)
-    delta = f"{table_path}/_d{v}"
-    if _listing(spark, delta) is None:
-        return base
-    fb = spark.read.option("basePath", delta).parquet(delta).drop("batch")
-    merged = upsert_log(base, fb, key, ["_batch", *seq])
-    return merged.select(*base.columns)
-
-
-def compact(spark: SparkSession, table_path: str, key: str, seq: Sequence[str]) -> str:
-    """Fold the deltas into a new base version (a batch job; readers keep
-    reading the previous complete version until it is written)."""
-    from churnlens.sources.io import overwrite_after_merge
-    return overwrite_after_merge(read_merged(spark, table_path, key, seq), table_path)
+
+    rows = spark.read.option("basePath", feedback).parquet(feedback).drop("batch")
+    return upsert_log(base, rows, key, [*seq, "_batch"]).select(*base.columns)

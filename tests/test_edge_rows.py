@@ -174,24 +174,16 @@ def test_encode_decode_identity(spark):
     assert [r.c for r in back.collect()] == ["Yes", "No"]
 
 
-def test_column_kinds_exact_at_the_limit(spark):
-    from churnlens.operators.drift import column_kinds
-    rows = [(float(i % 5), float(i % 6), float(i), str(i % 2)) for i in range(600)]
-    df = spark.createDataFrame(rows, "five double, six double, many double, txt string")
-    kinds, n = column_kinds(df, ["five", "six", "many", "txt"])
-    assert n == 600
-    assert kinds == {"five": "categorical", "six": "numeric", "many": "numeric", "txt": "categorical"}
-
-
-def test_classify_columns_sketched_kinds_equal_exact(spark):
-    from churnlens.operators.quality import classify_columns
-    rows = [(str(i), i % 9, i % 25, f"c{i % 21}", float(i)) for i in range(500)]
-    df = spark.createDataFrame(rows, "id string, nine int, many int, txt string, x double")
-    exact = {r.column: (r.kind, r.n_distinct) for r in classify_columns(df).collect()}
-    sketch = {r.column: (r.kind, r.n_distinct) for r in classify_columns(df, exact_counts=False).collect()}
-    assert {c: k for c, (k, _) in exact.items()} == {c: k for c, (k, _) in sketch.items()}
-    assert exact["nine"] == ("categorical", 9) and exact["txt"] == ("cardinal", 21)
-    assert sketch["nine"][1] == 9 and sketch["txt"][1] == 21
+@pytest.mark.parametrize("method", ["distance", "test"])
+def test_drift_kinds_exact_at_the_limit(spark, method):
+    from churnlens.operators.drift import drift_report
+    rows = [(float(i % 5), float(i % 6), float(i), str(i % 2), None) for i in range(600)]
+    df = spark.createDataFrame(rows, "five double, six double, many double, txt string, none double")
+    got = {r.column: r for r in drift_report(df, df, ["five", "six", "many", "txt", "none"], method=method).collect()}
+    assert {c: r.kind for c, r in got.items()} == {"five": "categorical", "six": "numeric", "many": "numeric",
+                                                   "txt": "categorical"}
+    assert not any(r.drifted for r in got.values())
+    assert got["six"].method == ("wasserstein" if method == "distance" else "ks")
 
 
 def test_density_prebinned_close_to_exact(spark):
@@ -211,3 +203,87 @@ def test_cluster_conf_sizes_partitions():
     c = cluster_conf(100 * 1024 ** 4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert cluster_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_null_groups_are_groups(spark):
+    from churnlens.operators.explore import box_stats
+    from churnlens.operators.metrics import roc_auc, stage_metrics
+    from churnlens.operators.ml import stratified_split
+    rows = [(i, i % 2, (i * 7 % 11) / 11, None if i % 10 == 0 else "p", "v") for i in range(100)]
+    df = spark.createDataFrame(rows, "id int, y int, p double, model_stage string, model_version string")
+    assert {r.model_stage for r in roc_auc(df, "y", "p", ["model_stage"]).collect()} == {None, "p"}
+    assert {r.model_stage: r.n for r in box_stats(df, "model_stage", "p", "model_version").collect()} == {None: 10, "p": 90}
+    log = df.withColumns({"label": df.y, "probability": df.p, "latency": df.p})
+    got = {r.model_stage: r for r in stage_metrics(log, min_samples=5).collect()}
+    assert {k: v.num_samples for k, v in got.items()} == {None: 10, "p": 90} and got["p"].roc_auc is not None
+    split = stratified_split(df, "model_stage", 0.2, key="id")
+    assert split.count() == 100
+    assert split.where("split = 'test'").count() == 20 and split.where("model_stage IS NULL AND split = 'test'").count() == 2
+
+
+def test_profile_keeps_columns_without_values(spark):
+    from churnlens.operators.quality import profile_numeric, validate_schema
+    df = spark.createDataFrame([(1, None), (2, None), (None, None)], "a int, b double")
+    got = {r.column: r for r in profile_numeric(df, ["a", "b"]).collect()}
+    assert got["b"]["count"] == 0 and got["b"]["mean"] is None and got["b"]["n_distinct"] == 0
+    assert got["a"]["count"] == 2 and got["a"]["q50"] == 1.5 and abs(got["a"]["std"] - 0.5 ** 0.5) < 1e-12
+    assert validate_schema(df, ["b"], warn_nulls=True)
+
+
+def test_histogram_has_all_bins(spark):
+    from churnlens.operators.explore import histogram
+    df = spark.createDataFrame([(0.0,), (10.0,), (9.9,)], "x double")
+    assert [r.n for r in histogram(df, "x", 5).orderBy("bin").collect()] == [1, 0, 0, 0, 2]
+    assert [r.n for r in histogram(df.where("x > 9.95"), "x", 5).collect()] == [1]
+    assert histogram(df.limit(0), "x", 5).count() == 0
+
+
+def test_numbers_with_java_suffixes_are_text(spark):
+    from churnlens.functions import to_numeric
+    df = spark.createDataFrame([("1d",), ("2F",), (" 3.5 ",), ("1e3",), ("inf",), ("x",), (None,)], "t string")
+    got = [r[0] for r in df.select(to_numeric("t")).collect()]
+    assert got == [None, None, 3.5, 1000.0, float("inf"), None, None]
+
+
+def test_long_common_prefixes_spread_over_ranges(spark):
+    from churnlens.operators.ordered import add_range
+    df = spark.range(4000).selectExpr("concat('https://www.example.com/page/', lpad(id, 8, '0')) AS u")
+    sizes = [r["count"] for r in add_range(df, ["u"], 16).groupBy("_range").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 1000
+
+
+def test_last_n_ascending(spark):
+    from churnlens.operators.merge import last_n
+    df = spark.createDataFrame([(i, i * 7 % 10) for i in range(10)], "id int, t int")
+    assert [r.t for r in last_n(df, 4, "t", "id").collect()] == [6, 7, 8, 9]
+
+
+def test_predict_table_one_row_per_row(spark):
+    from churnlens.plans import catalog
+    from churnlens.operators.ml import predict_table, train_logistic
+    t, params = catalog.ml_table(spark, "/root/testdata/sf0.001")
+    model = train_logistic(t.where("split = 'train'"), catalog.ML_FEATURES, "churn")
+    raw = catalog.raw_subscribers(spark, "/root/testdata/sf0.001")
+    twice = raw.unionByName(raw).withColumns({"segment": F.when(F.col("tenure") > 3, F.col("segment")),
+                                              "monthly_charges": F.when(F.col("tenure") > 3, F.col("monthly_charges"))})
+    out = predict_table(twice, model, params, keep=raw.columns, features=catalog.ML_FEATURES, id_col="customer_id")
+    assert out.count() == twice.count() and out.where("probability IS NULL").count() == 0
+    feats = catalog_serving(twice, params)
+    assert feats.where("monthly_charges IS NULL OR segment < 0").count() == 0
+
+
+def catalog_serving(raw, params):
+    from churnlens.operators.fitted import prepare_serving
+    return prepare_serving(raw, params)
+
+
+def test_counts_of_ten_billion_do_not_overflow(spark):
+    from churnlens.operators.drift import _category_shift
+    from churnlens.operators.metrics import _auc_from_counts
+    big = 10 ** 10
+    counts = spark.createDataFrame([("c", "a", big, 2 * big), ("c", "b", 2 * big, big), ("c", "d", big, big)],
+                                   "column string, value string, _a long, _b long")
+    row = _category_shift(counts).first()
+    assert row.test == "chi_square" and row.p_value == 0.0
+    scores = spark.createDataFrame([(0.1, big, 3 * big), (0.9, 3 * big, big)], "s double, _pos long, _neg long")
+    assert abs(_auc_from_counts(scores, "s", []).first().roc_auc - 0.75) < 1e-12

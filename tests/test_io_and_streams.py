@@ -80,21 +80,60 @@ def test_stream_equals_batch_multi_batch(spark):
     assert sorted(got.collect()) == sorted(batch.collect())
 
 
-def test_stream_upsert_equals_batch(spark):
+def test_stream_upsert_equals_batch_over_two_runs(spark):
     from churnlens.operators.merge import upsert_log
     from churnlens.streaming import streams as J
-    base = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, seq int, v string")
-    table = J.scratch_path(spark, "tables", "t")
-    A.overwrite_after_merge(base, table)
-    fb = spark.createDataFrame([(1, 2, "c"), (3, 1, "d"), (1, 3, "e")], "k int, seq int, v string")
-    path = J.land_in_order(fb, J.scratch_path(spark, "landing", "fb"), "seq", n_files=2)
-    J.stream_upsert(J.file_stream(spark, path, fb.schema, 1), table, "k", ["seq"])
-    got = sorted(tuple(r) for r in J.read_merged(spark, table, "k", ["seq"]).collect())
-    want = sorted(tuple(r) for r in upsert_log(base, fb, "k", ["seq"]).select("k", "seq", "v").collect())
-    assert got == want
-    J.compact(spark, table, "k", ["seq"])
-    assert sorted(tuple(r) for r in A.read_current(spark, table).collect()) == want
-    assert sorted(tuple(r) for r in J.read_merged(spark, table, "k", ["seq"]).collect()) == want
+    schema = "k int, seq int, v string"
+    base = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], schema)
+    first = spark.createDataFrame([(1, 9, "c"), (3, 1, "d"), (1, 3, "e"), (4, None, "x")], schema)
+    second = spark.createDataFrame([(1, 5, "late and older"), (2, 2, "f"), (None, 1, "no key")], schema)
+    landing, table = J.scratch_path(spark, "landing", "fb"), J.scratch_path(spark, "tables", "fb")
+    for part in (first, second):  # the second run goes on in the same folder
+        J.land_in_order(part, landing, "seq", n_files=2)
+        feedback = J.stream_upsert(J.file_stream(spark, landing, first.schema, 1), table, "k", ["seq"])
+    got = sorted(map(str, map(tuple, J.merged(spark, base, feedback, "k", ["seq"]).collect())))
+    both = first.unionByName(second)
+    want = sorted(map(str, map(tuple, upsert_log(base, both, "k", ["seq"]).select("k", "seq", "v").collect())))
+    assert got == want and len(got) == 5
+
+
+def test_land_in_order_keeps_rows_without_time(spark):
+    from churnlens.streaming import streams as J
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else i) for i in range(20)], "id int, t int")
+    path = J.land_in_order(df, J.scratch_path(spark, "landing", "nulls"), "t", n_files=3)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(20))
+
+
+def test_stream_score_keeps_unknown_customers_and_earlier_runs(spark):
+    from churnlens.operators.ml import train_logistic
+    from churnlens.streaming import streams as J
+    train = spark.createDataFrame([(float(i % 7), i % 2) for i in range(40)], "x double, y int")
+    model = train_logistic(train, ["x"], "y")
+    features = spark.createDataFrame([(1, 1.0), (2, 2.0)], "c int, x double")
+    landing, out = J.scratch_path(spark, "landing", "sc"), J.scratch_path(spark, "sinks", "sc")
+    for ids in ([(10, 1), (11, 99)], [(12, 2), (13, None)]):
+        part = spark.createDataFrame(ids, "r int, c int")
+        J.land_in_order(part, landing, "r", n_files=1)
+        sink = J.stream_score(J.file_stream(spark, landing, part.schema), features, "c", model, ["x"], out)
+    got = {r.r: r.predicted for r in spark.read.parquet(sink).collect()}
+    assert set(got) == {10, 11, 12, 13}
+    assert got[11] is None and got[13] is None and got[10] is not None and got[12] is not None
+
+
+def test_csv_by_header_name(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "swapped.csv")
+    with open(p, "w") as f:
+        f.write('b,extra,a\n"x, ""q""",0,1\ny,0,2\n')
+    assert sorted(map(tuple, A.read_table(spark, p, "a int, b string").collect())) == [(1, 'x, "q"'), (2, "y")]
+    with pytest.raises(A.MalformedSourceError):
+        A.read_table(spark, p, "a int, c string")
+    q = os.path.join(tmpdir_path, "breaks.csv")
+    with open(q, "w") as f:
+        f.write('b,a\n"two\nlines",3\n')
+    assert [tuple(r) for r in A.read_table(spark, q, "a int, b string", multiline=True).collect()] == [(3, "two\nlines")]
+    up = spark.createDataFrame([('b,a\n"two\nlines, ""q""",3\n\n,x\n',), (None,), ("a\n7\n",)], "body string")
+    got = sorted(map(str, map(tuple, A.parse_csv_text(up, "body", "a int, b string").collect())))
+    assert got == sorted(map(str, [(3, 'two\nlines, "q"'), (None, None), (7, None)]))
 
 
 def test_write_table_and_drift_report(spark, tmpdir_path):

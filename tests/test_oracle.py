@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from churnlens.plans import catalog
 
 SF = "/root/testdata/sf0.01"  # the driver gate scale
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings"]
@@ -39,10 +40,10 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, con, name):
     got = entry.queries()[name](spark, SF).toPandas()
-    want = con.execute(entry.oracle_sql()[name]).df()
+    want = con.execute(catalog.ORACLE[name]).df()
     gc, gr = _rows(got)
     wc, wr = _rows(want)
     assert gc == wc

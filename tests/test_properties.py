@@ -32,7 +32,7 @@ def test_quantiles_equal_numpy(spark, rows, n_ranges, hot):
 def test_running_sums_equal_cumsum(spark, rows, n_ranges):
     df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g string, x double")
     c = df.groupBy("g", "x").agg(F.count(F.lit(1)).alias("c"))
-    ps = prefix_sums(c, ["x"], ["c"], by=["g"], n_ranges=n_ranges, materialize=False).collect()
+    ps = prefix_sums(c, ["x"], ["c"], by=["g"], n_ranges=n_ranges).collect()
     for g in {r.g for r in ps}:
         rs = sorted((r for r in ps if r.g == g), key=lambda r: r.x)
         assert [r.cum_c for r in rs] == list(np.cumsum([r.c for r in rs]))

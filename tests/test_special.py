@@ -30,3 +30,18 @@ def test_ks_asymptotic_bounds():
     assert S.ks_two_sample_p(0.0, 100, 100) == 1.0
     assert 0.0 <= S.ks_two_sample_p(0.5, 100, 100) < 1e-4
     assert S.ks_two_sample_p(0.1, 100, 100) > 0.5
+
+
+def test_large_parameters_converge():
+    import math
+
+    from churnlens.functions.special import chi2_sf, gamma_q, t_two_sided
+    for a, x, want in ((5e4, 5e4, 0.499405), (5e5, 4.998e5, 0.611215), (5e6, 5e6, 0.499941)):
+        assert abs(gamma_q(a, x) - want) < 2e-4
+    for dof in (10**5, 10**6, 10**7):
+        z = 1.5
+        normal = math.erfc(z / math.sqrt(2))
+        assert abs(t_two_sided(z, dof) - normal) < 1e-5
+        assert abs(chi2_sf(dof + z * math.sqrt(2 * dof), dof) - normal / 2) < 1e-2
+    assert gamma_q(3.0, float("inf")) == 0.0 and math.isnan(gamma_q(3.0, float("nan")))
+
