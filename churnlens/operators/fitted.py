@@ -54,17 +54,17 @@ def apply_label_encoder(df: DataFrame, params: DataFrame, cols: Sequence[str] |
         for c in cols:
             m = table.get(c, {})
             if not m:
-                exprs[c] = F.lit(unseen)
+                exprs[c] = F.lit(unseen).cast("bigint")
                 continue
             lookup = F.create_map(*[F.lit(x) for kv in sorted(m.items()) for x in kv])
-            exprs[c] = F.coalesce(lookup[F.col(c).cast("string")], F.lit(unseen)).cast("int")
+            exprs[c] = F.coalesce(lookup[F.col(c).cast("string")], F.lit(unseen)).cast("bigint")
         return df.withColumns(exprs)
     out = df
     for c in cols:
         code_df = params.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"),
                                                             F.col("code").alias(f"_code_{c}"))
         out = (out.join(code_df, F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
-               .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.lit(unseen)).cast("int"))
+               .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.lit(unseen)).cast("bigint"))
                .drop(f"_v_{c}", f"_code_{c}"))
     return out
 

@@ -3,7 +3,7 @@
 Training and scoring are Spark ML estimators and transformers; the only
 Python in the data path is the per-cell neighbour search of the minority
 oversampler, which runs as an Arrow-batched ``applyInPandas`` on cells of a
-bounded size.
+bounded size; the new rows themselves are column expressions.
 """
 
 from __future__ import annotations
@@ -18,11 +18,10 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression, Multil
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from churnlens.functions.columns import decode_binary, risk_band, threshold_label
 from churnlens.operators.fitted import prepare_serving
@@ -72,69 +71,129 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     return df.join(F.broadcast(w), label)
 
 
-def _smote_cells(features: Sequence[str], k: int, seed: int, schema: T.StructType):
+def _nearest_in_cell(k: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf.empty:
-            return pd.DataFrame(columns=schema.names)
-        x = pdf[list(features)].to_numpy(dtype="float64")
-        need = pdf["_m"].to_numpy()
-        cell = int(pdf["_cell"].iloc[0])
-        rng = np.random.default_rng(seed + cell)
-        n = len(x)
-        kk = min(k, n - 1)
-        out = []
+        """The k nearest rows of each row within one cell of bounded size."""
+        x = np.stack(pdf["x"].to_numpy())
+        ids = pdf["id"].to_numpy()
+        kk = min(k, len(x) - 1)
         if kk <= 0:
-            for i in range(n):
-                out.extend([x[i]] * int(need[i]))
-        else:
-            sq = (x * x).sum(1)
-            d2 = sq[:, None] + sq[None, :] - 2.0 * x @ x.T
-            np.fill_diagonal(d2, np.inf)
-            nn = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
-            for i in range(n):
-                for _ in range(int(need[i])):
-                    j = nn[i, rng.integers(kk)]
-                    out.append(x[i] + rng.random() * (x[j] - x[i]))
-        res = pd.DataFrame(np.array(out).reshape(-1, len(features)), columns=list(features))
-        return res
+            return pd.DataFrame({"id": ids[:0], "other": ids[:0], "d": np.zeros(0)})
+        sq = (x * x).sum(1)
+        d2 = sq[:, None] + sq[None, :] - 2.0 * x @ x.T
+        np.fill_diagonal(d2, np.inf)
+        near = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
+        return pd.DataFrame({"id": np.repeat(ids, kk), "other": ids[near].ravel(),
+                             "d": np.maximum(np.take_along_axis(d2, near, 1), 0.0).ravel()})
     return run
 
 
-def oversample_minority(df: DataFrame, label: str, features: Sequence[str], k: int = 5, seed: int = 42,
-                        cell_size: int = 2048, key: str | None = None) -> DataFrame:
-    """H2: balance classes by interpolating between minority neighbours
-    (Chawla et al. 2002).
-
-    Minority rows are ranked along a seeded random projection and cut into
-    cells of exactly ``cell_size`` rows (ranks from prefix sums, so even a
-    third of rows sharing one point splits evenly).  Neighbours are the k
-    nearest inside the cell, found with numpy in ``applyInPandas``; each row
-    makes its share of the (majority − minority) new rows.
+def nearest_neighbours(points: DataFrame, k: int = 5, projections: int = 4, cell_size: int = 2048,
+                       seed: int = 42) -> DataFrame:
+    """(id, other, d): about the k nearest of every point (``id``, ``x`` array of double).
+
+    Along each of several seeded random directions the points are ranked
+    (distributed prefix sums) and cut into cells of ``cell_size`` ranks, every
+    second direction shifted by half a cell; the k best of all cells that hold
+    a point are kept.  Up to ``cell_size`` points the result is exact, beyond
+    it recall grows with ``projections`` (tested against brute force).  A cell
+    bounds a task's memory whatever the number of equal points.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    if len(counts) < 2:
-        return df
-    minority = min(counts, key=lambda c: (counts[c], str(c)))
-    n_min, n_max = counts[minority], max(counts.values())
-    n_new = n_max - n_min
-    if n_new == 0:
-        return df
+    points = materialize(points.select("id", "x"), "points")
+    size = points.select(F.size("x")).first()
     rng = random.Random(seed)
-    u = [rng.gauss(0, 1) for _ in features]
-    proj = sum((F.col(f).cast("double") * w for f, w in zip(features, u)), F.lit(0.0))
-    tie = F.col(key) if key else F.monotonically_increasing_id()
-    mins = (df.where(F.col(label) == minority)
-            .select(*features, proj.alias("_p"), tie.alias("_t")).withColumn("_one", F.lit(1)))
-    ranked = prefix_sums(mins, ["_p", "_t"], ["_one"])
-    base, extra = divmod(n_new, n_min)
-    ranked = (ranked.withColumn("_cell", F.floor((F.col("cum__one") - 1) / cell_size).cast("long"))
-              .withColumn("_m", F.lit(base) + F.when(F.col("cum__one") <= extra, 1).otherwise(0)))
-    out_schema = T.StructType([T.StructField(f, T.DoubleType()) for f in features])
-    synth = (ranked.select(*features, "_cell", "_m").groupBy("_cell")
-             .applyInPandas(_smote_cells(features, k, seed, out_schema), out_schema))
-    synth = synth.withColumn(label, F.lit(minority).cast(df.schema[label].dataType))
-    orig = df.select(*[F.col(f).cast("double").alias(f) for f in features], label)
-    return orig.unionByName(synth)
+    found = None
+    for p in range(projections):
+        u = F.array(*[F.lit(rng.gauss(0, 1)) for _ in range(size[0] if size else 1)])
+        along = F.aggregate(F.zip_with("x", u, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+        ranked = prefix_sums(points.withColumn("_p", along).withColumn("_one", F.lit(1)), ["_p", "id"], ["_one"])
+        shift = (p % 2) * (cell_size // 2)
+        cells = ranked.withColumn("_cell", F.floor((F.col("cum__one") - 1 + shift) / cell_size))
+        pairs = cells.select("_cell", "id", "x").groupBy("_cell").applyInPandas(
+            _nearest_in_cell(k), "id long, other long, d double")
+        found = pairs if found is None else found.unionByName(pairs)
+    best = found.groupBy("id", "other").agg(F.min("d").alias("d")).groupBy("id").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct("d", "other"))), 1, k).alias("_n"))  # at most projections * k
+    return best.select("id", F.explode("_n").alias("_n")).select("id", "_n.other", "_n.d")
+
+
+def oversample_minority(df: DataFrame, label: str, features: Sequence[str], k: int = 5, seed: int = 42,
+                        cell_size: int = 2048, key: str | None = None, projections: int = 4,
+                        per_task: int = 10_000, with_pairs: bool = False) -> DataFrame:
+    """H2: balance the smallest class by interpolating between neighbours (Chawla et al. 2002).
+
+    Neighbours come from all minority rows (``nearest_neighbours``).  Each
+    row makes its share of the (majority − minority) new rows, in pieces of at
+    most ``per_task`` rows that are dealt over the tasks, so one row that must
+    make billions is no single task's work.  A new row is the row plus a
+    seeded share of the way to one of its k neighbours; a minority of one row
+    is repeated.  ``with_pairs`` adds ``source_id`` and ``neighbour_id`` (null
+    for original rows).
+    """
+    counts = {r[0]: r[1] for r in df.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
+    orig = df.select(*[F.col(f).cast("double").alias(f) for f in features], label,
+                     F.lit(None).cast("long").alias("source_id"), F.lit(None).cast("long").alias("neighbour_id"))
+    shown = [*features, label, *(["source_id", "neighbour_id"] if with_pairs else [])]
+    minority = min(counts, key=lambda c: (counts[c], str(c))) if len(counts) > 1 else None
+    if minority is None or counts[minority] == max(counts.values()):
+        return orig.select(*shown)
+    n_new = max(counts.values()) - counts[minority]
+    base, extra = divmod(n_new, counts[minority])
+    mins = df.where(F.col(label) == minority).select(F.array(*[F.col(f).cast("double") for f in features]).alias("x"),
+                                                     F.col(key).alias("_key") if key else F.lit(0).alias("_key"))
+    # numbered in the order of their values, so the numbers repeat with the data
+    mins = mins.groupBy("x", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    mins = prefix_sums(mins, ["x", "_key"], ["_n"]).select(
+        "x", F.explode(F.sequence(F.col("cum__n") - F.col("_n"), F.col("cum__n") - 1)).alias("id"))
+    mins = materialize(mins, "minority_rows")
+    near = nearest_neighbours(mins, k, projections, cell_size, seed)
+    near = near.join(mins.select(F.col("id").alias("other"), F.col("x").alias("z")), "other").groupBy("id").agg(
+        F.array_sort(F.collect_list(F.struct("d", "other", "z"))).alias("near"))
+    need = F.lit(base) + F.when(F.col("id") < extra, 1).otherwise(0)
+    work = mins.join(near, "id", "left").withColumn("_need", need).where("_need > 0")
+    work = work.withColumn("_from", F.explode(F.sequence(F.lit(0), F.col("_need") - 1, F.lit(per_task))))
+    work = work.repartition("id", "_from")
+    work = work.withColumn("_s", F.explode(F.sequence(
+        F.col("_from"), F.least(F.col("_from") + per_task, F.col("_need").cast("long")) - 1)))
+    pick = F.element_at("near", (F.pmod(F.xxhash64("id", "_s", F.lit(seed)), F.size("near")) + 1).cast("int"))
+    gap = F.pmod(F.xxhash64("id", "_s", F.lit(seed + 1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    work = work.withColumn("_pick", F.when(F.size("near") > 0, pick)).withColumn("_gap", gap)
+    made = F.coalesce(F.zip_with("x", F.col("_pick.z"), lambda a, z: a + F.col("_gap") * (z - a)), F.col("x"))
+    synth = work.select(made.alias("x"), F.col("id").alias("source_id"), F.col("_pick.other").alias("neighbour_id"))
+    synth = synth.select(*[F.col("x")[i].alias(f) for i, f in enumerate(features)],
+                         F.lit(minority).cast(df.schema[label].dataType).alias(label), "source_id", "neighbour_id")
+    return orig.unionByName(synth).select(*shown)
+
+
+class LinearScorer:
+    """A logistic model with given weights; ``transform`` adds its ``probability`` vector."""
+
+    def __init__(self, features: Sequence[str], weights: Sequence[float], intercept: float):
+        self.features, self.weights, self.intercept = list(features), list(weights), float(intercept)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        margin = F.lit(self.intercept)
+        for f, w in zip(self.features, self.weights):
+            margin = margin + F.lit(float(w)) * F.col(f).cast("double")
+        p = 1 / (1 + F.exp(-margin))
+        return df.withColumn("probability", array_to_vector(F.array(1 - p, p)))
+
+
+def train_and_rank(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
+                   trainers: Mapping, first_version: bool = True) -> DataFrame:
+    """Train every model, score the test part and rank by F1 (then by name): one row per model with its
+    five metrics; the best goes to Production as the first version, to Staging afterwards."""
+    from churnlens.operators.metrics import binary_metrics, roc_auc
+    parts = None
+    for name, fit in trainers.items():
+        s = score(test, fit(train, features, label)).select(F.lit(name).alias("model"), label, "probability_1", "predicted")
+        parts = s if parts is None else parts.unionByName(s)
+    scores = materialize(parts, "model_scores")
+    m = binary_metrics(scores, label, "predicted", ["model"]).join(
+        roc_auc(scores, label, "probability_1", ["model"]), "model", "left")
+    rank = F.row_number().over(Window.orderBy(F.desc("f1"), "model"))  # one row per model
+    stage = F.when(F.col("rank") == 1, F.lit("Production" if first_version else "Staging"))
+    return m.withColumn("rank", rank).withColumn("stage", stage)
 
 
 def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.constants import INTERNAL_ENDPOINTS, TENURE_EDGES, TENURE_LABELS
+from churnlens.constants import INTERNAL_ENDPOINTS, RISK_CUTS, RISK_LABELS, TENURE_EDGES, TENURE_LABELS
 from churnlens.operators import clean as C
 from churnlens.operators import explore as E
 from churnlens.plans import fixtures as FX
@@ -302,7 +302,7 @@ def raw_subscribers(spark, sf):
 
 
 def sql_encoder(src: str, cols=ENC_COLS) -> str:
-    return f"""SELECT "column", value, CAST(row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS INT) AS code
+    return f"""SELECT "column", value, CAST(row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS BIGINT) AS code
     FROM (SELECT DISTINCT "column", value FROM ({sql_melt(src, cols)}) WHERE value IS NOT NULL)"""
 
 
@@ -395,7 +395,7 @@ def _cohort_clean(src: str, mode_src: str) -> str:
 
 @register("serving_features", with_views("subscribers", extra=f"""
 fit_raw AS (SELECT * FROM subscribers WHERE tenure < 48),
-srv_raw AS (SELECT * FROM subscribers WHERE tenure >= 48),
+srv_raw AS (SELECT * FROM subscribers),
 fit_c AS ({_cohort_clean("fit_raw", "fit_raw")}),
 srv_c AS ({_cohort_clean("srv_raw", "fit_raw")}),
 enc AS ({sql_encoder("fit_c")}), mm AS ({sql_mm_params("fit_c")})""") + _features_sql("fit_c", "srv_c"))
@@ -403,7 +403,7 @@ def q_serving_features(spark, sf):
     from churnlens.operators.fitted import prepare_serving, prepare_training
     raw = raw_subscribers(spark, sf)
     _, params = prepare_training(raw, SUB_SPEC, fit_on=raw.where(F.col("tenure") < 48))
-    feats = prepare_serving(raw.where(F.col("tenure") >= 48), params)
+    feats = prepare_serving(raw, params)  # every row, with the parameters of the fitting cohort
     return feats.select(*FEATURE_CATS, *[r6(c).alias(c) for c in SUB_NUMERIC], "churn")
 
 
@@ -1219,38 +1219,86 @@ def q_boosted_random_search(spark, sf):
     return spark.createDataFrame([(i, float(m)) for i, m in enumerate(cvm.avgMetrics)], "param_set int, mean_f1 double")
 
 
-@register("predict_table")
+# Queries about serving, decay and attribution score with a stated logistic model, so that SQL can follow them.
+FIXED_WEIGHTS = {"senior": 0.4, "segment": -0.3, "contract": -0.8, "payment": 0.2, "tenure": -1.5,
+                 "monthly_charges": 0.9, "total_charges": 0.1}
+FIXED_INTERCEPT = 0.5
+
+FEATS_SQL = ("SELECT customer_id, " + ", ".join(sql_code("enc", c, "s") for c in FEATURE_CATS) + ", " + ", ".join(
+    f"(CAST(s.{c} AS DOUBLE) - mm.mn_{c}) / CASE WHEN mm.r_{c} = 0 THEN 1.0 ELSE mm.r_{c} END AS {c}"
+    for c in SUB_NUMERIC) + " FROM subs_clean s, mm")
+MARGIN_SQL = f"{FIXED_INTERCEPT} + " + " + ".join(f"({w}) * {c}" for c, w in FIXED_WEIGHTS.items())
+
+
+def scored_views(extra: str = "") -> str:
+    """View ``sc``: customer_id, features and probability p under the stated model."""
+    return subs_clean_views(extra=f"""
+enc AS ({sql_encoder("subs_clean")}), mm AS ({sql_mm_params("subs_clean")}),
+ft AS ({FEATS_SQL}),
+sc AS (SELECT *, 1 / (1 + exp(-({MARGIN_SQL}))) AS p FROM ft)""" + (", " + extra if extra else ""))
+
+
+def _fixed_model():
+    from churnlens.operators.ml import LinearScorer
+    return LinearScorer(list(FIXED_WEIGHTS), list(FIXED_WEIGHTS.values()), FIXED_INTERCEPT)
+
+
+def _served(spark, sf):
+    """(features of every subscriber, parameters)."""
+    from churnlens.operators.fitted import prepare_training
+    feats, params = prepare_training(raw_subscribers(spark, sf), ML_SPEC)
+    return feats.select("customer_id", *ML_FEATURES), params
+
+
+@register("predict_table", scored_views() + f"""
+SELECT customer_id, CASE WHEN p >= 0.5 THEN 'Yes' ELSE 'No' END AS "Churn", round(p, 6) AS probability,
+       CASE WHEN p < {RISK_CUTS[0]} THEN '{RISK_LABELS[0]}' WHEN p < {RISK_CUTS[1]} THEN '{RISK_LABELS[1]}'
+            ELSE '{RISK_LABELS[2]}' END AS risk FROM sc""")
 def q_predict_table(spark, sf):
-    from churnlens.operators.ml import predict_table, train_logistic
-    train, _, params = _train_test(spark, sf)
-    model = train_logistic(train, ML_FEATURES, "churn")
+    from churnlens.operators.ml import predict_table
+    _, params = _served(spark, sf)
     raw = raw_subscribers(spark, sf)
-    out = predict_table(raw, model, params, keep=raw.columns, features=ML_FEATURES, id_col="customer_id")
+    out = predict_table(raw, _fixed_model(), params, keep=raw.columns, features=ML_FEATURES, id_col="customer_id")
     return out.select("customer_id", "Churn", r6("probability").alias("probability"), "risk")
 
 
-@register("decay_check")
+@register("decay_check", scored_views(extra=f"""
+pl AS ({SQL_VIEWS_PL}),
+lg AS (SELECT label AS y, p, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS h FROM pl JOIN sc USING (customer_id)
+       WHERE label IS NOT NULL),
+c AS (SELECT count(*) AS n, count(*) FILTER (WHERE y = 1 AND h = 1) AS tp, count(*) FILTER (WHERE y = 0 AND h = 1) AS fp,
+             count(*) FILTER (WHERE y = 1 AND h = 0) AS fn, count(*) FILTER (WHERE y = 0 AND h = 0) AS tn FROM lg),
+ps AS (SELECT p, count(*) FILTER (WHERE y = 1) AS a, count(*) FILTER (WHERE y <> 1) AS b FROM lg GROUP BY p),
+cu AS (SELECT a, b, sum(b) OVER (ORDER BY p) AS cb FROM ps),
+au AS (SELECT sum(a * (cb - b + 0.5 * b)) / (sum(a) * sum(b)) AS auc FROM cu)""") + """
+SELECT n, tp, fp, fn, tn, round(CASE WHEN n > 0 THEN (tp + tn) / n ELSE 0 END, 6) AS accuracy,
+       round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision,
+       round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall,
+       round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1,
+       round(auc, 6) AS roc_auc FROM c, au""")
 def q_decay_check(spark, sf):
-    from churnlens.operators.fitted import prepare_serving
-    from churnlens.operators.ml import decay_check, train_logistic
-    train, _, params = _train_test(spark, sf)
-    model = train_logistic(train, ML_FEATURES, "churn")
+    from churnlens.operators.ml import decay_check
+    feats, _ = _served(spark, sf)
     log = FX.prediction_log(spark, sf).select("request_id", "customer_id", "label")
-    feats = prepare_serving(raw_subscribers(spark, sf), params).select("customer_id", *ML_FEATURES)
-    lf = log.join(feats, "customer_id")
-    return decay_check(lf, model, "label", expected=[*ML_FEATURES, "label"])
+    out = decay_check(log.join(feats, "customer_id"), _fixed_model(), "label", expected=[*ML_FEATURES, "label"])
+    return out.select("n", "tp", "fp", "fn", "tn", *[r6(c).alias(c) for c in
+                                                     ("accuracy", "precision", "recall", "f1", "roc_auc")])
 
 
 def _linear_phi(spark, sf):
-    from churnlens.operators.explain import explain_linear, logistic_weights
-    from churnlens.operators.ml import train_logistic
-    train, test, _ = _train_test(spark, sf)
-    model = train_logistic(train, ML_FEATURES, "churn")
-    w, b = logistic_weights(model)
-    return explain_linear(test, "customer_id", ML_FEATURES, w, b, background=train)
+    from churnlens.operators.explain import explain_linear
+    feats, _ = _served(spark, sf)
+    return explain_linear(feats, "customer_id", ML_FEATURES, [FIXED_WEIGHTS[c] for c in ML_FEATURES], FIXED_INTERCEPT)
+
+
+LINEAR_PHI_SQL = " UNION ALL ".join(
+    f"SELECT customer_id, '{c}' AS feature, ({w}) * ({c} - (SELECT avg({c}) FROM ft)) AS phi FROM ft"
+    for c, w in FIXED_WEIGHTS.items())
+LINEAR_BASE_SQL = f"{FIXED_INTERCEPT} + " + " + ".join(f"({w}) * avg({c})" for c, w in FIXED_WEIGHTS.items())
 
 
-@register("explain_linear")
+@register("explain_linear", scored_views(extra=f"ph AS ({LINEAR_PHI_SQL})") + f"""
+SELECT customer_id, feature, round(phi, 6) AS phi, round((SELECT {LINEAR_BASE_SQL} FROM ft), 6) AS base FROM ph""")
 def q_explain_linear(spark, sf):
     return _linear_phi(spark, sf).select("customer_id", "feature", r6("phi").alias("phi"), r6("base").alias("base"))
 
@@ -1266,13 +1314,28 @@ def q_explain_sampled(spark, sf):
     return phi.select("customer_id", "feature", r6("phi").alias("phi"), r6("base").alias("base"))
 
 
-@register("explain_summary")
+@register("explain_summary", scored_views(extra=f"ph AS ({LINEAR_PHI_SQL})") + """
+SELECT feature, round(avg(abs(phi)), 6) AS mean_abs_phi, round(max(abs(phi)), 6) AS max_abs_phi FROM ph GROUP BY 1""")
 def q_explain_summary(spark, sf):
     from churnlens.operators.explain import explain_summary
     out = explain_summary(_linear_phi(spark, sf))
     return out.select("feature", r6("mean_abs_phi").alias("mean_abs_phi"), r6("max_abs_phi").alias("max_abs_phi"))
 
 
+@register("train_and_rank")
+def q_train_and_rank(spark, sf):
+    """Split, balance the training part, train every kind of model, rank by F1 on the test part."""
+    from churnlens.operators.ml import (oversample_minority, train_and_rank, train_boosted, train_forest,
+                                        train_logistic, train_mlp)
+    from churnlens.session import materialize
+    train, test, _ = _train_test(spark, sf)
+    balanced = materialize(oversample_minority(train, "churn", ML_FEATURES, key="customer_id"), "ml_balanced")
+    out = train_and_rank(balanced, test, ML_FEATURES, "churn", {
+        "forest": train_forest, "boosted": train_boosted, "network": train_mlp, "logistic": train_logistic})
+    return out.select("model", *[r6(c).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")],
+                      "rank", "stage")
+
+
 # ---------------------------------------------------------------------------
 # J: metric aggregates, batch forms (oracle) and streaming runs
 # ---------------------------------------------------------------------------
@@ -1417,17 +1480,15 @@ def q_stream_upsert(spark, sf):
     return merged(spark, base, feedback, "o_custkey", ["o_orderkey"])
 
 
-@register("stream_score")
+@register("stream_score", scored_views(extra=f"pl AS ({SQL_VIEWS_PL})") + """
+SELECT request_id, customer_id, round(p, 6) AS probability, CASE WHEN p >= 0.5 THEN 1 WHEN p < 0.5 THEN 0 END AS predicted
+FROM pl LEFT JOIN sc USING (customer_id)""")
 def q_stream_score(spark, sf):
-    from churnlens.operators.fitted import prepare_serving
-    from churnlens.operators.ml import train_logistic
     from churnlens.streaming.streams import scratch_path, stream_score
-    train, _, params = _train_test(spark, sf)
-    model = train_logistic(train, ML_FEATURES, "churn")
-    feats = prepare_serving(raw_subscribers(spark, sf), params).select("customer_id", *ML_FEATURES)
+    feats, _ = _served(spark, sf)
     reqs = FX.prediction_log(spark, sf).select("request_id", "customer_id", "event_time")
     s = _landed_stream(spark, reqs, "score_requests", "event_time")
-    out = stream_score(s, feats, "customer_id", model, ML_FEATURES, scratch_path(spark, "sinks", "scored"))
+    out = stream_score(s, feats, "customer_id", _fixed_model(), ML_FEATURES, scratch_path(spark, "sinks", "scored"))
     return spark.read.parquet(out).select("request_id", "customer_id", r6("probability_1").alias("probability"),
                                           "predicted")
 

@@ -81,3 +81,53 @@ def test_model_save_load_round_trip(ml, tmpdir_path):
     a = sorted((r.customer_id, round(r.probability_1, 12)) for r in score(train, model).collect())
     b = sorted((r.customer_id, round(r.probability_1, 12)) for r in score(train, back).collect())
     assert a == b
+
+
+def test_neighbours_against_brute_force(spark):
+    from churnlens.operators.ml import nearest_neighbours
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.3, (1000, 4)) for c in rng.normal(0, 3, (5, 4))])
+    points = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, x array<double>")
+    got = {}
+    for r in nearest_neighbours(points, k=5, cell_size=512, projections=6).collect():
+        got.setdefault(r.id, set()).add(r.other)
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2)
+    np.fill_diagonal(d, np.inf)
+    near = np.argpartition(d, 4, axis=1)[:, :5]
+    assert len(got) == len(x) and all(len(v) == 5 for v in got.values())
+    assert np.mean([len(got[i] & set(near[i])) / 5 for i in range(len(x))]) >= 0.9
+
+
+def test_oversampling_far_out_of_balance(spark):
+    from churnlens.operators.ml import oversample_minority
+    rows = [(float(i % 97), float(i % 89), 0) for i in range(30_000)] + [(1.0, 2.0, 1), (3.0, 4.0, 1), (3.0, 4.0, 1)]
+    df = spark.createDataFrame([*rows, (0.0, 0.0, None)], "a double, b double, y int")
+    out = oversample_minority(df, "y", ["a", "b"], per_task=500, with_pairs=True)
+    got = {r.y: r["count"] for r in out.groupBy("y").count().collect()}
+    assert got == {0: 30_000, 1: 30_000, None: 1}
+    made = out.where("source_id IS NOT NULL")
+    assert made.where("neighbour_id IS NULL OR a < 1 OR a > 3 OR abs(b - a - 1) > 1e-9").count() == 0
+    assert made.select("source_id").distinct().count() == 3
+    one = spark.createDataFrame([(1.0, 0), (2.0, 0), (5.0, 1)], "a double, y int")
+    assert [r.a for r in oversample_minority(one, "y", ["a"]).where("y = 1").collect()] == [5.0, 5.0]
+
+
+def test_repeated_ids_are_explained_row_by_row(ml):
+    from churnlens.operators.explain import explain_sampled
+    from churnlens.operators.ml import LinearScorer
+    t, _ = ml
+    two = t.limit(3)
+    model = LinearScorer(catalog.ML_FEATURES, [0.3] * len(catalog.ML_FEATURES), 0.0)
+    phi = explain_sampled(two.unionByName(two), model, "customer_id", catalog.ML_FEATURES, samples=3)
+    assert phi.count() == 6 * len(catalog.ML_FEATURES)
+
+
+def test_ranking_of_models(ml):
+    from churnlens.operators.ml import LinearScorer, train_and_rank
+    t, _ = ml
+    fits = {"up": lambda *_: LinearScorer(["tenure"], [5.0], -2.0), "down": lambda *_: LinearScorer(["tenure"], [-5.0], 2.0)}
+    got = train_and_rank(t, t, catalog.ML_FEATURES, "churn", fits).orderBy("rank").collect()
+    assert [r.rank for r in got] == [1, 2] and got[0].f1 >= got[1].f1
+    assert got[0].stage == "Production" and got[1].stage is None
+    assert abs(got[0].roc_auc + got[1].roc_auc - 1) < 1e-9
+
