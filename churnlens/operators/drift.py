@@ -194,3 +194,28 @@ def drift_last_n(ref: DataFrame, log: DataFrame, cols: Sequence[str], n: int, ti
     if got < min_rows:
         raise ValueError(f"not enough production rows for drift ({got} < {min_rows})")
     return drift_report(ref, cur, cols, **kw)
+
+
+def cleaned_sides(ref: DataFrame, cur: DataFrame, numeric_text: Sequence[str], numeric: Sequence[str],
+                  categorical: Sequence[str], fill: str = "zero") -> tuple[DataFrame, DataFrame]:
+    """Both sides in contract order and cleaned alike, with fill values fitted on the reference."""
+    from churnlens.operators.clean import apply_cleaning, conform, fit_cleaning
+    cols = [*numeric, *categorical]
+    ref, cur = conform(ref, cols), conform(cur, cols)
+    params = fit_cleaning(ref, numeric_text, numeric, categorical, fill)
+    return apply_cleaning(ref, params), apply_cleaning(cur, params)
+
+
+def drift_check(ref: DataFrame, log: DataFrame, cols: Sequence[str], n: int, time_col: str, tiebreak: str,
+                min_rows: int = 10, **kw) -> DataFrame:
+    """F8–F10 as one row that always comes: status ('ok' or 'not_enough_rows'), rows, columns, drifted
+    columns and their share (null unless ok)."""
+    cur = materialize(last_n(log, n, time_col, tiebreak), "drift_last_n")
+    rows = cur.count()
+    if rows < min_rows:
+        return ref.sparkSession.createDataFrame(
+            [("not_enough_rows", rows, None, None, None)],
+            "status string, n_rows bigint, n_columns bigint, drift_count bigint, drift_share double")
+    share = drift_share(drift_report(ref, cur, cols, **kw))
+    return share.select(F.lit("ok").alias("status"), F.lit(rows).cast("bigint").alias("n_rows"), "n_columns",
+                        "drift_count", "drift_share")

@@ -170,32 +170,33 @@ def append_inference_log(df: DataFrame, path: str, columns: Sequence[str] | None
     out.write.mode("append").partitionBy("date").parquet(path)
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Version numbers of the ``_v<n>`` folders under ``path`` that hold data files."""
-    files = _listing(spark, f"{path}/_v*")
-    if files is None:
-        return []
-    v = files.select(F.regexp_extract("path", r"/_v(\d+)/", 1).alias("v")).where(F.col("v") != "").distinct()
-    return sorted(int(r[0]) for r in v.collect())
+def _newest(spark: SparkSession, path: str) -> int:
+    """The newest committed version of a table, 0 when there is none."""
+    try:
+        return spark.read.parquet(f"{path}/versions").agg(F.max("version")).first()[0]
+    except AnalysisException:
+        return 0
 
 
 def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read the newest version directory of a table written by ``overwrite_after_merge``."""
-    vs = _versions(spark, path)
-    if not vs:
+    """Read the newest committed version of a table written by ``overwrite_after_merge``."""
+    v = _newest(spark, path)
+    if not v:
         raise FileNotFoundError(path)
-    return spark.read.format(fmt).load(f"{path}/_v{vs[-1]}")
+    return spark.read.format(fmt).load(f"{path}/v{v}")
 
 
 def overwrite_after_merge(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Write a new version directory and return it.
+    """Write the next version of a table and return its folder.
 
     Spark cannot overwrite the files it is reading, so each merge writes
-    ``_v<n+1>``; readers take the newest complete version.
+    ``v<n+1>`` whole and then adds the number to the small ``versions`` table;
+    a write that failed half-way was never added and is overwritten.
     """
-    vs = _versions(df.sparkSession, path)
-    target = f"{path}/_v{(vs[-1] + 1) if vs else 1}"
-    df.write.mode("errorifexists").format(fmt).save(target)
+    v = _newest(df.sparkSession, path) + 1
+    target = f"{path}/v{v}"
+    df.write.mode("overwrite").format(fmt).save(target)
+    df.sparkSession.createDataFrame([(v,)], "version int").coalesce(1).write.mode("append").parquet(f"{path}/versions")
     return target
 
 

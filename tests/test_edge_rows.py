@@ -287,3 +287,27 @@ def test_counts_of_ten_billion_do_not_overflow(spark):
     assert row.test == "chi_square" and row.p_value == 0.0
     scores = spark.createDataFrame([(0.1, big, 3 * big), (0.9, 3 * big, big)], "s double, _pos long, _neg long")
     assert abs(_auc_from_counts(scores, "s", []).first().roc_auc - 0.75) < 1e-12
+
+
+def test_drift_check_gives_a_row_in_any_case(spark):
+    from churnlens.operators.drift import cleaned_sides, drift_check
+    ref = spark.createDataFrame([(i, str(i % 3), float(i % 7)) for i in range(60)], "t int, c string, x double")
+    ok = drift_check(ref, ref, ["c", "x"], 50, "t", "t").first()
+    assert (ok.status, ok.n_rows, ok.n_columns, ok.drift_count) == ("ok", 50, 2, 0)
+    few = drift_check(ref, ref.limit(4), ["c", "x"], 50, "t", "t").first()
+    assert (few.status, few.n_rows, few.drift_share) == ("not_enough_rows", 4, None)
+    a, b = cleaned_sides(ref, spark.createDataFrame([(None, None)], "x double, c string"), [], ["x"], ["c"])
+    assert a.columns == b.columns == ["x", "c"] and b.first().x == 3.0 and b.first().c == "0"
+
+
+def test_a_version_counts_once_it_is_committed(spark, tmpdir_path):
+    from churnlens.sources import io as A
+    path = tmpdir_path + "/t"
+    with pytest.raises(FileNotFoundError):
+        A.read_current(spark, path)
+    A.overwrite_after_merge(spark.range(3), path)
+    spark.range(9).write.parquet(path + "/v2")  # a write that was never committed
+    assert A.read_current(spark, path).count() == 3
+    A.overwrite_after_merge(spark.range(5), path)
+    assert A.read_current(spark, path).count() == 5
+
