@@ -25,6 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch between Spark and Python; a task holds a few of them at a time.
+BATCH = "16m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than Spark's default for this session, unless it already asks for something else."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "64m") in ("64m", "64MB", "67108864", "67108864b"):
+        spark.conf.set(key, BATCH)
+
+
 def whole_text(col: str):
     """The text as a string, null as empty."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from churnlens.llm.common import pieces, table, whole_text
 
 K = 300
+SLICE = 512 << 10
 FIT_ROWS = 2000
 MAX_LANGUAGES = 5000
 UNKNOWN = "und"
@@ -98,7 +99,7 @@ def top_grams(keys: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray, np.
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text) -> (lang, gram, n), added up within each slice."""
-    for batch in pieces(batches, 1, 2 << 20):
+    for batch in pieces(batches, 1, SLICE):
         langs = batch.column(0).to_pylist()
         names = sorted(set(langs))
         number = {x: i for i, x in enumerate(names)}
@@ -135,7 +136,10 @@ def fit_profiles(train: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              k: int = K, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, lang_pred, score`` for every row (and the columns named in ``carry``, before them)."""
+    """``doc_id, lang_pred, score`` for every row (and the columns named in ``carry``, before them).
+
+    The text travels once, also where it is carried.
+    """
     rows = profiles.orderBy("lang", "rank").collect()  # at most MAX_LANGUAGES * k rows
     langs = sorted({r["lang"] for r in rows})
     grams = np.array(sorted({r["gram"] for r in rows}), np.int64)
@@ -163,23 +167,28 @@ def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_
         return [langs[b] if h else UNKNOWN for b, h in zip(best, has)], np.where(has, score, 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 0, 2 << 20):
-            pred, score = judge(batch.column(0).to_pylist())
+        for batch in pieces(batches, at, SLICE):
+            pred, score = judge([t or "" for t in batch.column(at).to_pylist()])
+            kept = [k for k in range(batch.num_columns) if k != at or text_col in carry]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(pred, pa.string()), pa.array(score)],
-                names=[*batch.schema.names[1:], "lang_pred", "score"])
+                [*(batch.column(k) for k in kept), pa.array(pred, pa.string()), pa.array(score)],
+                names=[*(batch.schema.names[k] for k in kept), "lang_pred", "score"])
 
-    kept = docs.select(whole_text(text_col).alias("_text"), *(F.col(c) for c in carry),
-                       F.col(id_col).alias("doc_id"))
-    out = kept.drop("_text").schema.add("lang_pred", "string").add("score", "double")
-    return kept.mapInArrow(run, out)
+    own = [] if text_col in carry else [F.col(text_col).cast("string").alias("__text")]
+    rows = docs.select(*own, *(F.col(c) for c in carry), F.col(id_col).alias("doc_id"))
+    at = carry.index(text_col) if text_col in carry else 0
+    out = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(run, out)
 
 
 def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows whose text is in a learned language; the others (no letter at all) go."""
     profiles = fit_profiles(docs, id_col, text_col, lang_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("row"))
-    return identify(rows, profiles, carry=("row",)).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+    # numbered names: no column of the input can clash with those of the result
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    rows = docs.toDF(*names).withColumn("doc_id", F.lit(None).cast("long"))
+    judged = identify(rows, profiles, text_col=names[docs.columns.index(text_col)], carry=tuple(names))
+    return judged.filter(F.col("lang_pred") != UNKNOWN).select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:

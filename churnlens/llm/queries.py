@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 from churnlens.llm import bpe_codec, exact_dedup, fingerprint, html_text, jaccard_join, language_id, mixing, substring_dedup, token_count, url_filter
+from churnlens.llm.common import bounded_batches
+
+
+def _bounded(query):
+    def run(spark, sf_dir: str):
+        bounded_batches(spark)
+        return query(spark, sf_dir)
+    return run
+
 
 QUERIES = {
-    "op1_mix_sources": mixing.op1_mix_sources,
-    "op2_url_filter": url_filter.op2_url_filter,
-    "op3_token_counts": token_count.op3_token_counts,
-    "op4_html_text": html_text.op4_html_text,
-    "op5_fingerprints": fingerprint.op5_fingerprints,
-    "op6_exact_dedup": exact_dedup.op6_exact_dedup,
-    "op7_substring_dedup": substring_dedup.op7_substring_dedup,
-    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
-    "op9_language_id": language_id.op9_language_id,
-    "op10_bpe_codec": bpe_codec.op10_bpe_codec,
+    "op1_mix_sources": _bounded(mixing.op1_mix_sources),
+    "op2_url_filter": _bounded(url_filter.op2_url_filter),
+    "op3_token_counts": _bounded(token_count.op3_token_counts),
+    "op4_html_text": _bounded(html_text.op4_html_text),
+    "op5_fingerprints": _bounded(fingerprint.op5_fingerprints),
+    "op6_exact_dedup": _bounded(exact_dedup.op6_exact_dedup),
+    "op7_substring_dedup": _bounded(substring_dedup.op7_substring_dedup),
+    "op8_jaccard_join": _bounded(jaccard_join.op8_jaccard_join),
+    "op9_language_id": _bounded(language_id.op9_language_id),
+    "op10_bpe_codec": _bounded(bpe_codec.op10_bpe_codec),
 }
 
 ORACLE = {
