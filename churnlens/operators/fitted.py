@@ -15,10 +15,7 @@ from pyspark.sql import functions as F
 from churnlens.functions.columns import encode_binary
 from churnlens.operators import clean as C
 from churnlens.operators.quality import sorted_distinct, validate_schema
-
-# Encoders with more entries than this are applied with a broadcast join
-# instead of a literal map.
-MAX_LITERAL_CODES = 10_000
+from churnlens.session import materialize
 
 
 def fit_label_encoder(df: DataFrame, cols: Sequence[str], exclude: Sequence[str] = ()) -> DataFrame:
@@ -27,38 +24,15 @@ def fit_label_encoder(df: DataFrame, cols: Sequence[str], exclude: Sequence[str]
     return sorted_distinct(df, cols).select("column", "value", F.col("position").alias("code"))
 
 
-def encoder_codes(params: DataFrame) -> dict[str, dict[str, int]] | None:
-    """The fitted codes as a small dict, or None when there are more than
-    ``MAX_LITERAL_CODES`` (then they are applied with a join)."""
-    head = params.limit(MAX_LITERAL_CODES + 1).collect()
-    if len(head) > MAX_LITERAL_CODES:
-        return None
-    table: dict[str, dict[str, int]] = {}
-    for r in head:
-        table.setdefault(r["column"], {})[r["value"]] = r["code"]
-    return table
-
-
 def apply_label_encoder(df: DataFrame, params: DataFrame, cols: Sequence[str] | None = None,
-                        unseen: int = -1, codes: dict | None = None) -> DataFrame:
-    """Map values (compared as text, Q3) to fitted codes; unseen → −1.
+                        unseen: int = -1) -> DataFrame:
+    """Map values (compared as text, Q3) to fitted codes; unseen and null → −1.
 
-    ``codes`` (from ``encoder_codes``) skips the collect when already known."""
-    table = codes if codes is not None else encoder_codes(params)
+    One left join per column with the column's rows of ``params``, at any size
+    of the encoder; Spark broadcasts a small one (``prepare_training`` keeps
+    it as a written table, so its size is known)."""
     if cols is None:
-        cols = sorted(table) if table is not None else \
-            [r[0] for r in params.select("column").distinct().collect()]
-    cols = list(cols)
-    if table is not None:
-        exprs = {}
-        for c in cols:
-            m = table.get(c, {})
-            if not m:
-                exprs[c] = F.lit(unseen).cast("bigint")
-                continue
-            lookup = F.create_map(*[F.lit(x) for kv in sorted(m.items()) for x in kv])
-            exprs[c] = F.coalesce(lookup[F.col(c).cast("string")], F.lit(unseen)).cast("bigint")
-        return df.withColumns(exprs)
+        cols = sorted(r[0] for r in params.select("column").distinct().collect())  # one row per column
     out = df
     for c in cols:
         code_df = params.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"),
@@ -106,10 +80,8 @@ def prepare_training(df: DataFrame, spec: Mapping, fit_on: DataFrame | None = No
     params = {"cleaning": clean_params}
     cleaned_fit = _encode_target(C.apply_cleaning(fit_src, clean_params), spec)
     enc_cols = [c for c in spec["categorical"] if c not in (spec["target"], spec.get("id"))]
-    encoder = fit_label_encoder(cleaned_fit, enc_cols)
-    params["encoder"] = encoder
-    params["encoder_codes"] = encoder_codes(encoder)
-    encoded_fit = apply_label_encoder(cleaned_fit, encoder, enc_cols, codes=params["encoder_codes"])
+    encoder = params["encoder"] = materialize(fit_label_encoder(cleaned_fit, enc_cols), "encoder")
+    encoded_fit = apply_label_encoder(cleaned_fit, encoder, enc_cols)
     selected_fit = C.drop_if_present(hooks(encoded_fit, *spec.get("hooks", ())), spec["drop"])
     fit = fit_minmax if spec.get("scaler", "minmax") == "minmax" else fit_standard
     params["scaler"] = fit(selected_fit, spec["scaled"])
@@ -134,7 +106,7 @@ def prepare_serving(df: DataFrame, params: Mapping, refit: bool = False) -> Data
         cp = C.fit_cleaning(df, spec["numeric_text"], spec["numeric"], spec["categorical"], cp.get("fill", "zero"))
     out = _encode_target(C.apply_cleaning(df, cp), spec)
     enc_cols = [c for c in spec["categorical"] if c not in (spec["target"], spec.get("id"))]
-    out = apply_label_encoder(out, params["encoder"], enc_cols, codes=params.get("encoder_codes"))
+    out = apply_label_encoder(out, params["encoder"], enc_cols)
     out = hooks(out, *spec.get("hooks", ()))
     out = C.drop_if_present(out, spec["drop"])
     return apply_affine(out, params["scaler"])
