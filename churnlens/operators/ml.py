@@ -300,6 +300,22 @@ def predict_table(raw: DataFrame, model, params: Mapping, keep: Sequence[str], f
     return out
 
 
+def predict_log(raw: DataFrame, model: LinearScorer, params: Mapping, keep: Sequence[str], means: Mapping[str, float],
+                stage: str, version: str, latency: float | str = 0.0, threshold: float = 0.5) -> DataFrame:
+    """H14 + H12 + A6 in one projection: the kept raw columns, ``attributions`` (feature → weight · (x − mean))
+    and the log columns (label, probability, time, stage, version, latency, date), ready for
+    ``append_inference_log``.  One output row per input row, on a batch or a stream."""
+    from churnlens.sources.io import with_log_columns
+    row = raw.select("*", F.struct(*[F.col(c) for c in keep]).alias("_kept"))
+    scored = score(prepare_serving(row, params), model, threshold)
+    phi = F.map_from_arrays(
+        F.array(*[F.lit(f) for f in model.features]),
+        F.array(*[F.lit(float(w)) * (F.col(f).cast("double") - F.lit(float(means[f])))
+                  for f, w in zip(model.features, model.weights)]))
+    out = scored.select("_kept.*", phi.alias("attributions"), "probability_1", "predicted")
+    return with_log_columns(out, "predicted", "probability_1", stage, version, latency).drop("predicted", "probability_1")
+
+
 def decay_check(log_features: DataFrame, model, label: str, threshold: float = 0.5,
                 expected: Sequence[str] = ()) -> DataFrame:
     """Check that the ``expected`` columns are there, score labelled rows and report the five metrics."""

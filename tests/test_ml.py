@@ -131,3 +131,20 @@ def test_ranking_of_models(ml):
     assert got[0].stage == "Production" and got[1].stage is None
     assert abs(got[0].roc_auc + got[1].roc_auc - 1) < 1e-9
 
+
+def test_predict_explain_and_log_in_one_projection(spark, ml, tmpdir_path):
+    from churnlens.operators.ml import LinearScorer, predict_log
+    from churnlens.sources.io import append_inference_log
+    _, params = ml
+    raw = catalog.raw_subscribers(spark, "/root/testdata/sf0.001")
+    model = LinearScorer(catalog.ML_FEATURES, [0.5] * len(catalog.ML_FEATURES), -1.0)
+    means = {f: 0.25 for f in catalog.ML_FEATURES}
+    out = predict_log(raw, model, params, [c for c in raw.columns if c != "churn"], means, "Production", "v1")
+    append_inference_log(out, tmpdir_path + "/log")
+    back = spark.read.parquet(tmpdir_path + "/log")
+    assert back.count() == raw.count()
+    for r in back.limit(20).collect():
+        margin = -1.0 + sum(r.attributions.values()) + 0.5 * 0.25 * len(catalog.ML_FEATURES)
+        assert r.probability == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-9)
+        assert r.Churn == ("Yes" if r.probability >= 0.5 else "No")
+
