@@ -118,7 +118,7 @@ _DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string
 
 
 def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 digests: bool = False, cache_words: int = 250_000) -> DataFrame:
+                 digests: bool = False, cache_words: int = 100_000) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` for every row; ``digests=True``: SHA-256 of the
     ids (decimal, joined by a space) and of the decoded text in their place, made in
     the same pass so that the long columns need not leave the task."""

@@ -55,7 +55,7 @@ from churnlens.session import materialize
 
 WORDS = 5
 SINGLES_SPACE = np.uint64(3 << 61)  # hashes below this: 3/8 of all
-SLICE = 8 << 20
+SLICE = 4 << 20
 BLOCK = 256
 BLOOM_BITS = 1 << 27  # greatest size of the survivors' filter: 16 MB
 
