@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.operators.merge import sample_n
-from churnlens.operators.ordered import prefix_sums
+from churnlens.operators.ordered import default_ranges, prefix_sums
 from churnlens.session import materialize
 
 
@@ -64,8 +64,8 @@ def explain_sampled(df: DataFrame, model, row_id: str, features: Sequence[str],
     # a key for every row; written, so that it is the same wherever it is read
     x = materialize(df.select(row_id, *[F.col(f).cast("double").alias(f) for f in features])
                     .withColumn("_rk", F.monotonically_increasing_id()), "explain_rows")
-    # one row per (row, feature j, sample s)
-    draws = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(d * samples - 1))).alias("_s"))
+    # one row per (row, feature j, sample s); the input rows are dealt out first, each makes d * samples draws
+    draws = x.repartition(default_ranges(x), "_rk").select("*", F.explode(F.sequence(F.lit(0), F.lit(d * samples - 1))).alias("_s"))
     draws = (draws.withColumn("_j", (F.col("_s") % d).cast("int"))
              .withColumn("_bi", F.pmod(F.xxhash64(F.col("_rk"), F.col("_s"), F.lit(seed)), F.lit(n_bg))))
     draws = draws.join(bg, "_bi")

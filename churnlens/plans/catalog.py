@@ -1308,9 +1308,9 @@ def q_explain_sampled(spark, sf):
     from churnlens.operators.explain import default_background, explain_sampled
     from churnlens.operators.ml import train_forest
     train, test, _ = _train_test(spark, sf)
-    model = train_forest(train, ML_FEATURES, "churn", {"numTrees": 50})
+    model = train_forest(train, ML_FEATURES, "churn")
     bg = default_background(train, "customer_id", 100)
-    phi = explain_sampled(test, model, "customer_id", ML_FEATURES, bg, samples=8)
+    phi = explain_sampled(train.unionByName(test), model, "customer_id", ML_FEATURES, bg)
     return phi.select("customer_id", "feature", r6("phi").alias("phi"), r6("base").alias("base"))
 
 

@@ -122,6 +122,23 @@ def test_repeated_ids_are_explained_row_by_row(ml):
     assert phi.count() == 6 * len(catalog.ML_FEATURES)
 
 
+def test_explain_query_takes_all_rows_samples_and_trees(spark, ml, monkeypatch):
+    from churnlens.operators import explain
+    from churnlens.operators.ml import FOREST_DEFAULTS
+    real, seen = explain.explain_sampled, {}
+
+    def watched(df, model, *args, samples=100, **more):
+        seen.update(samples=samples, trees=model.stages[-1].getNumTrees)
+        return real(df, model, *args, samples=2, **more)
+
+    monkeypatch.setattr(explain, "explain_sampled", watched)
+    t, _ = ml
+    got = catalog.QUERIES["explain_sampled"](spark, "/root/testdata/sf0.001")
+    pairs = {(r.customer_id, r.feature) for r in got.collect()}
+    assert pairs == {(r.customer_id, f) for r in t.select("customer_id").collect() for f in catalog.ML_FEATURES}
+    assert seen == {"samples": 100, "trees": FOREST_DEFAULTS["numTrees"]}
+
+
 def test_ranking_of_models(ml):
     from churnlens.operators.ml import LinearScorer, train_and_rank
     t, _ = ml
