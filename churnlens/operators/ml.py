@@ -34,6 +34,8 @@ FOREST_DEFAULTS = {"numTrees": 200, "maxDepth": 10, "seed": 42}
 BOOSTED_DEFAULTS = {"stepSize": 0.1, "maxDepth": 6, "maxIter": 200, "seed": 42}
 MLP_DEFAULTS = {"hidden": 128, "stepSize": 0.001, "maxIter": 20, "blockSize": 512, "seed": 42}
 MAX_TREE_DEPTH = 30
+#: Most parts that one level of the neighbour search cuts a cell into.
+FAN = 4
 
 
 def stratified_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: int = 2,
@@ -92,26 +94,45 @@ def nearest_neighbours(points: DataFrame, k: int = 5, projections: int = 4, cell
                        seed: int = 42) -> DataFrame:
     """(id, other, d): about the k nearest of every point (``id``, ``x`` array of double).
 
-    Along each of several seeded random directions the points are ranked
-    (distributed prefix sums) and cut into cells of ``cell_size`` ranks, every
-    second direction shifted by half a cell; the k best of all cells that hold
-    a point are kept.  Up to ``cell_size`` points the result is exact, beyond
-    it recall grows with ``projections`` (tested against brute force).  A cell
-    bounds a task's memory whatever the number of equal points.
+    Up to ``cell_size`` points the result is exact.  Beyond it the points are
+    cut into cells once for each of ``projections`` trees, and the k best of
+    all cells that hold a point are kept.  A tree turns the points into axes of
+    its own; then each cell of more than ``cell_size`` points is cut at ranks
+    of the axis along which it is widest, into up to ``FAN`` parts, until none
+    is larger, so that a cell is compact in all directions whatever the number
+    of points.  The trees' cuts are shifted against each other.  All cells of
+    all trees are cut by one distributed prefix sum a level.  A cell bounds a
+    task's memory whatever the number of equal points.
     """
     points = materialize(points.select("id", "x"), "points")
-    size = points.select(F.size("x")).first()
-    rng = random.Random(seed)
-    found = None
-    for p in range(projections):
-        u = F.array(*[F.lit(rng.gauss(0, 1)) for _ in range(size[0] if size else 1)])
-        along = F.aggregate(F.zip_with("x", u, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-        ranked = prefix_sums(points.withColumn("_p", along).withColumn("_one", F.lit(1)), ["_p", "id"], ["_one"])
-        shift = (p % 2) * (cell_size // 2)
-        cells = ranked.withColumn("_cell", F.floor((F.col("cum__one") - 1 + shift) / cell_size))
-        pairs = cells.select("_cell", "id", "x").groupBy("_cell").applyInPandas(
-            _nearest_in_cell(k), "id long, other long, d double")
-        found = pairs if found is None else found.unionByName(pairs)
+    most = points.count()
+    if most <= cell_size:
+        rows = points.select(F.lit(0).alias("_tree"), F.lit(0).cast("long").alias("_cell"), "id", "x")
+    else:
+        d = points.select(F.size("x")).first()[0]
+        rng = np.random.default_rng(seed)
+        turns = [np.linalg.qr(rng.normal(size=(d, d)))[0].tolist() for _ in range(projections)]
+        along = F.transform("_turn", lambda u: F.aggregate(F.zip_with("x", u, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
+        rows = points.select("id", "x", F.posexplode(F.lit(turns)).alias("_tree", "_turn")).select(
+            "_tree", F.lit(0).cast("long").alias("_cell"), "id", along.alias("x"))
+        rows = materialize(rows, "turned_points")
+    while most > cell_size:
+        spread = F.array(*[F.var_pop(F.col("x")[i]) for i in range(d)])
+        widest = rows.groupBy("_tree", "_cell").agg(F.count(F.lit(1)).alias("_n"), spread.alias("_v")).select(
+            "_tree", "_cell", "_n", F.coalesce(F.array_position("_v", F.array_max("_v")), F.lit(1)).cast("int").alias("_axis"))
+        aimed = rows.join(widest, ["_tree", "_cell"]).withColumn("_p", F.element_at("x", F.col("_axis"))).withColumn("_one", F.lit(1))
+        # one order over all cells: a group per cell would make as many range totals as rows
+        ranked = materialize(prefix_sums(aimed, ["_tree", "_cell", "_p", "id"], ["_one"]), "ranked_points")
+        starts = ranked.groupBy("_tree", "_cell").agg(F.min("cum__one").alias("_start"))
+        parts = F.least(F.lit(FAN), F.ceil(F.col("_n") / cell_size))
+        width = F.ceil(F.col("_n") / parts)
+        shift = F.when(parts > 1, F.floor(width * F.col("_tree") / projections)).otherwise(0)
+        part = F.floor((F.col("cum__one") - F.col("_start") + shift) / width)
+        rows = materialize(ranked.join(starts, ["_tree", "_cell"]).select(
+            "_tree", (F.col("_cell") * (FAN + 1) + part).cast("long").alias("_cell"), "id", "x"), "cut_points")
+        most = max(cell_size, -(-most // FAN))
+    found = rows.groupBy("_tree", "_cell").applyInPandas(
+        _nearest_in_cell(k), "id long, other long, d double")
     best = found.groupBy("id", "other").agg(F.min("d").alias("d")).groupBy("id").agg(
         F.slice(F.array_sort(F.collect_list(F.struct("d", "other"))), 1, k).alias("_n"))  # at most projections * k
     return best.select("id", F.explode("_n").alias("_n")).select("id", "_n.other", "_n.d")

@@ -1,6 +1,7 @@
 """Split, oversampling, training and explanation on the small test tables."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +99,24 @@ def test_neighbours_against_brute_force(spark):
     assert np.mean([len(got[i] & set(near[i])) / 5 for i in range(len(x))]) >= 0.9
 
 
+@pytest.mark.parametrize("n", [20_000, 60_000])
+def test_neighbours_of_many_points_by_default(spark, n):
+    from churnlens.operators.ml import nearest_neighbours
+    x = np.random.default_rng(4).normal(size=(n, 5))
+    points = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "x": x.tolist()}))
+    asked = np.arange(0, n, n // 500)
+    got = {}
+    for r in nearest_neighbours(points).where(F.col("id") % (n // 500) == 0).collect():
+        got.setdefault(r.id, set()).add(r.other)
+    d = ((x[asked][:, None, :] - x[None, :, :]) ** 2).sum(2)
+    d[np.arange(len(asked)), asked] = np.inf
+    near = np.argpartition(d, 4, axis=1)[:, :5]
+    assert set(got) == set(asked) and all(len(v) == 5 for v in got.values())
+    recall = np.mean([len(got[i] & set(row)) / 5 for i, row in zip(asked, near)])
+    print("recall", n, recall)
+    assert recall >= 0.9
+
+
 def test_oversampling_far_out_of_balance(spark):
     from churnlens.operators.ml import oversample_minority
     rows = [(float(i % 97), float(i % 89), 0) for i in range(30_000)] + [(1.0, 2.0, 1), (3.0, 4.0, 1), (3.0, 4.0, 1)]
