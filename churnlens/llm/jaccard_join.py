@@ -95,11 +95,11 @@ def _batch(columns: list, names: list[str]) -> pa.RecordBatch:
 
 
 def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> (doc_id, cid, n)."""
+    """(doc_id, text, row) -> (doc_id, row, cid, n)."""
     for batch in pieces(batches, 1):
         sets = shingle_sets(batch.column(1))
-        yield _batch([batch.column(0), pa.array([set_digest(s) for s in sets], pa.binary()),
-                      pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "cid", "n"])
+        yield _batch([batch.column(0), batch.column(2), pa.array([set_digest(s) for s in sets], pa.binary()),
+                      pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "row", "cid", "n"])
 
 
 def _slice_key(number: int) -> int:
@@ -427,11 +427,13 @@ def class_links(sets: DataFrame, prefixes: DataFrame, most: int = BLOCK) -> Data
     return components(links.unionByName(more))
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row. ``block``: most documents of a block (see stage 5)."""
+def _components_by_row(docs: DataFrame, id_col: str, text_col: str, block: int = BLOCK, row_col: str | None = None) -> DataFrame:
+    """``doc_id, row, n_shingles, component_id, root`` for every row; ``root`` is null where nothing is linked."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    rows = materialize(texts.mapInArrow(_classify, "doc_id long, cid binary, n long"), "jaccard_rows")
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"),
+                        (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row"))
+    rows = materialize(keyed.mapInArrow(_classify, "doc_id long, row long, cid binary, n long"), "jaccard_rows")
     classes = rows.filter("n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     survivors = materialize(classes.join(surviving_classes(texts), "cid").select(
         "cid", "rep", F.coalesce("rep", F.lit(0)).alias("id")), "jaccard_survivors")
@@ -450,17 +452,28 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("root").isNotNull().alias("links"))
     linked = linked.filter("links OR copies > 1")
     named = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
-    answer = linked.select("cid", "root").join(named, "root").select(F.col("cid").alias("class"), "component_id")
+    answer = linked.select("cid", "root").join(named, "root").select(F.col("cid").alias("class"), "component_id", "root")
     return rows.join(answer, F.col("cid") == F.col("class"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "row", F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"), "root")
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row. ``block``: most documents of a block (see stage 5)."""
+    return _components_by_row(docs, id_col, text_col, block).select("doc_id", "n_shingles", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, the one of smallest id (rows of one id stay or go together)."""
-    stay = jaccard_join(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__stay_id"))
-    return docs.join(stay, docs[id_col].cast("long").eqNullSafe(F.col("__stay_id")), "left_semi")
+    """One row of each component, the one of smallest id (of equal ids, or if no row has one, the first row).
+
+    The rows are written once with a key, and stay or go by that key.
+    """
+    docs = materialize(docs.withColumn("__stay_row", F.monotonically_increasing_id()), "near_rows")
+    found = _components_by_row(docs, id_col, text_col, row_col="__stay_row")
+    alone = F.when(F.col("root").isNull(), F.col("row"))
+    stay = found.filter(F.col("root").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
+        "root", alone.alias("alone")).agg(F.min("row").alias("__stay_row"))
+    return docs.join(stay.select("__stay_row"), "__stay_row", "left_semi").drop("__stay_row")
 
 
 def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:

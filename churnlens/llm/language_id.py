@@ -135,10 +135,11 @@ def fit_profiles(train: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             k: int = K, carry: tuple[str, ...] = ()) -> DataFrame:
+             k: int = K, carry: tuple[str, ...] = (), unlearned: str = UNKNOWN) -> DataFrame:
     """``doc_id, lang_pred, score`` for every row (and the columns named in ``carry``, before them).
 
-    The text travels once, also where it is carried.
+    The text travels once, also where it is carried.  ``unlearned``: what texts
+    with a letter are called if there is no profile at all.
     """
     rows = profiles.orderBy("lang", "rank").collect()  # at most MAX_LANGUAGES * k rows
     langs = sorted({r["lang"] for r in rows})
@@ -152,7 +153,7 @@ def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_
         langs, grams, ranks = shared.value
         keys, has = gram_keys(texts)
         if not langs:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [unlearned if h else UNKNOWN for h in has], np.zeros(len(texts))
         owner, gram, rank = top_grams(keys, k)
         at = np.minimum(np.searchsorted(grams, gram.astype(np.int64)), len(grams) - 1)
         known = grams[at] == gram.astype(np.int64)
@@ -182,12 +183,16 @@ def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_
 
 
 def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows whose text is in a learned language; the others (no letter at all) go."""
+    """The rows whose text has a letter, so that a language can be told; the others go.
+
+    That also holds where no row names a language, so that none can be learned.
+    """
     profiles = fit_profiles(docs, id_col, text_col, lang_col)
     # numbered names: no column of the input can clash with those of the result
     names = [f"c{k}" for k in range(len(docs.columns))]
     rows = docs.toDF(*names).withColumn("doc_id", F.lit(None).cast("long"))
-    judged = identify(rows, profiles, text_col=names[docs.columns.index(text_col)], carry=tuple(names))
+    judged = identify(rows, profiles, text_col=names[docs.columns.index(text_col)], carry=tuple(names),
+                      unlearned="any")
     return judged.filter(F.col("lang_pred") != UNKNOWN).select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
 
 

@@ -18,9 +18,10 @@ source included, is ever gathered in one task.
 
 Defined cases: null or empty text has size 0 and takes 0 words; a null source
 is a source of its own, last in order; a source of size 0 has target 0; rows
-that repeat (doc_id and size alike) are taken alike; weights must be positive; an
-empty table gives an empty result; other columns are ignored by ``plan_mix``
-and carried along by ``mix``.
+that repeat (doc_id and size alike) are taken alike, but with a row key rows
+without an id are decided one by one; weights must be positive; an empty table
+gives an empty result; other columns are ignored by ``plan_mix`` and carried
+along by ``mix``.
 """
 
 from __future__ import annotations
@@ -74,16 +75,26 @@ def water_level(sources: DataFrame, budget: float, max_epochs: float) -> float:
 
 def plan_mix(docs: DataFrame, weight: Column | DataFrame, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source", max_epochs: float = 3.0, budget: float | None = None,
-             seed: int = 17) -> DataFrame:
+             seed: int = 17, row_col: str | None = None) -> DataFrame:
     """``doc_id, source, size, source_size, target, repeats, taken`` for every row.
 
+    ``row_col``: a written column that is unique to each row; it comes back as
+    ``row``, and tells rows without an id apart.
+
     ``weight``: an expression over ``position`` (the source's place in code
     point order, from 0), or a table (source, weight) that covers the sources.
     ``budget``: words to take, by default as many as the input has.
     """
     text = whole_text(text_col)
     h = F.xxhash64(F.col(id_col), F.length(text), F.lit(seed))
+    row = F.lit(None).cast("long")
+    if row_col:
+        row = F.col(row_col)
+        first = docs.filter(F.col(id_col).isNull()).agg(F.min(row)).first()[0]
+        # the first row without an id keeps the hash it has without a row key
+        h = F.when(F.col(id_col).isNull() & (row > F.lit(first)), F.xxhash64(h, row - F.lit(first))).otherwise(h)
     rows = materialize(docs.select(
+        row.alias("row"),
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.shiftrightunsigned(h, 64 - CELL_BITS).cast("int").alias("cell"),
@@ -135,15 +146,15 @@ def plan_mix(docs: DataFrame, weight: Column | DataFrame, id_col: str = "doc_id"
     marked = on_source(rows, cut).withColumn("below", F.coalesce(below, F.lit(False)))
     # the last document: of those above the threshold the one whose size fills the gap best, if that is nearer than none
     filler = marked.filter("NOT below AND size > 0 AND size < 2 * gap").groupBy("source").agg(
-        F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "cell", "sub", "doc_id", "size")).alias("fill"))
+        F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "cell", "sub", "doc_id", "size", "row")).alias("fill"))
     filler = materialize(filler.select("source", "fill"), "mix_fill")
     fill = F.col("fill")
     extra = F.col("below") | F.coalesce(
         (F.col("cell") == fill["cell"]) & (F.col("sub") == fill["sub"]) & (F.col("size") == fill["size"])
-        & F.col("doc_id").eqNullSafe(fill["doc_id"]), F.lit(False))
+        & F.col("doc_id").eqNullSafe(fill["doc_id"]) & F.col("row").eqNullSafe(fill["row"]), F.lit(False))
     return (on_source(marked, filler, "left")
             .withColumn("repeats", F.col("whole") + extra.cast("long"))
-            .select("doc_id", "source", "size", "source_size", "target", "repeats",
+            .select(*(["row"] if row_col else []), "doc_id", "source", "size", "source_size", "target", "repeats",
                     (F.col("size") * F.col("repeats")).alias("taken")))
 
 
@@ -158,14 +169,14 @@ def cycling_weights(weights=WEIGHTS) -> Column:
 def mix(docs: DataFrame, weight: Column | DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The mixed corpus: the input's rows, each as often as it is taken.
 
-    Rows are looked up by id; a null id is taken as one of its own.
+    The rows are written once with a key, and each is taken as the plan says for that key.
     """
-    plan = plan_mix(docs, weight, id_col=id_col, **options)
-    plan = plan.filter("repeats > 0").groupBy("doc_id").agg(F.max("repeats").cast("int").alias("__mix_repeats"))
-    plan = plan.withColumnRenamed("doc_id", "__mix_id")
-    return (docs.join(plan, docs[id_col].eqNullSafe(plan["__mix_id"]))
+    docs = materialize(docs.withColumn("__mix_row", F.monotonically_increasing_id()), "mix_rows")
+    plan = plan_mix(docs, weight, id_col=id_col, row_col="__mix_row", **options)
+    plan = plan.filter("repeats > 0").select(F.col("row").alias("__mix_row"), F.col("repeats").cast("int").alias("__mix_repeats"))
+    return (docs.join(plan, "__mix_row")
             .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_repeats"))))
-            .drop("__mix_id", "__mix_repeats", "__mix_copy"))
+            .drop("__mix_row", "__mix_repeats", "__mix_copy"))
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -317,6 +317,30 @@ def test_links_of_nothing(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 5]
 
 
+def test_near_copies_without_ids_go_row_by_row(spark):
+    near = " ".join(f"w{k}" for k in range(60))
+    other = " ".join(f"v{k}" for k in range(60))
+    rows = [(None, near), (None, near + " end"), (None, near + " stop"), (None, "alone without an id"),
+            (7, other), (None, other + " end"), (9, other + " stop"), (9, "nine again, linked to nothing"), (None, None)]
+    kept = sorted(((r["doc_id"], r["text"]) for r in drop_near_copies(frame(spark, rows)).collect()), key=str)
+    assert len(kept) == 5 and sum((t or "").startswith("w0") for _, t in kept) == 1
+    assert {k for k in kept if not (k[1] or "").startswith("w0")} == {
+        (None, "alone without an id"), (7, other), (9, "nine again, linked to nothing"), (None, None)}
+
+
+def test_mix_of_rows_without_ids(spark):
+    rnd = random.Random(8)
+    rows = [(None if i % 3 == 0 else i, "w " * rnd.randint(1, 12), None, "abc"[rnd.randrange(3)]) for i in range(3000)]
+    rows += [(None, "w w w", None, "b")] * 500
+    docs = frame(spark, rows)
+    target = {r["source"]: r["target"] for r in plan_mix(docs, cycling_weights()).collect()}
+    taken = dict.fromkeys(target, 0)
+    for r in mix(docs, cycling_weights()).collect():
+        taken[r["source"]] += len(words_of(r["text"]))
+    for s in target:
+        assert abs(taken[s] - target[s]) <= 6
+
+
 def test_parity_bitmaps_bound_the_difference():
     rng = np.random.default_rng(11)
     for _ in range(50):

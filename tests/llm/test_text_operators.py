@@ -136,6 +136,11 @@ def test_language_edge_rows(spark):
     assert kept.columns == docs.columns and kept.count() == len(edge_rows()) - 4
 
 
+def test_texts_stay_where_no_language_is_named(spark):
+    docs = frame(spark, edge_rows()).withColumn("lang", F.lit(None).cast("string"))
+    assert drop_unknown(docs).count() == len(edge_rows()) - 4
+
+
 def test_pages_edge_rows(spark):
     model = trained(200)
     body = "<p>" + "This is one long enough sentence of the article, with marks. " * 4 + "</p>"
