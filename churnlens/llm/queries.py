@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from churnlens.llm import bpe_codec, exact_dedup, fingerprint, html_text, jaccard_join, language_id, mixing, substring_dedup, token_count, url_filter
+from churnlens.llm import (bpe_codec, exact_dedup, filter_audit, fingerprint, html_text, jaccard_join, language_id, license_scan, mixing,
+                           substring_dedup, token_count, url_filter, whitening)
 from churnlens.llm.common import bounded_batches
 
 
@@ -24,6 +25,9 @@ QUERIES = {
     "op8_jaccard_join": _bounded(jaccard_join.op8_jaccard_join),
     "op9_language_id": _bounded(language_id.op9_language_id),
     "op10_bpe_codec": _bounded(bpe_codec.op10_bpe_codec),
+    "op11_license_scan": _bounded(license_scan.op11_license_scan),
+    "op12_filter_audit": _bounded(filter_audit.op12_filter_audit),
+    "op13_embedding_whitening": _bounded(whitening.op13_embedding_whitening),
 }
 
 ORACLE = {
@@ -31,4 +35,6 @@ ORACLE = {
     "op6_exact_dedup": exact_dedup.OP6_SQL,
     "op7_substring_dedup": substring_dedup.OP7_SQL,
     "op8_jaccard_join": jaccard_join.OP8_SQL,
+    "op11_license_scan": license_scan.OP11_SQL,
+    "op12_filter_audit": filter_audit.OP12_SQL,
 }
