@@ -20,7 +20,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.columns import decode_binary, risk_band, threshold_label
@@ -64,13 +64,34 @@ def stratified_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: in
     return out.withColumn("split", side).select(*cols, "split")
 
 
+def stratified_folds(df: DataFrame, label: str, folds: int = 3, seed: int = 2, key: str | None = None) -> DataFrame:
+    """H7: add ``fold`` (0 … folds − 1) with each class spread evenly: its share in every fold is exact to one row.
+
+    As in ``stratified_split``: rows are ranked by a seeded hash within their
+    class by distributed prefix sums, which give the ``folds − 1`` cut-offs of
+    each class; a projection compares every row with them.
+    """
+    cols = df.columns
+    h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
+    tie = F.xxhash64(F.col(key), F.lit(seed)) if key else F.xxhash64(*[F.col(c) for c in cols], F.lit(seed + 1))
+    place = F.struct(h.alias("h"), tie.alias("t"))
+    narrow = df.select(F.col(label), h.alias("_h"), tie.alias("_t")).groupBy(label, "_h", "_t").agg(F.count(F.lit(1)).alias("_one"))
+    ps = prefix_sums(narrow, ["_h", "_t"], ["_one"], by=[label], with_total=True)
+    fold = F.floor((F.col("cum__one") - 1) * folds / F.col("tot__one"))
+    ends = ps.groupBy(label, fold.alias("_f")).agg(F.max(F.struct(F.col("_h").alias("h"), F.col("_t").alias("t"))).alias("_end"))
+    cuts = ends.groupBy(label).agg(F.collect_list(F.when(F.col("_f") < folds - 1, F.struct("_f", "_end"))).alias("_cuts"))  # folds − 1 a class
+    out = null_safe_join(df, F.broadcast(cuts), [label], "left")
+    beyond = F.filter("_cuts", lambda c: place > c["_end"])
+    return out.select(*cols, F.coalesce(F.array_max(F.transform(beyond, lambda c: c["_f"])) + 1, F.lit(0)).cast("int").alias("fold"))
+
+
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Balanced weights n / (k · n_class); the class table is tiny (k rows)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    k = counts.count()
-    total = counts.agg(F.sum("_nc")).first()[0]
-    w = counts.select(label, (F.lit(float(total)) / (k * F.col("_nc"))).alias(out))
-    return df.join(F.broadcast(w), label)
+    """Balanced weights n / (k · n_class) from one count of the classes (k rows on the driver)."""
+    counts = [(r[0], r[1]) for r in df.groupBy(label).count().collect() if r[0] is not None]
+    total, weight = sum(n for _, n in counts), F.lit(None).cast("double")
+    for value, n in counts:
+        weight = F.when(F.col(label) == F.lit(value), F.lit(total / (len(counts) * n))).otherwise(weight)
+    return df.where(F.col(label).isNotNull()).withColumn(out, weight)
 
 
 def _nearest_in_cell(k: int):
@@ -90,10 +111,47 @@ def _nearest_in_cell(k: int):
     return run
 
 
+def _nearest_of(pairs: DataFrame, k: int, salts: int = 0) -> DataFrame:
+    """The k nearest ``other`` of each ``id``; with ``salts`` a point that very many name is cut down in parts first."""
+    def cut(df: DataFrame, *keys: str) -> DataFrame:
+        lists = df.groupBy("id", *keys).agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "other"))), 1, k).alias("_n"))
+        return lists.select("id", F.explode("_n").alias("_n")).select("id", "_n.other", "_n.d")
+    if salts:
+        pairs = cut(pairs.withColumn("_salt", F.pmod(F.xxhash64("other"), F.lit(salts))), "_salt")
+    return cut(pairs)
+
+
+def refine_neighbours(points: DataFrame, graph: DataFrame, k: int, rounds: int) -> DataFrame:
+    """Neighbour-of-neighbour refinement of a neighbour graph (Dong et al. 2011).
+
+    In every round a point is compared with the neighbours of its neighbours,
+    where a neighbour is one of its k nearest or one of the k nearest that
+    name it: at most 4 k² candidates a point, whatever the number of points.
+    """
+    d = points.select(F.size("x")).head()[0]
+    for _ in range(rounds):
+        named = _nearest_of(graph.select(F.col("other").alias("id"), F.col("id").alias("other"), "d"), k, salts=64)
+        near = graph.select("id", "other").unionByName(named.select("id", "other")).distinct()
+        lists = near.groupBy("id").agg(F.collect_list("other").alias("_more"))  # at most 2 k
+        pairs = near.join(lists.withColumnRenamed("id", "other"), "other").select("id", F.explode("_more").alias("other"))
+        pairs = pairs.where("id <> other").distinct()
+        far = pairs.join(points.select("id", F.col("x").alias("_a")), "id").join(points.select(F.col("id").alias("other"), F.col("x").alias("_b")), "other")
+        square = F.lit(0.0)
+        for i in range(d):
+            square = square + (F.col("_a")[i] - F.col("_b")[i]) * (F.col("_a")[i] - F.col("_b")[i])
+        both = graph.unionByName(far.select("id", "other", square.alias("d"))).groupBy("id", "other").agg(F.min("d").alias("d"))
+        graph = materialize(_nearest_of(both, k), "neighbour_graph")
+    return graph
+
+
 def nearest_neighbours(points: DataFrame, k: int = 5, projections: int = 4, cell_size: int = 2048,
-                       seed: int = 42) -> DataFrame:
+                       seed: int = 42, rounds: int = 2) -> DataFrame:
     """(id, other, d): about the k nearest of every point (``id``, ``x`` array of double).
 
+    The neighbours found in cells of bounded size (below) are refined by
+    ``rounds`` of neighbour-of-neighbour search, which makes up for the
+    neighbours that many dimensions put into other cells.
+
     Up to ``cell_size`` points the result is exact.  Beyond it the points are
     cut into cells once for each of ``projections`` trees, and the k best of
     all cells that hold a point are kept.  A tree turns the points into axes of
@@ -106,7 +164,8 @@ def nearest_neighbours(points: DataFrame, k: int = 5, projections: int = 4, cell
     """
     points = materialize(points.select("id", "x"), "points")
     most = points.count()
-    if most <= cell_size:
+    small = most <= cell_size  # one cell holds all points: the result is exact
+    if small:
         rows = points.select(F.lit(0).alias("_tree"), F.lit(0).cast("long").alias("_cell"), "id", "x")
     else:
         d = points.select(F.size("x")).first()[0]
@@ -133,9 +192,10 @@ def nearest_neighbours(points: DataFrame, k: int = 5, projections: int = 4, cell
         most = max(cell_size, -(-most // FAN))
     found = rows.groupBy("_tree", "_cell").applyInPandas(
         _nearest_in_cell(k), "id long, other long, d double")
-    best = found.groupBy("id", "other").agg(F.min("d").alias("d")).groupBy("id").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("d", "other"))), 1, k).alias("_n"))  # at most projections * k
-    return best.select("id", F.explode("_n").alias("_n")).select("id", "_n.other", "_n.d")
+    best = _nearest_of(found.groupBy("id", "other").agg(F.min("d").alias("d")), k)  # of at most projections * k
+    if small:
+        return best
+    return refine_neighbours(points, materialize(best, "neighbour_graph"), k, rounds)
 
 
 def oversample_minority(df: DataFrame, label: str, features: Sequence[str], k: int = 5, seed: int = 42,
@@ -221,6 +281,12 @@ def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
 
+def smallest_leaf(min_samples_split: int) -> int:
+    """A node is split from ``min_samples_split`` rows on; Spark bounds the children instead: half of it, rounded up,
+    so no smaller node is split (a split that leaves less than half on one side is given up too)."""
+    return max(1, -(-int(min_samples_split) // 2))
+
+
 def train_forest(df: DataFrame, features: Sequence[str], label: str, cfg: Mapping | None = None,
                  balanced: bool = True) -> PipelineModel:
     """H3: random forest with balanced class weights."""
@@ -228,7 +294,7 @@ def train_forest(df: DataFrame, features: Sequence[str], label: str, cfg: Mappin
     depth = MAX_TREE_DEPTH if cfg.get("maxDepth") is None else min(int(cfg["maxDepth"]), MAX_TREE_DEPTH)
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=int(cfg["numTrees"]),
                                 maxDepth=depth, seed=int(cfg["seed"]),
-                                minInstancesPerNode=int(cfg.get("minInstancesPerNode", 1)))
+                                minInstancesPerNode=int(cfg.get("minInstancesPerNode", smallest_leaf(cfg.get("minSamplesSplit", 2)))))
     data = df
     if balanced:
         data = class_weights(df, label)
@@ -278,13 +344,14 @@ def _grid(est, grid: Mapping[str, Sequence]) -> list:
 
 
 def grid_search(df: DataFrame, features: Sequence[str], label: str, est, grid: Mapping[str, Sequence],
-                folds: int = 3, parallelism: int = 4, seed: int = 42, maps: list | None = None):
-    """H7: exhaustive search, k folds, F1 of class 1; returns the CrossValidatorModel."""
+                folds: int = 3, parallelism: int = 4, seed: int = 42, maps: list | None = None, key: str | None = None):
+    """H7: exhaustive search, k folds with the class mix of the whole, F1 of class 1; returns the CrossValidatorModel."""
     est.setLabelCol(label).setFeaturesCol("features")
     maps = maps if maps is not None else _grid(est, grid)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=f1_evaluator(label),
-                        numFolds=folds, parallelism=parallelism, seed=seed)
-    return cv.fit(assembler(features).transform(df))
+                        numFolds=folds, parallelism=parallelism, seed=seed, foldCol="fold")
+    dealt = materialize(stratified_folds(df, label, folds, seed, key), "folds")
+    return cv.fit(assembler(features).transform(dealt))
 
 
 def random_search(df: DataFrame, features: Sequence[str], label: str, est, grid: Mapping[str, Sequence],
@@ -321,34 +388,54 @@ def predict_table(raw: DataFrame, model, params: Mapping, keep: Sequence[str], f
     return out
 
 
-def predict_log(raw: DataFrame, model: LinearScorer, params: Mapping, keep: Sequence[str], means: Mapping[str, float],
+def row_attributions(model, means: Mapping[str, float] | None = None) -> Column | None:
+    """H12 as a column of the prepared features (feature → attribution): exact for linear and tree models, null for others."""
+    from churnlens.operators.trees import TreeModel, attribution_column
+    if isinstance(model, TreeModel):
+        return F.map_from_arrays(F.lit(list(model.features)), attribution_column(model))
+    if isinstance(model, LinearScorer) and means is not None:
+        return F.map_from_arrays(
+            F.lit(list(model.features)),
+            F.array(*[F.lit(float(w)) * (F.col(f).cast("double") - F.lit(float(means[f])))
+                      for f, w in zip(model.features, model.weights)]))
+    return None
+
+
+def predict_log(raw: DataFrame, model, params: Mapping, keep: Sequence[str], means: Mapping[str, float] | None,
                 stage: str, version: str, latency: float | str = 0.0, threshold: float = 0.5) -> DataFrame:
-    """H14 + H12 + A6 in one projection: the kept raw columns, ``attributions`` (feature → weight · (x − mean))
-    and the log columns (label, probability, time, stage, version, latency, date), ready for
-    ``append_inference_log``.  One output row per input row, on a batch or a stream."""
+    """H14 + H12 + A6 in one projection: the kept raw columns, ``attributions`` (feature → attribution; linear and
+    tree models) and the log columns (label, probability, time, stage, version, latency, date), ready for
+    ``append_inference_log``.  One output row per input row, on a batch or a stream, for any model with ``transform``."""
     from churnlens.sources.io import with_log_columns
     row = raw.select("*", F.struct(*[F.col(c) for c in keep]).alias("_kept"))
-    scored = score(prepare_serving(row, params), model, threshold)
-    phi = F.map_from_arrays(
-        F.array(*[F.lit(f) for f in model.features]),
-        F.array(*[F.lit(float(w)) * (F.col(f).cast("double") - F.lit(float(means[f])))
-                  for f, w in zip(model.features, model.weights)]))
-    out = scored.select("_kept.*", phi.alias("attributions"), "probability_1", "predicted")
+    prepared = prepare_serving(row, params)
+    phi = row_attributions(model, means)
+    if phi is not None:
+        prepared = prepared.withColumn("_phi", phi)
+    scored = score(prepared, model, threshold)
+    out = scored.select("_kept.*", *([F.col("_phi").alias("attributions")] if phi is not None else []), "probability_1", "predicted")
     return with_log_columns(out, "predicted", "probability_1", stage, version, latency).drop("predicted", "probability_1")
 
 
 def decay_check(log_features: DataFrame, model, label: str, threshold: float = 0.5,
                 expected: Sequence[str] = ()) -> DataFrame:
-    """Check that the ``expected`` columns are there, score labelled rows and report the five metrics."""
+    """Check that the ``expected`` columns are there, score labelled rows and report the five metrics.
+
+    A labelled row that lacks one of the expected features (an unknown
+    customer) is not scored; ``unscored`` counts these.
+    """
     from churnlens.operators.metrics import binary_metrics, roc_auc
+    whole = F.lit(True)
     if expected:
         validate_schema(log_features, expected)
-    labelled = log_features.where(F.col(label).isNotNull())
+        for c in expected:
+            whole = whole & F.col(c).isNotNull()
+    labelled = log_features.where(F.col(label).isNotNull()).withColumn("_whole", whole)
     # scored once: both metrics read the written (label, probability, class) columns
-    s = materialize(score(labelled, model, threshold).select(label, "probability_1", "predicted"), "decay_scores")
-    m = binary_metrics(s, label, "predicted")
-    a = roc_auc(s, label, "probability_1")
-    return _one_row_join(m, a)
+    s = materialize(score(labelled, model, threshold).select(label, "_whole", "probability_1", "predicted"), "decay_scores")
+    scored = s.where("_whole")
+    m = _one_row_join(binary_metrics(scored, label, "predicted"), roc_auc(scored, label, "probability_1"))
+    return _one_row_join(m, s.agg(F.count_if(~F.col("_whole")).alias("unscored")))
 
 
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -99,10 +99,10 @@ def test_neighbours_against_brute_force(spark):
     assert np.mean([len(got[i] & set(near[i])) / 5 for i in range(len(x))]) >= 0.9
 
 
-@pytest.mark.parametrize("n", [20_000, 60_000])
-def test_neighbours_of_many_points_by_default(spark, n):
+@pytest.mark.parametrize("n,dimensions", [(20_000, 5), (60_000, 5), (20_000, 13), (60_000, 13)])
+def test_neighbours_of_many_points_by_default(spark, n, dimensions):
     from churnlens.operators.ml import nearest_neighbours
-    x = np.random.default_rng(4).normal(size=(n, 5))
+    x = np.random.default_rng(4).normal(size=(n, dimensions))
     points = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "x": x.tolist()}))
     asked = np.arange(0, n, n // 500)
     got = {}
@@ -113,8 +113,8 @@ def test_neighbours_of_many_points_by_default(spark, n):
     near = np.argpartition(d, 4, axis=1)[:, :5]
     assert set(got) == set(asked) and all(len(v) == 5 for v in got.values())
     recall = np.mean([len(got[i] & set(row)) / 5 for i, row in zip(asked, near)])
-    print("recall", n, recall)
-    assert recall >= 0.9
+    print("recall", n, dimensions, recall)
+    assert recall >= 0.95
 
 
 def test_oversampling_far_out_of_balance(spark):
