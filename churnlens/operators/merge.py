@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnlens.operators.clean import conform
 from churnlens.operators.quality import validate_schema
@@ -20,17 +21,28 @@ def upsert_log(log: DataFrame, feedback: DataFrame, key: str, seq: Sequence[str]
     """Append feedback and keep the last row per key.
 
     "Last" is (source, then ``seq`` columns) descending: feedback beats the
-    log, a later sequence beats an earlier one.  Columns absent on one side
-    are null.  The pick is ``max_by`` — combined map-side — so a key holding
-    a third of all rows is never gathered in one task.
+    log, a later sequence beats an earlier one, and of rows alike in these the
+    greatest in all columns stays.  Columns absent on one side are null.
     """
     a = log.withColumn("_src", F.lit(0))
     b = feedback.withColumn("_src", F.lit(1))
     u = a.unionByName(b, allowMissingColumns=True)
-    cols = [c for c in u.columns if c not in (key, "_src")]
-    order = F.struct(F.col("_src"), *[F.col(s) for s in seq])
-    picked = u.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_r"))
-    return picked.select(key, *[F.col(f"_r.{c}").alias(c) for c in cols])
+    return greatest_row(u, [key], ["_src", *seq]).drop("_src")
+
+
+def greatest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row of each ``keys`` that is greatest in ``order``, then in all its other columns (left to right).
+
+    The pick is ``max`` of a struct — combined map-side — so a key holding a
+    third of all rows is never gathered in one task.  Maps are compared by
+    their sorted entries.
+    """
+    rest = [c for c in df.columns if c not in (*keys, *order)]
+    plain = [F.array_sort(F.map_entries(c)).alias(f"_{c}") if isinstance(df.schema[c].dataType, T.MapType) else F.col(c) for c in rest]
+    row = F.struct(*[F.col(c) for c in df.columns if c not in keys])
+    picked = df.groupBy(*keys).agg(F.max_by(row, F.struct(*[F.col(c) for c in order], *plain)).alias("_r")) if len(df.columns) > len(keys) \
+        else df.select(*keys).distinct()
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_r.`{c}`").alias(c) for c in df.columns])
 
 
 def upsert_training(base: DataFrame, upload: DataFrame, key: str, expected: Sequence[str],
@@ -78,7 +90,9 @@ def latest_in_stage(versions: DataFrame, stage: str, version: str = "version",
                     stage_col: str = "stage") -> DataFrame:
     """Greatest numeric version in ``stage``, else greatest overall."""
     vnum = F.regexp_extract(F.col(version).cast("string"), r"(\d+)", 1).try_cast("int")
-    key = F.struct((F.col(stage_col) == stage).cast("int"), vnum)
+    # of versions alike in number the greatest in all columns
+    rest = [F.col(c) for c in versions.columns if not isinstance(versions.schema[c].dataType, T.MapType)]
+    key = F.struct((F.col(stage_col) == stage).cast("int"), vnum, *rest)
     return versions.agg(F.max_by(F.struct(*[F.col(c) for c in versions.columns]), key).alias("_r")).select("_r.*")
 
 

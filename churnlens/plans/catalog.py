@@ -492,6 +492,14 @@ def q_density_tenure(spark, sf):
     return out.select("churn", "grid_index", r6("x").alias("x"), r6("density").alias("density"))
 
 
+@register("density_monthly", ORACLE["density_tenure"].replace("CAST(tenure AS DOUBLE)", "CAST(monthly_charges AS DOUBLE)")
+          .replace("tenure IS NOT NULL", "monthly_charges IS NOT NULL"))
+def q_density_monthly(spark, sf):
+    """A continuous column: bins and one convolution a class, held against the direct sum."""
+    out = E.density_binned(subs_explore(spark, sf), "monthly_charges", "churn")
+    return out.select("churn", "grid_index", r6("x").alias("x"), r6("density").alias("density"))
+
+
 @register("box_monthly_by_contract", explore_views(extra="""
 d AS (SELECT contract, churn, monthly_charges AS y FROM sx WHERE monthly_charges IS NOT NULL),
 q AS (SELECT contract, churn, count(*) AS n, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS med,
@@ -971,9 +979,12 @@ def q_combine_distinct(spark, sf):
 
 def feedback_rows(spark, sf):
     """Feedback: orders from the split date relabelled, carrying only key, sequence and label."""
-    o = FX.table(spark, sf, "orders")
-    return (o.where(F.col("o_orderdate") >= F.lit(FX.DRIFT_SPLIT_DATE).cast("timestamp_ntz"))
-            .select("o_custkey", "o_orderkey", F.lit("R").alias("o_orderstatus")))
+    return feedback_of(FX.table(spark, sf, "orders"))
+
+
+def feedback_of(orders, more=()):
+    return (orders.where(F.col("o_orderdate") >= F.lit(FX.DRIFT_SPLIT_DATE).cast("timestamp_ntz"))
+            .select("o_custkey", "o_orderkey", F.lit("R").alias("o_orderstatus"), *more))
 
 
 SQL_UPSERT = """
@@ -1275,14 +1286,15 @@ SELECT n, tp, fp, fn, tn, round(CASE WHEN n > 0 THEN (tp + tn) / n ELSE 0 END, 6
        round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision,
        round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall,
        round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1,
-       round(auc, 6) AS roc_auc FROM c, au""")
+       round(auc, 6) AS roc_auc,
+       (SELECT count(*) FROM pl WHERE label IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM sc)) AS unscored FROM c, au""")
 def q_decay_check(spark, sf):
     from churnlens.operators.ml import decay_check
     feats, _ = _served(spark, sf)
     log = FX.prediction_log(spark, sf).select("request_id", "customer_id", "label")
-    out = decay_check(log.join(feats, "customer_id"), _fixed_model(), "label", expected=[*ML_FEATURES, "label"])
+    out = decay_check(log.join(feats, "customer_id", "left"), _fixed_model(), "label", expected=[*ML_FEATURES, "label"])
     return out.select("n", "tp", "fp", "fn", "tn", *[r6(c).alias(c) for c in
-                                                     ("accuracy", "precision", "recall", "f1", "roc_auc")])
+                                                     ("accuracy", "precision", "recall", "f1", "roc_auc")], "unscored")
 
 
 def _linear_phi(spark, sf):
@@ -1314,6 +1326,55 @@ def q_explain_sampled(spark, sf):
     return phi.select("customer_id", "feature", r6("phi").alias("phi"), r6("base").alias("base"))
 
 
+# a stated tree, so that SQL can follow its attributions: id, feature, threshold, left, right, value, cover
+TREE_FEATURES = ["contract", "tenure", "monthly_charges"]
+STATED_TREE = [(0, 1, 0.35, 1, 2, 0.0, 1000), (1, 0, 0.5, 3, 4, 0.0, 400), (2, 2, 0.5, 5, 6, 0.0, 600), (3, -1, 0.0, -1, -1, 0.3, 150),
+               (4, 2, 0.25, 7, 8, 0.0, 250), (5, -1, 0.0, -1, -1, 0.2, 350), (6, 1, 0.7, 9, 10, 0.0, 250), (7, -1, 0.0, -1, -1, 0.45, 100),
+               (8, -1, 0.0, -1, -1, 0.8, 150), (9, -1, 0.0, -1, -1, 0.6, 120), (10, -1, 0.0, -1, -1, 0.1, 130)]
+
+
+def stated_tree():
+    import pandas as pd
+    from churnlens.operators.trees import TreeModel, tree_from_nodes
+    nodes = pd.DataFrame(STATED_TREE, columns=["id", "feature", "threshold", "left", "right", "value", "cover"])
+    return TreeModel(tuple(TREE_FEATURES), (tree_from_nodes(nodes),))
+
+
+# every coalition s of the three features (bits) is worth the tree's mean when only its features are known
+EXPLAIN_TREE_SQL = """
+nd(id, f, cut, l, r, val, cover) AS (VALUES """ + ", ".join(str(n) for n in STATED_TREE) + """),
+tx AS (SELECT customer_id, [""" + ", ".join(f"{c}::DOUBLE" for c in TREE_FEATURES) + """] AS x FROM ft),
+go AS (SELECT customer_id, x, s, 0 AS id, 1.0::DOUBLE AS w FROM tx, range(8) k(s)
+  UNION ALL
+  SELECT customer_id, x, s, ch.id, w * CASE WHEN (s >> nd.f) & 1 = 1 THEN 1.0 ELSE ch.cover / nd.cover END
+  FROM go JOIN nd ON nd.id = go.id AND nd.f >= 0 JOIN nd ch ON ch.id IN (nd.l, nd.r)
+  WHERE (s >> nd.f) & 1 = 0 OR ch.id = CASE WHEN x[nd.f + 1] <= nd.cut THEN nd.l ELSE nd.r END),
+vs AS (SELECT customer_id, s, sum(w * val) AS v FROM go JOIN nd ON nd.id = go.id AND nd.f < 0 GROUP BY 1, 2),
+ph AS (SELECT a.customer_id, i, sum((b.v - a.v) * CASE bit_count(a.s::INT) WHEN 1 THEN 1 / 6e0 ELSE 1 / 3e0 END) AS phi
+       FROM vs a, range(3) k(i), vs b WHERE (a.s >> i) & 1 = 0 AND b.customer_id = a.customer_id AND b.s = a.s + (1 << i) GROUP BY 1, 2)"""
+
+
+@register("explain_tree", scored_views(extra="").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + "," + EXPLAIN_TREE_SQL + """
+SELECT customer_id, [""" + ", ".join(f"'{c}'" for c in TREE_FEATURES) + """][i + 1] AS feature, round(phi, 6) AS phi,
+       round((SELECT v FROM vs WHERE vs.customer_id = ph.customer_id AND s = 0), 6) AS base FROM ph""")
+def q_explain_tree(spark, sf):
+    """Exact attributions of a stated tree for every subscriber."""
+    from churnlens.operators.trees import explain_trees
+    feats, _ = _served(spark, sf)
+    return explain_trees(feats, stated_tree(), "customer_id").select("customer_id", "feature", r6("phi").alias("phi"), r6("base").alias("base"))
+
+
+@register("explain_forest")
+def q_explain_forest(spark, sf):
+    """Exact attributions of the default forest (200 trees) for every subscriber."""
+    from churnlens.operators.ml import train_forest
+    from churnlens.operators.trees import explain_trees, forest_model
+    train, test, _ = _train_test(spark, sf)
+    model = forest_model(train_forest(train, ML_FEATURES, "churn"), ML_FEATURES)
+    phi = explain_trees(train.unionByName(test), model, "customer_id")
+    return phi.select("customer_id", "feature", r6("phi").alias("phi"), r6("base").alias("base"))
+
+
 @register("explain_summary", scored_views(extra=f"ph AS ({LINEAR_PHI_SQL})") + """
 SELECT feature, round(avg(abs(phi)), 6) AS mean_abs_phi, round(max(abs(phi)), 6) AS max_abs_phi FROM ph GROUP BY 1""")
 def q_explain_summary(spark, sf):
@@ -1322,6 +1383,56 @@ def q_explain_summary(spark, sf):
     return out.select("feature", r6("mean_abs_phi").alias("mean_abs_phi"), r6("max_abs_phi").alias("max_abs_phi"))
 
 
+@register("stratified_folds", subs_clean_views() + """
+SELECT churn, CAST(floor(r * 3 / n) AS INT) AS fold, count(*) AS n FROM
+  (SELECT churn, n, unnest(range(n)) AS r FROM (SELECT CASE churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS churn, count(*) AS n
+                                                FROM subs_clean GROUP BY 1)) GROUP BY 1, 2""")
+def q_stratified_folds(spark, sf):
+    from churnlens.operators.fitted import prepare_training
+    from churnlens.operators.ml import stratified_folds
+    feats, _ = prepare_training(raw_subscribers(spark, sf), ML_SPEC)
+    return stratified_folds(feats, "churn", 3, key="customer_id").groupBy("churn", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _train_validate(spark, sf):
+    """(balanced training rows, validation rows, test rows): the validation part is a fifth of the training part."""
+    from churnlens.operators.ml import oversample_minority, stratified_split
+    from churnlens.session import materialize
+    train, test, _ = _train_test(spark, sf)
+    parts = materialize(stratified_split(train.drop("split"), "churn", 0.2, seed=3, key="customer_id"), "ml_validation")
+    fit = parts.where(F.col("split") == "train")
+    return materialize(oversample_minority(fit, "churn", ML_FEATURES, key="customer_id"), "ml_balanced"), parts.where(F.col("split") == "test"), test
+
+
+@register("network_search")
+def q_network_search(spark, sf):
+    """All 27 points of the configured grid, 20 epochs each, by F1 on the validation part."""
+    from churnlens.operators.network import network_search
+    fit, held_out, _ = _train_validate(spark, sf)
+    out, _ = network_search(fit, held_out, ML_FEATURES, "churn")
+    return out.select("setting", "hidden", "lr", "batch", *[r6(c).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")], "rank")
+
+
+@register("network_scores")
+def q_network_scores(spark, sf):
+    """The configured default network."""
+    from churnlens.operators.network import train_network
+    train, test, _ = _train_test(spark, sf)
+    return _scores(train_network(train, ML_FEATURES, "churn"), test)
+
+
+# rounds of the registered second-order model; the configured 200 take four times as long (README)
+NEWTON_ROUNDS = 50
+
+
+@register("newton_scores")
+def q_newton_scores(spark, sf):
+    """Second-order boosting with columns and rows sampled per tree."""
+    from churnlens.operators.boosting import train_newton
+    train, test, _ = _train_test(spark, sf)
+    return _scores(train_newton(train, ML_FEATURES, "churn", {"trees": NEWTON_ROUNDS, "subsample": 0.8, "colsample": 0.8}), test)
+
+
 @register("train_and_rank")
 def q_train_and_rank(spark, sf):
     """Split, balance the training part, train every kind of model, rank by F1 on the test part."""
@@ -1387,9 +1498,8 @@ def q_prediction_counts(spark, sf):
 
 @register("stream_prediction_counts", ORACLE["prediction_counts"])
 def q_stream_prediction_counts(spark, sf):
-    from churnlens.streaming.streams import prediction_totals, request_rows, run_update_stream
-    rows = request_rows(_log_stream(spark, sf, "prediction_counts"), STAGE_BY, "request_id")
-    return prediction_totals(run_update_stream(rows, [*STAGE_BY, "request_id"], "prediction_counts"), STAGE_BY)
+    from churnlens.streaming.streams import stream_prediction_counts
+    return stream_prediction_counts(_log_stream(spark, sf), STAGE_BY, "request_id", ["request_id", "customer_id"], "event_time", "1 day")
 
 
 @register("latest_gauges", with_views("prediction_log") + """
@@ -1427,33 +1537,36 @@ SELECT window_start, col AS "column", round(sqrt(greatest(sum(
 FROM fu GROUP BY 1, 2"""
 
 
-def _drift_current_orders(spark, sf):
-    o = FX.table(spark, sf, "orders")
-    return o.where(F.col("o_orderdate") >= F.lit(FX.DRIFT_SPLIT_DATE).cast("timestamp_ntz")) \
-            .select("o_orderdate", *DRIFT_CAT)
+def _after_split(orders, cols=None):
+    """The orders of the drift binding's current side, from a table or a stream."""
+    return orders.where(F.col("o_orderdate") >= F.lit(FX.DRIFT_SPLIT_DATE).cast("timestamp_ntz")) \
+                 .select("o_orderdate", *(cols or DRIFT_CAT))
 
 
 @register("windowed_drift", _window_drift_sql())
 def q_windowed_drift(spark, sf):
     from churnlens.streaming.streams import window_category_counts, windowed_js
     ref, _ = FX.drift_sides(spark, sf)
-    counts = window_category_counts(_drift_current_orders(spark, sf), "o_orderdate", DRIFT_CAT, WINDOW_DRIFT)
+    counts = window_category_counts(_after_split(FX.table(spark, sf, "orders")), "o_orderdate", DRIFT_CAT, WINDOW_DRIFT)
     return windowed_js(counts, ref, DRIFT_CAT).select("window_start", "column", r6("js").alias("js"))
 
 
-# streaming runs: the same operators on a file stream landed from the tables
+# streaming runs: the same operators on file streams over the tables as they lie
+
+def _table_stream(spark, sf, name):
+    from churnlens.streaming.streams import file_stream
+    # a table may be one file or a folder of files: as a pattern the stream source takes both
+    return file_stream(spark, f"{sf}/{name}.parque[t]", FX.table(spark, sf, name).schema)
 
-def _landed_stream(spark, df, name, order_col, n_files=4, per_trigger=1):
-    from churnlens.streaming.streams import file_stream, land_in_order, scratch_path
-    path = land_in_order(df, scratch_path(spark, "landing", name), order_col, n_files)
-    return file_stream(spark, path, df.schema, max_files_per_trigger=per_trigger)
+
+def _log_stream(spark, sf):
+    return FX.log_of_events(_table_stream(spark, sf, "events"))
 
 
 @register("stream_request_counts", ORACLE["request_counts"])
 def q_stream_request_counts(spark, sf):
     from churnlens.streaming.streams import request_counts, run_update_stream
-    s = _landed_stream(spark, FX.prediction_log(spark, sf), "request_counts", "event_time")
-    agg = request_counts(s, "event_time", "endpoint", watermark="10 minutes")
+    agg = request_counts(_log_stream(spark, sf), "event_time", "endpoint", watermark="10 minutes")
     return run_update_stream(agg, ["window_start", "endpoint"], "request_counts")
 
 
@@ -1461,12 +1574,53 @@ def q_stream_request_counts(spark, sf):
 def q_stream_windowed_drift(spark, sf):
     from churnlens.streaming.streams import run_update_stream, window_category_counts, windowed_js
     ref, _ = FX.drift_sides(spark, sf)
-    s = _landed_stream(spark, _drift_current_orders(spark, sf), "windowed_drift", "o_orderdate")
-    counts = window_category_counts(s, "o_orderdate", DRIFT_CAT, WINDOW_DRIFT, watermark="1 day")
+    current = _after_split(_table_stream(spark, sf, "orders"))
+    counts = window_category_counts(current, "o_orderdate", DRIFT_CAT, WINDOW_DRIFT, watermark="1 day")
     final = run_update_stream(counts, ["window_start", "column", "value"], "windowed_drift")
     return windowed_js(final, ref, DRIFT_CAT).select("window_start", "column", r6("js").alias("js"))
 
 
+DRIFT_BINS = 64
+
+
+def _window_wasserstein_sql() -> str:
+    return with_views("drift", extra=f"""
+sp AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi, stddev_pop(o_totalprice) AS sd FROM drift_ref),
+bn AS (SELECT NULL::TIMESTAMP AS w, o_totalprice AS v FROM drift_ref
+       UNION ALL SELECT time_bucket(INTERVAL '30 days', o_orderdate, TIMESTAMP '1970-01-01'), o_totalprice FROM orders
+       WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
+cells AS (SELECT w, CASE WHEN v < lo THEN 0 WHEN v >= hi THEN {DRIFT_BINS} + 1 ELSE floor((v - lo) * {DRIFT_BINS} / (hi - lo)) + 1 END AS bin,
+                 count(*) AS n, sum(v) AS s FROM bn, sp WHERE v IS NOT NULL GROUP BY 1, 2),
+ref AS (SELECT s / n AS v, n / sum(n) OVER () AS p FROM cells WHERE w IS NULL),
+pts AS (SELECT w, s / n AS v, 0.0 AS p, n / sum(n) OVER (PARTITION BY w) AS q, n FROM cells WHERE w IS NOT NULL
+        UNION ALL SELECT w, v, p, 0.0, 0 FROM (SELECT DISTINCT w FROM cells WHERE w IS NOT NULL), ref),
+ar AS (SELECT w, n, abs(sum(p - q) OVER (PARTITION BY w ORDER BY v ROWS UNBOUNDED PRECEDING)) * (lead(v) OVER (PARTITION BY w ORDER BY v) - v) AS a FROM pts)""") + """
+SELECT w AS window_start, 'o_totalprice' AS "column", CAST(sum(n) AS BIGINT) AS n,
+       round(sum(a) / (SELECT sd FROM sp), 6) AS wasserstein FROM ar GROUP BY 1"""
+
+
+def _window_distance(spark, sf, current, run):
+    from churnlens.streaming.streams import fit_sketch, window_bin_sums, windowed_wasserstein
+    ref, _ = FX.drift_sides(spark, sf)
+    sketch = fit_sketch(ref, ["o_totalprice"], DRIFT_BINS)
+    sums = run(window_bin_sums(current, "o_orderdate", sketch, WINDOW_DRIFT, watermark="1 day"))
+    return windowed_wasserstein(sums, sketch).select("window_start", "column", "n", r6("wasserstein").alias("wasserstein"))
+
+
+@register("windowed_numeric_drift", _window_wasserstein_sql())
+def q_windowed_numeric_drift(spark, sf):
+    """J8 of a numeric column: distance of every window's prices to the reference."""
+    return _window_distance(spark, sf, _after_split(FX.table(spark, sf, "orders"), ["o_totalprice"]), lambda sums: sums)
+
+
+@register("stream_windowed_numeric_drift", ORACLE["windowed_numeric_drift"])
+def q_stream_windowed_numeric_drift(spark, sf):
+    from churnlens.streaming.streams import run_update_stream
+    current = _after_split(_table_stream(spark, sf, "orders"), ["o_totalprice"])
+    return _window_distance(spark, sf, current,
+                            lambda sums: run_update_stream(sums, ["window_start", "column", "bin"], "windowed_numeric_drift"))
+
+
 @register("stream_upsert", ORACLE["upsert_log"])
 def q_stream_upsert(spark, sf):
     from churnlens.operators.merge import upsert_log
@@ -1475,8 +1629,9 @@ def q_stream_upsert(spark, sf):
                                                 "o_orderdate", "o_orderpriority")
     # the log table as of before the feedback (one row per customer, G2 with no feedback)
     base = upsert_log(base, base.limit(0), "o_custkey", ["o_orderkey"]).select(*base.columns)
-    s = _landed_stream(spark, feedback_rows(spark, sf), "feedback", "o_orderkey")
-    feedback = stream_upsert(s, scratch_path(spark, "tables", "feedback"), "o_custkey", ["o_orderkey"])
+    s = feedback_of(_table_stream(spark, sf, "orders"), ["o_orderdate"])
+    # every order once: what arrives again within the delay is not written again
+    feedback = stream_upsert(s, scratch_path(spark, "tables", "feedback"), "o_custkey", ["o_orderkey"], "o_orderdate", "1 day")
     return merged(spark, base, feedback, "o_custkey", ["o_orderkey"])
 
 
@@ -1484,35 +1639,37 @@ def q_stream_upsert(spark, sf):
 SELECT request_id, customer_id, round(p, 6) AS probability, CASE WHEN p >= 0.5 THEN 1 WHEN p < 0.5 THEN 0 END AS predicted
 FROM pl LEFT JOIN sc USING (customer_id)""")
 def q_stream_score(spark, sf):
-    from churnlens.streaming.streams import scratch_path, stream_score
-    feats, _ = _served(spark, sf)
-    reqs = FX.prediction_log(spark, sf).select("request_id", "customer_id", "event_time")
-    s = _landed_stream(spark, reqs, "score_requests", "event_time")
-    out = stream_score(s, feats, "customer_id", _fixed_model(), ML_FEATURES, scratch_path(spark, "sinks", "scored"))
-    return spark.read.parquet(out).select("request_id", "customer_id", r6("probability_1").alias("probability"),
-                                          "predicted")
-
-
-def _log_stream(spark, sf, name):
-    return _landed_stream(spark, FX.prediction_log(spark, sf), name, "event_time")
+    """Requests carry their raw columns as JSON; nothing is looked up when they are scored."""
+    from churnlens.streaming.streams import file_stream, scratch_path, stream_score
+    _, params = _served(spark, sf)
+    raw = raw_subscribers(spark, sf).drop("churn")
+    requests = FX.prediction_log(spark, sf).select("request_id", F.col("customer_id").alias("asked"), "event_time")
+    records = requests.join(raw.select(F.col("customer_id").alias("asked"), F.to_json(F.struct("*")).alias("record")), "asked", "left")
+    landing = scratch_path(spark, "landing", "requests")  # the requests as they would arrive
+    records.write.parquet(landing)
+    sink = stream_score(file_stream(spark, landing, records.schema), "record", raw.schema, params, _fixed_model(), "Production", "v1",
+                        ["request_id", "asked"], "event_time", "10 minutes", scratch_path(spark, "sinks", "scored"))
+    return spark.read.parquet(sink).select(
+        "request_id", F.col("asked").alias("customer_id"), r6("probability").alias("probability"),
+        F.when(F.col("Churn") == "Yes", 1).when(F.col("Churn") == "No", 0).alias("predicted"))
 
 
 @register("stream_latency_histogram", ORACLE["latency_histogram"])
 def q_stream_latency_histogram(spark, sf):
     from churnlens.streaming.streams import latency_histogram, run_update_stream
-    agg = latency_histogram(_log_stream(spark, sf, "latency_histogram"), STAGE_BY, "latency")
+    agg = latency_histogram(_log_stream(spark, sf), STAGE_BY, "latency")
     return run_update_stream(agg, [*STAGE_BY, "le"], "latency_histogram")
 
 
 @register("stream_error_counts", ORACLE["error_counts"])
 def q_stream_error_counts(spark, sf):
     from churnlens.streaming.streams import error_counts, run_update_stream
-    agg = error_counts(_log_stream(spark, sf, "error_counts"), STAGE_BY, F.col("endpoint") == "error")
+    agg = error_counts(_log_stream(spark, sf), STAGE_BY, F.col("endpoint") == "error")
     return run_update_stream(agg, STAGE_BY, "error_counts")
 
 
 @register("stream_latest_gauges", ORACLE["latest_gauges"])
 def q_stream_latest_gauges(spark, sf):
     from churnlens.streaming.streams import latest_gauges, run_update_stream
-    agg = latest_gauges(_log_stream(spark, sf, "latest_gauges"), STAGE_BY, "latency", ["event_time", "request_id"])
+    agg = latest_gauges(_log_stream(spark, sf), STAGE_BY, "latency", ["event_time", "request_id"])
     return run_update_stream(agg, STAGE_BY, "latest_gauges")

@@ -94,7 +94,11 @@ def build_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build_prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inference-log view over ``events``: one row per logged prediction."""
-    ev = table(spark, sf_dir, "events")
+    return log_of_events(table(spark, sf_dir, "events"))
+
+
+def log_of_events(ev: DataFrame) -> DataFrame:
+    """The log view as a projection, on a batch or a stream of events."""
     k = F.get_json_object("props", "$.k").cast("int")
     staging = F.col("user_id") % 4 == 0
     return ev.select(
