@@ -147,11 +147,11 @@ def profile_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.coalesce(F.sum(F.when(v.isNotNull(), w)), F.lit(0)).cast("bigint").alias("count"),
         (F.sum(v * w) / F.sum(F.when(v.isNotNull(), w))).alias("mean"),
         F.min(v).alias("min"), F.max(v).alias("max"), F.count(v).alias("n_distinct"))
-    spread = known.join(base.select("column", F.col("mean").alias("_m")), "column").groupBy("column").agg(
+    spread = known.join(F.broadcast(base.select("column", F.col("mean").alias("_m"))), "column").groupBy("column").agg(  # one row a column
         F.sum(w * (v - F.col("_m")) * (v - F.col("_m"))).alias("_ss"))
     qs = exact_quantiles(known, "value", [0.25, 0.5, 0.75], by=["column"], names=["q25", "q50", "q75"],
                          weight="_w").drop("n")
-    out = base.join(spread, "column", "left").join(qs, "column", "left")
+    out = base.join(F.broadcast(spread), "column", "left").join(F.broadcast(qs), "column", "left")
     std = F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))
     return out.select("column", "count", "mean", std.alias("std"), "min", "max", "q25", "q50", "q75", "n_distinct")
 

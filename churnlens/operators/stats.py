@@ -15,6 +15,10 @@ from churnlens.functions.special import chi2_sf_udf, t_two_sided_udf
 from churnlens.operators.reshape import melt
 
 
+#: Classes of a target that are looked up; more can be passed by the caller.
+MAX_CLASSES = 200
+
+
 def chi_square(df: DataFrame, cats: Sequence[str], target: str, correction: bool = True,
                classes: Sequence | None = None, with_p: bool = True, alpha: float = 0.05) -> DataFrame:
     """Pearson chi-square of each column against the target.
@@ -26,7 +30,11 @@ def chi_square(df: DataFrame, cats: Sequence[str], target: str, correction: bool
     """
     base = df.where(F.col(target).isNotNull())
     if classes is None:
-        classes = sorted(r[0] for r in base.select(target).distinct().collect())
+        # one column a class: refuse a target that is no class label before it reaches the driver
+        found = base.select(target).distinct().limit(MAX_CLASSES + 1).collect()
+        if len(found) > MAX_CLASSES:
+            raise ValueError(f"{target} has more than {MAX_CLASSES} values; bin it or pass classes")
+        classes = sorted(r[0] for r in found)
     classes = list(classes)
     long = melt(base, cats, ids=[target]).where(F.col("value").isNotNull())
     ks = [f"_k{i}" for i in range(len(classes))]
