@@ -147,4 +147,5 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
 def op10_bpe_codec(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    return encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True)
+    # alone in its workers the query has room for more remembered words than a stage of the pipeline
+    return encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True, cache_words=500_000)
