@@ -119,20 +119,20 @@ class CuckooIndex:
             yield from bucket
 
 
-_ENTRY = "digest binary, best_chars long, best_id long, best_row long, members long"
+_ENTRY = "digest binary, best_chars long, best_id long, best_tie long, best_row long, members long"
 
 
 def _better(a: tuple, b: tuple) -> bool:
-    """Whether candidate a = (chars, doc_id, row) stays rather than b."""
+    """Whether candidate a = (chars, doc_id, tie, row) stays rather than b."""
     def order(x):
-        return (-x[0], x[1] is None, x[1] or 0, x[2])
+        return (-x[0], x[1] is None, x[1] or 0, x[2], x[3])
     return order(a) < order(b)
 
 
 def _index_pass(live: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["digest", "best_chars", "best_id", "best_row", "members"]
-        types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["digest", "best_chars", "best_id", "best_tie", "best_row", "members"]
+        types = [pa.binary(), *[pa.int64()] * 5]
 
         def out(entries) -> pa.RecordBatch:
             rows = [(e[1], *e[2][0], e[2][1]) for e in entries]
@@ -141,15 +141,15 @@ def _index_pass(live: int | None):
 
         index = CuckooIndex()
         for batch in batches:
-            for digest, chars, doc_id, row, members in zip(*(c.to_pylist() for c in batch.columns)):
+            for digest, *own, members in zip(*(c.to_pylist() for c in batch.columns)):
                 entry = index.find(digest)
                 if entry is None:
-                    index.insert(digest, [(chars, doc_id, row), members])
+                    index.insert(digest, [tuple(own), members])
                 else:
                     state = entry[2]
                     state[1] += members
-                    if _better((chars, doc_id, row), state[0]):
-                        state[0] = (chars, doc_id, row)
+                    if _better(tuple(own), state[0]):
+                        state[0] = tuple(own)
             if live and index.size >= live:
                 done = list(index.entries())
                 for at in range(0, len(done), 10_000):
@@ -167,18 +167,25 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.sha2(F.regexp_replace(text, f"[{SPACES}]+", ""), 256))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", live: int = 200_000) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", live: int = 200_000,
+                row_col: str | None = None) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, chars``.
 
+    Of rows alike in length and id the one with the least hash of all its
+    columns stays, so the choice does not depend on how the input is dealt.
     ``live`` bounds the digests a map-side index holds before it emits them.
+    ``row_col``: a written column that is unique to each row; it comes back as
+    ``row``.
     """
     text = whole_text(text_col)
+    hashed = [F.col(c) for c in docs.columns if c != row_col and "map<" not in docs.schema[c].dataType.simpleString()]
     rows = materialize(docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.char_length(text).cast("long").alias("chars"),
         text_digest(text).alias("digest"),
-        F.monotonically_increasing_id().alias("row")), "exact_rows")
-    entries = rows.select("digest", "chars", "doc_id", "row", F.lit(1).cast("long").alias("members")) \
+        F.xxhash64(*hashed).alias("tie"),
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row")), "exact_rows")
+    entries = rows.select("digest", "chars", "doc_id", "tie", "row", F.lit(1).cast("long").alias("members")) \
         .mapInArrow(_index_pass(live), _ENTRY)
     groups = entries.repartition("digest").mapInArrow(_index_pass(None), _ENTRY)
     shared = groups.filter("members > 1").withColumnRenamed("digest", "group_digest")
@@ -187,18 +194,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     F.when(F.col("members").isNull(), F.col("doc_id")).otherwise(F.col("best_id")).alias("keep_id"),
                     F.coalesce("members", F.lit(1)).cast("long").alias("group_size"),
                     F.coalesce(F.col("best_row") == F.col("row"), F.lit(True)).alias("kept"),
-                    F.lower(F.hex("digest")).alias("text_sha256"), "chars"))
+                    F.lower(F.hex("digest")).alias("text_sha256"), "chars", *(["row"] if row_col else [])))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    text = whole_text(text_col)
-    stay = exact_dedup(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("__stay_id"), F.unhex("text_sha256").alias("__stay_digest"), F.col("chars").alias("__stay_chars"))
-    marked = docs.withColumns({"__stay_own_digest": text_digest(text), "__stay_own_chars": F.char_length(text).cast("long")})
-    return (marked.join(stay, marked[id_col].cast("long").eqNullSafe(F.col("__stay_id")) & (F.col("__stay_own_digest") == F.col("__stay_digest"))
-                        & (F.col("__stay_own_chars") == F.col("__stay_chars")), "left_semi")
-            .dropDuplicates([id_col, "__stay_own_digest", "__stay_own_chars"]).drop("__stay_own_digest", "__stay_own_chars"))
+    """The rows that stay, with all their columns.
+
+    The rows are written once with a key, and each is kept or dropped by its key.
+    """
+    docs = materialize(docs.withColumn("__stay_row", F.monotonically_increasing_id()), "dedup_rows")
+    stay = exact_dedup(docs, id_col, text_col, row_col="__stay_row").filter("kept").select(F.col("row").alias("__stay_row"))
+    return docs.join(stay, "__stay_row", "left_semi").drop("__stay_row")
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ one aggregate over the source table (one row per source) and hands one number,
 the next level, to the following round.
 
 A target is then taken as whole repetitions of every document plus one more
-repetition of the documents whose seeded hash lies below the source's
+repetition of the documents whose seeded hash (of id, length and, among rows
+alike in these, source and size, their number) lies below the source's
 threshold. The threshold is found exactly by two histograms of the hash (its
 first and next 12 bits, combined map-side); of the documents above it the one
 whose size fills the rest best comes last, so a source's taken words differ
@@ -17,11 +18,12 @@ source up to some millions of documents. All of it is DataFrame code; no group,
 source included, is ever gathered in one task.
 
 Defined cases: null or empty text has size 0 and takes 0 words; a null source
-is a source of its own, last in order; a source of size 0 has target 0; rows
-that repeat (doc_id and size alike) are taken alike, but with a row key rows
-without an id are decided one by one; weights must be positive; an empty table
-gives an empty result; other columns are ignored by ``plan_mix`` and carried
-along by ``mix``.
+is a source of its own, last in order; a source of size 0 has target 0; every
+row is decided by itself, also where ids repeat or are null (of rows alike in
+id, source, length and size it is arbitrary which are taken, but not how
+many); a very long text is one row, counted where it is read; weights must be
+positive; an empty table gives an empty result; other columns are ignored by
+``plan_mix`` and carried along by ``mix``.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.llm.common import WORD, shuffle_partitions, table, whole_text
+from churnlens.operators.ordered import null_safe_join
 from churnlens.session import materialize
 
 CELL_BITS = 12
@@ -73,32 +76,51 @@ def water_level(sources: DataFrame, budget: float, max_epochs: float) -> float:
         level = (budget - (got["held"] or 0.0)) / got["open"]
 
 
+def numbered_repeats(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """0, 1, ... in column ``name`` among the rows alike in ``keys``; ``row`` (an increasing id) tells them apart.
+
+    Rows are numbered within (keys, part of the table) and the parts' counts
+    are summed up, so equal rows are never gathered in one task.
+    """
+    part = F.shiftright("row", 33)
+    counts = rows.groupBy(*keys, part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    by_key = Window.partitionBy(*keys)
+    before = F.sum("_n").over(by_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = materialize(counts.withColumns({"_all": F.sum("_n").over(by_key), "_before": F.coalesce(before, F.lit(0))})
+                         .where("_all > 1").drop("_n", "_all"), "mix_repeats")
+    if not counts.head(1):
+        return rows.withColumn(name, F.lit(0).cast("long"))
+    own = rows.withColumn("_part", part)
+    place = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy("row")) - 1
+    repeats = null_safe_join(own, counts, [*keys, "_part"]).withColumn(name, F.col("_before") + place)
+    single = null_safe_join(own, counts.withColumn("_repeats", F.lit(True)), [*keys, "_part"], "left").where("_repeats IS NULL")
+    return repeats.select(*rows.columns, name).unionByName(single.select(*rows.columns, F.lit(0).cast("long").alias(name)))
+
+
 def plan_mix(docs: DataFrame, weight: Column | DataFrame, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source", max_epochs: float = 3.0, budget: float | None = None,
              seed: int = 17, row_col: str | None = None) -> DataFrame:
     """``doc_id, source, size, source_size, target, repeats, taken`` for every row.
 
     ``row_col``: a written column that is unique to each row; it comes back as
-    ``row``, and tells rows without an id apart.
+    ``row``.
 
     ``weight``: an expression over ``position`` (the source's place in code
     point order, from 0), or a table (source, weight) that covers the sources.
     ``budget``: words to take, by default as many as the input has.
     """
     text = whole_text(text_col)
-    h = F.xxhash64(F.col(id_col), F.length(text), F.lit(seed))
-    row = F.lit(None).cast("long")
-    if row_col:
-        row = F.col(row_col)
-        first = docs.filter(F.col(id_col).isNull()).agg(F.min(row)).first()[0]
-        # the first row without an id keeps the hash it has without a row key
-        h = F.when(F.col(id_col).isNull() & (row > F.lit(first)), F.xxhash64(h, row - F.lit(first))).otherwise(h)
     rows = materialize(docs.select(
-        row.alias("row"),
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        F.shiftrightunsigned(h, 64 - CELL_BITS).cast("int").alias("cell"),
-        F.shiftrightunsigned(h, 64 - 2 * CELL_BITS).bitwiseAND(F.lit(CELLS - 1)).cast("int").alias("sub"),
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.length(text).alias("chars"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size")), "mix_rows")
+    h = F.xxhash64("doc_id", "chars", F.lit(seed))
+    rows = numbered_repeats(rows, ["doc_id", "source", "chars", "size"], "again").withColumn(
+        "h", F.when(F.col("again") > 0, F.xxhash64(h, "again")).otherwise(h))
+    rows = materialize(rows.select(
+        "row", "doc_id", "source", "size",
+        F.shiftrightunsigned("h", 64 - CELL_BITS).cast("int").alias("cell"),
+        F.shiftrightunsigned("h", 64 - 2 * CELL_BITS).bitwiseAND(F.lit(CELLS - 1)).cast("int").alias("sub"),
     ), "mix_sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     if isinstance(weight, DataFrame):

@@ -102,6 +102,23 @@ def test_mix_given_weights_and_few_rows(spark):
     assert mix(frame(spark, []), cycling_weights()).count() == 0
 
 
+def test_mix_decides_equal_rows_one_by_one(spark):
+    rows = [(7, "w " * 20, None, "a")] * 300 + [(None, f"x{i} " + "v " * 29, None, "b") for i in range(300)] + \
+           [(1000 + i, "u " * 20, None, "c") for i in range(300)]
+    docs = frame(spark, rows)
+    runs = []
+    for n in (1, 3, 6):
+        got = plan_mix(docs.repartition(n), cycling_weights()).collect()
+        taken = {}
+        for r in got:
+            taken.setdefault(r["source"], [0, r["target"]])[0] += r["taken"]
+        assert len(got) == 900 and all(abs(t - want) <= 30 for t, want in taken.values())
+        runs.append(sorted(str((r["doc_id"], r["source"], r["taken"])) for r in got))
+        mixed = [r["source"] for r in mix(docs.repartition(n), cycling_weights()).collect()]
+        assert {s: mixed.count(s) * size for s, size in (("a", 20), ("b", 30), ("c", 20))} == {s: t for s, (t, _) in taken.items()}
+    assert runs[0] == runs[1] == runs[2]
+
+
 # --- 2 --------------------------------------------------------------------------------------------------------------
 
 def test_url_rules_are_brute_force(spark):
@@ -179,6 +196,14 @@ def test_exact_groups_are_brute_force(spark, live):
     assert kept.count() == len(groups) and kept.columns == DOCS.replace(",", "").split()[::2]
 
 
+def test_exact_stage_keeps_the_same_row_however_it_is_dealt(spark):
+    rows = [(5, "same text", None, f"s{k}", k) for k in range(6)] + [(None, "other", None, f"t{k}", k) for k in range(4)] + \
+           [(9, "copy", "de", "x", 1)] * 3 + [(2, "sa me text", None, "longer", 0)]
+    kept = [sorted(map(str, drop_copies(frame(spark, rows).repartition(n)).collect())) for n in (1, 3, 6)]
+    assert len(kept[0]) == 3 and kept[0] == kept[1] == kept[2]
+    assert "longer" in "".join(kept[0])
+
+
 def test_exact_empty(spark):
     assert exact_dedup(frame(spark, [])).count() == 0
 
