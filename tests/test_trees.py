@@ -243,3 +243,29 @@ def test_folds_hold_each_class_evenly(spark):
     def by_id(folds):
         return {r.i: r.fold for r in folds.collect()}
     assert by_id(got) == by_id(stratified_folds(df.repartition(2), "y", 4, key="i"))
+
+
+# --- searches -------------------------------------------------------------------------------------------------------
+
+def test_configured_training_searches_and_ranks(spark, ml):
+    from churnlens.operators.ml import train_and_rank
+    from churnlens.operators.search import BOOSTED_GRID, FOREST_GRID, configured_trainers, points
+    assert len(points(FOREST_GRID)) == 27 and len(points(BOOSTED_GRID)) == 108
+    train, test = ml.where("split = 'train'"), ml.where("split = 'test'")
+    trainers = configured_trainers({"n_estimators": [3], "max_depth": [2, None], "min_samples_split": [5]},
+                                   {"lr": [0.1, 0.3], "depth": [2], "trees": [3], "subsample": [0.8], "colsample": [0.8]},
+                                   {"hidden": [4], "lr": [0.01, 0.05], "batch": [64]}, n_iter=2, folds=2, epochs=2, key="customer_id")
+    rows = train_and_rank(train, test, catalog.ML_FEATURES, "churn", trainers).orderBy("rank").collect()
+    assert {r.model for r in rows} == {"forest", "boosted", "network", "logistic"} and [r["rank"] for r in rows] == [1, 2, 3, 4]
+
+
+def test_boosted_search_scores_held_out_folds(spark):
+    from churnlens.operators.search import booster_search
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 2))
+    df = spark.createDataFrame([(i, float(a), float(b), int(a > 0.2)) for i, (a, b) in enumerate(x)], "i int, a double, b double, y int")
+    found, best = booster_search(df, ["a", "b"], "y", {"lr": [0.0, 0.5], "depth": [2], "trees": [8], "colsample": [1.0]}, n_iter=2, key="i")
+    rows = found.orderBy("rank").collect()
+    assert rows[0].lr == 0.5 and rows[0].mean_f1 > 0.95 > rows[1].mean_f1
+    assert ((best.raw(x) >= 0) == (x[:, 0] > 0.2)).mean() > 0.97
+    assert found.count() == 2 and booster_search(df, ["a", "b"], "y", {"lr": [0.5], "depth": [1], "trees": [2]}, key="i")[0].count() == 1
