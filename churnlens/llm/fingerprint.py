@@ -19,8 +19,10 @@ range before it as well, so no task needs more than its range.
 Defined cases: null text counts as empty; an empty text has the fingerprint
 of no features, alike (1) only to another empty one; a text shorter than a
 window is one feature; equal texts have equal fingerprints; repeated ids
-follow each other in the order of their texts; a null id comes after all
-others; a single document is its own successor; other columns are ignored.
+follow each other in the order of a hash of their texts, and ranges cut between them; a
+null id comes after all others; a single document is its own successor; ties
+of rank are settled by content; a very long text is worked through in chunks;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.llm.common import pieces, shuffle_partitions, table, whole_text
+from churnlens.session import materialize
 
 WINDOW = 16
 NEIGHBOURS = 16  # not more than WINDOW: votes then never cross from one text to the next
@@ -46,6 +49,8 @@ PROBES = 5
 CLASSES = 1001
 LEAST_CLASS = 100
 SLICE = 256 << 10
+#: Places whose wide numbers are held at once.
+CHUNK = 1 << 18
 
 _SCALE = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -53,10 +58,10 @@ _C_LOG_C = np.array([0] + [round(c * np.log2(c) * _SCALE) for c in range(1, WIND
 
 
 @cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse modulo 2**64."""
-    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-    up, down = np.full(n, _BASE), np.full(n, inverse)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse modulo 2**64, for the bytes of a chunk."""
+    n = CHUNK + 2 * NEIGHBOURS + WINDOW
+    up, down = np.full(n, _BASE), np.full(n, np.uint64(pow(int(_BASE), -1, 1 << 64)))
     up[0] = down[0] = 1
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
@@ -91,21 +96,31 @@ def entropy_classes(x: np.ndarray) -> np.ndarray:
     return np.rint(bits * ((CLASSES - 1) / np.log2(WINDOW))).astype(np.int64).clip(0, CLASSES - 1)
 
 
-def _join(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of all texts in a row, start and end of each, and whether a window may begin at a place."""
-    ends = np.cumsum([len(t) for t in texts])
-    starts = ends - np.array([len(t) for t in texts])
-    x = np.frombuffer(b"".join(texts) + bytes(WINDOW), np.uint8)
-    valid = np.zeros(len(x) + 1, np.int64)
-    long = ends - starts >= WINDOW
-    np.add.at(valid, starts[long], 1)
-    np.add.at(valid, ends[long] - WINDOW + 1, -1)
-    return x, starts, ends, np.cumsum(valid)[:len(x) - WINDOW + 1] > 0
+class _Texts:
+    """Texts one after another; a window may begin at a place if it ends in the same text."""
+
+    def __init__(self, texts: list[bytes]):
+        self.ends = np.cumsum([len(t) for t in texts])
+        self.starts = self.ends - np.array([len(t) for t in texts], dtype=np.int64)
+        self.places = int(self.ends[-1]) if len(texts) else 0
+        # one text is not copied; places near its end have no window and need no bytes beyond it
+        self.bytes = np.frombuffer(texts[0] if len(texts) == 1 else b"".join(texts), np.uint8) if self.places else np.zeros(0, np.uint8)
+
+    def cut(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """(the bytes of the windows that begin at a … b - 1, zeros beyond the end; which of them are valid)."""
+        x = self.bytes[a:b + WINDOW - 1]
+        if len(x) < b - a + WINDOW - 1:
+            x = np.concatenate([x, np.zeros(b - a + WINDOW - 1 - len(x), np.uint8)])
+        at = np.arange(a, b)
+        return x, at + WINDOW <= self.ends[np.searchsorted(self.ends, at, side="right")]
 
 
 def class_counts(texts: list[bytes]) -> np.ndarray:
-    x, _, _, valid = _join(texts)
-    return np.bincount(entropy_classes(x)[valid], minlength=CLASSES)
+    joined, counts = _Texts([t for t in texts if t]), np.zeros(CLASSES, np.int64)
+    for a in range(0, joined.places, CHUNK):
+        x, valid = joined.cut(a, min(a + CHUNK, joined.places))
+        counts += np.bincount(entropy_classes(x)[valid], minlength=CLASSES)
+    return counts
 
 
 def rank_classes(counts: np.ndarray) -> np.ndarray:
@@ -145,11 +160,12 @@ def _digest(features: np.ndarray) -> Digest:
     return Digest(np.packbits(bits, axis=1), np.bincount(rows, minlength=count).tolist() if count else [])
 
 
-def digests(texts: list[bytes], rank: np.ndarray) -> list[Digest]:
-    """The fingerprint of each text."""
-    x, starts, ends, valid = _join(texts)
-    up, down = _powers(max(1 << 20, 1 << (len(x) + 1).bit_length()))
-    n = len(valid)
+def _chosen(joined: _Texts, rank: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places from a to b that hold a feature, the features)."""
+    low, high = max(0, a - NEIGHBOURS + 1), min(joined.places, b + NEIGHBOURS - 1)
+    x, valid = joined.cut(low, high)
+    up, down = _powers()
+    n = high - low
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * up[:len(x)], dtype=np.uint64)])
     features = _mix((sums[WINDOW:] - sums[:-WINDOW])[:n] * down[:n])
     ranks = rank[entropy_classes(x)]
@@ -161,13 +177,23 @@ def digests(texts: list[bytes], rank: np.ndarray) -> list[Digest]:
     while step < NEIGHBOURS:
         least = np.minimum(least[:-step], least[step:])
         step *= 2
-    least = least[:n][valid]
+    voters = min(b, joined.places) - low  # the neighbours of a later place are not all here
+    least = least[:voters][valid[:voters]]
     least = least[least >> 52 < CLASSES] & 0xFFFFFFFF
-    chosen = np.flatnonzero(np.bincount(least, minlength=n) >= VOTES)
-    cut = np.searchsorted(chosen, starts), np.searchsorted(chosen, ends)
+    found = np.flatnonzero(np.bincount(least, minlength=n)[:n] >= VOTES)
+    found = found[(found >= a - low) & (found < b - low)]
+    return found + low, features[found]
+
+
+def digests(texts: list[bytes], rank: np.ndarray) -> list[Digest]:
+    """The fingerprint of each text; the work needs memory for a chunk, whatever the length of a text."""
+    joined = _Texts(texts)
+    parts = [_chosen(joined, rank, a, min(a + CHUNK, joined.places)) for a in range(0, joined.places, CHUNK)]
+    places = np.concatenate([p for p, _ in parts]) if parts else np.zeros(0, np.int64)
+    features = np.concatenate([f for _, f in parts]) if parts else np.zeros(0, np.uint64)
     out = []
-    for k, text in enumerate(texts):
-        own = features[chosen[cut[0][k]:cut[1][k]]]
+    for text, a, b in zip(texts, np.searchsorted(places, joined.starts), np.searchsorted(places, joined.ends)):
+        own = features[a:b]
         if not len(own) and text:  # short, or without any improbable window: the text is the one feature
             own = np.array([int.from_bytes(hashlib.sha256(text).digest()[:8], "big")], np.uint64)
         out.append(_digest(own))
@@ -232,12 +258,13 @@ def follow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
     """
     spark = docs.sparkSession
     ranges = shuffle_partitions(spark)
+    # descending id, then descending hash of the text: an id that many rows share is spread over ranges too
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("place"),
+                       F.struct(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(whole_text(text_col)).alias("tie")).alias("place"),
                        whole_text(text_col).alias("text"))
-    ids = rows.select("place")
+    ids = materialize(rows.select("place"), "follow_places")
     every = max(1, ids.count() // (ranges * sampled))
-    sample = sorted((r[0] for r in ids.filter(F.pmod(F.xxhash64("place"), F.lit(every)) == 0).distinct().collect()),
+    sample = sorted((tuple(r[0]) for r in ids.filter(F.pmod(F.xxhash64("place"), F.lit(every)) == 0).distinct().collect()),
                     reverse=True)
     bounds = sample[sampled::sampled]
 
@@ -246,7 +273,7 @@ def follow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
         df = df.withColumn("part", F.lit(0))
         if not bounds:
             return df
-        array, step = F.array(*(F.lit(b).cast("long") for b in bounds)), 1
+        array, step = F.array(*(F.struct(F.lit(i).cast("long").alias("id"), F.lit(t).cast("long").alias("tie")) for i, t in bounds)), 1
         while step * 2 <= len(bounds):
             step *= 2
         while step:
@@ -258,7 +285,7 @@ def follow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
 
     heads = sorted(with_part(ids).groupBy("part").agg(F.max("place").alias("place")).collect())  # one row a range
     edges = spark.createDataFrame([(h["place"], heads[k - 1]["part"]) for k, h in enumerate(heads)],
-                                  "place long, to_part int")
+                                  "place struct<id:long,tie:long>, to_part int")
     parted = with_part(rows).join(F.broadcast(edges), "place", "left")
     target = F.struct(F.col("part"), F.lit(False).alias("extra"))
     copies = F.when(F.col("to_part").isNull(), F.array(target)).otherwise(
@@ -279,10 +306,9 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def judge(rows: list[tuple]) -> pa.RecordBatch:
         """rows: (part, extra, doc_id, text); a result for each but the last that is no extra row."""
         texts = [r[3] for r in rows]
-        edited = [t[:len(t) - len(t) // 3] + nxt[:len(t) // 3] for t, nxt in zip(texts, texts[1:])]
-        raw = [t.encode("utf-8") for t in edited]
-        found = digests([t.encode("utf-8") for t in texts] + raw, rank.value)
-        own, other = found[:len(texts)], found[len(texts):]
+        own = digests([t.encode("utf-8") for t in texts], rank.value)
+        raw = [(t[:len(t) - len(t) // 3] + nxt[:len(t) // 3]).encode("utf-8") for t, nxt in zip(texts, texts[1:])]
+        other = digests(raw, rank.value)
         keep = [k for k in range(len(rows) - 1) if not rows[k][1]]
         return pa.RecordBatch.from_arrays([
             pa.array([rows[k][2] for k in keep], pa.int64()), pa.array([len(texts[k]) for k in keep], pa.int64()),

@@ -17,8 +17,10 @@ pages) are broadcast; extraction is a narrow map over whole pages.
 Defined cases: null or empty html gives an empty text, as does a page without
 main text; character references are decoded; a line break is white space
 inside its block; text of script, style, template, title and comments is no
-text; tags left open end with their parent; repeated rows are judged alike;
-very long pages cost time in proportion; other columns are ignored.
+text (that of formulas, drawings and objects is); tags left open end with
+their parent; repeated rows are judged alike; an empty table gives no rows;
+ties of the two labels go to the rest; very long or deep pages cost time in
+proportion; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,66 +40,99 @@ from churnlens.llm.common import pieces, table, whole_text
 BLOCK_TAGS = frozenset("""address article aside blockquote body button center dd details dialog dir div dl dt fieldset
     figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main menu nav noscript
     ol option optgroup p pre section select summary table tbody td textarea tfoot th thead tr ul label""".split())
-SILENT_TAGS = frozenset("script style template title svg math object".split())
+SILENT_TAGS = frozenset("script style template title".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag on the left ends an open element on the right.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
-#: Ancestors looked at, from the block outwards.
-DEPTH = 40
 
 
 class Block:
+    """A stretch of text; ``path`` is the sum of its ancestors' weights, or their names where no weights are given."""
     __slots__ = ("path", "text", "linked")
 
-    def __init__(self, path: tuple, text: str, linked: int):
+    def __init__(self, path, text: str, linked: int):
         self.path, self.text, self.linked = path, text, linked
 
 
 class _Blocks(HTMLParser):
-    """Leaf blocks of a page, in page order."""
+    """Leaf blocks of a page, in page order.
 
-    def __init__(self):
+    What is known of the open elements is carried along as they open and
+    close: where each tag is open, which are blocks, and which names occur
+    among them. So no tag and no block looks through the stack, however deep.
+    """
+
+    def __init__(self, weights: dict[str, float] | None = None):
         super().__init__(convert_charrefs=True)
+        self.weights = weights
         self.blocks: list[Block] = []
-        self.stack: list[tuple[str, tuple]] = []
+        #: (tag, words, names that this element brought, weight of all names before it)
+        self.stack: list[tuple[str, tuple, list[str], float]] = []
+        self.places: dict[str, list[int]] = {}
+        self.open_blocks: list[int] = []
+        self.names: dict[str, int] = {}
+        self.weight = 0.0
+        self.near: dict[tuple, float] = {}
         self.parts: list[str] = []
         self.linked = 0
         self.links = 0
         self.silent = 0
 
+    def _path(self):
+        near = tuple(self.stack[at][:2] for at in self.open_blocks[-3:])
+        if self.weights is None:
+            return [*self.names, *_near_features(near)]
+        found = self.near.get(near)
+        if found is None:
+            found = self.near[near] = sum(self.weights.get(f, 0.0) for f in _near_features(near))
+        return self.weight + found
+
     def _end_block(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append(Block(tuple(self.stack[-DEPTH:]), text, self.linked))
+                self.blocks.append(Block(self._path(), text, self.linked))
             self.parts, self.linked = [], 0
 
+    def _push(self, tag: str, words: tuple) -> None:
+        brought, before = [], self.weight
+        for name in _element_features(tag, words):
+            if name not in self.names:
+                self.names[name] = len(self.stack)
+                brought.append(name)
+                if self.weights is not None:
+                    self.weight += self.weights.get(name, 0.0)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCK_TAGS:
+            self.open_blocks.append(len(self.stack))
+        self.stack.append((tag, words, brought, before))
+        self.links += tag == "a"
+        self.silent += tag in SILENT_TAGS
+
     def _pop(self, to: int) -> None:
-        for tag, _ in self.stack[to:]:
+        while len(self.stack) > to:
+            tag, _, brought, self.weight = self.stack.pop()
+            for name in brought:
+                del self.names[name]
+            self.places[tag].pop()
+            if tag in BLOCK_TAGS:
+                self.open_blocks.pop()
             self.links -= tag == "a"
             self.silent -= tag in SILENT_TAGS
-        del self.stack[to:]
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK_TAGS:
             self._end_block()
-            # a new block ends an open paragraph, and some elements their like
-            ends = CLOSES.get(tag, ())
-            for at in range(len(self.stack) - 1, max(-1, len(self.stack) - 1 - DEPTH), -1):
-                name = self.stack[at][0]
-                if name == "p" or name in ends:
-                    self._pop(at)
-                    break
-                if name in BLOCK_TAGS:
-                    break
+            # a new block ends an open paragraph, and some elements their like, if that is the nearest open block
+            if self.open_blocks:
+                name = self.stack[self.open_blocks[-1]][0]
+                if name == "p" or name in CLOSES.get(tag, ()):
+                    self._pop(self.open_blocks[-1])
         elif tag == "br":
             self.parts.append(" ")
-        if tag in VOID_TAGS:
-            return
-        self.stack.append((tag, _words(attrs)))
-        self.links += tag == "a"
-        self.silent += tag in SILENT_TAGS
+        if tag not in VOID_TAGS:
+            self._push(tag, _words(attrs))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -107,12 +142,10 @@ class _Blocks(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCK_TAGS:
             self._end_block()
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
-                self._pop(at)
-                break
-            if tag not in BLOCK_TAGS and self.stack[at][0] in BLOCK_TAGS:
-                break  # an inline end tag doesn't reach beyond its block
+        places = self.places.get(tag)
+        # an inline end tag doesn't reach beyond its block
+        if places and (tag in BLOCK_TAGS or not self.open_blocks or places[-1] > self.open_blocks[-1]):
+            self._pop(places[-1])
 
     def handle_data(self, data):
         if not self.silent:
@@ -135,29 +168,28 @@ def _words(attrs) -> tuple:
     return tuple(found)
 
 
-def blocks_of(html: str) -> list[Block]:
-    parser = _Blocks()
+def blocks_of(html: str, weights: dict[str, float] | None = None) -> list[Block]:
+    parser = _Blocks(weights)
     parser.feed(html)
     parser.close()
     parser._end_block()
     return parser.blocks
 
 
-def _path_features(path: tuple) -> list[str]:
-    """Names of an ancestor chain's features: each ancestor anywhere, the nearest three with their place."""
+def _element_features(tag: str, words: tuple) -> set[str]:
+    """Names of an element that stands anywhere among a block's ancestors."""
+    return {"a:" + tag, *("w:" + w for w in words), *("s:" + w[:4] for w in words)}
+
+
+def _near_features(blocks: tuple) -> list[str]:
+    """Names of the nearest three blocks with their place, from within."""
     names = set()
-    for tag, words in path:
-        names.add("a:" + tag)
-        for w in words:
-            names.add("w:" + w)
-            names.add("s:" + w[:4])
-    blocks = [x for x in path if x[0] in BLOCK_TAGS]
-    for place, (tag, words) in enumerate(reversed(blocks[-3:])):
+    for place, (tag, words) in enumerate(reversed(blocks)):
         names.add(f"{place}:{tag}")
         for w in words:
             names.add(f"{place}:w:{w}")
             names.add(f"{place}:s:{w[:4]}")
-    return list(names)
+    return sorted(names)
 
 
 def _text_features(block: Block, at: int, n: int) -> list[str]:
@@ -176,7 +208,7 @@ def _text_features(block: Block, at: int, n: int) -> list[str]:
 
 def features(blocks: list[Block]) -> list[list[str]]:
     n = len(blocks)
-    return [_path_features(b.path) + _text_features(b, i, n) for i, b in enumerate(blocks)]
+    return [b.path + _text_features(b, i, n) for i, b in enumerate(blocks)]
 
 
 class Crf:
@@ -184,18 +216,13 @@ class Crf:
 
     def __init__(self, weights: dict[str, float], transitions: np.ndarray, first: float):
         self.weights, self.transitions, self.first = weights, transitions, first
-        self._paths: dict[tuple, float] = {}
 
     def emissions(self, blocks: list[Block]) -> list[float]:
-        get, out, n = self.weights.get, [], len(blocks)
-        for i, b in enumerate(blocks):
-            path = self._paths.get(b.path)
-            if path is None:
-                path = sum(get(f, 0.0) for f in _path_features(b.path))
-                if len(self._paths) < 20_000:
-                    self._paths[b.path] = path
-            out.append(path + sum(get(f, 0.0) for f in _text_features(b, i, n)))
-        return out
+        get, n = self.weights.get, len(blocks)
+
+        def path(found) -> float:
+            return found if isinstance(found, float) else sum(get(f, 0.0) for f in found)
+        return [path(b.path) + sum(get(f, 0.0) for f in _text_features(b, i, n)) for i, b in enumerate(blocks)]
 
     def decode(self, emissions: list[float]) -> list[bool]:
         """The most likely labels (Viterbi); the rest wins a tie."""
@@ -216,7 +243,7 @@ class Crf:
         return labels[::-1]
 
     def main_text(self, html: str) -> str:
-        blocks = blocks_of(html)
+        blocks = blocks_of(html, self.weights)
         keep = self.decode(self.emissions(blocks))
         return "\n".join(b.text for b, k in zip(blocks, keep) if k)
 

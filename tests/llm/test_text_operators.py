@@ -175,11 +175,41 @@ def test_pages_held_out_blocks_and_tables(spark):
     same = 0
     for r in rows:
         inside = html_text.blocks_of(r["html"])
-        want = "\n".join(b.text for b in inside if any(tag == "article" for tag, _ in b.path))
+        want = "\n".join(b.text for b in inside if "a:article" in b.path)
         same += want == r["text"]
     assert same / len(rows) >= 0.98
 
 
+def test_pages_keep_formulas_drawings_and_objects(spark):
+    text = "Energy <math><mi>E</mi>=mc2</math> is <object>fallback</object> and <svg><text>a label</text></svg> x, and more words follow here. "
+    html = f"<body><nav><a href='/'>Home</a></nav><article><h1>On energy</h1><p>{text * 3}</p><p>{text * 2}</p></article></body>"
+    got = extract_main_text(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string"), trained(120)).first()["text"]
+    one = "Energy E=mc2 is fallback and a label x, and more words follow here."
+    assert got == "On energy\n" + " ".join([one] * 3) + "\n" + " ".join([one] * 2)
+
+
+def test_deep_pages_keep_their_outer_elements():
+    model = trained(120)
+    sentence = "A long enough sentence of plain words, with marks. " * 5
+    inner = "<div><span>" * 300 + f"<p>{sentence}</p>" * 3
+    shallow, deep = (blocks_of(f"<{tag}>{inner}", model.weights) for tag in ("article", "footer"))
+    assert [b.text for b in shallow] == [b.text for b in deep] == [sentence.strip()] * 3
+    names = [b.path for tag in ("article", "footer") for b in blocks_of(f"<{tag}>{inner}")]
+    assert all("a:article" in p for p in names[:3]) and all("a:footer" in p for p in names[3:])
+    own = model.emissions(blocks_of(f"<footer>{inner}"))
+    assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(own, model.emissions(deep)))
+    assert model.emissions(deep)[0] < model.emissions(shallow)[0]
+
+
+def test_unmatched_tags_cost_time_in_proportion():
+    import time
+    for html in ("<div>" * 100_000 + "</section>" * 100_000, "<b>" * 100_000 + "<p>x" * 50_000, "<div class='a b c'><p>x" * 30_000,
+                 "<i>" * 50_000 + "<div></div>" * 50_000 + "</u>" * 50_000):
+        start = time.process_time()
+        blocks_of(html, {})
+        assert time.process_time() - start < 6
+
+
 def test_viterbi_is_the_best_of_all_labellings():
     model = trained(60)
     rnd = random.Random(4)
@@ -213,6 +243,78 @@ def test_fingerprints_do_not_depend_on_their_neighbours():
         assert (not d.sizes) == (not t)
 
 
+def brute_digest(text, rank):
+    """The chain of filters from the definition, window by window."""
+    w, n = fingerprint.WINDOW, len(text) - fingerprint.WINDOW + 1
+    mask, base = (1 << 64) - 1, int(fingerprint._BASE)
+
+    def mixed(h):
+        h = (h ^ h >> 31) * 0xBF58476D1CE4E5B9 & mask
+        h = (h ^ h >> 27) * 0x94D049BB133111EB & mask
+        return h ^ h >> 31
+    features, keys = [], []
+    for i in range(n):
+        f = mixed(sum(c * pow(base, k, 1 << 64) for k, c in enumerate(text[i:i + w])) & mask)
+        cls = int(entropy_classes(np.frombuffer(text[i:i + w] + bytes(1), np.uint8))[0])
+        features.append(f)
+        keys.append((int(rank[cls]), f >> 44, i))
+    votes = Counter()
+    for i in range(n):
+        least = min(keys[i:i + fingerprint.NEIGHBOURS])
+        if least[0] < fingerprint.CLASSES:
+            votes[least[2]] += 1
+    own = list(dict.fromkeys(features[i] for i in range(n) if votes[i] >= fingerprint.VOTES))
+    if not own and text:
+        own = [int.from_bytes(hashlib.sha256(text).digest()[:8], "big")]
+    filters = []
+    for at in range(0, len(own), fingerprint.FILTER_FEATURES):
+        bits = {f >> 11 * p & (fingerprint.FILTER_BITS - 1) for f in own[at:at + fingerprint.FILTER_FEATURES] for p in range(fingerprint.PROBES)}
+        filters.append((len(own[at:at + fingerprint.FILTER_FEATURES]), bits))
+    return filters
+
+
+def as_filters(d):
+    return [(n, {int(k) for k in np.flatnonzero(np.unpackbits(row))}) for n, row in zip(d.sizes, d.filters)]
+
+
+def brute_likeness(a, b):
+    if not a or not b:
+        return float(not a and not b)
+    a, b = (a, b) if len(a) <= len(b) else (b, a)
+    m = fingerprint.FILTER_BITS
+    total = sum(n * max(0.0, max((len(x & y) - len(x) * len(y) / m) / (min(len(x), len(y)) - len(x) * len(y) / m) for _, y in b)) for n, x in a)
+    return min(1.0, total / sum(n for n, _ in a))
+
+
+@pytest.mark.parametrize("chunk", [1 << 18, 37])
+def test_digests_are_brute_force(monkeypatch, chunk):
+    rnd = random.Random(11)
+    texts = [bytes(rnd.choices(b"abcdefgh ij\xc3\xa9", k=k)) for k in (0, 1, 15, 16, 17, 31, 64, 500, 2500, 4000)] + [b"aaaa" * 30, b"ab" * 200]
+    texts.append(texts[7] + texts[6])
+    rank = rank_classes(fingerprint.class_counts(texts))
+    want = [brute_digest(t, rank) for t in texts]
+    monkeypatch.setattr(fingerprint, "CHUNK", chunk)
+    fingerprint._powers.cache_clear()
+    assert (rank == rank_classes(fingerprint.class_counts(texts))).all()
+    got = digests(texts, rank)
+    fingerprint._powers.cache_clear()
+    assert [as_filters(d) for d in got] == want
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            assert math.isclose(likeness(got[i], got[j]), brute_likeness(want[i], want[j]), abs_tol=1e-12)
+
+
+def test_a_very_long_text_needs_memory_for_a_chunk():
+    import tracemalloc
+    text = np.random.default_rng(0).integers(97, 123, 32 << 20).astype(np.uint8).tobytes()
+    rank = rank_classes(fingerprint.class_counts([text[:1 << 20]]))
+    tracemalloc.start()
+    digests([text], rank)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20
+
+
 def test_edits_follow_in_descending_order(spark):
     rows = [r for r in edge_rows() if r[0] is not None]
     rng = random.Random(3)
