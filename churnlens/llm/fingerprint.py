@@ -111,8 +111,12 @@ class _Texts:
         x = self.bytes[a:b + WINDOW - 1]
         if len(x) < b - a + WINDOW - 1:
             x = np.concatenate([x, np.zeros(b - a + WINDOW - 1 - len(x), np.uint8)])
-        at = np.arange(a, b)
-        return x, at + WINDOW <= self.ends[np.searchsorted(self.ends, at, side="right")]
+        # no window begins in the last WINDOW - 1 bytes of a text
+        e = self.ends[np.searchsorted(self.ends, a, side="right"):np.searchsorted(self.ends, b + WINDOW - 1)]
+        edge = np.zeros(b - a + 1, np.int32)
+        np.add.at(edge, np.clip(e - WINDOW + 1 - a, 0, b - a), 1)
+        np.add.at(edge, np.minimum(e - a, b - a), -1)
+        return x, np.cumsum(edge[:-1]) == 0
 
 
 def class_counts(texts: list[bytes]) -> np.ndarray:
