@@ -393,7 +393,9 @@ def crossing_pairs(rows: list[tuple], across: bool) -> list[tuple[bytes, bytes]]
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, across, block, cid, n, root, bits) of a key together -> candidate pairs."""
     for rows in _groups(batches, 0):
-        pairs = sorted(set(crossing_pairs([r[2:] for r in rows], rows[0][1])))
+        if all(r[5] == rows[0][5] for r in rows):
+            continue  # one component
+        pairs = sorted(set(crossing_pairs([r[2:] for r in rows], any(r[1] for r in rows))))
         if pairs:
             yield _batch([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())],
                          ["a", "b"])
@@ -418,11 +420,10 @@ def class_links(sets: DataFrame, prefixes: DataFrame, most: int = BLOCK) -> Data
     near = near.withColumn("block", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
         "key", F.concat_ws(":", "token", F.least("block", "other"), F.greatest("block", "other")))
-    # rows of one key are one pair of blocks of one token
-    pairs = near.groupBy("key").agg(F.max(F.col("block") != F.col("other")).alias("across"), F.min("root").alias("least"),
-                                    F.max("root").alias("most")).filter("least <> most").select("key", "across")
-    grouped = near.join(pairs, "key").select("key", "across", "block", "cid", "n", "root", "bits")
-    candidates = grouped.repartition("key").sortWithinPartitions("key").mapInArrow(_cross, "a binary, b binary").distinct()
+    # rows of one key are one pair of blocks of one token; ranges of keys are even in rows, which hashes of keys are not
+    grouped = near.select("key", (F.col("block") != F.col("other")).alias("across"), "block", "cid", "n", "root", "bits")
+    candidates = grouped.repartitionByRange(shuffle_partitions(near.sparkSession), "key").sortWithinPartitions("key").mapInArrow(
+        _cross, "a binary, b binary").distinct()
     more = verified(candidates, sets)
     return components(links.unionByName(more))
 
