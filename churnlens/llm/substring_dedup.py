@@ -15,7 +15,9 @@ anchor.
    slice of texts and anchor. A region whose anchor is unique has no repeat.
 2. Texts meet their repeated anchors (join by document) and give their regions
    as 32-bit word hashes, packed per shard. Equal regions of a slice are
-   settled there. An anchor with over ``HOT`` occurrences is split: its windows
+   settled there: the first goes to the shard of its anchor, the others, known
+   to be repeats, past any shard, so a passage costs its shard one entry a
+   slice however often it stands there. An anchor with over ``HOT`` occurrences is split: its windows
    go to the shard of their own hash, one by one, so a passage that a third of
    all documents hold, in ever different surroundings, fills no single shard.
 3. A shard concatenates its distinct regions in document order, builds an
@@ -178,7 +180,7 @@ def _member(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
 def _pack_regions(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(place, dkey, text, anchors, hot) -> regions of repeated anchors, packed per shard."""
-        for batch in pieces(batches, 2, SLICE):
+        for number, batch in enumerate(pieces(batches, 2, SLICE)):
             words, offsets = word_hashes(batch.column(2))
             starts, doc, place, grams = window_anchors(words, offsets)
             keep, hot = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
@@ -209,7 +211,9 @@ def _pack_regions(shards: int):
             again = np.concatenate([[False], (same[1:] == same[:-1]) & (shard[1:] == shard[:-1])])
             twin = np.concatenate([[False], (ids[1:] == ids[:-1]) & (keys[1:] == keys[:-1]) & (at[1:] == at[:-1])])
             yield from _region_rows(shard, ids, keys, at, count, begin, words, ~again, True)
-            yield from _region_rows(shard, ids, keys, at, count, begin, words, again & ~twin, False)
+            # what is settled needs no index: it goes along with any shard, a slice's all to one
+            anywhere = np.full(len(shard), _slice_key(number) % shards)
+            yield from _region_rows(anywhere, ids, keys, at, count, begin, words, again & ~twin, False)
     return run
 
 
