@@ -74,7 +74,9 @@ def route(df: DataFrame, key: str, weight: float, salt: str = "canary",
     """I4: send a repeatable ``weight`` fraction of keys to Staging."""
     if not has_staging:
         return df.withColumn(out, F.lit("Production"))
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(salt)), F.lit(10000))
+    # the first 32 bits of a digest, which any system can recompute
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{salt}")))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10000
     return df.withColumn(out, F.when(bucket < int(round(weight * 10000)), F.lit("Staging"))
                          .otherwise(F.lit("Production")))
 

@@ -72,7 +72,7 @@ def last_n(log: DataFrame, n: int, time_col: str, tiebreak: str) -> DataFrame:
 
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """Seeded sample of n rows, stable under repartitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), F.col(key)).limit(n)
 
 
 def preview(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

@@ -569,7 +569,8 @@ def q_chi_square(spark, sf):
 @register("chi_square_tests")
 def q_chi_square_tests(spark, sf):
     from churnlens.operators.stats import chi_square
-    return chi_square(subs_explore(spark, sf), XTAB_COLS, "churn", with_p=True)
+    out = chi_square(subs_explore(spark, sf), XTAB_COLS, "churn", with_p=True)
+    return out.select("column", r6("statistic").alias("statistic"), "dof", r6("p_value").alias("p_value"), "significant")
 
 
 @register("t_test", explore_views(extra=f"""
@@ -591,7 +592,8 @@ def q_t_test(spark, sf):
 @register("t_tests")
 def q_t_tests(spark, sf):
     from churnlens.operators.stats import t_test
-    return t_test(subs_explore(spark, sf), MEAN_COLS, "churn", with_p=True)
+    out = t_test(subs_explore(spark, sf), MEAN_COLS, "churn", with_p=True)
+    return out.select("column", r6("statistic").alias("statistic"), "dof", r6("p_value").alias("p_value"), "significant")
 
 
 # ---------------------------------------------------------------------------
@@ -700,6 +702,32 @@ def sql_gamma_q(a: str, x: str) -> str:
                - lgamma({a} + k + 1))) FROM range(0, CAST({x} + 10 * sqrt({x}) + 200 AS BIGINT)) t(k))) END)"""
 
 
+def sql_t_p(t: str, dof: str, steps: int = 40_000) -> str:
+    """Two-sided p of Student's t: the share of the integral of cos^(dof - 1) beyond atan(|t| / sqrt(dof)), by Simpson's rule."""
+    def area(start: str) -> str:
+        width = f"((pi() / 2 - ({start})) / {steps})"
+        weight = f"CASE WHEN k = 0 OR k = {steps} THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END"
+        return f"(SELECT sum({weight} * pow(greatest(cos(({start}) + k * {width}), 0.0), {dof} - 1)) * {width} / 3 FROM range(0, {steps} + 1) t(k))"
+    return f"({area(f'atan(abs({t}) / sqrt({dof}))')} / {area('0.0')})"
+
+
+def _unrounded(name: str, rounded: str) -> str:
+    if rounded not in ORACLE[name]:
+        raise ValueError(f"{name} has no {rounded}")
+    return ORACLE[name].replace(rounded, rounded.removeprefix("round(").removesuffix(", 6)"))
+
+
+def _with_p(raw: str, p: str) -> str:
+    return f"""SELECT "column", round(statistic, 6) AS statistic, dof, round(p, 6) AS p_value, p < 0.05 AS significant
+FROM (SELECT *, {p} AS p FROM ({raw}))"""
+
+
+ORACLE["chi_square_tests"] = _with_p(_unrounded("chi_square", "round(CASE WHEN (r - 1) * (kp - 1) = 1 THEN yates ELSE plain END, 6)"),
+                                     sql_gamma_q("(dof / 2e0)", "(statistic / 2e0)"))
+ORACLE["t_tests"] = _with_p(_unrounded("t_test", "round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2)), 6)"),
+                            sql_t_p("statistic", "dof"))
+
+
 def _sql_report_tests(num_cols, cat_cols, ref, cur) -> str:
     """The small-reference branch: KS (asymptotic p) and z / chi-square tests at 0.05."""
     ks = f"""SELECT "column", 'numeric' AS kind, 'ks' AS method, round(d, 6) AS statistic, round(p, 6) AS score,
@@ -950,7 +978,9 @@ def q_rollout_replay(spark, sf):
                       "promote", "still_rolling")
 
 
-@register("route_share")
+@register("route_share", with_views("prediction_log") + """
+SELECT CASE WHEN CAST('0x' || substr(md5(CAST(request_id AS VARCHAR) || ':canary'), 1, 8) AS BIGINT) % 10000 < 2500
+            THEN 'Staging' ELSE 'Production' END AS model_stage, count(*) AS n FROM prediction_log GROUP BY 1""")
 def q_route_share(spark, sf):
     from churnlens.operators.decide import route
     routed = route(FX.prediction_log(spark, sf), "request_id", 0.25)
@@ -1028,7 +1058,8 @@ def q_last_n_log(spark, sf):
     return last_n(FX.prediction_log(spark, sf), 200, "event_time", "request_id")
 
 
-@register("sample_n")
+@register("sample_n", """
+SELECT * FROM customer ORDER BY md5(CAST(c_custkey AS VARCHAR) || ':42'), c_custkey LIMIT 100""")
 def q_sample_n(spark, sf):
     from churnlens.operators.merge import sample_n
     return sample_n(FX.table(spark, sf, "customer"), 100, 42, "c_custkey")
