@@ -14,7 +14,10 @@ distinct words are kept in a cache per Python worker, bounded by
 Defined cases: null text is empty (no tokens, the digests of the empty
 string); special strings inside a text are single tokens; texts are
 normalised as the file says (composed form, lower case), so decoding gives
-the token strings joined by single spaces; other columns are ignored.
+the token strings joined by single spaces; of equal ranks in a word the
+leftmost pair merges first; repeated rows are encoded alike; a very long text
+is encoded whole, a stretch between white space at a time; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

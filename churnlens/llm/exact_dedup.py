@@ -14,8 +14,10 @@ their group, and only groups of two or more are joined back.
 
 Defined cases: null text counts as empty, all empty texts are one group; rows
 that repeat (doc_id and text alike) are separate rows of the group and exactly
-one of them stays; null doc_id ranks after every doc_id; an empty table gives
-an empty result; other columns of the input are ignored.
+one of them stays, of rows alike in length and id the one with the least hash
+of all its columns; null doc_id ranks after every doc_id; a very long text is
+digested whole, where it is read; an empty table gives an empty result; other
+columns of the input are ignored (but for that hash).
 """
 
 from __future__ import annotations
@@ -167,44 +169,59 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.sha2(F.regexp_replace(text, f"[{SPACES}]+", ""), 256))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", live: int = 200_000,
-                row_col: str | None = None) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, chars``.
+def _tie(docs: DataFrame) -> Column:
+    """A hash of a row's content: rows alike in length and id are told apart by it, however the input is dealt."""
+    return F.xxhash64(*[F.col(c) for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()])
 
-    Of rows alike in length and id the one with the least hash of all its
-    columns stays, so the choice does not depend on how the input is dealt.
-    ``live`` bounds the digests a map-side index holds before it emits them.
-    ``row_col``: a written column that is unique to each row; it comes back as
-    ``row``.
-    """
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, live: int) -> DataFrame:
+    """``doc_id, chars, digest, tie, keep_id, group_size, kept`` for every row."""
     text = whole_text(text_col)
-    hashed = [F.col(c) for c in docs.columns if c != row_col and "map<" not in docs.schema[c].dataType.simpleString()]
     rows = materialize(docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.char_length(text).cast("long").alias("chars"),
         text_digest(text).alias("digest"),
-        F.xxhash64(*hashed).alias("tie"),
-        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row")), "exact_rows")
+        _tie(docs).alias("tie"),
+        F.monotonically_increasing_id().alias("row")), "exact_rows")
     entries = rows.select("digest", "chars", "doc_id", "tie", "row", F.lit(1).cast("long").alias("members")) \
         .mapInArrow(_index_pass(live), _ENTRY)
     groups = entries.repartition("digest").mapInArrow(_index_pass(None), _ENTRY)
     shared = groups.filter("members > 1").withColumnRenamed("digest", "group_digest")
     return (rows.join(shared, rows.digest == shared.group_digest, "left")
-            .select("doc_id",
+            .select("doc_id", "chars", "digest", "tie",
                     F.when(F.col("members").isNull(), F.col("doc_id")).otherwise(F.col("best_id")).alias("keep_id"),
                     F.coalesce("members", F.lit(1)).cast("long").alias("group_size"),
-                    F.coalesce(F.col("best_row") == F.col("row"), F.lit(True)).alias("kept"),
-                    F.lower(F.hex("digest")).alias("text_sha256"), "chars", *(["row"] if row_col else [])))
+                    F.coalesce(F.col("best_row") == F.col("row"), F.lit(True)).alias("kept")))
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", live: int = 200_000) -> DataFrame:
+    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, chars``.
+
+    ``live`` bounds the digests a map-side index holds before it emits them.
+    """
+    return _judged(docs, id_col, text_col, live).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"), "chars")
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", live: int = 200_000) -> DataFrame:
     """The rows that stay, with all their columns.
 
-    The rows are written once with a key, and each is kept or dropped by its key.
+    A row that stays is known by its digest and the hash of its content; the
+    texts meet these keys in one join. Only where rows alike in all columns
+    stay together is one of them picked.
     """
-    docs = materialize(docs.withColumn("__stay_row", F.monotonically_increasing_id()), "dedup_rows")
-    stay = exact_dedup(docs, id_col, text_col, row_col="__stay_row").filter("kept").select(F.col("row").alias("__stay_row"))
-    return docs.join(stay, "__stay_row", "left_semi").drop("__stay_row")
+    judged = materialize(_judged(docs, id_col, text_col, live).select("digest", "tie", "kept"), "exact_judged")
+    stay = judged.filter("kept").select(F.col("digest").alias("__stay_digest"), F.col("tie").alias("__stay_tie"))
+    repeated = judged.groupBy("digest", "tie").agg(F.count("*").alias("n"), F.max("kept").alias("kept")).filter("n > 1 AND kept")
+    repeated = materialize(repeated.select(F.col("digest").alias("__again_digest"), F.col("tie").alias("__again_tie")), "exact_repeated")
+    keys = {"__own_digest": text_digest(whole_text(text_col)), "__own_tie": _tie(docs)}
+    kept = docs.withColumns(keys).join(
+        stay, (F.col("__own_digest") == F.col("__stay_digest")) & (F.col("__own_tie") == F.col("__stay_tie")), "left_semi")
+    if repeated.head(1):
+        again = (F.col("__own_digest") == F.col("__again_digest")) & (F.col("__own_tie") == F.col("__again_tie"))
+        kept = kept.join(repeated, again, "left_anti").unionByName(
+            kept.join(repeated, again, "left_semi").dropDuplicates(list(keys)))
+    return kept.drop(*keys)
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

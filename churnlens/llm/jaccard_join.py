@@ -34,7 +34,8 @@ Components follow from the links; copies get the answer of their class.
 Defined cases: null or empty text, or no word: empty set, linked with nothing;
 under 5 words: the whole sequence is the one shingle; repeated rows are
 copies; a null id never is a component's id unless all its documents' ids are
-null; an empty table gives an empty result; other columns are ignored.
+null; of equally central documents of a token the one of the greatest digest
+is its star; a very long text is one set, held by one task at a time; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -15,8 +15,8 @@ Predicting is a narrow map over whole texts.
 Defined cases: null text, or text without a letter, or no language learned:
 ``und`` with score 0; null ids are judged like others and never learned from;
 characters beyond the basic plane count as one common letter; rows that repeat
-are judged alike; an empty table gives an empty result; other columns are
-ignored.
+are judged alike; a very long text is profiled whole; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations

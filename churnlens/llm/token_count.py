@@ -8,7 +8,9 @@ shuffle. Counts of distinct words are kept in a cache per Python worker;
 Defined cases: null text is empty (0 bytes, 0 tokens, not over the limit); a
 special string inside a text counts as one token, as the library does by
 default; very long texts and very long words are counted whole (the heap makes
-a word of n bytes cost n log n); other columns are ignored.
+a word of n bytes cost n log n); of equal ranks in a word the leftmost pair
+merges first; repeated rows are counted alike; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -17,8 +17,9 @@ a host that holds a third of all urls is cut into many ranges.
 
 Defined cases: null url or one without ``://`` has empty host and path and
 fits no rule; the longest rule (host and path together, then the longer host)
-wins; of equal rules block wins; repeated urls are judged one by one; an empty
-table or empty rules are fine; other columns are ignored.
+wins; of equal rules block wins; repeated urls are judged one by one; a very
+long url is one key like any other; an empty table or empty rules are fine;
+other columns are ignored.
 """
 
 from __future__ import annotations
