@@ -9,6 +9,14 @@
 
 Language identification and the seeded mix have no SQL; the tests hold every
 stage against a brute-force version instead.
+
+Defined cases, as the stages state them: null, empty and blank texts hold no
+letter and go first; rows are kept, dropped and repeated one by one, by a key
+written with them, so null and repeated ids, repeated rows and ties do not mix
+rows up (which of rows alike in all columns stays is no matter); very long
+texts pass whole; an empty table gives an empty result; other columns, whatever
+their names, travel along up to the last stage, which returns ``doc_id,
+n_tokens, ids``.
 """
 
 from __future__ import annotations
