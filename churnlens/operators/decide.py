@@ -71,7 +71,7 @@ def drift_level(df: DataFrame, share: str = "drift_share", threshold: float = K.
 
 def route(df: DataFrame, key: str, weight: float, salt: str = "canary",
           has_staging: bool = True, out: str = "model_stage") -> DataFrame:
-    """I4: send a repeatable ``weight`` fraction of keys to Staging."""
+    """I4: send a repeatable ``weight`` fraction of keys to Staging (a null key stays in Production)."""
     if not has_staging:
         return df.withColumn(out, F.lit("Production"))
     # the first 32 bits of a digest, which any system can recompute

@@ -393,6 +393,18 @@ def _cohort_clean(src: str, mode_src: str) -> str:
            coalesce(TRY_CAST(trim(total_charges_raw) AS DOUBLE), 0.0) AS total_charges, churn FROM {src}"""
 
 
+@register("saved_pipeline_features", ORACLE["training_features"])
+def q_saved_pipeline_features(spark, sf):
+    """Cleaning, encoding and scaling as fitted stages that are saved, loaded and applied to the raw rows."""
+    from churnlens.operators.pipeline import churn_pipeline, load_pipeline
+    from churnlens.session import scratch_path
+    from churnlens.sources.io import save_model
+    raw, path = raw_subscribers(spark, sf), scratch_path(spark, "models", "features")
+    save_model(churn_pipeline(SUB_SPEC, []).fit(raw), path)
+    feats = load_pipeline(spark, path).transform(raw)
+    return feats.select(*FEATURE_CATS, *[r6(c).alias(c) for c in SUB_NUMERIC], "churn")
+
+
 @register("serving_features", with_views("subscribers", extra=f"""
 fit_raw AS (SELECT * FROM subscribers WHERE tenure < 48),
 srv_raw AS (SELECT * FROM subscribers),
@@ -1032,6 +1044,19 @@ def q_upsert_log(spark, sf):
     return upsert_log(log, feedback_rows(spark, sf), "o_custkey", ["o_orderkey"])
 
 
+@register("upsert_buckets", ORACLE["upsert_log"])
+def q_upsert_buckets(spark, sf):
+    """The log table in buckets of its key; the feedback rewrites its own buckets only."""
+    from churnlens.operators.merge import upsert_log
+    from churnlens.session import scratch_path
+    from churnlens.sources.buckets import read_bucketed, upsert_bucketed, write_bucketed
+    log = FX.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    path = scratch_path(spark, "tables", "orders_by_customer")
+    write_bucketed(upsert_log(log, log.limit(0), "o_custkey", ["o_orderkey"]), path, "o_custkey")
+    upsert_bucketed(feedback_rows(spark, sf), path, ["o_orderkey"])
+    return read_bucketed(spark, path)
+
+
 @register("upsert_training", "WITH " + SQL_UPSERT + " SELECT count(*) AS rows, 6 AS columns FROM up")
 def q_upsert_training(spark, sf):
     from churnlens.operators.merge import upsert_training
@@ -1395,6 +1420,19 @@ def q_explain_tree(spark, sf):
     return explain_trees(feats, stated_tree(), "customer_id").select("customer_id", "feature", r6("phi").alias("phi"), r6("base").alias("base"))
 
 
+@register("predict_explain_log", scored_views(extra="").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + "," + EXPLAIN_TREE_SQL + """
+SELECT customer_id, CASE WHEN any_value(v) >= 0.5 THEN 'Yes' ELSE 'No' END AS "Churn", round(any_value(v), 6) AS probability, """ + ", ".join(
+    f"round(max(phi) FILTER (WHERE i = {i}), 6) AS phi_{c}" for i, c in enumerate(TREE_FEATURES)) + """,
+       'Production' AS model_stage, 'v1' AS model_version FROM ph JOIN vs USING (customer_id) WHERE s = 7 GROUP BY customer_id""")
+def q_predict_explain_log(spark, sf):
+    """Raw rows to label, probability, attributions and log columns in one projection, with a tree model."""
+    from churnlens.operators.ml import predict_log
+    _, params = _served(spark, sf)
+    out = predict_log(raw_subscribers(spark, sf), stated_tree(), params, ["customer_id"], None, "Production", "v1")
+    return out.select("customer_id", "Churn", r6("probability").alias("probability"),
+                      *[F.round(F.col("attributions")[c], DIGITS).alias(f"phi_{c}") for c in TREE_FEATURES], "model_stage", "model_version")
+
+
 @register("explain_forest")
 def q_explain_forest(spark, sf):
     """Exact attributions of the default forest (200 trees) for every subscriber."""

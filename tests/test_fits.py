@@ -33,3 +33,26 @@ def test_density_by_convolution_equals_the_direct_sum(spark):
         got = {(r.c, r.grid_index): (r.x, r.density) for r in density_binned(df, "v", "c", bw=bw).collect()}
         assert got.keys() == want.keys() and len(got) == 400
         assert all(got[k][0] == pytest.approx(want[k][0], abs=1e-9) and got[k][1] == pytest.approx(want[k][1], abs=1e-6) for k in want)
+
+
+def test_columns_by_type(spark):
+    from churnlens.operators.quality import columns_by_type
+    df = spark.createDataFrame([], "a int, b double, c string, d decimal(9,2), e timestamp, f array<int>")
+    assert columns_by_type(df, ["numeric"]) == ["a", "b", "d"]
+    assert columns_by_type(df, ["text"]) == columns_by_type(df, ["string"]) == ["c"]
+    assert columns_by_type(df, ["timestamp", "numeric"]) == ["a", "b", "d", "e"] and columns_by_type(df, []) == []
+
+
+def test_chi_square_refuses_a_target_that_is_no_class(spark):
+    from churnlens.operators.stats import MAX_CLASSES, chi_square
+    df = spark.range(MAX_CLASSES + 1).selectExpr("cast(id as string) y", "'a' c")
+    with pytest.raises(ValueError):
+        chi_square(df, ["c"], "y")
+    assert chi_square(df.limit(MAX_CLASSES), ["c"], "y").count() == 1
+
+
+def test_profile_of_an_empty_column(spark):
+    from churnlens.operators.quality import profile_numeric
+    df = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
+    got = {r.column: r for r in profile_numeric(df, ["a", "b"]).collect()}
+    assert (got["a"]["count"], got["a"]["mean"], got["a"].q50, got["b"]["count"], got["b"].q50) == (2, 2.0, 2.0, 0, None)
