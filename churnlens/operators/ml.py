@@ -36,6 +36,8 @@ MLP_DEFAULTS = {"hidden": 128, "stepSize": 0.001, "maxIter": 20, "blockSize": 51
 MAX_TREE_DEPTH = 30
 #: Most parts that one level of the neighbour search cuts a cell into.
 FAN = 4
+#: Neighbours that the search keeps on the way, as a multiple of those asked for.
+POOL = 2
 
 
 def stratified_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: int = 2,
@@ -144,13 +146,14 @@ def refine_neighbours(points: DataFrame, graph: DataFrame, k: int, rounds: int)
     return graph
 
 
-def nearest_neighbours(points: DataFrame, k: int = 5, projections: int = 4, cell_size: int = 2048,
+def nearest_neighbours(points: DataFrame, k: int = 5, projections: int = 6, cell_size: int = 2048,
                        seed: int = 42, rounds: int = 2) -> DataFrame:
     """(id, other, d): about the k nearest of every point (``id``, ``x`` array of double).
 
     The neighbours found in cells of bounded size (below) are refined by
-    ``rounds`` of neighbour-of-neighbour search, which makes up for the
-    neighbours that many dimensions put into other cells.
+    ``rounds`` of neighbour-of-neighbour search over ``POOL`` times as many
+    neighbours, which makes up for those that many dimensions put into other
+    cells.
 
     Up to ``cell_size`` points the result is exact.  Beyond it the points are
     cut into cells once for each of ``projections`` trees, and the k best of
@@ -190,16 +193,17 @@ def nearest_neighbours(points: DataFrame, k: int = 5, projections: int = 4, cell
         rows = materialize(ranked.join(starts, ["_tree", "_cell"]).select(
             "_tree", (F.col("_cell") * (FAN + 1) + part).cast("long").alias("_cell"), "id", "x"), "cut_points")
         most = max(cell_size, -(-most // FAN))
+    kept = k if small else POOL * k
     found = rows.groupBy("_tree", "_cell").applyInPandas(
-        _nearest_in_cell(k), "id long, other long, d double")
-    best = _nearest_of(found.groupBy("id", "other").agg(F.min("d").alias("d")), k)  # of at most projections * k
+        _nearest_in_cell(kept), "id long, other long, d double")
+    best = _nearest_of(found.groupBy("id", "other").agg(F.min("d").alias("d")), kept)  # of at most projections * kept
     if small:
         return best
-    return refine_neighbours(points, materialize(best, "neighbour_graph"), k, rounds)
+    return _nearest_of(refine_neighbours(points, materialize(best, "neighbour_graph"), kept, rounds), k)
 
 
 def oversample_minority(df: DataFrame, label: str, features: Sequence[str], k: int = 5, seed: int = 42,
-                        cell_size: int = 2048, key: str | None = None, projections: int = 4,
+                        cell_size: int = 2048, key: str | None = None, projections: int = 6,
                         per_task: int = 10_000, with_pairs: bool = False) -> DataFrame:
     """H2: balance the smallest class by interpolating between neighbours (Chawla et al. 2002).
 

@@ -99,7 +99,7 @@ def configured_trainers(forest: Mapping = FOREST_GRID, boosted: Mapping = BOOSTE
     trained on.
     """
     def best_network(df: DataFrame, features: Sequence[str], label: str):
-        parts = materialize(stratified_split(df, label, 0.2, seed=3, key=key), "network_parts")
+        parts = materialize(stratified_split(df.drop("split"), label, 0.2, seed=3, key=key), "network_parts")
         found, nets = network.network_search(parts.where("split = 'train'"), parts.where("split = 'test'"), features, label, net, epochs=epochs)
         return nets[found.where("rank = 1").first()["setting"]]
 

@@ -206,9 +206,9 @@ def attributions(x: np.ndarray, groups: Sequence[_Leaves]) -> np.ndarray:
     return out
 
 
-def attribution_column(model: TreeModel) -> Column:
+def attribution_column(model: TreeModel, groups: Sequence[_Leaves] | None = None) -> Column:
     """The attributions of a row in the order of the model's features, as an array column."""
-    _, groups = leaf_groups(model)
+    groups = leaf_groups(model)[1] if groups is None else groups
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def phi(columns: pd.DataFrame) -> pd.Series:
@@ -220,7 +220,8 @@ def attribution_column(model: TreeModel) -> Column:
 def explain_trees(df: DataFrame, model: TreeModel, row_id: str) -> DataFrame:
     """Exact attributions of every row: (row_id, feature, phi, base); base + the sum of phi is the model's raw
     value. Each input row is explained by itself, also where ids repeat."""
-    rows = df.select(F.col(row_id), attribution_column(model).alias("_phi"))
+    base, groups = leaf_groups(model)
+    rows = df.select(F.col(row_id), attribution_column(model, groups).alias("_phi"))
     return rows.select(row_id, F.posexplode("_phi").alias("_k", "phi")).select(
         row_id, F.element_at(F.lit(list(model.features)), F.col("_k") + 1).alias("feature"), "phi",
-        F.lit(float(leaf_groups(model)[0])).alias("base"))
+        F.lit(float(base)).alias("base"))
