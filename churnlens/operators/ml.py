@@ -434,12 +434,13 @@ def decay_check(log_features: DataFrame, model, label: str, threshold: float = 0
         validate_schema(log_features, expected)
         for c in expected:
             whole = whole & F.col(c).isNotNull()
-    labelled = log_features.where(F.col(label).isNotNull()).withColumn("_whole", whole)
+    # joined once; only whole rows reach the model, which takes no missing feature
+    labelled = materialize(log_features.where(F.col(label).isNotNull()).withColumn("_whole", whole), "decay_rows")
     # scored once: both metrics read the written (label, probability, class) columns
-    s = materialize(score(labelled, model, threshold).select(label, "_whole", "probability_1", "predicted"), "decay_scores")
-    scored = s.where("_whole")
+    scored = score(labelled.where("_whole").drop("_whole"), model, threshold).select(label, "probability_1", "predicted")
+    scored = materialize(scored, "decay_scores")
     m = _one_row_join(binary_metrics(scored, label, "predicted"), roc_auc(scored, label, "probability_1"))
-    return _one_row_join(m, s.agg(F.count_if(~F.col("_whole")).alias("unscored")))
+    return _one_row_join(m, labelled.agg(F.count_if(~F.col("_whole")).alias("unscored")))
 
 
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:

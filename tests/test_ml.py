@@ -184,3 +184,13 @@ def test_predict_explain_and_log_in_one_projection(spark, ml, tmpdir_path):
         assert r.probability == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-9)
         assert r.Churn == ("Yes" if r.probability >= 0.5 else "No")
 
+
+
+def test_decay_check_counts_rows_of_unknown_customers(spark):
+    from churnlens.operators.ml import LinearScorer, decay_check
+    log = spark.createDataFrame([(1, 0.5), (0, -0.5), (1, None), (0, None), (None, 0.1), (1, -1.0)], "label int, a double")
+    got = decay_check(log, LinearScorer(["a"], [1.0], 0.0), "label", expected=["a", "label"]).first()
+    assert (got["n"], got["tp"], got["fp"], got["fn"], got["tn"], got["unscored"]) == (3, 1, 0, 1, 1, 2)
+    assert got["roc_auc"] == 0.5
+    none = decay_check(log.where("a IS NULL"), LinearScorer(["a"], [1.0], 0.0), "label", expected=["a", "label"]).first()
+    assert (none["n"], none["unscored"]) == (0, 2)
