@@ -16,17 +16,24 @@ Shapley value of feature i is
 whose integrand is a polynomial of degree m - 1 for m features on the path, so
 Gauss-Legendre with m / 2 points is exact. A row costs leaves x features x
 m / 2 operations, whatever the number of coalitions, and no background rows.
+
+A model sees a value only as its place among the thresholds of its feature, so
+its worth for every place of every feature, known or not, is a table of the
+model's size. Where the table is small enough (``CELLS``) it is made once, by
+running sums over the corners of the leaves' boxes, and broadcast; a row then
+costs 2^features look-ups, whatever the number of trees.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +41,8 @@ from churnlens.session import scratch_path
 
 #: Rows and leaves that are multiplied out together.
 ROWS, LEAVES = 256, 128
+#: Cells (8 bytes each) and features that a table of a model's worth has at most.
+CELLS, KNOWN = 1 << 24, 12
 
 
 @dataclass(frozen=True)
@@ -113,7 +122,6 @@ def tree_from_nodes(nodes: pd.DataFrame) -> Tree:
 def forest_nodes(model) -> DataFrame:
     """The nodes of a fitted forest or boosted model, read from what Spark saves: ``tree, id, feature, threshold,
     left, right, prediction, stats``. The model is written to the shared scratch folder once."""
-    from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     last = model.stages[-1] if hasattr(model, "stages") else model
     path = scratch_path(spark, "models", "trees")
@@ -133,21 +141,24 @@ def forest_model(model, features: Sequence[str]) -> TreeModel:
     """
     last = model.stages[-1] if hasattr(model, "stages") else model
     boosted = hasattr(last, "treeWeights") and type(last).__name__.startswith("GBT")
-    nodes = forest_nodes(model).toPandas().sort_values(["tree", "id"])
+    nodes = forest_nodes(model)
+    total = F.aggregate("stats", F.lit(0.0), lambda a, b: a + b)
+    # flat columns: a node is a few numbers on the driver
+    nodes = nodes.select("tree", "id", "feature", F.get("cut", F.lit(0)).alias("cut"), "categories", "left", "right", "prediction",
+                         F.get("stats", F.lit(0)).alias("first"), F.get("stats", F.lit(1)).alias("second"), total.alias("total"))
+    nodes = nodes.toArrow().to_pandas().sort_values(["tree", "id"])
     if (nodes["categories"] > 0).any():
         raise ValueError("splits on category sets are not supported; encode categories as numbers")
     weights = list(last.treeWeights)
-    stats = np.stack(nodes["stats"].to_numpy())
     if boosted:
         # Spark's boosted log-odds is twice the weighted sum of its trees
         value = nodes["prediction"].to_numpy() * 2 * np.array(weights)[nodes["tree"].to_numpy()]
-        cover = stats[:, 0]
+        cover = nodes["first"].to_numpy()
     else:
-        cover = stats.sum(1)
-        value = stats[:, 1] / cover / len(weights)
-    cut = np.array([c[0] if len(c) else np.nan for c in nodes["cut"]])
+        cover = nodes["total"].to_numpy()
+        value = nodes["second"].to_numpy() / cover / len(weights)
     table = pd.DataFrame({"tree": nodes["tree"], "id": nodes["id"], "feature": np.where(nodes["left"] < 0, -1, nodes["feature"]),
-                          "threshold": cut, "left": nodes["left"], "right": nodes["right"], "value": value, "cover": cover})
+                          "threshold": nodes["cut"], "left": nodes["left"], "right": nodes["right"], "value": value, "cover": cover})
     trees = tuple(tree_from_nodes(t) for _, t in table.groupby("tree"))
     return TreeModel(tuple(features), trees, 0.0, boosted)
 
@@ -206,22 +217,137 @@ def attributions(x: np.ndarray, groups: Sequence[_Leaves]) -> np.ndarray:
     return out
 
 
-def attribution_column(model: TreeModel, groups: Sequence[_Leaves] | None = None) -> Column:
+@dataclass(frozen=True)
+class Grid:
+    """The worth of a model for every place of the features that it splits on: ``used`` are their positions, ``cuts``
+    their thresholds, ``worth`` the flat table. With ``partial`` the last place of each feature stands for "not known"."""
+    used: tuple[int, ...]
+    cuts: tuple[np.ndarray, ...]
+    worth: np.ndarray
+    partial: bool
+
+    @property
+    def shape(self) -> tuple[int, ...]:
+        return tuple(len(c) + 1 + self.partial for c in self.cuts)
+
+    @property
+    def strides(self) -> np.ndarray:
+        return np.array([math.prod(self.shape[k + 1:]) for k in range(len(self.cuts))], np.int64)
+
+    def places(self, x: np.ndarray) -> np.ndarray:
+        """(row, used feature): thresholds below the value; a missing value lies above all."""
+        return np.stack([np.searchsorted(c, x[:, f]) for f, c in zip(self.used, self.cuts)], axis=1)
+
+
+def worth_grid(model: TreeModel, partial: bool) -> Grid | None:
+    """The table of a model, or None where it would have more than ``CELLS`` cells."""
+    inner = [(t.feature[t.feature >= 0], t.threshold[t.feature >= 0]) for t in model.trees]
+    feature, threshold = (np.concatenate(c) for c in zip(*inner)) if inner else (np.zeros(0, int), np.zeros(0))
+    used = tuple(int(f) for f in np.unique(feature))
+    cuts = tuple(np.unique(threshold[feature == f]) for f in used)
+    cells = math.prod(len(c) + 1 + partial for c in cuts)
+    if not used or len(used) > KNOWN or cells > CELLS:
+        return None
+    grid = Grid(used, cuts, np.zeros(cells), partial)
+    for t in model.trees:
+        found = {}
+        for value, path in t.paths():
+            if value:
+                found.setdefault(tuple(sorted(path)), []).append((value, [path[f] for f in sorted(path)]))
+        for path, leaves in found.items():
+            for a in range(0, len(leaves), LEAVES):
+                _mark(grid, path, leaves[a:a + LEAVES])
+    table = grid.worth.reshape(grid.shape)
+    for k, c in enumerate(cuts):
+        side = np.moveaxis(table, k, 0)
+        for place in range(1, len(c) + 1):
+            side[place] += side[place - 1]
+    grid.worth[:] += model.intercept
+    if model.logistic and not partial:
+        grid.worth[:] = 1 / (1 + np.exp(-grid.worth))
+    return grid
+
+
+def _mark(grid: Grid, path: tuple[int, ...], leaves: Sequence) -> None:
+    """Adds the corners of the leaves' boxes: running sums along all features make boxes of them."""
+    at, weight = np.zeros((len(leaves), 1), np.int64), np.array([[v] for v, _ in leaves])
+    for f, c, stride in zip(grid.used, grid.cuts, grid.strides):
+        if f in path:
+            low, high, share = np.array([sides[path.index(f)] for _, sides in leaves]).T
+            open_end = np.isinf(high)
+            start = np.searchsorted(c, low, "right")
+            # no value fits a path whose bounds exclude each other: its box is empty
+            place = [start, np.where(open_end, 0, np.maximum(start, np.searchsorted(c, high, "right")))]
+            part = [np.ones(len(leaves)), np.where(open_end, 0.0, -1.0)]
+        else:
+            place, part, share = [np.zeros(len(leaves), np.int64)], [np.ones(len(leaves))], np.ones(len(leaves))
+        if grid.partial:
+            place.append(np.full(len(leaves), len(c) + 1))
+            part.append(share)
+        at = (at[:, :, None] + (np.stack(place, 1) * stride)[:, None, :]).reshape(len(leaves), -1)
+        weight = (weight[:, :, None] * np.stack(part, 1)[:, None, :]).reshape(len(leaves), -1)
+    np.add.at(grid.worth, at.ravel(), weight.ravel())
+
+
+def coalition_weights(k: int) -> np.ndarray:
+    """(coalition, feature): what the worth of a coalition (bits) counts for a feature."""
+    sets = np.arange(1 << k)
+    size = np.array([int(s).bit_count() for s in sets])
+    out = np.zeros((1 << k, k))
+    share = [math.factorial(s) * math.factorial(k - 1 - s) / math.factorial(k) for s in range(k)]
+    for i in range(k):
+        known = (sets >> i) & 1 == 1
+        out[known, i] = [share[s - 1] for s in size[known]]
+        out[~known, i] = [-share[s] for s in size[~known]]
+    return out
+
+
+def grid_attributions(x: np.ndarray, grid: Grid, worth: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Shapley values (row, feature) from the table of a model."""
+    out, unknown = np.zeros(x.shape), (np.array(grid.shape) - 1) * grid.strides
+    known = grid.places(x) * grid.strides - unknown
+    for a in range(0, len(x), ROWS):
+        at = np.full((len(known[a:a + ROWS]), 1), unknown.sum())
+        for k in range(len(grid.used)):
+            at = np.concatenate([at, at + known[a:a + ROWS, k:k + 1]], axis=1)
+        out[a:a + ROWS, list(grid.used)] = worth[at] @ weights
+    return out
+
+
+def attribution_column(model: TreeModel) -> Column:
     """The attributions of a row in the order of the model's features, as an array column."""
-    groups = leaf_groups(model)[1] if groups is None else groups
+    grid = worth_grid(model, True)
+    if grid is None:
+        groups = leaf_groups(model)[1]
+
+        def explained(x: np.ndarray) -> np.ndarray:
+            return attributions(x, groups)
+    else:
+        worth, weights = SparkSession.getActiveSession().sparkContext.broadcast(grid.worth), coalition_weights(len(grid.used))
+        grid = Grid(grid.used, grid.cuts, np.zeros(0), True)  # the table travels once an executor
+
+        def explained(x: np.ndarray) -> np.ndarray:
+            return grid_attributions(x, grid, worth.value, weights)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def phi(columns: pd.DataFrame) -> pd.Series:
-        return pd.Series(list(attributions(columns.to_numpy(float), groups)))
+        return pd.Series(list(explained(columns.to_numpy(float))))
 
     return phi(F.struct(*[F.col(f).cast("double").alias(f) for f in model.features]))
 
 
+def expected_value(model: TreeModel) -> float:
+    """The worth of a model of which no feature is known."""
+    base = model.intercept
+    for t in model.trees:
+        base += sum(value * float(np.prod([s for _, _, s in path.values()])) for value, path in t.paths())
+    return base
+
+
 def explain_trees(df: DataFrame, model: TreeModel, row_id: str) -> DataFrame:
     """Exact attributions of every row: (row_id, feature, phi, base); base + the sum of phi is the model's raw
     value. Each input row is explained by itself, also where ids repeat."""
-    base, groups = leaf_groups(model)
-    rows = df.select(F.col(row_id), attribution_column(model, groups).alias("_phi"))
+    rows = df.select(F.col(row_id), attribution_column(model).alias("_phi"))
     return rows.select(row_id, F.posexplode("_phi").alias("_k", "phi")).select(
         row_id, F.element_at(F.lit(list(model.features)), F.col("_k") + 1).alias("feature"), "phi",
-        F.lit(float(base)).alias("base"))
+        F.lit(float(expected_value(model))).alias("base"))

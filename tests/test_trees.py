@@ -269,3 +269,28 @@ def test_boosted_search_scores_held_out_folds(spark):
     assert rows[0].lr == 0.5 and rows[0].mean_f1 > 0.95 > rows[1].mean_f1
     assert ((best.raw(x) >= 0) == (x[:, 0] > 0.2)).mean() > 0.97
     assert found.count() == 2 and booster_search(df, ["a", "b"], "y", {"lr": [0.5], "depth": [1], "trees": [2]}, key="i")[0].count() == 1
+
+
+def test_table_of_a_model_gives_the_same_attributions():
+    from churnlens.operators.trees import coalition_weights, grid_attributions, worth_grid
+    rng = np.random.default_rng(5)
+    model = TreeModel(tuple("abcd"), tuple(random_tree(rng, 4, 6) for _ in range(8)), 0.25)
+    cuts = np.concatenate([t.threshold[t.feature >= 0] for t in model.trees])
+    x = np.concatenate([rng.normal(size=(40, 4)), rng.choice(cuts, size=(20, 4))])
+    x[rng.random(x.shape) < 0.1] = np.nan
+    grid = worth_grid(model, True)
+    assert np.allclose(grid_attributions(x, grid, grid.worth, coalition_weights(4)), attributions(x, leaf_groups(model)[1]))
+    whole = worth_grid(model, False)
+    assert np.allclose(whole.worth[grid.places(x) @ whole.strides], model.raw(x))
+
+
+def test_attributions_do_not_go_through_all_leaves(spark, monkeypatch):
+    from churnlens.operators import trees
+    model = TreeModel(("a", "b"), tuple(random_tree(np.random.default_rng(k), 2, 4) for k in range(3)))
+    df = spark.range(50).select("id", (F.randn(1)).alias("a"), (F.randn(2)).alias("b")).cache()
+    monkeypatch.setattr(trees, "CELLS", 1)
+    slow = {(r.id, r.feature): r.phi for r in explain_trees(df, model, "id").collect()}
+    monkeypatch.setattr(trees, "CELLS", 1 << 24)
+    monkeypatch.setattr(trees, "leaf_groups", None)
+    fast = {(r.id, r.feature): r.phi for r in explain_trees(df, model, "id").collect()}
+    assert fast == pytest.approx(slow) and len(fast) == 100
