@@ -294,3 +294,18 @@ def test_attributions_do_not_go_through_all_leaves(spark, monkeypatch):
     monkeypatch.setattr(trees, "leaf_groups", None)
     fast = {(r.id, r.feature): r.phi for r in explain_trees(df, model, "id").collect()}
     assert fast == pytest.approx(slow) and len(fast) == 100
+
+
+def test_sampled_attributions_of_a_forest_are_looked_up(spark, monkeypatch):
+    from churnlens.operators import explain
+    from churnlens.operators.ml import train_forest
+    df = spark.range(200).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"), (F.col("id") % 3).cast("double").alias("c"))
+    df = df.withColumn("y", (F.col("a") + F.col("c") > 1.2).cast("int")).cache()
+    model = train_forest(df, ["b", "a", "c"], "y", {"numTrees": 4, "maxDepth": 4})
+    few = df.orderBy("id").limit(12).cache()
+    background = df.where("id % 20 = 7")
+    got = {(r.id, r.feature): (r.phi, r.base) for r in explain.explain_sampled(few, model, "id", ["a", "b", "c"], background, 5).collect()}
+    monkeypatch.setattr(explain, "model_grid", lambda *_: None)
+    want = {(r.id, r.feature): (r.phi, r.base) for r in explain.explain_sampled(few, model, "id", ["a", "b", "c"], background, 5).collect()}
+    assert len(got) == 36 and got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
