@@ -1,10 +1,11 @@
 """The network with one hidden layer (H5): ReLU, binary cross entropy, mini-batch Adam.
 
 The training rows are dealt once, by a seeded hash, to blocks of a mini-batch
-each, written as one folder a block. A step is a Spark job over one block: the
-tasks sum the loss gradient of their rows, Spark adds the sums, and the driver,
-which holds the weights (a few thousand numbers, whatever the rows), makes the
-Adam step. The order of the blocks is drawn anew in every epoch.
+each, written, and kept by the executors in partitions of one block each. A
+step is a Spark job of one stage over the partitions of one block: the tasks
+sum the loss gradient of their rows, and the driver, which holds the weights (a
+few thousand numbers, whatever the rows), adds these sums (``PARTS`` at most)
+and makes the Adam step. The order of the blocks is drawn anew in every epoch.
 
 A search trains all its settings in the same jobs. A setting with a larger
 batch adds up the gradients of as many blocks as its batch has before it
@@ -25,9 +26,9 @@ from itertools import product
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,10 +39,12 @@ DEFAULTS = {"hidden": 128, "lr": 0.001, "epochs": 20, "batch": 512}
 GRID = {"hidden": [64, 128, 256], "lr": [0.001, 0.005, 0.01], "batch": [128, 256, 512]}
 # --- fixed values: decay rates and guard of the Adam step ---
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
-#: Partial sums of one setting that reach the driver at most.
+#: Partitions of a block, and so partial sums of one setting that reach the driver, at most.
 PARTS = 16
+#: Rows times hidden units, over all settings, that make up a partition's worth of work.
+WORK = 1 << 20
 #: Rows whose hidden layer is held at once.
-CHUNK = 8192
+CHUNK = 1024
 
 
 @dataclass
@@ -119,65 +122,63 @@ class Adam:
         return flat - self.lr * m / (np.sqrt(v) + EPSILON)
 
 
-def deal_blocks(df: DataFrame, features: Sequence[str], label: str, blocks: int, seed: int) -> str:
-    """The rows as ``x, y`` in one folder a block; returns the path. Rows without a label are left out."""
+def deal_blocks(df: DataFrame, features: Sequence[str], label: str, blocks: int, parts: int, seed: int) -> RDD:
+    """The rows as (x, y) arrays, block b in the partitions b * parts to (b + 1) * parts - 1, kept by the executors.
+    Rows without a label are left out."""
     spark = df.sparkSession
     rows = df.where(F.col(label).isNotNull()).select(
         F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]).alias("x"), F.col(label).cast("double").alias("y"))
     # equal rows are told apart, so that a row that repeats is spread over the blocks
     row = F.xxhash64("x", "y", F.monotonically_increasing_id(), F.lit(seed))
-    rows = rows.withColumn("block", F.pmod(row, F.lit(blocks)).cast("int"))
-    # a block may be large: it is dealt to several tasks and files
-    files = F.pmod(F.xxhash64(row, F.lit(1)), F.lit(max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")) // blocks)))
+    rows = rows.withColumn("_row", row)
+    place = F.pmod(F.col("_row"), F.lit(blocks)) * parts + F.pmod(F.xxhash64(F.col("_row"), F.lit(1)), F.lit(parts))
+    # written, so that a row has the same place wherever it is read
     path = scratch_path(spark, "blocks", "network")
-    rows.repartition("block", files).write.partitionBy("block").parquet(path)
-    return path
+    rows.select("x", "y", place.cast("int").alias("place")).write.parquet(path)
 
-
-def _gradients(path: str, block: int, spark: SparkSession, nets: Sequence[tuple[int, np.ndarray]]) -> tuple[int, list[np.ndarray]]:
-    """(rows, summed gradient of every network) of one block."""
-    nets = list(nets)
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, n = None, 0
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                y = np.asarray(batch.column(1))
-                x = np.asarray(batch.column(0).flatten()).reshape(len(y), -1)
-                gs = [loss_and_gradient(flat, x, y, h)[1] for h, flat in nets]
-                sums = gs if sums is None else [a + b for a, b in zip(sums, gs)]
-                n += len(y)
-        if n:
-            part = TaskContext.get().partitionId() % PARTS
-            yield _blobs(range(len(nets)), [part] * len(nets), [n] * len(nets), sums)
+                x, y = np.asarray(batch.column(0).flatten()), np.asarray(batch.column(1))
+                yield pa.record_batch([pa.array([x.tobytes()], pa.binary()), pa.array([y.tobytes()], pa.binary())], names=["x", "y"])
 
-    def merge(keys, table):
-        total = sum(np.frombuffer(b.as_py()) for b in table["g"])
-        return pa.Table.from_batches([_blobs([keys[0].as_py()], [keys[1].as_py()], [int(np.asarray(table["n"]).sum())], [total])])
+    dealt = spark.read.schema("x array<double>, y double, place int").parquet(path).repartitionById(blocks * parts, F.col("place"))
+    packed = dealt.select("x", "y").mapInArrow(pack, "x binary, y binary").rdd
+    return packed.map(lambda r: (bytes(r[0]), bytes(r[1]))).persist(StorageLevel.MEMORY_AND_DISK)
 
-    schema = "net int, part int, n long, g binary"
-    rows = spark.read.schema("x array<double>, y double, block int").parquet(path).where(F.col("block") == block).select("x", "y")
-    out = rows.mapInArrow(partial, schema).groupBy("net", "part").applyInArrow(merge, schema).collect()
-    total = [sum(np.frombuffer(r["g"]) for r in out if r["net"] == k) for k in range(len(nets))]
-    return sum(r["n"] for r in out if r["net"] == 0), total
 
+def _gradients(rows: RDD, block: int, parts: int, nets: Sequence[tuple[int, np.ndarray]]) -> tuple[int, list[np.ndarray]]:
+    """(rows, summed gradient of every network) of one block."""
+    nets = list(nets)
+
+    def partial(packs: Iterator[tuple[bytes, bytes]]) -> Iterator[tuple[int, list[np.ndarray]]]:
+        sums, n = [np.zeros(len(flat)) for _, flat in nets], 0
+        for x, y in packs:
+            y = np.frombuffer(y)
+            x = np.frombuffer(x).reshape(len(y), -1)
+            for total, (h, flat) in zip(sums, nets):
+                total += loss_and_gradient(flat, x, y, h)[1]
+            n += len(y)
+        if n:
+            yield n, sums
 
-def _blobs(nets, parts, n, g) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(nets, pa.int32()), pa.array(parts, pa.int32()), pa.array(n, pa.int64()),
-                            pa.array([x.tobytes() for x in g], pa.binary())], names=["net", "part", "n", "g"])
+    out = rows.context.runJob(rows, partial, range(block * parts, (block + 1) * parts))
+    return sum(n for n, _ in out), [sum(g[k] for _, g in out) for k in range(len(nets))]
 
 
 def train_networks(df: DataFrame, features: Sequence[str], label: str, settings: Sequence[Mapping], seed: int = 42,
                    epochs: int | None = None, max_blocks: int = 64) -> list[Network]:
     """A network for each of the settings (``hidden``, ``lr``, ``batch``), all trained by the same jobs."""
     settings = [{**DEFAULTS, **s} for s in settings]
-    spark, d = df.sparkSession, len(features)
+    d = len(features)
     n = df.where(F.col(label).isNotNull()).count()
     if not n:
         raise ValueError("no labelled row to train on")
     block = max(min(s["batch"] for s in settings), -(-n // max_blocks))
     blocks = max(1, -(-n // block))
-    path = deal_blocks(df, features, label, blocks, seed)
+    # a block may be large: several tasks share it
+    parts = min(PARTS, max(1, block * sum(s["hidden"] for s in settings) // WORK))
+    dealt = deal_blocks(df, features, label, blocks, parts, seed)
     flats = [initial(d, s["hidden"], seed) for s in settings]
     steps = [Adam(len(f), s["lr"]) for f, s in zip(flats, settings)]
     per_step = [max(1, round(s["batch"] / block)) for s in settings]
@@ -185,13 +186,14 @@ def train_networks(df: DataFrame, features: Sequence[str], label: str, settings:
     for _ in range(epochs or settings[0]["epochs"]):
         sums, counts = [np.zeros(len(f)) for f in flats], [0] * len(flats)
         for place, b in enumerate(rng.permutation(blocks), 1):
-            rows, gs = _gradients(path, int(b), spark, [(s["hidden"], f) for s, f in zip(settings, flats)])
+            rows, gs = _gradients(dealt, int(b), parts, [(s["hidden"], f) for s, f in zip(settings, flats)])
             for k in range(len(flats)):
                 if rows:
                     sums[k], counts[k] = sums[k] + gs[k], counts[k] + rows
                 if counts[k] and (place % per_step[k] == 0 or place == blocks):
                     flats[k] = steps[k].step(flats[k], sums[k] / counts[k])
                     sums[k], counts[k] = np.zeros(len(flats[k])), 0
+    dealt.unpersist()
     return [Network(tuple(features), s["hidden"], f) for s, f in zip(settings, flats)]
 
 

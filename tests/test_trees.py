@@ -309,3 +309,20 @@ def test_sampled_attributions_of_a_forest_are_looked_up(spark, monkeypatch):
     want = {(r.id, r.feature): (r.phi, r.base) for r in explain.explain_sampled(few, model, "id", ["a", "b", "c"], background, 5).collect()}
     assert len(got) == 36 and got.keys() == want.keys()
     assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_blocks_stay_dealt_and_a_step_is_one_stage(spark):
+    df = spark.range(600).select(F.col("id").cast("double").alias("a"), F.when(F.col("id") < 590, F.col("id") % 2).cast("int").alias("y"))
+    dealt = network.deal_blocks(df, ["a"], "y", 3, 2, 1)
+    assert dealt.getNumPartitions() == 6
+    found = [[v for x, _ in part for v in np.frombuffer(x)] for part in dealt.glom().collect()]
+    assert sorted(v for part in found for v in part) == list(range(590)) and all(found)
+    spark.sparkContext.setJobGroup("steps", "")
+    n, (g,) = network._gradients(dealt, 1, 2, [(4, network.initial(1, 4, 1))])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("steps")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert n == len(found[2]) + len(found[3]) and g.shape == (13,) and len(jobs) == 1
+    rows = {v: v % 2 for v in found[2] + found[3]}
+    want = network.loss_and_gradient(network.initial(1, 4, 1), np.array(list(rows))[:, None], np.array(list(rows.values())), 4)[1]
+    assert np.allclose(g, want)
+    dealt.unpersist()
