@@ -194,3 +194,26 @@ def test_decay_check_counts_rows_of_unknown_customers(spark):
     assert got["roc_auc"] == 0.5
     none = decay_check(log.where("a IS NULL"), LinearScorer(["a"], [1.0], 0.0), "label", expected=["a", "label"]).first()
     assert (none["n"], none["unscored"]) == (0, 2)
+
+
+def test_grid_search_keeps_the_nodes_of_rows(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+    from churnlens.operators import ml
+    seen = {}
+    df = spark.range(2000).select(F.rand(1).alias("a"), F.rand(2).alias("b"), (F.col("id") % 5).cast("double").alias("c"))
+    df = df.withColumn("y", (F.col("a") + F.col("b") * F.col("c") / 4 > 0.8).cast("int")).cache()
+
+    class Found:
+        avgMetrics = [0.5]
+
+    def watched(train, features, label, est, grid, folds):
+        seen["kept"] = est.getCacheNodeIds()
+        return Found
+
+    monkeypatch.setattr(catalog, "_train_test", lambda *_: (df, df, None))
+    monkeypatch.setattr(ml, "grid_search", watched)
+    assert catalog.QUERIES["forest_grid_search"](spark, "").count() == 1 and seen["kept"]
+    rows = ml.assembler(["a", "b", "c"]).transform(df).cache()
+    fits = [RandomForestClassifier(seed=42, labelCol="y", numTrees=4, maxDepth=6, cacheNodeIds=k).fit(rows) for k in (True, False)]
+    trees = [fit.toDebugString.split("\n", 1)[1] for fit in fits]
+    assert trees[0] == trees[1] and fits[0].totalNumNodes > 100
