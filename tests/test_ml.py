@@ -217,3 +217,42 @@ def test_grid_search_keeps_the_nodes_of_rows(spark, monkeypatch):
     fits = [RandomForestClassifier(seed=42, labelCol="y", numTrees=4, maxDepth=6, cacheNodeIds=k).fit(rows) for k in (True, False)]
     trees = [fit.toDebugString.split("\n", 1)[1] for fit in fits]
     assert trees[0] == trees[1] and fits[0].totalNumNodes > 100
+
+
+def test_models_are_fitted_at_the_same_time_on_rows_dealt_evenly(spark, monkeypatch):
+    from threading import Barrier
+    from churnlens.operators import ml
+    rows = [(i, float(i % 7), int(i % 3 == 0)) for i in range(1000)]
+    uneven = spark.range(0, 960, 1, 1).unionByName(spark.range(960, 1000, 1, 2)).selectExpr(
+        "CAST(id AS int) i", "CAST(id % 7 AS double) a", "CAST(id % 3 = 0 AS int) y")
+    together, seen = Barrier(2, timeout=60), {}
+
+    def fit(name):
+        def run(df, x, y):
+            together.wait()  # one fit after the other would never meet here
+            seen[name] = (sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()), sorted(map(tuple, df.collect())))
+            return ml.LinearScorer(x, [1.0], -3.0)
+        return run
+
+    def ranked():
+        return ml.train_and_rank(uneven, uneven, ["a"], "y", {"one": fit("one"), "two": fit("two")}).count()
+
+    assert ranked() == 2
+    assert seen["one"] == seen["two"] == ([20, 20, 960], rows)  # few rows stay as they are read
+    monkeypatch.setattr(ml, "DEAL_FROM", 1000)
+    assert ranked() == 2
+    sizes, found = seen["one"]
+    assert found == rows and len(sizes) == spark.sparkContext.defaultParallelism and sizes[-1] - sizes[0] <= 2
+
+
+def test_forest_keeps_the_nodes_of_rows_and_its_trees(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from churnlens.operators.ml import assembler, class_weights, train_forest
+    df = spark.range(2000).select(F.rand(1).alias("a"), F.rand(2).alias("b"), (F.col("id") % 5).cast("double").alias("c"))
+    df = df.withColumn("y", (F.col("a") + F.col("b") * F.col("c") / 4 > 0.8).cast("int")).cache()
+    got = train_forest(df, ["a", "b", "c"], "y", {"numTrees": 5, "maxDepth": 6}).stages[-1]
+    assert got.getCacheNodeIds()
+    walked = RandomForestClassifier(labelCol="y", featuresCol="features", weightCol="weight", numTrees=5, maxDepth=6, seed=42, cacheNodeIds=False)
+    plain = Pipeline(stages=[assembler(["a", "b", "c"]), walked]).fit(class_weights(df, "y")).stages[-1]
+    assert got.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
