@@ -286,6 +286,16 @@ def test_search_ranks_every_setting(spark):
     assert len(network.network_grid()) == 27
 
 
+def test_search_keeps_batches_apart_at_any_number_of_rows(spark, monkeypatch):
+    x = np.random.default_rng(11).normal(size=(400, 2))
+    df = spark.createDataFrame([(float(a), float(b), int(a * b > 0)) for a, b in x], "a double, b double, y int")
+    counted, real = [], network.Adam.step
+    monkeypatch.setattr(network.Adam, "step", lambda self, flat, g: counted.append(self.lr) or real(self, flat, g))
+    out, nets = network.network_search(df, df, ["a", "b"], "y", {"hidden": [3], "lr": [0.01], "batch": [2, 3, 5]}, epochs=2)
+    assert len(counted) == 2 * (200 + 134 + 80) and out.count() == 3
+    assert all(not np.allclose(a.flat, b.flat, atol=1e-6) for a, b in itertools.combinations(nets, 2))
+
+
 # --- folds ----------------------------------------------------------------------------------------------------------
 
 def test_folds_hold_each_class_evenly(spark):
